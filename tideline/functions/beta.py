@@ -26,25 +26,38 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 
 
 def _continued_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Modified Lentz evaluation for the incomplete beta function."""
+    """Modified Lentz evaluation for the incomplete beta function.
+
+    Elements leave the iteration as they converge.
+    """
     tiny = 1e-300
-    guard = lambda v: np.where(np.abs(v) < tiny, tiny, v)
+
+    def away_from_zero(v: np.ndarray) -> np.ndarray:
+        return np.where(np.abs(v) < tiny, tiny, v)
+
+    final = np.empty_like(x)
+    index = np.arange(len(x))
     c = np.ones_like(x)
-    d = 1 / guard(1 - (a + b) * x / (a + 1))
+    d = 1 / away_from_zero(1 - (a + b) * x / (a + 1))
     result = d.copy()
-    limit = int(200 + 20 * np.sqrt(np.max(a + b))) if len(a) else 0
+    limit = int(200 + 20 * np.sqrt(np.max(a + b, initial=0)))
     for m in range(1, limit):
         for numerator in (
             m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
             -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
         ):
-            d = 1 / guard(1 + numerator * d)
-            c = guard(1 + numerator / c)
+            d = 1 / away_from_zero(1 + numerator * d)
+            c = away_from_zero(1 + numerator / c)
             step = c * d
             result = result * step
-        if np.all(np.abs(step - 1) < 1e-16):
-            break
-    return result
+        open_ = np.abs(step - 1) > 4e-16
+        if not open_.all():
+            final[index[~open_]] = result[~open_]
+            a, b, x, c, d, result, index = (v[open_] for v in (a, b, x, c, d, result, index))
+            if not len(index):
+                return final
+    final[index] = result
+    return final
 
 
 def regularised_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -61,23 +74,30 @@ def regularised_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
 def beta_quantile(a, b, p: float) -> np.ndarray:
     """x with I_x(a, b) = p: Newton steps kept inside a shrinking bracket."""
     a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
+    final = np.empty_like(a)
+    index = np.arange(len(a))
     low, high = np.zeros_like(a), np.ones_like(a)
     x = a / (a + b)
     log_norm = _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b)
     for _ in range(200):
         error = regularised_beta(a, b, x) - p
         low, high = np.where(error < 0, x, low), np.where(error < 0, high, x)
-        density = np.exp(log_norm + (a - 1) * np.log(x) + (b - 1) * np.log1p(-x))
-        with np.errstate(divide="ignore", invalid="ignore"):
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            density = np.exp(log_norm + (a - 1) * np.log(x) + (b - 1) * np.log1p(-x))
             newton = x - error / density
-        middle = (low + high) / 2
         inside = np.isfinite(newton) & (newton > low) & (newton < high)
-        following = np.where(inside, newton, middle)
-        done = np.abs(following - x) <= 2e-16 * np.maximum(x, 1e-300)
+        following = np.where(inside, newton, (low + high) / 2)
+        open_ = (np.abs(following - x) > 4e-16 * x) & (high - low > 4e-16 * high)
+        # a Newton step this small gains nothing more than rounding noise
+        open_ &= ~(inside & (np.abs(following - x) < 1e-14 * x))
         x = following
-        if np.all(done | (high - low <= 1e-16 * high)):
-            break
-    return x
+        if not open_.all():
+            final[index[~open_]] = x[~open_]
+            a, b, x, low, high, log_norm, index = (v[open_] for v in (a, b, x, low, high, log_norm, index))
+            if not len(index):
+                return final
+    final[index] = x
+    return final
 
 
 def beta_quantile_column(a, b, p: float):

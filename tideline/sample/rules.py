@@ -132,7 +132,7 @@ def view_columns(d: Dialect) -> dict[str, tuple[str, dict[str, str]]]:
         "content_id": "doc_id",
         "resolved_id": "doc_id + 1000000",
         "scheduled_surface_id": choose(
-            "doc_id % 4", [fv.SURFACE_EN_US, fv.SURFACE_EN_US, fv.SURFACE_DE_DE, fv.SURFACE_DAILY_HITS]
+            f"(doc_id + {d.div('doc_id', '16')}) % 4", [fv.SURFACE_EN_US, fv.SURFACE_EN_US, fv.SURFACE_DE_DE, fv.SURFACE_DAILY_HITS]
         ),
         "is_collection": "doc_id % 5 = 0",
         "is_syndicated": "doc_id % 6 = 1",
