@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialized
+
 ROWS_PER_BUCKET = 1_000_000
 
 
@@ -23,23 +25,27 @@ def chunk_rows(
     A group of up to ``rows_per_bucket`` rows is one bucket and its chunks follow the
     order. A larger group is hashed by ``spread_by`` (columns that tell its rows
     apart) into as many buckets as it needs, so no task sorts a whole large group.
+    The rows are read twice, to count and to number them, so they are written first.
     """
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
-    buckets = sizes.select(
-        *[F.col(g).alias(f"_g_{g}") for g in group],
-        F.ceil(F.col("_rows") / F.lit(rows_per_bucket)).alias("_buckets"),
+    rows = materialized(df, "chunk-rows")
+    # At most (all rows / rows_per_bucket) groups are large: a list Spark can broadcast.
+    large = (
+        rows.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group])
+        .agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_bucket)).alias("_buckets"))
+        .filter(F.col("_buckets") > 1)
     )
     same = None
     for g in group:
         equal = F.col(g).eqNullSafe(F.col(f"_g_{g}"))
         same = equal if same is None else same & equal
-    spread = df.join(buckets, same, "inner").withColumn(
-        "bucket_no", F.pmod(F.xxhash64(*spread_by), F.col("_buckets"))
-    )
+    bucket = F.pmod(F.xxhash64(*spread_by), F.coalesce("_buckets", F.lit(1)))
+    spread = rows.join(large, same, "left").withColumn("bucket_no", bucket)
+    # Without this the window would run on the partitioning of the join, by group alone.
+    spread = spread.repartition(*group, "bucket_no")
     window = Window.partitionBy(*group, "bucket_no").orderBy(*order)
     numbered = spread.withColumn("row_no", F.row_number().over(window).cast("bigint"))
-    chunk = F.floor((F.col("row_no") - 1) / (F.lit(size) if isinstance(size, int) else size)).cast("bigint")
-    return numbered.withColumn("chunk_no", chunk).drop("_buckets", *[f"_g_{g}" for g in group])
+    chunk = F.floor((F.col("row_no") - 1) / (F.lit(size) if isinstance(size, int) else size))
+    return numbered.withColumn("chunk_no", chunk.cast("bigint")).drop("_buckets", *[f"_g_{g}" for g in group])
 
 
 def collect_chunks(df: DataFrame, group: Sequence[str], items: dict[str, Column]) -> DataFrame:

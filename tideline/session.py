@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings: safe to set on a session that already exists.
 RUNTIME_CONF = {
@@ -51,10 +51,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(spark, "checkpoints"))
-    return df.checkpoint(eager=True)
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For frames that are expensive and read more than once: later passes read only
+    the columns they need, and a lost executor repeats no earlier work.
+    """
+    folder = shared_dir(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
