@@ -132,7 +132,7 @@ def python_str(column, data_type: str) -> Column:
 def _plain_decimal(number: Column) -> Column:
     """Shortest decimal of a double without exponent, with at least one decimal place."""
     shortest = number.cast("string")
-    digits = F.rtrim(F.lit("0"), shortest.cast("decimal(38,20)").cast("string"))
+    digits = F.rtrim(shortest.cast("decimal(38,20)").cast("string"), F.lit("0"))
     padded = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
     return F.when(shortest.contains("E"), padded).otherwise(shortest)
 
@@ -143,4 +143,5 @@ def _python_exponent(number: Column) -> Column:
     mantissa = F.regexp_replace(F.split_part(text, F.lit("E"), F.lit(1)), r"\.0$", "")
     exponent = F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int")
     sign = F.when(exponent < 0, F.lit("-")).otherwise(F.lit("+"))
-    return F.concat(mantissa, F.lit("e"), sign, F.lpad(F.abs(exponent).cast("string"), 2, "0"))
+    filler = F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit(""))
+    return F.concat(mantissa, F.lit("e"), sign, filler, F.abs(exponent).cast("string"))
