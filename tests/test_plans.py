@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from tideline.functions import expr
 from tideline.functions import fixed_values as fv
 from tideline.functions.beta import beta_quantile, regularised_beta
+from tideline.operators.checks import corpus_item_violations, exactly_one_id, legacy_item_violations, require_none
 from tideline.plans import articles, candidates, engagement, feeds, revenue, score, telemetry_legacy, user_sync
 from tideline.plans.publisher import finish_features
 from tideline.session import shared_dir
 from tideline.sources import files, records
+from tideline.sources.tables import VersionedTable, chunked_csv
 
 ENGAGEMENT = (
     "updated_at string, key string, recommendation_surface_id string, corpus_slate_configuration_id string, "
@@ -124,6 +126,28 @@ def test_failed_rows_are_loaded_and_dead_lettered(frame):
     ]
 
 
+def test_ordered_table_grows_and_is_compacted(frame):
+    schema = "resolved_id bigint, html string, text string, text_md5 string, loaded_at timestamp"
+
+    def at(hour):
+        return datetime.datetime(2024, 1, 2, hour)
+
+    content = frame(schema, (2, "h", "t2", "m", at(1)), (1, "h", "t1", "m", at(2)), (2, "h", "t3", "m", at(3)),
+                    (3, "h", "old", "m", datetime.datetime(2023, 12, 1)))
+    empty = frame(schema + ", last_ordered timestamp")
+    first = articles.new_ordered_rows(content, empty, "2024-01-02 12:00:00")
+    assert [int(r["resolved_id"]) for r in first.coalesce(1).collect()] == [1, 2, 2]
+    assert articles.new_ordered_rows(content, first, "2024-01-02 12:00:00").isEmpty()
+    compact = articles.compact_ordered(first, "2024-01-02 12:00:00")
+    assert rows_of(compact, "text") == [("t1",), ("t3",)]
+    assert compact.filter("last_ordered IS NULL").isEmpty()
+
+
+def test_nothing_to_stage_is_an_error(spark):
+    with pytest.raises(ValueError, match="nothing to stage"):
+        chunked_csv(spark.range(0), shared_dir(spark, "csv"))
+
+
 def test_no_objects_is_an_error(spark):
     folder = shared_dir(spark, "no-objects")
     spark.createDataFrame([], "resolved_id string, article string").write.json(folder)
@@ -324,6 +348,24 @@ def test_revenue_pages(spark, frame):
     assert [str(r["day"]) for r in revenue.days_without_rows(days, revenue.revenue_rows(pages)).collect()] == ["2024-01-03"]
 
 
+def test_revenue_load_of_missing_days(spark, frame):
+    root = shared_dir(spark, "landed")
+    for day in ("2024-01-02", "2024-01-03"):
+        record = [{"NdrPrebid.record_date": day, "NdrPrebid.impressions": "5"}] * 3
+        frame("data array<map<string,string>>", (record,)).write.json(f"{root}/{day}")
+    table = VersionedTable(spark, shared_dir(spark, "revenue"))
+    bounds = ("2024-01-02 00:00:00", "2024-01-03 00:00:00")
+    for _ in range(2):  # nothing is missing the second time
+        loaded = revenue.load_missing_days(spark, table, lambda day: f"{root}/{day}", "2024-01-04 00:00:00", *bounds)
+        assert rows_of(loaded.groupBy("record_date").count(), "count") == [(3,), (3,)]
+    again = revenue.load_missing_days(spark, table, lambda day: f"{root}/{day}", "2024-01-04 00:00:00", *bounds, overwrite=True)
+    assert again.count() == 6 and table.versions()[-1] == 3
+    frame("data array<map<string,string>>", ([],)).write.json(f"{root}/2024-01-04")
+    with pytest.raises(ValueError, match="days without any record"):
+        revenue.load_missing_days(spark, table, lambda day: f"{root}/{day}", "2024-01-05 00:00:00", "2024-01-04 00:00:00")
+    assert table.read().count() == 6
+
+
 def test_feed_round_trip(spark, frame):
     rows = frame("tile_id int, source_id int, type string, created_at timestamp, updated_at timestamp", (1, 2, 'a|"b"\nc', None, None))
     folder = shared_dir(spark, "feed")
@@ -350,6 +392,21 @@ def test_click_spam_is_dropped_per_second(frame):
     assert rows_of(result, "tile_id", "position", "click_count") == [(2, 0, 2)]
 
 
+def test_exactly_one_identifier(frame):
+    ids = frame("e string, a string", ("x", None), (None, "y"), ("x", "y"), (None, None))
+    assert [r[0] for r in ids.select(exactly_one_id(F.col("e"), F.col("a"))).collect()] == [True, True, False, False]
+
+
+def test_violations_name_their_sets(frame):
+    items = frame("s string, id string, topic string, publisher string", ("a", "1", "t", "p"), ("b", "", "t", "p"), ("c", "1", None, "p"))
+    sets = frame("s string, min_item_count int", ("a", 1), ("b", 1), ("c", 1), ("d", 1), ("e", 0))
+    assert [r[0] for r in rows_of(corpus_item_violations(items, sets, "s"), "s")] == ["b", "c", "d"]
+    legacy = frame("s string, id bigint, publisher string", ("a", 1, "p"), ("b", 1, ""), ("c", None, "p"))
+    assert [r[0] for r in rows_of(legacy_item_violations(legacy, sets, "s"), "s")] == ["b", "c", "d", "e"]
+    with pytest.raises(ValueError, match="invalid"):
+        require_none(corpus_item_violations(items, sets, "s"), "invalid sets")
+
+
 def test_small_expressions(frame):
     df = frame("e string", ("a@b.c",), ("a@b",), ("",), (None,))
     assert [r[0] for r in df.select(expr.valid_email("e")).collect()] == [True, False, False, None]

@@ -15,9 +15,9 @@ def _col(c) -> Column:
 def feed_name(country, locale) -> Column:
     """Feed of a (country, locale) pair; null for pairs that have none."""
     country, locale = _col(country), _col(locale)
-    result = F.lit(None).cast("string")
-    for feed, countries, locales in reversed(fv.FEEDS):
-        result = F.when(country.isin(countries) & locale.isin(locales), feed).otherwise(result)
+    result = F
+    for feed, countries, locales in fv.FEEDS:
+        result = result.when(country.isin(countries) & locale.isin(locales), feed)
     return result
 
 

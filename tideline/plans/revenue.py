@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
+from ..operators.checks import require_none
 from ..operators.intervals import missing_days
 from ..operators.tables import key_replace
-from ..sources.files import page_records
+from ..session import materialized
+from ..sources.files import landed_pages, page_records
+from ..sources.tables import VersionedTable
 
 _NAMES = [name for name, _ in fv.REVENUE_COLUMNS]
 
@@ -34,3 +39,29 @@ def days_to_load(revenue: DataFrame, as_of, first=None, last=None, overwrite: bo
 def revenue_key_replace(revenue: DataFrame, batch: DataFrame) -> DataFrame:
     """The table with all days of the batch replaced by the batch."""
     return key_replace(revenue, batch, "record_date")
+
+
+def load_missing_days(
+    spark: SparkSession,
+    table: VersionedTable,
+    pages_of: Callable[[str], str],
+    as_of,
+    first=None,
+    last=None,
+    overwrite: bool = False,
+    archived: bool = False,
+) -> DataFrame:
+    """Load the days the table lacks from their landed pages and return the new table.
+
+    ``pages_of`` gives the folder of a day's pages. All days are read in one job; a day
+    without rows fails the load before the table changes.
+    """
+    schema = ", ".join(f"{name} {data_type}" for name, data_type in fv.REVENUE_COLUMNS)
+    revenue = table.ensure(schema)
+    days = days_to_load(revenue, as_of, first, last, overwrite)
+    folders = [pages_of(str(row["day"])) for row in days.collect()]  # a window of days
+    if not folders:
+        return revenue
+    batch = materialized(revenue_rows(landed_pages(spark, folders), archived), "revenue-batch")
+    require_none(days_without_rows(days, batch), "days without any record (archived data?)")
+    return table.write(revenue_key_replace(revenue, batch))

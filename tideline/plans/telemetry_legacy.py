@@ -32,8 +32,8 @@ def _deduplicated(prepared: DataFrame, tie_break) -> DataFrame:
     return latest.filter("_keep")
 
 
-def _legacy_feed() -> Column:
-    return feed_name("normalized_country_code", "locale")
+def _with_feed(pings: DataFrame) -> DataFrame:
+    return pings.withColumn("_feed", feed_name("normalized_country_code", "locale"))
 
 
 def _old_version() -> Column:
@@ -41,7 +41,7 @@ def _old_version() -> Column:
 
 
 def _released_in_feed() -> Column:
-    return (F.col("release_channel") == fv.RELEASE_CHANNEL) & _legacy_feed().isNotNull()
+    return (F.col("release_channel") == fv.RELEASE_CHANNEL) & F.col("_feed").isNotNull()
 
 
 def _valid_impression_ping() -> Column:
@@ -54,13 +54,18 @@ def _is_impression() -> Column:
 
 
 def _prepare(pings: DataFrame, keep: Column, tie_break, columns: dict[str, Column]) -> DataFrame:
-    keep = F.coalesce(keep, F.lit(False))
-    return pings.select(
+    """Key columns, the test ``keep`` as ``_keep``, and the given columns of qualifying pings.
+
+    The test has a projection of its own, so that it is evaluated once per row and
+    not once per column.
+    """
+    tested = pings.withColumn("_keep", F.coalesce(keep, F.lit(False)))
+    return tested.select(
         TS,
         "document_id",
         *([tie_break] if isinstance(tie_break, str) else tie_break),
-        keep.alias("_keep"),
-        *[F.when(keep, column).alias(name) for name, column in columns.items()],
+        "_keep",
+        *[F.when(F.col("_keep"), column).alias(name) for name, column in columns.items()],
     )
 
 
@@ -68,10 +73,10 @@ def daily_disable_rate_legacy(sessions: DataFrame, start, end, tie_break=()) ->
     """Clients per day and feed that opened the tab or had sections switched off."""
     keep = _released_in_feed() & _old_version() & starts_with_digit_1_to_9("version")
     prepared = _prepare(
-        sessions.filter(in_interval(TS, start, end)),
+        _with_feed(sessions.filter(in_interval(TS, start, end))),
         keep,
         tie_break,
-        {"feed_name": _legacy_feed(), "client_id": F.col("client_id"), "user_prefs": F.col("user_prefs")},
+        {"feed_name": F.col("_feed"), "client_id": F.col("client_id"), "user_prefs": F.col("user_prefs")},
     )
     section, sponsored = flag_on("user_prefs", fv.FLAG_SECTION), flag_on("user_prefs", fv.FLAG_SPONSORED)
     counted = distinct_flag_counts(
@@ -121,10 +126,10 @@ def _per_second_counts(pings: DataFrame, tie_break, keep: Column, dimensions: di
 
 def _unique_engagement(pings: DataFrame, spoc_tiles: DataFrame, period: Column, tie_break) -> DataFrame:
     counts = _per_second_counts(
-        pings,
+        _with_feed(pings),
         tie_break,
         _valid_impression_ping() & _released_in_feed(),
-        {"feed_name": _legacy_feed(), "user_prefs": F.col("user_prefs")},
+        {"feed_name": F.col("_feed"), "user_prefs": F.col("user_prefs")},
     )
     both_on = flag_on("user_prefs", fv.FLAG_SECTION) & flag_on("user_prefs", fv.FLAG_SPONSORED)
     sponsored = F.col("type") == fv.SPONSORED_TYPE
@@ -213,10 +218,10 @@ def daily_spoc_fill_rate_legacy(pings: DataFrame, spoc_tiles: DataFrame, start,
         & flag_on("user_prefs", fv.FLAG_SPONSORED)
     )
     prepared = _prepare(
-        pings.filter(in_interval(TS, start, end)),
+        _with_feed(pings.filter(in_interval(TS, start, end))),
         keep,
         tie_break,
-        {"tiles": F.col("tiles"), "feed_name": _legacy_feed()},
+        {"tiles": F.col("tiles"), "feed_name": F.col("_feed")},
     )
     tiles = explode_tiles(_deduplicated(prepared, tie_break).withColumnRenamed("_day", "happened_at"))
     per_tile = (

@@ -23,8 +23,8 @@ _SECTION = f"metrics.boolean.{fv.NESTED_SECTION_FLAG}"
 _SPONSORED = f"metrics.boolean.{fv.NESTED_SPONSORED_FLAG}"
 
 
-def _feed() -> Column:
-    return feed_name("normalized_country_code", _LOCALE)
+def _with_feed(pings: DataFrame) -> DataFrame:
+    return pings.withColumn("_feed", feed_name("normalized_country_code", _LOCALE))
 
 
 def _new_version() -> Column:
@@ -32,7 +32,7 @@ def _new_version() -> Column:
 
 
 def _released_in_feed() -> Column:
-    return (F.col("normalized_channel") == fv.RELEASE_CHANNEL) & _feed().isNotNull()
+    return (F.col("normalized_channel") == fv.RELEASE_CHANNEL) & F.col("_feed").isNotNull()
 
 
 def _identified(events: Column) -> Column:
@@ -46,14 +46,15 @@ def _events(names: list[str], *fields: str) -> Column:
 
 
 def _latest_pings(pings: DataFrame, keep: Column, tie_break, columns: dict[str, Column]) -> DataFrame:
-    keep = F.coalesce(keep, F.lit(False))
-    prepared = pings.select(
+    """Latest ping per (day, document) that passes ``keep``, reduced to the given columns."""
+    tested = pings.withColumn("_keep", F.coalesce(keep, F.lit(False)))
+    prepared = tested.select(
         TS,
         "document_id",
         *([tie_break] if isinstance(tie_break, str) else tie_break),
         F.to_date(TS).alias("happened_at"),
-        keep.alias("_keep"),
-        *[F.when(keep, column).alias(name) for name, column in columns.items()],
+        "_keep",
+        *[F.when(F.col("_keep"), column).alias(name) for name, column in columns.items()],
     )
     return latest_per_key(prepared, ["happened_at", "document_id"], TS, tie_break).filter("_keep")
 
@@ -64,11 +65,11 @@ def daily_disable_rate_nested(pings: DataFrame, start, end, tie_break=()) -> Dat
     An unknown switch counts neither as off nor as eligible.
     """
     latest = _latest_pings(
-        pings.filter(in_interval(TS, start, end)),
+        _with_feed(pings.filter(in_interval(TS, start, end))),
         _released_in_feed() & _new_version(),
         tie_break,
         {
-            "feed_name": _feed(),
+            "feed_name": F.col("_feed"),
             "client_id": F.col("client_info.client_id"),
             "section": F.col(_SECTION),
             "sponsored": F.col(_SPONSORED),
@@ -91,11 +92,11 @@ def daily_disable_rate_nested(pings: DataFrame, start, end, tie_break=()) -> Dat
 def daily_unique_engagement_nested(pings: DataFrame, start, end, tie_break=()) -> DataFrame:
     """Clients per day and feed that viewed or clicked; no click-spam filter applies here."""
     latest = _latest_pings(
-        pings.filter(in_interval(TS, start, end)),
+        _with_feed(pings.filter(in_interval(TS, start, end))),
         _released_in_feed() & _new_version(),
         tie_break,
         {
-            "feed_name": _feed(),
+            "feed_name": F.col("_feed"),
             "client_id": F.col("client_info.client_id"),
             "both_on": F.col(_SECTION) & F.col(_SPONSORED),
             "wanted": _events(["impression", "click"], "is_sponsored"),
@@ -124,10 +125,10 @@ def daily_unique_engagement_nested(pings: DataFrame, start, end, tie_break=()) -
 def daily_spoc_fill_rate_nested(pings: DataFrame, start, end, tie_break=()) -> DataFrame:
     """Sponsored share of impressions by position, against the total of its day and feed."""
     latest = _latest_pings(
-        pings.filter(in_interval(TS, start, end)),
+        _with_feed(pings.filter(in_interval(TS, start, end))),
         _released_in_feed() & _new_version() & F.col(_SECTION) & F.col(_SPONSORED),
         tie_break,
-        {"feed_name": _feed(), "wanted": _events(["impression"], "position", "is_sponsored")},
+        {"feed_name": F.col("_feed"), "wanted": _events(["impression"], "position", "is_sponsored")},
     )
     events = explode_structs(latest.select("happened_at", "feed_name", "wanted"), "wanted")
     counts = (

@@ -108,7 +108,7 @@ def page_records(pages: DataFrame, columns: Sequence[str], archived: bool = Fals
     return rows.select(*[F.element_at(record, F.lit(f"{prefix}.{c}")).alias(c) for c in columns])
 
 
-def landed_pages(spark: SparkSession, path: str) -> DataFrame:
+def landed_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema("data ARRAY<MAP<STRING, STRING>>").option("multiLine", "true").json(path)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
+from ..operators.checks import require_rows
 from ..operators.intervals import folder_names
 
 
@@ -34,12 +35,14 @@ def pipe_export(df: DataFrame, path: str) -> None:
         .option("quote", "\"")
         .option("escape", "\"")
         .option("emptyValue", "")
+        .option("maxRecordsPerFile", 1_000_000)
         .csv(path)
     )
 
 
 def chunked_csv(df: DataFrame, path: str, rows_per_file: int = fv.ROWS_PER_FILE) -> None:
-    """Gzip CSV files with header, of at most ``rows_per_file`` rows."""
+    """Gzip CSV files with header, of at most ``rows_per_file`` rows; no rows is an error."""
+    require_rows(df, "nothing to stage")
     (
         df.write.mode("overwrite")
         .option("header", "true")
