@@ -19,18 +19,23 @@ def chunk_rows(
     order: Sequence[Column],
     spread_by: Sequence[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Adds ``bucket_no``, ``row_no`` and ``chunk_no``; a (group, bucket, chunk) has at most ``size`` rows.
 
     A group of up to ``rows_per_bucket`` rows is one bucket and its chunks follow the
     order. A larger group is hashed by ``spread_by`` (columns that tell its rows
     apart) into as many buckets as it needs, so no task sorts a whole large group.
-    The rows are read twice, to count and to number them, so they are written first.
+
+    The rows are read twice, to count and to number them. ``counted`` gives the group
+    columns of the same rows where those are cheaper to get; otherwise the rows are
+    written first.
     """
-    rows = materialized(df, "chunk-rows")
+    rows = materialized(df, "chunk-rows") if counted is None else df
+    counted = rows if counted is None else counted
     # At most (all rows / rows_per_bucket) groups are large: a list Spark can broadcast.
     large = (
-        rows.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group])
+        counted.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group])
         .agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_bucket)).alias("_buckets"))
         .filter(F.col("_buckets") > 1)
     )

@@ -2,7 +2,8 @@
 
 All helpers filter a row number directly above its window, so Spark plans a
 group limit in front of the shuffle: a map task sends at most ``n`` rows of a
-group, whatever share of the rows the group holds.
+group, whatever share of the rows the group holds. Name the key with the most values
+first: the sorts compare its first bytes before anything else.
 """
 
 from __future__ import annotations

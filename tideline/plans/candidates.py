@@ -30,7 +30,7 @@ _SET_SCHEMA = {
     "recommended_by_recency": "candidate_set_id string, scheduled_surface_id string, n_per_topic int",
 }
 _OUTPUT = ["candidate_set_id", "id", "topic", "publisher", "recency"]
-_SET_AND_ID = ["candidate_set_id", "id"]
+_ID_AND_SET = ["id", "candidate_set_id"]
 _TIES = ["topic", "publisher"]
 
 
@@ -95,7 +95,7 @@ def collections_by_recency(approved: DataFrame, scheduled: DataFrame, as_of, set
         "recency", F.coalesce("scheduled_at", "recency")
     )
     recent = dated.filter(F.col("recency").between(_days_ago(as_of, -F.col("max_age_days")), now))
-    return latest_per_key(recent, _SET_AND_ID, "recency", _TIES).select(*_OUTPUT)
+    return latest_per_key(recent, _ID_AND_SET, "recency", _TIES).select(*_OUTPUT)
 
 
 def life_hacks(
@@ -109,7 +109,7 @@ def life_hacks(
     in_sets = items.join(params, "scheduled_surface_id", "inner").filter(
         F.col("recency") >= today - F.make_dt_interval("max_age_days")
     )
-    return latest_per_key(in_sets, _SET_AND_ID, "recency", _TIES).select(*_OUTPUT)
+    return latest_per_key(in_sets, _ID_AND_SET, "recency", _TIES).select(*_OUTPUT)
 
 
 def daily_hits(scheduled: DataFrame, as_of, sets=None) -> DataFrame:
@@ -122,7 +122,7 @@ def daily_hits(scheduled: DataFrame, as_of, sets=None) -> DataFrame:
     in_sets = items.select(
         *_item_columns("scheduled_corpus_item_scheduled_at"), "scheduled_surface_id"
     ).join(params, "scheduled_surface_id", "inner")
-    latest = latest_per_key(in_sets, _SET_AND_ID, "recency", _TIES)
+    latest = latest_per_key(in_sets, _ID_AND_SET, "recency", _TIES)
     newest = [F.desc("recency"), F.asc("id")]
     return top_n_per_group(latest, "candidate_set_id", newest, fv.DAILY_HITS_COUNT).select(*_OUTPUT)
 
@@ -137,7 +137,7 @@ def scheduled_items(scheduled: DataFrame, as_of, sets=None) -> DataFrame:
         .join(params, "scheduled_surface_id", "inner")
         .filter(F.col("recency").between(today - F.make_dt_interval(-F.col("max_age_days")), today))
     )
-    return latest_per_key(in_sets, _SET_AND_ID, "recency", _TIES).select(*_OUTPUT)
+    return latest_per_key(in_sets, _ID_AND_SET, "recency", _TIES).select(*_OUTPUT)
 
 
 def recommended_by_recency(approved: DataFrame, scheduled: DataFrame, as_of, sets=None) -> DataFrame:
@@ -155,7 +155,7 @@ def recommended_by_recency(approved: DataFrame, scheduled: DataFrame, as_of, set
     past = _manually_scheduled_items(scheduled).filter(F.col("recency") < as_timestamp(as_of))
     items = concat_frames(past, _reviewed_items(approved).filter(_not_excluded()))
     in_sets = items.join(params, "scheduled_surface_id", "inner")
-    latest = latest_per_key(in_sets, _SET_AND_ID, "recency", _TIES, nulls_first=True)
+    latest = latest_per_key(in_sets, _ID_AND_SET, "recency", _TIES, nulls_first=True)
     newest = [F.desc_nulls_first("recency"), F.asc("id")]
     ranked = top_n_per_group(latest, ["candidate_set_id", "topic"], newest, most)
     if sets is not None and len({p["n_per_topic"] for p in sets}) > 1:
@@ -179,7 +179,7 @@ def topic_items(approved: DataFrame, scheduled: DataFrame, as_of, sets: DataFram
     ).filter(_not_excluded())
     params = sets.select("candidate_set_id", "topic", "scheduled_surface_id")
     in_sets = items.join(params, ["topic", "scheduled_surface_id"], "inner")
-    return latest_per_key(in_sets, _SET_AND_ID, "recency", _TIES).select(*_OUTPUT)
+    return latest_per_key(in_sets, _ID_AND_SET, "recency", _TIES).select(*_OUTPUT)
 
 
 def topic_sets(topics: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def choose_source(live: DataFrame, stable: DataFrame, for_backfill: bool) -> Dat
 def _deduplicated(prepared: DataFrame, tie_break) -> DataFrame:
     """Latest row per (day, document); ``_keep`` marks rows that qualify."""
     with_day = prepared.withColumn("_day", F.to_date(TS))
-    latest = latest_per_key(with_day, ["_day", "document_id"], TS, tie_break)
+    latest = latest_per_key(with_day, ["document_id", "_day"], TS, tie_break)
     return latest.filter("_keep")
 
 

@@ -56,7 +56,7 @@ def _latest_pings(pings: DataFrame, keep: Column, tie_break, columns: dict[str,
         "_keep",
         *[F.when(F.col("_keep"), column).alias(name) for name, column in columns.items()],
     )
-    return latest_per_key(prepared, ["happened_at", "document_id"], TS, tie_break).filter("_keep")
+    return latest_per_key(prepared, ["document_id", "happened_at"], TS, tie_break).filter("_keep")
 
 
 def daily_disable_rate_nested(pings: DataFrame, start, end, tie_break=()) -> DataFrame:

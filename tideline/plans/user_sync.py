@@ -113,51 +113,66 @@ def _subscription_group(environment: str) -> Column:
     return F.coalesce(known, F.raise_error(F.concat(F.lit("unknown subscription group: "), name)).cast("string"))
 
 
+def _wanted() -> dict[str, Column]:
+    """Which items a change gives."""
+    return {
+        "alias": F.col("has_email"),
+        "identify": F.col("has_email"),
+        "subscribe": F.col(_SUBSCRIPTION) != "",
+        "track": F.lit(True),
+        "delete": F.col("user_event_trigger") == fv.DELETE_TRIGGER,
+    }
+
+
+def _inline_items(deltas: DataFrame, environment: str, parts: dict[str, tuple[Column, Column]] | None) -> DataFrame:
+    """One row per item: step, endpoint, group and, where given, its JSON parts."""
+
+    def item(kind: str, wanted: Column) -> Column:
+        step, endpoint = _STEPS[kind]
+        fields = [
+            F.lit(step).alias("step"),
+            F.lit(endpoint).alias("endpoint"),
+            (_subscription_group(environment) if kind == "subscribe" else F.lit("")).alias("subscription_group_id"),
+        ]
+        if parts:
+            main, extra = parts[kind]
+            fields += [main.alias("main"), extra.alias("extra")]
+        return F.when(F.coalesce(wanted, F.lit(False)), F.struct(*fields))
+
+    items = F.array_compact(F.array(*[item(kind, wanted) for kind, wanted in _wanted().items()]))
+    kept = ["event_id", "loaded_at"] if parts else []
+    return deltas.select(*kept, F.inline(items))
+
+
+def _json_string(column: Column, wanted: Column) -> Column:
+    """A text as JSON string, quotes and escapes included."""
+    listed = F.to_json(F.array(column))
+    return F.when(wanted, F.substring(listed, F.lit(2), F.length(listed) - 2))
+
+
 def delta_items(deltas: DataFrame, environment: str = "production") -> DataFrame:
     """One row per item to send: its step, endpoint, group and JSON parts.
 
     ``main`` and ``extra`` are the parts of the two arrays of a request; a null part
     is left out of its array.
     """
-    has_email = F.coalesce(F.col("has_email"), F.lit(False))
-    subscribes = F.coalesce(F.col(_SUBSCRIPTION) != "", F.lit(False))
-    deletes = F.coalesce(F.col("user_event_trigger") == fv.DELETE_TRIGGER, F.lit(False))
     label = F.lit(fv.ALIAS_LABEL).alias("alias_label")
-    external_id = F.col("external_id")
-    quoted_id = F.to_json(F.array(external_id))
-    id_text = F.when(external_id.isNotNull(), F.substring(quoted_id, F.lit(2), F.length(quoted_id) - 2))
-    quoted_email = F.to_json(F.array("email"))
-    email_text = F.when(
-        external_id.isNull() & valid_email("email"),
-        F.substring(quoted_email, F.lit(2), F.length(quoted_email) - 2),
-    )
+    external_id, email = F.col("external_id"), F.col("email")
+    nothing = F.lit(None).cast("string")
     alias_json = F.to_json(F.struct(label, _alias_name().alias("alias_name"), external_id))
     identify_json = F.to_json(
         F.struct(external_id, F.struct(label, _alias_name().alias("alias_name")).alias("user_alias"))
     )
-
-    def item(kind: str, wanted: Column, group: Column, main: Column, extra: Column) -> Column:
-        step, endpoint = _STEPS[kind]
-        parts = F.struct(
-            F.lit(step).alias("step"),
-            F.lit(endpoint).alias("endpoint"),
-            group.alias("subscription_group_id"),
-            main.alias("main"),
-            extra.alias("extra"),
-        )
-        return F.when(wanted, parts)
-
-    no_group, nothing = F.lit(""), F.lit(None).cast("string")
-    items = F.array_compact(
-        F.array(
-            item("alias", has_email, no_group, alias_json, nothing),
-            item("identify", has_email, no_group, identify_json, nothing),
-            item("subscribe", subscribes, _subscription_group(environment), id_text, email_text),
-            item("track", F.lit(True), no_group, attributes_json(), event_json()),
-            item("delete", deletes, no_group, id_text, nothing),
-        )
-    )
-    return deltas.select("event_id", "loaded_at", F.inline(items))
+    id_text = _json_string(external_id, external_id.isNotNull())
+    email_text = _json_string(email, external_id.isNull() & valid_email(email))
+    parts = {
+        "alias": (alias_json, nothing),
+        "identify": (identify_json, nothing),
+        "subscribe": (id_text, email_text),
+        "track": (attributes_json(), event_json()),
+        "delete": (id_text, nothing),
+    }
+    return _inline_items(deltas, environment, parts)
 
 
 def user_delta_payloads(deltas: DataFrame, environment: str = "production") -> DataFrame:
@@ -165,7 +180,8 @@ def user_delta_payloads(deltas: DataFrame, environment: str = "production") -> D
     items = delta_items(deltas, environment)
     limit = F.when(F.col("step") == _STEPS["track"][0], fv.TRACK_LIMIT).otherwise(fv.OTHER_LIMIT)
     order = [F.asc("loaded_at"), F.asc("event_id")]
-    chunked = chunk_rows(items, limit, _GROUP, order, ["event_id"])
+    counted = _inline_items(deltas, environment, None)
+    chunked = chunk_rows(items, limit, _GROUP, order, ["event_id"], counted=counted)
     rows = collect_chunks(chunked, _GROUP, {"main": F.col("main"), "extra": F.col("extra")})
 
     def listed(column: str) -> Column:
