@@ -143,3 +143,14 @@ def test_failing_sub_job_ends_the_run(spark, events):
     job.sub_jobs = [Job("sub", broken, incremental=False)]
     with pytest.raises(RuntimeError, match="broken"):
         run_incremental(spark, job, shared_dir(spark, "broken"), "2024-01-05 06:00:00")
+
+
+def test_sub_jobs_share_the_offset_table(spark, events):
+    root = shared_dir(spark, "subs")
+    job = Job("parent", lambda start, end: events.limit(0), incremental=False)
+    job.sub_jobs = [_job(spark, events, initial_offset="2024-01-03 23:59:59.999999") for _ in range(3)]
+    for i, sub in enumerate(job.sub_jobs):
+        sub.name = f"sub{i}"
+    outcomes = run_incremental(spark, job, root, "2024-01-05 06:00:00")
+    assert [o for _, o in outcomes] == ["loaded"] * 4
+    assert all(stored_offset(spark, root, f"sub{i}").startswith("2024-01-04 08") for i in range(3))

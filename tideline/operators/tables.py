@@ -49,6 +49,18 @@ def full_refresh(batch: DataFrame, columns: Sequence[str], loaded_at, loaded_at_
     return batch.select(*texts, as_timestamp(loaded_at).alias(loaded_at_col))
 
 
+def _joinable(key: Column, row_columns: Iterable[str], side: str = "target") -> Column:
+    """The key as text; null keys get texts the other side does not hold, spread over
+    many partitions so that a large share of null keys is no hot partition."""
+    bucket = F.pmod(F.xxhash64(*row_columns), F.lit(NULL_KEY_BUCKETS)).cast("string")
+    return F.coalesce(key.cast("string"), F.concat(F.lit(f"\u0000{side}-"), bucket))
+
+
+def _with_join_keys(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
+    names = list(df.columns)
+    return df.withColumns({f"_key_{i}": _joinable(F.col(key), names, side) for i, key in enumerate(keys)})
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -61,11 +73,11 @@ def upsert(
     ``insert_only_cols`` are set for new rows and kept for old ones. The batch must
     hold a key once.
     """
-    old = target.withColumn("_in_target", F.lit(True)).alias("t")
-    new = batch.withColumn("_in_batch", F.lit(True)).alias("b")
+    old = _with_join_keys(target, keys, "target").withColumn("_in_target", F.lit(True)).alias("t")
+    new = _with_join_keys(batch, keys, "batch").withColumn("_in_batch", F.lit(True)).alias("b")
     condition = None
-    for key in keys:
-        equal = F.col(f"t.{key}") == F.col(f"b.{key}")
+    for i in range(len(keys)):
+        equal = F.col(f"t._key_{i}") == F.col(f"b._key_{i}")
         condition = equal if condition is None else condition & equal
     joined = old.join(new, condition, "full_outer")
     in_target, in_batch = F.col("t._in_target").isNotNull(), F.col("b._in_batch").isNotNull()
@@ -83,13 +95,6 @@ def upsert(
     return joined.select(*[result(c) for c in target.columns])
 
 
-def _joinable(key: Column, row_columns: Iterable[str]) -> Column:
-    """The key as text; null keys get texts no key list holds, spread over many
-    partitions so that a large share of null keys is no hot partition."""
-    bucket = F.pmod(F.xxhash64(*row_columns), F.lit(NULL_KEY_BUCKETS)).cast("string")
-    return F.coalesce(key.cast("string"), F.concat(F.lit("\u0000null-"), bucket))
-
-
 def purge(
     target: DataFrame,
     keys: DataFrame,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -15,6 +17,10 @@ from ..operators.tables import last_offset, range_replace, upsert_offset
 from ..sources.files import typed_load
 from ..sources.tables import VersionedTable, remove_folder, staged_export, subfolders
 
+CONCURRENT_SUB_JOBS = 10
+# jobs of one run share the offset table, which is read, changed and written as a whole
+_STATE_LOCK = threading.Lock()
+
 
 @dataclass
 class Job:
@@ -48,7 +54,8 @@ def _offset_state(spark: SparkSession, root: str) -> VersionedTable:
 
 
 def stored_offset(spark: SparkSession, root: str, name: str, default=None) -> str | None:
-    return last_offset(_offset_state(spark, root).read(), name, default).first()["last_offset"]
+    with _STATE_LOCK:
+        return last_offset(_offset_state(spark, root).read(), name, default).first()["last_offset"]
 
 
 def _staged_paths(spark: SparkSession, stage: str, day: str) -> list[tuple[str]]:
@@ -88,20 +95,24 @@ def _run_interval(spark: SparkSession, job: Job, root: str, interval: Row, as_of
         current = table.ensure(batch.schema)
         table.write(range_replace(current, batch, job.merge_key, job.required))
     if job.incremental and job.external_state:
-        state = _offset_state(spark, root)
         # written last: a run that dies before this repeats the interval
-        state.write(upsert_offset(state.read(), job.name, str(offset), as_of))
+        with _STATE_LOCK:
+            state = _offset_state(spark, root)
+            state.write(upsert_offset(state.read(), job.name, str(offset), as_of))
     return "loaded"
 
 
 def run_incremental(spark: SparkSession, job: Job, root: str, as_of) -> list[tuple[str, str]]:
     """Run the sub-jobs, then the job itself; returns (job and start, outcome) pairs.
 
-    Unlike a gather that swallows errors, the first failing job ends the run.
+    Sub-jobs run side by side, so that small ones share the cluster. A failing sub-job
+    ends the run once the others have finished.
     """
     outcomes: list[tuple[str, str]] = []
-    for sub in job.sub_jobs:
-        outcomes += run_incremental(spark, sub, root, as_of)
+    if job.sub_jobs:
+        with ThreadPoolExecutor(CONCURRENT_SUB_JOBS) as pool:
+            for result in pool.map(lambda sub: run_incremental(spark, sub, root, as_of), job.sub_jobs):
+                outcomes += result
     if job.incremental:
         offset = job.override_offset
         if offset is None and job.external_state:
