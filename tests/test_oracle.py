@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from conftest import SF_DIR, plan_of
 
 from tideline.sample import catalog, oracle
 
@@ -36,6 +36,8 @@ def _sorted(rows, names, wanted):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     found = df.collect()
     assert found, "a query without rows checks nothing"
     if name not in ORACLE:

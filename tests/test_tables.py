@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tideline.operators import chunks, latest, tables
-from tideline.session import shared_dir
+from tideline.session import configure, shared_dir
 from tideline.sources import tables as table_io
 
 
@@ -151,3 +151,17 @@ def test_replace_days_twice_is_the_same(spark, frame):
         assert rows_of(found, "day", "v") == [("2024-01-01", 1), ("2024-01-02", 20)]
     table_io.replace_days(spark, batch.limit(0), folder, "day", open_ended=True)
     assert spark.read.parquet(folder).count() == 2
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    before = {k: spark.conf.get(k, None) for k in (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )}
+    try:
+        configure(spark, input_bytes=10 * 1024**4)
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == str(10 * 8192)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
@@ -159,8 +159,6 @@ def recommended_by_recency(approved: DataFrame, scheduled: DataFrame, as_of, set
     newest = [F.desc_nulls_first("recency"), F.asc("id")]
     ranked = top_n_per_group(latest, ["candidate_set_id", "topic"], newest, most)
     if sets is not None and len({p["n_per_topic"] for p in sets}) > 1:
-        from pyspark.sql import Window
-
         rank = F.row_number().over(Window.partitionBy("candidate_set_id", "topic").orderBy(*newest))
         ranked = ranked.withColumn("_n", rank).filter(F.col("_n") <= F.col("n_per_topic"))
     return ranked.select(*_OUTPUT)

@@ -843,3 +843,17 @@ def stream_change_feed(v):
     query.awaitTermination()
     rows = v.spark.read.parquet(out)
     return rows.select("step", "endpoint", "subscription_group_id", "chunk_no", "row_count")
+
+
+@_query
+def stream_articles(v):
+    """Pages as gzip objects through the article stream: content rows of all micro-batches."""
+    drop, out, failures, checkpoint = (shared_dir(v.spark, n) for n in ("drop", "content", "failures", "articles"))
+    pages = v.table("pages").select(F.col("page_id").cast("string").alias("resolved_id"), F.col("html").alias("article"))
+    pages.repartition(8, "resolved_id").write.option("compression", "gzip").json(drop)
+    query = streams.article_stream(
+        v.spark, drop, out, failures, checkpoint, "run-1", AS_OF, files_per_trigger=4, clean_source=False
+    )
+    query.awaitTermination()
+    rows = v.spark.read.parquet(f"{out}/rows")
+    return rows.select("resolved_id", F.md5("html").alias("html_md5"), F.col("text").isNotNull().alias("has_text"), "loaded_at")

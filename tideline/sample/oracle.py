@@ -878,6 +878,8 @@ def _operators() -> dict[str, str]:
                        CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS clicks
                 FROM events GROUP BY 1, 2)
             WHERE clicks < 3 AND second + INTERVAL 1 SECOND <= (SELECT max(ts) FROM events)""",
+        "stream_articles": f"""
+            SELECT page_id AS resolved_id, md5(html) AS html_md5, TRUE AS has_text, '{AS_OF}.000000' AS loaded_at FROM pages""",
         "stream_deduplicated": "SELECT DISTINCT user_id, event_type FROM events",
     }
 

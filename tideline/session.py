@@ -17,10 +17,23 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session."""
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to a session.
+
+    ``input_bytes``, the size of what a job reads, sets how many shuffle partitions
+    AQE starts from: enough that one fits into a task's memory even if nothing is
+    filtered. AQE merges the small ones, up to the same size.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if input_bytes is not None:
+        start = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // SHUFFLE_PARTITION_BYTES))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(SHUFFLE_PARTITION_BYTES))
     return spark
 
 
