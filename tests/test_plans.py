@@ -392,6 +392,46 @@ def test_click_spam_is_dropped_per_second(frame):
     assert rows_of(result, "tile_id", "position", "click_count") == [(2, 0, 2)]
 
 
+def test_a_look_back_over_two_months_gives_two_rows(frame):
+    schema = (
+        "submission_timestamp timestamp, document_id string, impression_id string, loaded int, version string, "
+        f"click int, block int, {fv.LEGACY_SAVE_COLUMN} int, release_channel string, normalized_country_code string, "
+        "locale string, user_prefs int, tiles array<struct<id:bigint,pos:int>>"
+    )
+
+    def ping(document, month, day, **changes):
+        row = dict(loaded=None, version="100.0", click=None, block=None, save=None, channel="release", prefs=36) | changes
+        return (datetime.datetime(2024, month, day), document, f"client-{document[0]}", row["loaded"], row["version"], row["click"],
+                row["block"], row["save"], row["channel"], "US", "en-US", row["prefs"], [(1, None)])
+
+    pings = frame(
+        schema, ping("a1", 2, 3), ping("a2", 2, 20), ping("b1", 3, 2), ping("a3", 3, 2, click=1), ping("c1", 1, 31),
+        ping("d1", 3, 3, loaded=1), ping("e1", 3, 3, version="121.0"), ping("f1", 3, 3, channel="beta"),
+    )
+    spocs = frame("tile_id bigint, type string", (1, "spoc"), (1, "spoc"))
+    result = telemetry_legacy.monthly_unique_engagement_legacy(pings, spocs, "2024-03-03 00:00:00", "2024-03-04 00:00:00")
+    assert [tuple(str(value) for value in row) for row in result.collect()] == [
+        ("2024-02-01", "NEW_TAB_EN_US", "1", "0", "1", "1", "0", "2024-03-03"),
+        ("2024-03-01", "NEW_TAB_EN_US", "1", "1", "1", "1", "1", "2024-03-03"),
+    ]
+
+
+def test_tiles_listed_twice_count_twice_but_not_in_the_day_total(frame):
+    schema = (
+        "submission_timestamp timestamp, document_id string, impression_id string, loaded int, version string, "
+        f"click int, block int, {fv.LEGACY_SAVE_COLUMN} int, release_channel string, normalized_country_code string, "
+        "locale string, user_prefs int, tiles array<struct<id:bigint,pos:int>>"
+    )
+    moment = datetime.datetime(2024, 1, 2)
+    rows = [(moment, d, "c", None, "100.0", None, None, None, "release", country, locale, 36, [(9, 0), (1, 1)])
+            for d, country, locale in (("x", "US", "en-US"), ("y", "DE", "de"))]
+    spocs = frame("tile_id bigint, type string", (1, "spoc"), (1, "spoc"), (9, "other"), (9, "other"))
+    bounds = ("2024-01-02 00:00:00", "2024-01-03 00:00:00")
+    result = telemetry_legacy.daily_spoc_fill_rate_legacy(frame(schema, *rows), spocs, *bounds)
+    counts = ("new_tab_impression_count", "position_total_impression_count", "position_spoc_impression_count")
+    assert rows_of(result, "feed_name", "position", *counts) == [("NEW_TAB_DE_DE", 1, 2, 2, 2), ("NEW_TAB_EN_US", 1, 2, 2, 2)]
+
+
 def test_exactly_one_identifier(frame):
     ids = frame("e string, a string", ("x", None), (None, "y"), ("x", "y"), (None, None))
     assert [r[0] for r in ids.select(exactly_one_id(F.col("e"), F.col("a"))).collect()] == [True, True, False, False]
