@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bagminhash, curriculum, language, packing, repetition, resampling, suffixes, token_counts, token_files
+from . import bagminhash, curriculum, language, neighbours, packing, repetition, resampling, suffixes, token_counts, token_files
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -20,6 +21,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE))
 
@@ -62,6 +67,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_nearest_neighbours": op1_nearest_neighbours,
         "op2_token_counts": op2_token_counts,
         "op3_token_files": op3_token_files,
         "op4_resampling": op4_resampling,

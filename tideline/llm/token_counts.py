@@ -81,7 +81,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     spark = docs.sparkSession
     frequent = frequent_pieces(docs, path, text)
     splitter = tokens.Splitter(path)
-    lengths = np.array([len(splitter.ids(p)) for p in frequent], dtype=np.uint8)
+    lengths = np.array([len(splitter.piece_ids(p)) for p in frequent], dtype=np.uint8)
     key = uuid.uuid4().hex
     shared = spark.sparkContext.broadcast(("\x00".join(frequent).encode(), lengths.tobytes()))
 

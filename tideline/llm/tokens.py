@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import unicodedata
 from collections.abc import Callable
 from functools import cache
@@ -20,8 +21,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Longer pre-tokens are encoded each time, not kept.
 KEPT_LENGTH = 64
-#: Pre-tokens a worker keeps; a full cache starts anew from the frequent ones.
-KEPT_PIECES = 600_000
+#: Pre-tokens in one of the two generations a worker keeps.
+KEPT_PIECES = 1_000_000
 
 
 def _class(kind: str, end: int) -> str:
@@ -52,6 +53,16 @@ def _word_level() -> tuple[re.Pattern, re.Pattern]:
     return re.compile(piece), re.compile(r"[^\u0000-\u02ff\u2010-\u2027\u2030-\u205e]")
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level files: visible Latin ones stand for themselves."""
+    visible = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: b for b in visible} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_LETTERS = _byte_letters()
+
+
 class Splitter:
     """Cuts texts into the pre-tokens of a tokenizer file, where that can be done outside the library."""
 
@@ -59,6 +70,7 @@ class Splitter:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             form = json.load(file)
         self.special = [t["content"] for t in form["added_tokens"]]
@@ -79,21 +91,34 @@ class Splitter:
             return None
         return self.piece.findall(text.lower() if self.lower else text)
 
+    def piece_ids(self, piece: str) -> list[int]:
+        """Ids of one pre-token: only the merges are left to do."""
+        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))]
+
     def ids(self, text: str) -> list[int]:
+        """Ids of any text."""
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
 
 class PieceCache(dict):
-    """Value of each pre-token: frequent ones for good, others until the cache is full."""
+    """Value of each pre-token: frequent ones for good, others for two generations.
+
+    A full generation becomes the old one, and what is met again moves to the new one, so
+    a large vocabulary drops what it has not met for long instead of all at once.
+    """
 
     def __init__(self, splitter: Splitter, value: Callable, frequent: dict):
         super().__init__(frequent)
         self.splitter, self.value, self.frequent = splitter, value, frequent
+        self.old: dict = {}
 
     def __missing__(self, piece: str):
-        found = self.value(self.splitter.ids(piece))
+        found = self.old.get(piece)
+        if found is None:
+            found = self.value(self.splitter.piece_ids(piece))
         if len(piece) <= KEPT_LENGTH:
             if len(self) >= KEPT_PIECES + len(self.frequent):
+                self.old = dict(self)
                 self.clear()
                 self.update(self.frequent)
             self[piece] = found
@@ -105,9 +130,7 @@ _WORKER: dict = {}
 
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    import numpy as np
-
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def splitter(path: str) -> Splitter:
