@@ -274,6 +274,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return grouped.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def deduplicated(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, less those that :func:`near_duplicates` does not keep.
+
+    Of rows that share both id and text one stays; rows with a null id all stay.
+    """
+    found = near_duplicates(docs)
+    dropped = found.filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    rest = docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    if not _repeats(docs):
+        return rest
+    named = rest.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    return named.union(rest.filter("doc_id is null"))
+
+
 def _repeats(marked: DataFrame) -> bool:
     """Whether ids occur more than once."""
     return not marked.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty()

@@ -117,34 +117,45 @@ def _measures(text: str) -> tuple[int, int, int, int, int, int]:
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "longest_repeat")
 
 
-def quality_measures(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: the id and the measures of its whole text.
+def _verdicts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Measures of the texts, whether the base rules fail them, and whether they are kept."""
+    found = np.array([_measures(t) for t in texts], dtype=np.int64).reshape(len(texts), len(MEASURES))
+    words, repeated, longest = (found[:, MEASURES.index(m)] for m in ("n_words", "n_repeat_words", "longest_repeat"))
+    too_much = 100 * repeated > MAX_COVERED_PERCENT * words
+    failed = (words < MIN_WORDS) | too_much
+    return found, failed, ~failed & (longest <= MAX_LONGEST)
+
+
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: the id, the measures of its whole text, ``base_failed`` and ``kept``.
 
     ``n_repeat_words`` are the words that repeats of five or more words cover, their
     first place included; ``longest_repeat`` is the longest such repeat in words (it may
-    overlap itself). A null or empty text has all measures 0. Rows that repeat are
-    measured each; an empty table gives an empty result; other columns are ignored.
+    overlap itself). ``base_failed``: fewer than 10 words, or repeats cover more than
+    20 % of them. ``kept``: not failed, and the suffix array's verdict: repeats cover at
+    most 20 % of the words and none is longer than 64 words.
+
+    A null or empty text has all measures 0 and fails. Rows that repeat are measured
+    each; an empty table gives an empty result; other columns are ignored.
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches, "text"):
-            found = np.array([_measures(t) for t in texts], dtype=np.int64).reshape(len(texts), len(MEASURES))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, found.T.copy())], ["id", *MEASURES])
+            found, failed, kept = _verdicts(texts)
+            columns = [batch.column(0), *map(pa.array, found.T.copy()), pa.array(failed), pa.array(kept)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", *MEASURES, "base_failed", "kept"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    schema = f"id {kind}, " + ", ".join(f"{m} bigint" for m in MEASURES)
+    schema = f"id {kind}, " + ", ".join(f"{m} bigint" for m in MEASURES) + ", base_failed boolean, kept boolean"
     return rows.mapInArrow(measure, schema).withColumnRenamed("id", id_col)
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The measures, ``base_failed`` and ``kept``.
+def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text :func:`quality_rules` keeps."""
 
-    ``base_failed``: fewer than 10 words, or repeats cover more than 20 % of them.
-    ``kept``: not failed, and the suffix array's verdict: spans of repeats cover at most
-    20 % of the words and no repeat is longer than 64 words.
-    """
-    rows = quality_measures(docs, id_col, text)
-    too_much = 100 * F.col("n_repeat_words") > MAX_COVERED_PERCENT * F.col("n_words")
-    rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | too_much)
-    return rows.withColumn("kept", ~F.col("base_failed") & ~too_much & (F.col("longest_repeat") <= MAX_LONGEST))
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in text_batches(batches, text):
+            yield batch.filter(pa.array(_verdicts(texts)[2]))
+
+    return docs.mapInArrow(keep, docs.schema)

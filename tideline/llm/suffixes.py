@@ -345,3 +345,12 @@ def remove_repeats(
     size = F.octet_length("_bytes").cast("bigint").alias("n_bytes")
     alone = alone.select("_id", size, zero.alias("n_removed"), zero.alias("n_spans"), sha, *texts, *kept)
     return found.union(alone).withColumnRenamed("_id", id_col)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, with what :func:`remove_repeats` leaves of their texts; ``n_chars`` follows."""
+    other = [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = remove_repeats(docs, keep=other, with_text=True).withColumn("text", F.col("kept_text"))
+    if "n_chars" in other:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)
