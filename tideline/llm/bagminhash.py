@@ -28,8 +28,8 @@ COMPONENTS = BANDS * ROWS
 #: Similarity of at least 4/5, in whole numbers.
 SIMILAR = (4, 5)
 #: Rounds that compare a bucket's members with one of them before the rest is compared in blocks.
-STAR_ROUNDS = 4
-BLOCK = 128
+STAR_ROUNDS = 2
+BLOCK = 512
 #: Runs hold at most 512 texts: the low bits of a shingle's hash make room for the text's number.
 _ROW_BITS = 10
 _U = np.uint64
@@ -176,7 +176,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
-def _blocks(members: DataFrame, texts: DataFrame, bands: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
     """Similar pairs of different classes within the buckets of ``members`` (``bucket``, ``id``, ``class``).
 
     A bucket's members are dealt to blocks of about :data:`BLOCK` by a hash, and each two
@@ -189,7 +189,7 @@ def _blocks(members: DataFrame, texts: DataFrame, bands: DataFrame) -> DataFrame
     dealt = dealt.withColumn("other", other).select(
         "bucket", "id", "class", "part", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q")
     )
-    full = dealt.join(texts.withColumnRenamed("doc_id", "id"), "id").join(bands.withColumnRenamed("doc_id", "id"), "id")
+    full = dealt.join(texts.withColumnRenamed("doc_id", "id"), "id")
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         bucket, p, q = (k.as_py() for k in key)
@@ -245,8 +245,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near = members.select(F.col("id").alias("doc_id")).distinct()
     # Ids may repeat: the row with the representative's bag is one of them, and any will do.
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(near, "doc_id", "left_semi")
-    texts = written(wanted.dropDuplicates(["doc_id"]) if _repeats(marked) else wanted, "near-texts")
-    bands = reps.join(near, "doc_id", "left_semi").select("doc_id", "bands")
+    wanted = wanted.dropDuplicates(["doc_id"]) if _repeats(marked) else wanted
+    bands = reps.select("doc_id", "bands").dropDuplicates(["doc_id"])
+    texts = written(wanted.join(bands, "doc_id"), "near-texts")
     pairs = members.filter("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
     labels = components(_verified(pairs, texts))
     members = members.select("bucket", "id")
@@ -263,7 +264,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             pairs = meet.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
             links = written(_verified(pairs, texts), "found")
         else:
-            links = written(_blocks(open_members, texts, bands), "found")
+            links = written(_blocks(open_members, texts), "found")
         if not links.isEmpty():
             labels = _joined(labels, links)
         members = open_members.select("bucket", "id")
