@@ -282,7 +282,7 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     """
     found = near_duplicates(docs)
     dropped = found.filter("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    rest = docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    rest = docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
     if not _repeats(docs):
         return rest
     named = rest.filter("doc_id is not null").dropDuplicates(["doc_id", "text"])

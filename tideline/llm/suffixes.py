@@ -273,8 +273,11 @@ def remove_repeats(
     ``kept_text``, the remaining bytes as text, without characters that were cut into
     (null for a null text).
     """
-    kept = [c for c in keep if c not in (id_col, text)]
-    base = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text"), *kept)
+    carried = [c for c in keep if c not in (id_col, text)]
+    # Names of their own inside, whatever they are called outside.
+    kept = [f"_keep{i}" for i in range(len(carried))]
+    others = [F.col(f"`{c}`").alias(k) for c, k in zip(carried, kept, strict=True)]
+    base = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text"), *others)
     placed = base.filter("_id is not null")
     total = placed.agg(F.sum(F.octet_length("_text")).alias("n")).first()["n"] or 0
     blocks = max(1, -(-total // block_bytes))
@@ -295,7 +298,7 @@ def remove_repeats(
             missing = batch.column(1).is_null()
             yield pa.RecordBatch.from_arrays([*columns, missing, *batch.columns[2:]], ["_id", "_packed", "_block", "_null", *kept])
 
-    kept_schema = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+    kept_schema = "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for c, k in zip(carried, kept, strict=True))
     packed = placed.mapInArrow(pack, "_id bigint, _packed binary, _block int, _null boolean" + kept_schema)
 
     def send_stretches(key: tuple, table: pa.Table) -> pa.Table:
@@ -344,13 +347,17 @@ def remove_repeats(
     texts = [F.col("_text").alias("kept_text")] if with_text else []
     size = F.octet_length("_bytes").cast("bigint").alias("n_bytes")
     alone = alone.select("_id", size, zero.alias("n_removed"), zero.alias("n_spans"), sha, *texts, *kept)
-    return found.union(alone).withColumnRenamed("_id", id_col)
+    both = found.union(alone)
+    names = {"_id": id_col} | dict(zip(kept, carried, strict=True))
+    return both.select(*[F.col(c).alias(names.get(c, c)) for c in both.columns])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, with what :func:`remove_repeats` leaves of their texts; ``n_chars`` follows."""
     other = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = remove_repeats(docs, keep=other, with_text=True).withColumn("text", F.col("kept_text"))
+    row = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in other]).alias("row"))
+    found = remove_repeats(row, keep=["row"], with_text=True)
+    columns = {c: F.col("row").getField(c) for c in other} | {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
     if "n_chars" in other:
-        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+        columns["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+    return found.select(*[columns[c].alias(c) for c in docs.columns])
