@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens
 from .common import text_batches, written
 from .components import components
 
@@ -136,6 +137,7 @@ def signed(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``bag_hash`` and ``bands`` of every row; a text without a word has no hash and no bands."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch, texts in text_batches(batches, "text"):
             bags = [np.sort(shingles(t)) for t in texts]
             some = [i for i, b in enumerate(bags) if len(b)]
@@ -160,6 +162,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose bags are similar; their texts are joined, never gathered."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch in batches:
             rows = batch.to_pydict()
             near = []

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens
 from .common import text_batches
 
 WINDOW = 5
@@ -140,6 +141,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     """
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch, texts in text_batches(batches, "text"):
             found, failed, kept = _verdicts(texts)
             columns = [batch.column(0), *map(pa.array, found.T.copy()), pa.array(failed), pa.array(kept)]
@@ -155,6 +157,7 @@ def accepted(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, whose text :func:`quality_rules` keeps."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for batch, texts in text_batches(batches, text):
             yield batch.filter(pa.array(_verdicts(texts)[2]))
 

@@ -29,15 +29,16 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import tokens
 from .common import text_batches, written
 
 LENGTH = 50
 HALF = LENGTH // 2
 #: Bytes of text in a block, which one task holds at a time, and in the part of it that is worked on at once.
-BLOCK_BYTES = 6 << 20
-STRIDE = 1 << 20
+BLOCK_BYTES = 3 << 20
+STRIDE = 1 << 18
 #: Bytes of text whose names make a part of the sort.
-PART_BYTES = 12 << 20
+PART_BYTES = 8 << 20
 #: Ids drawn per block to place the borders of the blocks.
 DRAWN = 24
 _U = np.uint64
@@ -245,6 +246,7 @@ def _status(replies: pa.Table, turn: int) -> np.ndarray:
 
 def _opened(table: pa.Table, parts: int) -> tuple[Block, list[tuple[int, bytes]], np.ndarray]:
     """The block of a group of packed rows, its documents, and the order that sorts the rows."""
+    tokens.forget()
     reader = zstandard.ZstdDecompressor()
     rows = [
         (doc_id, reader.decompress(packed))

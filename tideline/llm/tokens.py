@@ -22,7 +22,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 #: Longer pre-tokens are encoded each time, not kept.
 KEPT_LENGTH = 64
 #: Pre-tokens in one of the two generations a worker keeps.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 600_000
 
 
 def _class(kind: str, end: int) -> str:
@@ -148,6 +148,11 @@ def piece_cache(path: str, value: Callable, key: object = None, frequent: Callab
     return _WORKER[name][1]
 
 
+def forget() -> None:
+    """Gives back the caches of this worker; operators that do without them call it, as workers outlive jobs."""
+    _WORKER.clear()
+
+
 def encoded(path: str, text: str) -> bytes:
     """The ids of a whole text as :func:`id_bytes`."""
     pieces = splitter(path).split(text)
