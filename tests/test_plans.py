@@ -289,7 +289,7 @@ def test_delivery_retries(spark, tmp_path):
 
 def test_messages_check_their_sets(frame):
     schema = "candidate_set_id string, feed_id bigint, id bigint, publisher string, recency int"
-    good = frame(schema, ("a8425a46-187a-4cdb-8157-5d2f308c52cd", 1, 5, "p", 1), ("a8425a46-187a-4cdb-8157-5d2f308c52cd", None, 6, "p", 2))
+    good = frame(schema, ("00000000-0000-4000-8000-000000000016", 1, 5, "p", 1), ("00000000-0000-4000-8000-000000000016", None, 6, "p", 2))
     arguments = ([F.desc("recency")], ["id"], "flow", "run", 100)
     message = json.loads(records.candidate_messages(good, *arguments).first()["message"])
     assert message["expires_at"] == 100 + 86400 * 28 and message["version"] == 3
@@ -307,7 +307,7 @@ def test_messages_check_their_sets(frame):
 # --- candidates ------------------------------------------------------------------------------
 def test_configs(frame):
     schema = (
-        "corpus_topic_id string, curated_corpus_candidate_set_id string, german_curated_corpus_candidate_set_id string"
+        "corpus_topic_id string, curated_catalog_candidate_set_id string, german_curated_catalog_candidate_set_id string"
     )
     topics = frame(schema, ("BUSINESS", "a", "b"), ("CORONAVIRUS", "c", "d"))
     configs = candidates.candidate_configs(topics)
@@ -338,8 +338,8 @@ def test_topics_per_set_differ(frame):
 # --- revenue, feeds, publisher -----------------------------------------------------------------
 def test_revenue_pages(spark, frame):
     data = "data array<map<string,string>>"
-    pages = frame(data, ([{"NdrPrebid.record_date": "2024-01-01", "NdrPrebid.impressions": "5", "NdrPrebid.size": "s"}],))
-    archived = frame(data, ([{"NdrGcr.record_date": "2024-01-02", "NdrGcr.net_cpm": "0.5"}],))
+    pages = frame(data, ([{"Current.record_date": "2024-01-01", "Current.impressions": "5", "Current.size": "s"}],))
+    archived = frame(data, ([{"Archived.record_date": "2024-01-02", "Archived.net_cpm": "0.5"}],))
     row = revenue.revenue_rows(pages).first()
     assert (str(row["record_date"]), row["impressions"], row["size"], row["browser"]) == ("2024-01-01", 5, "s", None)
     old = revenue.revenue_rows(archived, archived=True)
@@ -351,7 +351,7 @@ def test_revenue_pages(spark, frame):
 def test_revenue_load_of_missing_days(spark, frame):
     root = shared_dir(spark, "landed")
     for day in ("2024-01-02", "2024-01-03"):
-        record = [{"NdrPrebid.record_date": day, "NdrPrebid.impressions": "5"}] * 3
+        record = [{"Current.record_date": day, "Current.impressions": "5"}] * 3
         frame("data array<map<string,string>>", (record,)).write.json(f"{root}/{day}")
     table = VersionedTable(spark, shared_dir(spark, "revenue"))
     bounds = ("2024-01-02 00:00:00", "2024-01-03 00:00:00")

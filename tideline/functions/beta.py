@@ -56,7 +56,7 @@ def _continued_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarr
             a, b, x, c, d, result, index = (v[open_] for v in (a, b, x, c, d, result, index))
             if not len(index):
                 return final
-    final[index] = result
+    final[index] = np.nan  # not converged
     return final
 
 
@@ -96,7 +96,7 @@ def beta_quantile(a, b, p: float) -> np.ndarray:
             a, b, x, low, high, log_norm, index = (v[open_] for v in (a, b, x, low, high, log_norm, index))
             if not len(index):
                 return final
-    final[index] = x
+    final[index] = np.nan  # not converged
     return final
 
 

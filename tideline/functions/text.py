@@ -34,6 +34,9 @@ class _TextParser(HTMLParser):
         self.parts.append("\n" if tag in _ONE_BREAK else "\n\n")
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body":
+            # The end tag of the head, and those of what stands in it, may be left out.
+            self.silent = 0
         if tag in _SILENT:
             self.silent += 1
         elif tag == "br":

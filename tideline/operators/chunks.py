@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..session import materialized
 
 ROWS_PER_BUCKET = 1_000_000
+#: As size and rows per bucket: one list per group, in its order, whatever its length.
+ONE_LIST = (1 << 31) - 1
 
 
 def chunk_rows(
@@ -67,6 +69,15 @@ def collect_chunks(df: DataFrame, group: Sequence[str], items: dict[str, Column]
     return rows.select(*group, "bucket_no", "chunk_no", row_count, *arrays)
 
 
+def at_most(lists: DataFrame, limit: int | None) -> DataFrame:
+    """Fails the job on a list of more than ``limit`` items; lists are never cut or split for it."""
+    if limit is None:
+        return lists
+    count = F.col("row_count")
+    checked = F.when(count > limit, F.raise_error(F.concat(F.lit("list too long: "), count.cast("string")))).otherwise(count)
+    return lists.filter(checked.isNotNull())
+
+
 def _field_array(field: str) -> Column:
     """The non-null values of one field of the collected structs, in their order."""
     return F.filter(F.transform("_items", lambda item: item[field]), lambda value: value.isNotNull())

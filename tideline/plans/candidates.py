@@ -183,8 +183,8 @@ def topic_items(approved: DataFrame, scheduled: DataFrame, as_of, sets: DataFram
 def topic_sets(topics: DataFrame) -> DataFrame:
     """Two sets per topic, one for each surface."""
     surfaces = [
-        ("curated_corpus_candidate_set_id", "en_us/", fv.SURFACE_EN_US),
-        ("german_curated_corpus_candidate_set_id", "de_de/", fv.SURFACE_DE_DE),
+        ("curated_catalog_candidate_set_id", "en_us/", fv.SURFACE_EN_US),
+        ("german_curated_catalog_candidate_set_id", "de_de/", fv.SURFACE_DE_DE),
     ]
     entries = [
         F.struct(
@@ -225,9 +225,9 @@ def candidate_items(approved: DataFrame, scheduled: DataFrame, topics: DataFrame
 
 
 def all_candidate_sets(
-    approved: DataFrame, scheduled: DataFrame, topics: DataFrame, as_of, max_items: int = 10_000
+    approved: DataFrame, scheduled: DataFrame, topics: DataFrame, as_of, max_items: int | None = None
 ) -> DataFrame:
-    """One JSON message per set (more for a set above ``max_items``).
+    """One JSON message per set (a set above ``max_items``, if given, fails the job).
 
     The job fails on an item without id or topic, and on a set with too few items.
     """

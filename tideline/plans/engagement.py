@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.expr import as_timestamp, iso8601, slash_key
-from ..operators.chunks import chunk_rows, collect_chunks
+from ..operators.chunks import ONE_LIST, at_most, chunk_rows, collect_chunks
 from ..operators.counting import sum_by_keys
 from ..operators.setops import add_constants, concat_frames, natural_join
 
@@ -62,13 +62,13 @@ def user_impressions(
     as_of,
     max_count: int = fv.IMPRESSION_MAX_COUNT,
     max_age_days: int = fv.IMPRESSION_MAX_AGE_DAYS,
-    max_ids: int = 100_000,
+    max_ids: int | None = None,
 ) -> DataFrame:
     """Items a user has seen often, or first saw long ago, as a bracketed list.
 
     Impressions are folded per recommendation before the join, and items per user
-    before they are listed. A user with more than ``max_ids`` items gets several
-    rows (``part``).
+    before they are listed. A user is one row; one of more than ``max_ids`` items,
+    if given, fails the job.
     """
     today = F.date_trunc("day", as_timestamp(as_of))
     window_start = today - F.expr(f"INTERVAL {fv.IMPRESSION_WINDOW_DAYS} DAYS")
@@ -89,9 +89,10 @@ def user_impressions(
     long_ago = F.col("first_impression_time") < today - F.expr(f"INTERVAL {int(max_age_days)} DAYS")
     listed = per_item.filter((F.col("impression_count") > max_count) | long_ago)
     chunked = chunk_rows(
-        listed, max_ids, ["hashed_user_id"], [F.asc("corpus_item_id")], ["corpus_item_id"], rows_per_bucket=max_ids
+        listed, ONE_LIST, ["hashed_user_id"], [F.asc("corpus_item_id")], ["corpus_item_id"], rows_per_bucket=ONE_LIST
     )
     rows = collect_chunks(chunked, ["hashed_user_id"], {"ids": F.col("corpus_item_id").cast("string")})
+    rows = at_most(rows, max_ids)
     return rows.select(
         "hashed_user_id",
         iso8601(today).alias("updated_at"),

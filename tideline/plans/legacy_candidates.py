@@ -108,7 +108,7 @@ def syndicated_feed(scheduled: DataFrame, syndicated: DataFrame, as_of, sets=fv.
 def legacy_topics(approved: DataFrame, content: DataFrame, topics: DataFrame, as_of) -> DataFrame:
     """The newest English items of each topic."""
     params = topics.select(
-        F.col("legacy_curated_corpus_candidate_set_id").alias("candidate_set_id"),
+        F.col("legacy_curated_catalog_candidate_set_id").alias("candidate_set_id"),
         F.col("corpus_topic_id").alias("topic"),
     )
     items = _reviewed(approved, as_of).filter(F.col("language") == "EN").join(params, "topic", "inner")

@@ -52,8 +52,7 @@ def recent_saves(content: DataFrame, engagement: DataFrame, scheduled: DataFrame
         (F.sum("saves_by_age").cast("double") / F.sum("days")).alias("avg_save_age"),
         F.sum("saves").alias("total_save_count"),
     )
-    order = [F.desc("total_save_count"), F.asc_nulls_last("top_domain_name")]
-    return domains.orderBy(*order).limit(fv.PUBLISHER_TOP_K)
+    return domains
 
 
 def approved_by_topic(content: DataFrame, approved: DataFrame, as_of) -> DataFrame:
@@ -70,8 +69,7 @@ def approved_by_topic(content: DataFrame, approved: DataFrame, as_of) -> DataFra
         ],
         sum_when(F.col("topic") != fv.EXCLUDED_TOPIC, F.col("items")).alias("num_approved"),
     )
-    order = [F.desc("num_approved"), F.asc_nulls_last("approved_source")]
-    return domains.orderBy(*order).limit(fv.PUBLISHER_TOP_K)
+    return domains
 
 
 def finish_features(rows: DataFrame) -> DataFrame:

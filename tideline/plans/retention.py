@@ -40,7 +40,7 @@ def _rules() -> list[tuple[str, list, tuple | None]]:
         (f"{area}.firehose.{table}", pairs, extra)
         for area in ("raw", "snapshot")
         for table, pairs, extra in fv.PURGE_STREAM_TABLES
-        if not (area == "snapshot" and table == "pinpoint")
+        if not (area == "snapshot" and table == "push_events")
     ]
     return events + streams + [(table, pairs, None) for table, pairs in fv.PURGE_TABLES]
 

@@ -29,17 +29,13 @@ def _down(total: Column, part: Column, up: Column, prior: float) -> Column:
     return F.when(total >= part, misses).otherwise((misses + up) * 4)
 
 
-def content_score_inputs(queue: DataFrame, lifetime: DataFrame, limit: int | None = fv.SCORE_BATCH) -> DataFrame:
+def content_score_inputs(queue: DataFrame, lifetime: DataFrame, limit: int | None = None) -> DataFrame:
     """Pseudo-counts of the next batch of the queue.
 
-    The batch (the whole queue without ``limit``) is cut from the queue before the
-    join with the lifetime counters.
+    The batch is the whole queue, or the first ``limit`` rows of it that can be scored.
     Rows without counters, or with none above zero, are not scored.
     """
-    batch = queue.select(*KEYS)
-    if limit is not None:
-        batch = batch.orderBy(*KEYS).limit(limit)
-    rows = batch.join(lifetime.select(*KEYS, *_COUNTS), KEYS, "inner").select(
+    rows = queue.select(*KEYS).join(lifetime.select(*KEYS, *_COUNTS), KEYS, "inner").select(
         *[F.col(k).cast("bigint").alias(k) for k in KEYS],
         *[F.col(c).cast("bigint").alias(c) for c in _COUNTS],
     )
@@ -48,7 +44,11 @@ def content_score_inputs(queue: DataFrame, lifetime: DataFrame, limit: int | Non
         known = known & F.col(count).isNotNull()
         positive = positive | (F.col(count) > 0)
     saves, opens, favorites, shares = (F.col(c) for c in _COUNTS)
-    with_up = rows.filter(known & positive).withColumns(
+    scorable = rows.filter(known & positive)
+    if limit is not None:
+        # Cut after the test, so that rows that cannot be scored hold up no others.
+        scorable = scorable.orderBy(*KEYS).limit(limit)
+    with_up = scorable.withColumns(
         {
             "open_uv": opens.cast("double") + 2.2 + saves * 0.05,
             "fav_uv": favorites.cast("double") + 0.2 + opens * 0.02,

@@ -300,4 +300,4 @@ def trailing_engagement_activity_stream(pings: DataFrame, as_of) -> DataFrame:
         F.count(F.lit(1)).alias("trailing_1_day_impressions"),
         sum_when(F.col("is_click")).alias("trailing_1_day_opens"),
     )
-    return counts.orderBy(F.desc("trailing_1_day_impressions"), "tile_id").limit(fv.TRAILING_TOP_K)
+    return counts

@@ -226,5 +226,4 @@ def trailing_engagement_nested(user_events: DataFrame, as_of, exact: bool = Fals
         impressions.alias("trailing_1_day_impressions"),
         opens.alias("trailing_1_day_opens"),
     )
-    order = [F.desc("trailing_1_day_impressions"), F.asc("corpus_recommendation_id")]
-    return counts.orderBy(*order).limit(fv.TRAILING_TOP_K)
+    return counts

@@ -476,10 +476,10 @@ def purge_deleted_accounts(v):
     """All steps over three tables; the result lists what is left of each."""
     result = retention.purge_deleted_accounts(
         {
-            "snapshot.redshift.users": v.plain("user_orders"),
-            "snapshot.redshift.user_email_map": v.plain("user_orders"),
+            "snapshot.main.users": v.plain("user_orders"),
+            "snapshot.main.user_email_map": v.plain("user_orders"),
             "raw.firehose.item_session": v.plain("event_payloads"),
-            "fivetran.stripe.card": v.plain("user_orders"),
+            "billing.main.card": v.plain("user_orders"),
         },
         v.deleted_users(),
         v.plain("email_map"),

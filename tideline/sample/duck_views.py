@@ -41,9 +41,9 @@ _SPECIAL = {
         FROM nested_dedup p CROSS JOIN (VALUES (0), (1)) t(j)""",
     "scheduled_items": "SELECT * FROM scheduled_once UNION ALL SELECT * FROM scheduled_again",
     "topics": """
-        SELECT DISTINCT topic AS corpus_topic_id, 'en-' || lower(topic) AS curated_corpus_candidate_set_id,
-               'de-' || lower(topic) AS german_curated_corpus_candidate_set_id,
-               'legacy-' || lower(topic) AS legacy_curated_corpus_candidate_set_id
+        SELECT DISTINCT topic AS corpus_topic_id, 'en-' || lower(topic) AS curated_catalog_candidate_set_id,
+               'de-' || lower(topic) AS german_curated_catalog_candidate_set_id,
+               'legacy-' || lower(topic) AS legacy_curated_catalog_candidate_set_id
         FROM approved_items""",
     "deleted_users": "SELECT hashed_user_id, user_id FROM account_deletions WHERE is_deletion",
     "known": "SELECT hashed_user_id, user_id FROM known_users WHERE is_known",

@@ -106,7 +106,7 @@ _TRAILING_NESTED = f"""
     SELECT recommendation_id AS corpus_recommendation_id, strftime(max(submission_timestamp), '{_ISO}') AS updated_at,
            count(DISTINCT CASE WHEN event_name = 'impression' THEN document_id END) AS trailing_1_day_impressions,
            count(DISTINCT CASE WHEN event_name = 'click' THEN document_id END) AS trailing_1_day_opens
-    FROM user_events GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT {fv.TRAILING_TOP_K}"""
+    FROM user_events GROUP BY 1"""
 
 _TRAILING_LEGACY = f"""
     SELECT tile_id, strftime(max(submission_timestamp), '{_ISO}') AS updated_at,
@@ -116,7 +116,7 @@ _TRAILING_LEGACY = f"""
           FROM legacy_pings p CROSS JOIN (VALUES (0), (1), (2)) t(i) WHERE tile_count = 3)
     WHERE {_TRAILING} AND addon_version < '{fv.LEGACY_BUILD_BEFORE}' AND source IN ('TOP_STORIES', 'CARDGRID')
       AND loaded IS NULL AND normalized_country_code IS NOT NULL
-    GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT {fv.TRAILING_TOP_K}"""
+    GROUP BY 1"""
 
 
 def _telemetry() -> dict[str, str]:
@@ -301,13 +301,13 @@ def _features() -> dict[str, str]:
                   AND c.first_parsed_at BETWEEN TIMESTAMP '2024-01-24' AND TIMESTAMP '2024-01-31'
                   AND c.language = 'en' AND c.word_count >= 900 AND d.save_count > 0
                   AND c.domain_id <> {fv.EXCLUDED_DOMAIN_ID} AND s.content_id IS NULL
-                GROUP BY 1 ORDER BY save_count DESC, 1 LIMIT 9000),
+                GROUP BY 1),
             topics AS (
                 SELECT c.top_domain_name AS approved_source, {approved},
                        sum(CASE WHEN a.topic <> '{fv.EXCLUDED_TOPIC}' THEN 1 ELSE 0 END) AS num_approved
                 FROM content c JOIN approved_items a ON a.content_id = c.content_id
                 WHERE a.topic IS NOT NULL AND a.reviewed_corpus_item_created_at > TIMESTAMP '{AS_OF}' - INTERVAL 360 DAYS
-                GROUP BY 1 ORDER BY num_approved DESC, 1 LIMIT 9000)
+                GROUP BY 1)
             SELECT top_domain_name, {", ".join(f"coalesce({n}, 0)::BIGINT AS {n}" for n in approved_names)},
                    {_big("save_count", "total_save_count")}, round(avg_save_age, 6) AS avg_save_age,
                    round(CAST(save_count AS DOUBLE) / num_items, 6) AS avg_save_count, num_items AS num_items_saved,
@@ -479,10 +479,10 @@ def _candidate_texts() -> dict[str, str]:
             SELECT * FROM ({_REVIEWED}) WHERE recency >= {_NOW} - INTERVAL 90 DAYS
             UNION
             SELECT * FROM ({_MANUAL}) WHERE recency BETWEEN {_NOW} - INTERVAL 90 DAYS AND {_NOW})
-        JOIN (SELECT curated_corpus_candidate_set_id AS candidate_set_id, corpus_topic_id AS topic,
+        JOIN (SELECT curated_catalog_candidate_set_id AS candidate_set_id, corpus_topic_id AS topic,
                      '{fv.SURFACE_EN_US}' AS scheduled_surface_id FROM topics
               UNION ALL
-              SELECT german_curated_corpus_candidate_set_id, corpus_topic_id, '{fv.SURFACE_DE_DE}' FROM topics)
+              SELECT german_curated_catalog_candidate_set_id, corpus_topic_id, '{fv.SURFACE_DE_DE}' FROM topics)
         USING (topic, scheduled_surface_id)
         WHERE id <> '{fv.EXCLUDED_ITEM_ID}'
         QUALIFY row_number() OVER (PARTITION BY candidate_set_id, id ORDER BY recency DESC, publisher DESC) = 1"""
@@ -503,8 +503,8 @@ def _configs() -> str:
     topic_sets = "\nUNION ALL\n".join(
         f"SELECT {column}, '{prefix}' || lower(corpus_topic_id), 'topic_items', corpus_topic_id, '{surface}' FROM topics"
         for column, prefix, surface in (
-            ("curated_corpus_candidate_set_id", "en_us/", fv.SURFACE_EN_US),
-            ("german_curated_corpus_candidate_set_id", "de_de/", fv.SURFACE_DE_DE),
+            ("curated_catalog_candidate_set_id", "en_us/", fv.SURFACE_EN_US),
+            ("german_curated_catalog_candidate_set_id", "de_de/", fv.SURFACE_DE_DE),
         )
     )
     return f"""
@@ -578,7 +578,7 @@ def _candidates() -> dict[str, str]:
         + "\n" + "\nUNION ALL\n".join(syndicated(p) for p in fv.LEGACY_SYNDICATED),
         "legacy_topics": f"""{with_content}
             SELECT candidate_set_id, 1::BIGINT AS feed_id, id, publisher, {_RECENCY} FROM (
-                SELECT t.legacy_curated_corpus_candidate_set_id AS candidate_set_id, a.resolved_id AS id,
+                SELECT t.legacy_curated_catalog_candidate_set_id AS candidate_set_id, a.resolved_id AS id,
                        c.top_domain_name AS publisher, a.reviewed_corpus_item_updated_at AS recency
                 FROM approved_items a JOIN content c ON c.content_id = a.content_id JOIN topics t ON t.corpus_topic_id = a.topic
                 WHERE a.reviewed_corpus_item_updated_at >= {_NOW} - INTERVAL 90 DAYS AND a.language = 'EN'
@@ -650,7 +650,7 @@ def _user_sync() -> dict[str, str]:
                        CASE WHEN email <> '' THEN split_part(email, '@', 1) || '@example.com' END AS email,
                        CASE WHEN email = '' AND {flag} THEN FALSE ELSE {flag} END AS has_email
                 FROM user_changes WHERE loaded_at > TIMESTAMP '2024-01-10')
-            WHERE NOT (email IS NULL AND external_id IS NULL) ORDER BY loaded_at, event_id LIMIT 1000""",
+            WHERE NOT (email IS NULL AND external_id IS NULL)""",
         "user_delta_offset": f"{deltas} SELECT {_stamp('max(loaded_at)')} AS last_offset FROM deltas",
         "subscribe_rows": f"{items} SELECT event_id, subscription_group_id, main, extra FROM items WHERE step = 3",
         "track_rows": f"{items} SELECT event_id, main AS attributes, extra AS event FROM items WHERE step = 4",
@@ -730,12 +730,12 @@ def _retention() -> dict[str, str]:
             UNION ALL SELECT 'deleted_emails', email FROM emails
             UNION ALL SELECT 'raw.firehose.item_session', CAST(event_id AS VARCHAR) FROM event_payloads
                       WHERE NOT coalesce({payload_user} IN (SELECT user_id FROM ids), FALSE)
-            UNION ALL SELECT 'snapshot.redshift.users', CAST(o_orderkey AS VARCHAR) FROM user_orders
+            UNION ALL SELECT 'snapshot.main.users', CAST(o_orderkey AS VARCHAR) FROM user_orders
                       WHERE NOT coalesce(user_id IN (SELECT user_id FROM ids), FALSE)
-            UNION ALL SELECT 'snapshot.redshift.user_email_map', CAST(o_orderkey AS VARCHAR) FROM user_orders
+            UNION ALL SELECT 'snapshot.main.user_email_map', CAST(o_orderkey AS VARCHAR) FROM user_orders
                       WHERE NOT coalesce(user_id IN (SELECT user_id FROM ids), FALSE)
                         AND NOT coalesce(email IN (SELECT email FROM addresses), FALSE)
-            UNION ALL SELECT 'fivetran.stripe.card', CAST(o_orderkey AS VARCHAR) FROM user_orders
+            UNION ALL SELECT 'billing.main.card', CAST(o_orderkey AS VARCHAR) FROM user_orders
                       WHERE NOT coalesce(is_deleted, FALSE)""",
     }
 

@@ -92,9 +92,9 @@ class Views:
         topics = self.approved().select(F.col("topic").alias("corpus_topic_id")).distinct()
         return topics.select(
             "corpus_topic_id",
-            F.concat(F.lit("en-"), F.lower("corpus_topic_id")).alias("curated_corpus_candidate_set_id"),
-            F.concat(F.lit("de-"), F.lower("corpus_topic_id")).alias("german_curated_corpus_candidate_set_id"),
-            F.concat(F.lit("legacy-"), F.lower("corpus_topic_id")).alias("legacy_curated_corpus_candidate_set_id"),
+            F.concat(F.lit("en-"), F.lower("corpus_topic_id")).alias("curated_catalog_candidate_set_id"),
+            F.concat(F.lit("de-"), F.lower("corpus_topic_id")).alias("german_curated_catalog_candidate_set_id"),
+            F.concat(F.lit("legacy-"), F.lower("corpus_topic_id")).alias("legacy_curated_catalog_candidate_set_id"),
         )
 
     def deleted_users(self) -> DataFrame:

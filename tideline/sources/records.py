@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.expr import python_str
-from ..operators.chunks import chunk_rows, collect_chunks
+from ..operators.chunks import ONE_LIST, at_most, chunk_rows, collect_chunks
 
 
 def feature_records(df: DataFrame, record_id: str) -> DataFrame:
@@ -69,15 +69,14 @@ def deliver(records: DataFrame, post: Callable[[list], None], batch_size: int =
 
 
 def item_messages(
-    items: DataFrame, set_col: str, order: Sequence[Column], spread_by: Sequence[str], item: Column, max_items: int
+    items: DataFrame, set_col: str, order: Sequence[Column], spread_by: Sequence[str], item: Column, max_items: int | None = None
 ) -> DataFrame:
     """JSON array of the items of each set, in order.
 
-    A set of up to ``max_items`` items is one message; a longer one is split into
-    further messages (``bucket_no``, ``chunk_no``), so no message grows without bound.
+    A set is one message; one of more than ``max_items`` items, if given, fails the job.
     """
-    chunked = chunk_rows(items, max_items, [set_col], order, spread_by)
-    collected = collect_chunks(chunked, [set_col], {"items": item})
+    chunked = chunk_rows(items, ONE_LIST, [set_col], order, spread_by, rows_per_bucket=ONE_LIST)
+    collected = at_most(collect_chunks(chunked, [set_col], {"items": item}), max_items)
     text = F.to_json("items", {"ignoreNullFields": "false"})
     return collected.select(set_col, "bucket_no", "chunk_no", "row_count", text.alias("items_json"))
 
@@ -85,7 +84,7 @@ def item_messages(
 def candidate_messages(
     items: DataFrame, order: Sequence[Column], spread_by: Sequence[str], flow: str, run: str, now_epoch: int,
     expires_in_s: int = fv.MESSAGE_EXPIRY_SECONDS, kind: str = "recommendation", curated: bool = False,
-    max_items: int = 10_000,
+    max_items: int | None = None,
 ) -> DataFrame:
     """One message per candidate set: (candidate_set_id, message).
 
@@ -107,8 +106,8 @@ def candidate_messages(
         F.col("id").alias("item_id"), F.col("publisher"), feed_id.cast("bigint").alias("feed_id")
     )
     rows = items.withColumn("candidate_set_id", checked)
-    chunked = chunk_rows(rows, max_items, ["candidate_set_id"], order, spread_by)
-    collected = collect_chunks(chunked, ["candidate_set_id"], {"candidates": item})
+    chunked = chunk_rows(rows, ONE_LIST, ["candidate_set_id"], order, spread_by, rows_per_bucket=ONE_LIST)
+    collected = at_most(collect_chunks(chunked, ["candidate_set_id"], {"candidates": item}), max_items)
     message = F.to_json(
         F.struct(
             F.col("candidate_set_id").alias("id"),
