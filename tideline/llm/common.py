@@ -30,14 +30,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def text_batches(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Record batches cut to runs of bounded text, each with its texts; a null text counts as empty."""
-    for batch in batches:
-        texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-        first, size = 0, 0
-        for i, value in enumerate(texts):
-            size += len(value)
-            if size >= RUN_CHARS or i + 1 - first >= RUN_TEXTS or i == len(texts) - 1:
-                yield batch.slice(first, i + 1 - first), texts[first : i + 1]
-                first, size = i + 1, 0
+    for whole in batches:
+        for at in range(0, whole.num_rows, RUN_TEXTS):
+            batch = whole.slice(at, RUN_TEXTS)
+            texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            first, size = 0, 0
+            for i, value in enumerate(texts):
+                size += len(value)
+                if size >= RUN_CHARS or i == len(texts) - 1:
+                    yield batch.slice(first, i + 1 - first), texts[first : i + 1]
+                    first, size = i + 1, 0
 
 
 def spread_key(*columns: str) -> Column:

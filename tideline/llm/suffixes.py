@@ -35,8 +35,8 @@ from .common import text_batches, written
 LENGTH = 50
 HALF = LENGTH // 2
 #: Bytes of text in a block, which one task holds at a time, and in the part of it that is worked on at once.
-BLOCK_BYTES = 3 << 20
-STRIDE = 1 << 18
+BLOCK_BYTES = 3 << 19
+STRIDE = 1 << 17
 #: Bytes of text whose names make a part of the sort.
 PART_BYTES = 8 << 20
 #: Ids drawn per block to place the borders of the blocks.

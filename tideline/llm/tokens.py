@@ -17,12 +17,14 @@ import unicodedata
 from collections.abc import Callable
 from functools import cache
 
+import pyarrow as pa
+
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Longer pre-tokens are encoded each time, not kept.
 KEPT_LENGTH = 64
 #: Pre-tokens in one of the two generations a worker keeps.
-KEPT_PIECES = 600_000
+KEPT_PIECES = 1_000_000
 
 
 def _class(kind: str, end: int) -> str:
@@ -149,8 +151,10 @@ def piece_cache(path: str, value: Callable, key: object = None, frequent: Callab
 
 
 def forget() -> None:
-    """Gives back the caches of this worker; operators that do without them call it, as workers outlive jobs."""
-    _WORKER.clear()
+    """Gives back the caches of this worker and unused Arrow memory; operators that do without call it, as workers outlive jobs."""
+    if _WORKER:
+        _WORKER.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def encoded(path: str, text: str) -> bytes:
