@@ -96,7 +96,9 @@ def write_token_files(
         at = 0
 
         def closed() -> pa.RecordBatch:
-            row = (part, shard, digest, ids[0], ids[-1], before, sum(sizes), ids, sizes, offsets, b"".join(frames))
+            # Null ids come first; the index spans the others.
+            least = next((i for i in ids if i is not None), None)
+            row = (part, shard, digest, least, ids[-1], before, sum(sizes), ids, sizes, offsets, b"".join(frames))
             return pa.RecordBatch.from_pydict({f.name: [v] for f, v in zip(_SHARD_ARROW, row, strict=True)}, _SHARD_ARROW)
 
         for batch, texts in text_batches(batches, "text"):
