@@ -51,8 +51,9 @@ def _byte_level() -> tuple[re.Pattern, re.Pattern]:
 def _word_level() -> tuple[re.Pattern, re.Pattern]:
     letter, number = _class("L", 0x530), _class("N", 0x530)
     piece = rf"[{letter}]+|[{number}]|'s|'t|'re|'ve|'m|'ll|'d|[^\s{letter}{number}]+"
-    # Up to the combining marks, so that every text is in composed form already.
-    return re.compile(piece), re.compile(r"[^\u0000-\u02ff\u2010-\u2027\u2030-\u205e]")
+    # Below the combining marks, so that every text is in composed form already, and below the
+    # letters whose small forms lie far off; the separators 28 to 31 are no white space there.
+    return re.compile(piece), re.compile(r"[^\u0000-\u001b\u0020-\u0239\u2010-\u2027\u2030-\u205e]")
 
 
 def _byte_letters() -> dict[int, int]:
