@@ -2,9 +2,12 @@
 
 All sequences that hold the same lengths are one pattern. Patterns of one to three pieces
 that fill a sequence exactly are enumerated; non-negative least squares fits how often
-each is used to the histogram of the lengths; the counts are rounded, and what they leave
-over is packed best-fit, longest first, on the histogram. Only the histogram reaches the
-driver; the pieces find their place by their rank among pieces of their length.
+each is used to the histogram of the lengths. A length weighs as much as its tokens, so
+that short pieces rather than long ones are left over or lacking. The counts are rounded,
+longest pieces first; a pattern that lacks its short pieces is used without them and stays
+open. What is left over is packed best-fit, longest first, into open and new sequences.
+Only the histogram reaches the driver; the pieces find their place by their rank among
+pieces of their length.
 """
 
 from __future__ import annotations
@@ -23,7 +26,10 @@ from .common import running_totals, spread_key, text_batches, written
 MAX_LENGTH = 2048
 #: Finest number of length classes that patterns tell apart; longer sequences use coarser classes.
 CLASSES = 2048
-STEPS = 200
+#: Steps of the fit over all patterns, and of the second one over those the first favours.
+STEPS, LAST_STEPS = 60, 1000
+#: How many patterns of one longest class the second fit takes: fewer patterns lose less to rounding.
+FAVOURED = 32
 
 
 def cut_pieces(docs: DataFrame, path: str, max_length: int = MAX_LENGTH, end_id: int = 0, with_ids: bool = False) -> DataFrame:
@@ -74,38 +80,75 @@ def full_patterns(present: np.ndarray, size: int) -> np.ndarray:
     return np.concatenate(rows) if rows else np.zeros((0, 3), np.int64)
 
 
-def fit_counts(patterns: np.ndarray, histogram: np.ndarray) -> np.ndarray:
+def fit_counts(patterns: np.ndarray, histogram: np.ndarray, steps: int) -> np.ndarray:
     """Non-negative least squares: how often to use each pattern so that the lengths used come nearest the histogram.
 
-    Accelerated projected gradient; each pattern touches at most three classes, so a step
-    costs three gathers and three scatters. Class 0 stands for no piece and counts for nothing.
+    Errors weigh by length. Accelerated projected gradient; each pattern touches at most
+    three classes, so a step costs three gathers and three scatters. Class 0 stands for no
+    piece and weighs nothing.
     """
     size = len(histogram)
-    used = patterns > 0
+    weight = np.arange(size) / max(size - 1, 1)
+    weights = weight[patterns]
 
     def lengths(x: np.ndarray) -> np.ndarray:
-        return np.bincount(patterns.ravel(), weights=(x[:, None] * used).ravel(), minlength=size)
+        return np.bincount(patterns.ravel(), weights=(x[:, None] * weights).ravel(), minlength=size)
 
     def gradient(error: np.ndarray) -> np.ndarray:
-        return (error[patterns] * used).sum(axis=1)
+        return (error[patterns] * weights).sum(axis=1)
 
     # Largest eigenvalue by power iteration: the step size.
     x = np.ones(len(patterns))
     largest = 1.0
-    for _ in range(12):
+    for _ in range(20):
         x = gradient(lengths(x))
         largest = np.linalg.norm(x)
         x /= largest
+    wanted = histogram * weight
     x = np.zeros(len(patterns))
     y, t = x, 1.0
-    for _ in range(STEPS):
-        new = np.maximum(0, y - gradient(lengths(y) - histogram) / (1.05 * largest))
+    for _ in range(steps):
+        new = np.maximum(0, y - gradient(lengths(y) - wanted) / (1.05 * largest))
         s = (1 + np.sqrt(1 + 4 * t * t)) / 2
         y = new + (t - 1) / s * (new - x)
         x, t = new, s
     return x
 
 
+def favoured(patterns: np.ndarray, fitted: np.ndarray) -> np.ndarray:
+    """Of each longest class the patterns used most, in their order."""
+    order = np.lexsort((-fitted, -patterns[:, 0]))
+    start = np.searchsorted(-patterns[order, 0], -patterns[order, 0])
+    kept = order[(np.arange(len(order)) - start < FAVOURED) & (fitted[order] > 0)]
+    return patterns[np.sort(kept)]
+
+
+def whole_counts(patterns: np.ndarray, fitted: np.ndarray, classes: np.ndarray) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns of classes with rounded counts that ``classes`` can serve, longest pieces first.
+
+    Rounding carries its error on to the next pattern of the same longest class. Where the
+    shortest pieces have run out the pattern is used with the two longest.
+    """
+    left = classes.copy()
+    plan = []
+    longest = patterns[:, 0]
+    wanted = np.zeros(len(patterns), np.int64)
+    starts = np.flatnonzero(np.diff(longest, prepend=-1))
+    for first, end in zip(starts, np.append(starts[1:], len(patterns)), strict=True):
+        wanted[first:end] = np.diff(np.floor(np.cumsum(fitted[first:end]) + 0.5), prepend=0)
+    for k in np.flatnonzero(wanted):
+        pattern = tuple(int(c) for c in patterns[k] if c)
+        n = int(wanted[k])
+        for part in (pattern, pattern[:2]):
+            times = min(n, *(int(left[c]) // part.count(c) for c in set(part)))
+            if times:
+                for c in part:
+                    left[c] -= times
+                plan.append((part, times))
+                n -= times
+    return plan
+
+
 def pack_histogram(histogram: np.ndarray, max_length: int = MAX_LENGTH) -> list[tuple[tuple[int, ...], int]]:
     """Patterns with repeat counts that use up ``histogram`` (index: length) exactly."""
     left = histogram.astype(np.int64).copy()
@@ -119,13 +162,11 @@ def pack_histogram(histogram: np.ndarray, max_length: int = MAX_LENGTH) -> list[
         classes = np.bincount(np.minimum(-(-np.arange(len(left)) // grain), size), weights=left, minlength=size + 1).astype(np.int64)
     patterns = full_patterns(np.flatnonzero(classes), size)
     if len(patterns):
-        fitted = fit_counts(patterns, classes.astype(float))
-        # Rounding carries its error on to the next pattern, which has nearly the same lengths.
-        ends = np.floor(np.cumsum(fitted) + 0.5)
-        rounded = np.diff(ends, prepend=0).astype(np.int64)
-        for k in np.flatnonzero(rounded):
-            plan += _use(tuple(int(c) for c in patterns[k] if c), int(rounded[k]), left, grain)
-    return plan + best_fit(left, max_length)
+        patterns = favoured(patterns, fit_counts(patterns, classes.astype(float), STEPS))
+        fitted = fit_counts(patterns, classes.astype(float), LAST_STEPS)
+        for pattern, times in whole_counts(patterns, fitted, classes):
+            plan += _use(pattern, times, left, grain)
+    return best_fit(left, max_length, plan)
 
 
 def _use(classes: tuple[int, ...], wanted: int, left: np.ndarray, grain: int) -> list[tuple[tuple[int, ...], int]]:
@@ -148,10 +189,14 @@ def _use(classes: tuple[int, ...], wanted: int, left: np.ndarray, grain: int) ->
     return made
 
 
-def best_fit(left: np.ndarray, max_length: int) -> list[tuple[tuple[int, ...], int]]:
-    """Best-fit decreasing on a histogram: equal sequences are moved together."""
+def best_fit(left: np.ndarray, max_length: int, plan: list[tuple[tuple[int, ...], int]] = ()) -> list[tuple[tuple[int, ...], int]]:
+    """Best-fit decreasing on a histogram, into the sequences of ``plan`` and new ones: equal sequences are moved together."""
     open_by_space: dict[int, list[list]] = {}
     spaces = 0  # bit s is set while a sequence with s free places is open
+    for pattern, times in plan:
+        space = max_length - sum(pattern)
+        open_by_space.setdefault(space, []).append([pattern, times])
+        spaces |= 1 << space
     for length in np.flatnonzero(left)[::-1]:
         n, length = int(left[length]), int(length)
         while n:
