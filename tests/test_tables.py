@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tideline.functions.expr import parse_iso8601
 from tideline.operators import chunks, latest, tables
 from tideline.session import configure, shared_dir
 from tideline.sources import tables as table_io
@@ -99,21 +100,51 @@ def test_latest_limits_groups_before_the_shuffle(frame):
     assert "WindowGroupLimit" in plan and plan.rindex("hashpartitioning") < partial
 
 
-def test_large_groups_are_split_into_buckets(spark):
+def test_large_groups_keep_their_order(spark):
     rows = spark.range(1000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', id % 100) END AS g")
-    chunked = chunks.chunk_rows(rows, 7, ["g"], [F.asc("id")], ["id"], rows_per_bucket=50)
-    numbered = chunked.collect()
-    assert len(numbered) == 1000
-    sizes, buckets = {}, {}
-    for row in numbered:
-        key = (row["g"], row["bucket_no"], row["chunk_no"])
-        sizes[key] = sizes.get(key, 0) + 1
-        buckets.setdefault(row["g"], set()).add(row["bucket_no"])
-    assert max(sizes.values()) == 7
-    assert len(buckets["hot"]) == 7 and all(len(b) == 1 for g, b in buckets.items() if g != "hot")
-    collected = chunks.collect_chunks(chunked, ["g"], {"ids": F.col("id")})
-    assert sorted(i for row in collected.collect() for i in row["ids"]) == list(range(1000))
-    assert all(row["ids"] == sorted(row["ids"]) for row in collected.collect())
+    chunked = chunks.chunk_rows(rows.repartition(5), 7, ["g"], [F.desc("id")], ["id"])
+    numbered = {(row["g"], row["row_no"]): (row["id"], row["chunk_no"]) for row in chunked.collect()}
+    groups = {}
+    for row in rows.orderBy(F.desc("id")).collect():
+        groups.setdefault(row["g"], []).append(row["id"])
+    assert numbered == {(g, k + 1): (i, k // 7) for g, ids in groups.items() for k, i in enumerate(ids)}
+    collected = chunks.collect_chunks(chunked, ["g"], {"ids": F.col("id")}).collect()
+    assert {(r["g"], r["chunk_no"]): r["ids"] for r in collected} == {
+        (g, k // 7): ids[k : k + 7] for g, ids in groups.items() for k in range(0, len(ids), 7)
+    }
+
+
+def test_groups_of_a_million_rows_are_one_list(spark):
+    rows = spark.range(1_200_000).selectExpr("id", "IF(id % 4 = 0, NULL, 'hot') AS g")
+    chunked = chunks.chunk_rows(rows, chunks.ONE_LIST, ["g"], [F.asc("id")], ["id"])
+    wrong = chunked.filter("chunk_no <> 0 OR row_no <> IF(g IS NULL, id DIV 4 + 1, id - id DIV 4)")
+    assert chunked.count() == 1_200_000 and wrong.count() == 0
+
+
+def test_tables_with_map_columns(frame):
+    target = frame("k string, m map<string,int>", ("a", {"x": 1}), ("b", {"y": 2}), (None, {"z": 3}))
+    batch = frame("k string, m map<string,int>", ("b", {"y": 9}), ("c", {}), (None, {"n": 1}))
+    changed = tables.upsert(target, batch, ["k"], ["m"])
+    expected = [("a", {"x": 1}), ("b", {"y": 9}), ("c", {}), (None, {"n": 1}), (None, {"z": 3})]
+    assert sorted(((r["k"], r["m"]) for r in changed.collect()), key=str) == sorted(expected, key=str)
+    kept = tables.purge(target, frame("k string", ("a",), (None,)), [("k", "k")])
+    assert {r["k"] for r in kept.collect()} == {"b", None}
+
+
+def test_a_key_twice_in_the_batch_fails(frame):
+    target, batch = frame("k int, v int", (1, 1)), frame("k int, v int", (2, 1), (2, 2))
+    with pytest.raises(Exception, match="key held twice"):
+        tables.upsert(target, batch, ["k"], ["v"]).collect()
+
+
+def test_times_that_are_none_fail(frame):
+    rows = frame("t string", ("2024-01-02T03:04:05.250Z",), ("2024-01-02T03:04:05+01:00",), (None,))
+    assert rows.select(parse_iso8601("t").cast("string")).toPandas().iloc[:, 0].dropna().tolist() == [
+        "2024-01-02 03:04:05.25", "2024-01-02 02:04:05",
+    ]
+    for wrong in ("2024", "2024-13-02T00:00:00Z", "soon"):
+        with pytest.raises(Exception, match="not an ISO-8601 time"):
+            frame("t string", (wrong,)).select(parse_iso8601("t")).collect()
 
 
 def test_versioned_table(spark, frame):

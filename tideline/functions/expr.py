@@ -50,8 +50,12 @@ def iso8601(ts) -> Column:
 
 
 def parse_iso8601(text) -> Column:
-    """Timestamp of an ISO-8601 text with optional fraction; null where it is none."""
-    return _col(text).try_cast("timestamp")
+    """Timestamp of an ISO-8601 text with optional fraction; null for null, any other text fails the job."""
+    text = _col(text)
+    shape = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})$"
+    moment = F.when(text.rlike(shape), text.try_cast("timestamp"))
+    wrong = F.raise_error(F.concat(F.lit("not an ISO-8601 time: "), text)).cast("timestamp")
+    return F.when(text.isNotNull(), F.coalesce(moment, wrong))
 
 
 def empty_to_null(text) -> Column:

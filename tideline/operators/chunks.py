@@ -9,50 +9,38 @@ from pyspark.sql import functions as F
 
 from ..session import materialized
 
-ROWS_PER_BUCKET = 1_000_000
-#: As size and rows per bucket: one list per group, in its order, whatever its length.
+#: As size: one list per group, in its order, whatever its length.
 ONE_LIST = (1 << 31) - 1
 
 
 def chunk_rows(
-    df: DataFrame,
-    size: int | Column,
-    group: Sequence[str],
-    order: Sequence[Column],
-    spread_by: Sequence[str],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    counted: DataFrame | None = None,
+    df: DataFrame, size: int | Column, group: Sequence[str], order: Sequence[Column], spread_by: Sequence[str]
 ) -> DataFrame:
-    """Adds ``bucket_no``, ``row_no`` and ``chunk_no``; a (group, bucket, chunk) has at most ``size`` rows.
+    """Adds ``row_no`` and ``chunk_no``: the rows of a group from 1 in their order, and chunks of ``size`` rows.
 
-    A group of up to ``rows_per_bucket`` rows is one bucket and its chunks follow the
-    order. A larger group is hashed by ``spread_by`` (columns that tell its rows
-    apart) into as many buckets as it needs, so no task sorts a whole large group.
-
-    The rows are read twice, to count and to number them. ``counted`` gives the group
-    columns of the same rows where those are cheaper to get; otherwise the rows are
-    written first.
+    The rows are sorted by group and order into ranges of about equal size, however
+    large a group is, and written once: a row's number is its place in its range plus
+    the rows that earlier ranges hold of its group. Only these counts, one per range
+    and group in it, are summed up. ``spread_by`` (columns that tell the rows apart)
+    orders ties, so that a range can end between them.
     """
-    rows = materialized(df, "chunk-rows") if counted is None else df
-    counted = rows if counted is None else counted
-    # At most (all rows / rows_per_bucket) groups are large: a list Spark can broadcast.
-    large = (
-        counted.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group])
-        .agg(F.ceil(F.count(F.lit(1)) / F.lit(rows_per_bucket)).alias("_buckets"))
-        .filter(F.col("_buckets") > 1)
+    keys = [*[F.asc(g) for g in group], *order, *[F.asc(c) for c in spread_by]]
+    ranges = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = {"_range": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}
+    rows = materialized(ranges.withColumns(placed), "chunk-rows")
+    counts = rows.groupBy(*[F.col(g).alias(f"_g_{g}") for g in group], F.col("_range").alias("_r")).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")
     )
-    same = None
+    earlier = Window.partitionBy(*[f"_g_{g}" for g in group]).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).drop("_rows")
+    same = F.col("_range") == F.col("_r")
     for g in group:
-        equal = F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-        same = equal if same is None else same & equal
-    bucket = F.pmod(F.xxhash64(*spread_by), F.coalesce("_buckets", F.lit(1)))
-    spread = rows.join(large, same, "left").withColumn("bucket_no", bucket)
-    # Without this the window would run on the partitioning of the join, by group alone.
-    spread = spread.repartition(*group, "bucket_no")
-    window = Window.partitionBy(*group, "bucket_no").orderBy(*order)
-    numbered = spread.withColumn("row_no", F.row_number().over(window).cast("bigint"))
+        same &= F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    row_no = (F.col("_before") + F.col("_place") - F.col("_first") + 1).cast("bigint")
+    numbered = rows.join(counts, same).withColumn("row_no", row_no)
     chunk = F.floor((F.col("row_no") - 1) / (F.lit(size) if isinstance(size, int) else size))
-    return numbered.withColumn("chunk_no", chunk.cast("bigint")).drop("_buckets", *[f"_g_{g}" for g in group])
+    helpers = ["_range", "_place", "_r", "_first", "_before", *[f"_g_{g}" for g in group]]
+    return numbered.withColumn("chunk_no", chunk.cast("bigint")).drop(*helpers)
 
 
 def collect_chunks(df: DataFrame, group: Sequence[str], items: dict[str, Column]) -> DataFrame:
@@ -63,10 +51,10 @@ def collect_chunks(df: DataFrame, group: Sequence[str], items: dict[str, Column]
     """
     packed = F.struct("row_no", *[column.alias(f"_{name}") for name, column in items.items()])
     ordered = F.array_sort(F.collect_list(packed))
-    rows = df.groupBy(*group, "bucket_no", "chunk_no").agg(ordered.alias("_items"))
+    rows = df.groupBy(*group, "chunk_no").agg(ordered.alias("_items"))
     arrays = [_field_array(f"_{name}").alias(name) for name in items]
     row_count = F.size("_items").cast("bigint").alias("row_count")
-    return rows.select(*group, "bucket_no", "chunk_no", row_count, *arrays)
+    return rows.select(*group, "chunk_no", row_count, *arrays)
 
 
 def at_most(lists: DataFrame, limit: int | None) -> DataFrame:

@@ -72,9 +72,13 @@ def interval_plan(
 
 
 def tag_batches(df: DataFrame, ts_col: str, plan: DataFrame) -> DataFrame:
-    """Rows of ``df`` that fall into an interval of the plan, with its bounds."""
+    """Rows of ``df`` that fall into an interval of the plan, with its bounds.
+
+    The least start and the greatest end reach the scan.
+    """
     bounds = plan.select("batch_start", "batch_end", F.to_date("batch_start").alias("_batch_day"))
     ts = F.col(ts_col)
+    df = df.filter((ts >= plan.select(F.min("batch_start")).scalar()) & (ts < plan.select(F.max("batch_end")).scalar()))
     matches = (
         (F.to_date(ts) == F.col("_batch_day"))
         & (ts >= F.col("batch_start"))

@@ -7,7 +7,7 @@ a null key matches nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +16,6 @@ from ..functions.expr import as_timestamp
 from .checks import not_null
 from .latest import latest_per_key
 
-NULL_KEY_BUCKETS = 256
-
 
 def newer_than_target(source: DataFrame, target: DataFrame, ts_col: str, default_since) -> DataFrame:
     """Rows of ``source`` after the latest time in ``target``, or after ``default_since``
@@ -38,9 +36,14 @@ def range_replace(target: DataFrame, batch: DataFrame, key: str, required: Seque
 
 
 def key_replace(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Drop the target's rows whose key occurs in the batch, then add the batch."""
-    keys = batch.select(key).distinct()
-    return target.join(keys, key, "left_anti").unionByName(batch, allowMissingColumns=True)
+    """Drop the target's rows whose key occurs in the batch, then add the batch.
+
+    ``key`` has few values, as days have: those of the batch are one array, so the
+    target's rows are filtered where they are and a hot key moves nothing.
+    """
+    held = batch.select(F.collect_set(key)).scalar()
+    replaced = F.coalesce(F.array_contains(held, F.col(key)), F.lit(False))
+    return target.filter(~replaced).unionByName(batch, allowMissingColumns=True)
 
 
 def full_refresh(batch: DataFrame, columns: Sequence[str], loaded_at, loaded_at_col: str) -> DataFrame:
@@ -49,16 +52,27 @@ def full_refresh(batch: DataFrame, columns: Sequence[str], loaded_at, loaded_at_
     return batch.select(*texts, as_timestamp(loaded_at).alias(loaded_at_col))
 
 
-def _joinable(key: Column, row_columns: Iterable[str], side: str = "target") -> Column:
-    """The key as text; null keys get texts the other side does not hold, spread over
-    many partitions so that a large share of null keys is no hot partition."""
-    bucket = F.pmod(F.xxhash64(*row_columns), F.lit(NULL_KEY_BUCKETS)).cast("string")
-    return F.coalesce(key.cast("string"), F.concat(F.lit(f"\u0000{side}-"), bucket))
+def _joinable(key: Column, side: str = "target") -> Column:
+    """The key as text; null keys get texts the other side does not hold, one per input
+    partition, so that a large share of null keys is no hot partition."""
+    return F.coalesce(key.cast("string"), F.concat(F.lit(f"\u0000{side}-"), F.spark_partition_id().cast("string")))
 
 
 def _with_join_keys(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
-    names = list(df.columns)
-    return df.withColumns({f"_key_{i}": _joinable(F.col(key), names, side) for i, key in enumerate(keys)})
+    return df.withColumns({f"_key_{i}": _joinable(F.col(key), side) for i, key in enumerate(keys)})
+
+
+def _single(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows; a key without nulls that is held twice fails the job."""
+    known = F.lit(True)
+    for key in keys:
+        known &= F.col(key).isNotNull()
+    rows = batch.filter(known).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.first(F.struct(*batch.columns)).alias("_row")
+    )
+    twice = F.raise_error(F.concat(F.lit("key held twice by the batch: "), F.to_json(F.struct(*keys))))
+    once = rows.filter(F.when(F.col("_rows") > 1, twice.cast("boolean")).otherwise(F.lit(True)))
+    return once.select("_row.*").unionByName(batch.filter(~known))
 
 
 def upsert(
@@ -70,11 +84,11 @@ def upsert(
 ) -> DataFrame:
     """Update matching rows, insert the others.
 
-    ``insert_only_cols`` are set for new rows and kept for old ones. The batch must
-    hold a key once.
+    ``insert_only_cols`` are set for new rows and kept for old ones. A key that the
+    batch holds twice fails the job; a null key matches nothing.
     """
     old = _with_join_keys(target, keys, "target").withColumn("_in_target", F.lit(True)).alias("t")
-    new = _with_join_keys(batch, keys, "batch").withColumn("_in_batch", F.lit(True)).alias("b")
+    new = _with_join_keys(_single(batch, keys), keys, "batch").withColumn("_in_batch", F.lit(True)).alias("b")
     condition = None
     for i in range(len(keys)):
         equal = F.col(f"t._key_{i}") == F.col(f"b._key_{i}")
@@ -107,12 +121,12 @@ def purge(
     OR and run as one anti-join each: an OR condition would compare every row with
     every key. ``only_if`` restricts the deletion to rows where it holds.
     """
+    names = list(target.columns)
     for expression, key_col in pairs:
         own = F.col(expression) if isinstance(expression, str) else expression
         if only_if is not None:
             own = F.when(only_if, own)
-        names = list(target.columns)
-        left = target.withColumn("_purge_key", _joinable(own, names))
+        left = target.withColumn("_purge_key", _joinable(own))
         right = keys.filter(F.col(key_col).isNotNull()).select(F.col(key_col).cast("string").alias("_purge_key"))
         target = left.join(right, "_purge_key", "left_anti").select(*names)
     return target

@@ -20,6 +20,17 @@ def explode_tiles(df: DataFrame, array_col: str = "tiles") -> DataFrame:
     )
 
 
+def placed_tiles(array_col: str, positions: list[int]) -> Column:
+    """Id and position of the tiles at the given positions, for :func:`explode_tiles`.
+
+    It shrinks a ping to what a job reads before the ping is shuffled.
+    """
+    placed = F.transform(
+        array_col, lambda tile, at: F.struct(tile["id"].alias("id"), F.coalesce(tile["pos"], at).alias("pos"))
+    )
+    return F.filter(placed, lambda tile: tile["pos"].isin(positions))
+
+
 def slim_events(events: Column | str, category: str, names: list[str], extras: dict[str, Column] | None = None):
     """Array of just the wanted events, reduced to their name and the given extras.
 

@@ -247,7 +247,6 @@ def all_candidate_sets(
     return joined.select(
         F.col("candidate_set_id").alias("id"),
         "name",
-        F.coalesce("bucket_no", F.lit(0)).alias("bucket_no"),
         F.coalesce("chunk_no", F.lit(0)).alias("chunk_no"),
         too_few.cast("bigint").alias("item_count"),
         iso8601(as_timestamp(as_of)).alias("unloaded_at"),

@@ -88,14 +88,11 @@ def user_impressions(
     # The union of "often" and "long ago" without its duplicates is one OR over unique rows.
     long_ago = F.col("first_impression_time") < today - F.expr(f"INTERVAL {int(max_age_days)} DAYS")
     listed = per_item.filter((F.col("impression_count") > max_count) | long_ago)
-    chunked = chunk_rows(
-        listed, ONE_LIST, ["hashed_user_id"], [F.asc("corpus_item_id")], ["corpus_item_id"], rows_per_bucket=ONE_LIST
-    )
+    chunked = chunk_rows(listed, ONE_LIST, ["hashed_user_id"], [F.asc("corpus_item_id")], ["corpus_item_id"])
     rows = collect_chunks(chunked, ["hashed_user_id"], {"ids": F.col("corpus_item_id").cast("string")})
     rows = at_most(rows, max_ids)
     return rows.select(
         "hashed_user_id",
         iso8601(today).alias("updated_at"),
         F.concat(F.lit("["), F.array_join("ids", ","), F.lit("]")).alias("corpus_ids"),
-        F.col("bucket_no").alias("part"),
     )

@@ -15,7 +15,7 @@ from ..functions.expr import as_timestamp, day_of, feed_name, flag_on, major_ver
 from ..operators.counting import distinct_flag_counts, sum_when
 from ..operators.intervals import in_interval, month_lookback, rolling_days
 from ..operators.latest import latest_per_key
-from ..operators.unnest import explode_tiles
+from ..operators.unnest import explode_tiles, placed_tiles
 
 TS = "submission_timestamp"
 
@@ -133,16 +133,21 @@ def _unique_engagement(pings: DataFrame, spoc_tiles: DataFrame, period: Column,
     )
     both_on = flag_on("user_prefs", fv.FLAG_SECTION) & flag_on("user_prefs", fv.FLAG_SPONSORED)
     sponsored = F.col("type") == fv.SPONSORED_TYPE
+    # What a client did with a tile in a period is folded before the tiles are joined.
+    folded = (
+        counts.groupBy(period.alias("happened_at"), "feed_name", "client_id", "tile_id", both_on.alias("both_on"))
+        .agg(F.max(F.col("impressions") > 0).alias("viewed"), F.max(F.col("clicks") > 0).alias("clicked"))
+    )
     # Whether a tile is sponsored is all the distinct counts need, so several entries
     # of one tile are folded and the join cannot multiply rows.
     tile_types = (
         spoc_tiles.filter(sponsored).select("tile_id").distinct().withColumn("is_spoc", F.lit(True))
     )
-    joined = counts.join(tile_types, "tile_id", "left")
-    viewed, clicked = F.col("impressions") > 0, F.col("clicks") > 0
+    joined = folded.join(tile_types, "tile_id", "left")
+    viewed, clicked, both_on = F.col("viewed"), F.col("clicked"), F.col("both_on")
     is_spoc = F.col("is_spoc").isNotNull()
     return distinct_flag_counts(
-        joined.withColumn("happened_at", period),
+        joined,
         ["happened_at", "feed_name"],
         "client_id",
         {
@@ -221,12 +226,11 @@ def daily_spoc_fill_rate_legacy(pings: DataFrame, spoc_tiles: DataFrame, start,
         _with_feed(pings.filter(in_interval(TS, start, end))),
         keep,
         tie_break,
-        {"tiles": F.col("tiles"), "feed_name": F.col("_feed")},
+        {"tiles": placed_tiles("tiles", [0, *fv.SPONSORED_POSITIONS]), "feed_name": F.col("_feed")},
     )
     tiles = explode_tiles(_deduplicated(prepared, tie_break).withColumnRenamed("_day", "happened_at"))
     per_tile = (
-        tiles.filter(F.col("position").isin([0, *fv.SPONSORED_POSITIONS]))
-        .groupBy("happened_at", "feed_name", "tile_id", "position")
+        tiles.groupBy("happened_at", "feed_name", "tile_id", "position")
         .agg(F.count(F.lit(1)).alias("impressions"))
     )
     # A tile listed several times counts that often, as a plain left join would have

@@ -124,8 +124,8 @@ def _wanted() -> dict[str, Column]:
     }
 
 
-def _inline_items(deltas: DataFrame, environment: str, parts: dict[str, tuple[Column, Column]] | None) -> DataFrame:
-    """One row per item: step, endpoint, group and, where given, its JSON parts."""
+def _inline_items(deltas: DataFrame, environment: str, parts: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """One row per item: step, endpoint, group and its JSON parts."""
 
     def item(kind: str, wanted: Column) -> Column:
         step, endpoint = _STEPS[kind]
@@ -134,14 +134,12 @@ def _inline_items(deltas: DataFrame, environment: str, parts: dict[str, tuple[Co
             F.lit(endpoint).alias("endpoint"),
             (_subscription_group(environment) if kind == "subscribe" else F.lit("")).alias("subscription_group_id"),
         ]
-        if parts:
-            main, extra = parts[kind]
-            fields += [main.alias("main"), extra.alias("extra")]
+        main, extra = parts[kind]
+        fields += [main.alias("main"), extra.alias("extra")]
         return F.when(F.coalesce(wanted, F.lit(False)), F.struct(*fields))
 
     items = F.array_compact(F.array(*[item(kind, wanted) for kind, wanted in _wanted().items()]))
-    kept = ["event_id", "loaded_at"] if parts else []
-    return deltas.select(*kept, F.inline(items))
+    return deltas.select("event_id", "loaded_at", F.inline(items))
 
 
 def _json_string(column: Column, wanted: Column) -> Column:
@@ -180,8 +178,7 @@ def user_delta_payloads(deltas: DataFrame, environment: str = "production") -> D
     items = delta_items(deltas, environment)
     limit = F.when(F.col("step") == _STEPS["track"][0], fv.TRACK_LIMIT).otherwise(fv.OTHER_LIMIT)
     order = [F.asc("loaded_at"), F.asc("event_id")]
-    counted = _inline_items(deltas, environment, None)
-    chunked = chunk_rows(items, limit, _GROUP, order, ["event_id"], counted=counted)
+    chunked = chunk_rows(items, limit, _GROUP, order, ["event_id"])
     rows = collect_chunks(chunked, _GROUP, {"main": F.col("main"), "extra": F.col("extra")})
 
     def listed(column: str) -> Column:
@@ -211,8 +208,8 @@ def user_delta_payloads(deltas: DataFrame, environment: str = "production") -> D
         .when(step == 4, body(named("attributes", "main"), named("events", "extra")))
         .otherwise(body(named("external_ids", "main")))
     )
-    return rows.select(*_GROUP, "bucket_no", "chunk_no", "row_count", payload.alias("payload"))
+    return rows.select(*_GROUP, "chunk_no", "row_count", payload.alias("payload"))
 
 
 def ordered_payloads(payloads: DataFrame) -> DataFrame:
-    return payloads.orderBy("step", "subscription_group_id", "bucket_no", "chunk_no")
+    return payloads.orderBy("step", "subscription_group_id", "chunk_no")

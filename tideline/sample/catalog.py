@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as fv
-from ..functions.expr import as_timestamp, iso8601
+from ..functions.expr import as_timestamp, iso8601, parse_iso8601
 from ..operators import chunks, counting, intervals, latest, setops, tables, unnest
 from ..plans import articles, backend_events, candidates, engagement, feeds, legacy_candidates, publisher
 from ..plans import retention, revenue, score, telemetry_legacy, telemetry_nested, user_sync
@@ -334,7 +334,7 @@ def candidate_configs(v):
 
 @_query
 def candidate_set_json(v):
-    return candidates.all_candidate_sets(v.approved(), v.scheduled(), v.topics(), AS_OF).drop("bucket_no", "chunk_no")
+    return candidates.all_candidate_sets(v.approved(), v.scheduled(), v.topics(), AS_OF).drop("chunk_no")
 
 
 @_query
@@ -782,7 +782,7 @@ def chunk_rows(v):
 def iso_times(v):
     """Time texts and their way back."""
     rows = v.table("events").select("event_id", iso8601(F.col("ts").cast("timestamp")).alias("iso"))
-    return rows.withColumn("parsed", F.col("iso").try_cast("timestamp"))
+    return rows.withColumn("parsed", parse_iso8601("iso"))
 
 
 # --- streaming -------------------------------------------------------------------------

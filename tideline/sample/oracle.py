@@ -322,8 +322,7 @@ def _features() -> dict[str, str]:
             listed AS (SELECT * FROM prep WHERE impression_count > 9 UNION
                        SELECT * FROM prep WHERE first_time < TIMESTAMP '2024-01-31' - INTERVAL 14 DAYS)
             SELECT hashed_user_id, '2024-01-31T00:00:00Z' AS updated_at,
-                   '[' || string_agg(DISTINCT corpus_item_id, ',' ORDER BY corpus_item_id) || ']' AS corpus_ids,
-                   0::BIGINT AS part
+                   '[' || string_agg(DISTINCT corpus_item_id, ',' ORDER BY corpus_item_id) || ']' AS corpus_ids
             FROM listed GROUP BY 1""",
         "corpus_item_engagement": with_views("trailing_by_item") + f"""
             SELECT surface_configuration_item_key AS key, strftime(updated_at_day, '{_ISO}') AS updated_at,

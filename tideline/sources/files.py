@@ -112,7 +112,16 @@ def landed_pages(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema("data ARRAY<MAP<STRING, STRING>>").option("multiLine", "true").json(path)
 
 
-def jdbc_table(spark: SparkSession, url: str, query: str, batch_size: int = 100_000, **options) -> DataFrame:
-    """A query of a database, fetched in batches."""
-    reader = spark.read.format("jdbc").option("url", url).option("query", query)
+def jdbc_table(
+    spark: SparkSession, url: str, query: str, batch_size: int = 100_000,
+    partition_by: str | None = None, lower=None, upper=None, partitions: int | None = None, **options,
+) -> DataFrame:
+    """A query of a database, fetched in batches.
+
+    With ``partition_by``, a numeric, date or time column of the query, and the bounds of
+    its values, ``partitions`` tasks read a range each; the bounds leave no row out.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) AS source_rows")
+    if partition_by is not None:
+        reader = reader.options(partitionColumn=partition_by, lowerBound=lower, upperBound=upper, numPartitions=partitions)
     return reader.option("fetchsize", batch_size).options(**options).load()

@@ -75,10 +75,10 @@ def item_messages(
 
     A set is one message; one of more than ``max_items`` items, if given, fails the job.
     """
-    chunked = chunk_rows(items, ONE_LIST, [set_col], order, spread_by, rows_per_bucket=ONE_LIST)
+    chunked = chunk_rows(items, ONE_LIST, [set_col], order, spread_by)
     collected = at_most(collect_chunks(chunked, [set_col], {"items": item}), max_items)
     text = F.to_json("items", {"ignoreNullFields": "false"})
-    return collected.select(set_col, "bucket_no", "chunk_no", "row_count", text.alias("items_json"))
+    return collected.select(set_col, "chunk_no", "row_count", text.alias("items_json"))
 
 
 def candidate_messages(
@@ -106,7 +106,7 @@ def candidate_messages(
         F.col("id").alias("item_id"), F.col("publisher"), feed_id.cast("bigint").alias("feed_id")
     )
     rows = items.withColumn("candidate_set_id", checked)
-    chunked = chunk_rows(rows, ONE_LIST, ["candidate_set_id"], order, spread_by, rows_per_bucket=ONE_LIST)
+    chunked = chunk_rows(rows, ONE_LIST, ["candidate_set_id"], order, spread_by)
     collected = at_most(collect_chunks(chunked, ["candidate_set_id"], {"candidates": item}), max_items)
     message = F.to_json(
         F.struct(
@@ -120,4 +120,4 @@ def candidate_messages(
         ),
         {"ignoreNullFields": "false"},
     )
-    return collected.select("candidate_set_id", "bucket_no", "chunk_no", "row_count", message.alias("message"))
+    return collected.select("candidate_set_id", "chunk_no", "row_count", message.alias("message"))
