@@ -30,7 +30,7 @@ _SUBSCRIPTION = "subscribe_to_newsletter_subscription_group_name"
 def clean_deltas(changes: DataFrame, last_offset, production: bool = True) -> DataFrame:
     """Changes loaded after the offset, cleaned; those that name no user are dropped.
 
-    Outside production the addresses are masked and the first 1000 changes taken.
+    Outside production the addresses are masked.
     """
     email = F.col("email")
     has_email = F.when((email == "") & F.col(fv.NEW_ALIAS_FLAG_COLUMN), F.lit(False)).otherwise(

@@ -377,7 +377,7 @@ def _deltas(v: Views, production: bool = True) -> DataFrame:
 
 @_query
 def user_deltas(v):
-    return _deltas(v).drop("happened_at")
+    return _deltas(v)
 
 
 @_query
@@ -392,8 +392,8 @@ def user_delta_offset(v):
 
 
 def _items(v: Views, step: int) -> DataFrame:
-    """Items of a step. Rows without a valid alias are dropped here; a real run fails on them."""
-    items = user_sync.delta_items(_deltas(v).filter("email IS NOT NULL OR NOT coalesce(has_email, false)"))
+    """Items of a step."""
+    items = user_sync.delta_items(_deltas(v))
     return items.filter(F.col("step") == step)
 
 
@@ -424,8 +424,7 @@ def delete_rows(v):
 
 @_query
 def user_delta_payloads(v):
-    deltas = _deltas(v).filter("email IS NOT NULL OR NOT coalesce(has_email, false)")
-    payloads = user_sync.user_delta_payloads(deltas)
+    payloads = user_sync.user_delta_payloads(_deltas(v))
     return payloads.select(
         "step", "endpoint", "subscription_group_id", "chunk_no", "row_count", F.md5("payload").alias("payload_md5")
     )
@@ -835,9 +834,7 @@ def stream_change_feed(v):
     raw = streams.file_stream(v.spark, v.sf_dir, schema, glob="events.parquet")
     columns = v.plain("user_changes").columns
     expressions = view_columns(SPARK)["user_changes"][1]
-    changes = raw.selectExpr(*[f"{expressions[c]} AS `{c}`" for c in columns]).filter(
-        f"email <> '' OR NOT coalesce({fv.NEW_ALIAS_FLAG_COLUMN}, false)"
-    )
+    changes = raw.selectExpr(*[f"{expressions[c]} AS `{c}`" for c in columns])
     out, checkpoint = shared_dir(v.spark, "changes"), shared_dir(v.spark, "changes-checkpoint")
     query = streams.change_feed_stream(changes, out, checkpoint, "production")
     query.awaitTermination()

@@ -606,7 +606,7 @@ def _user_sync() -> dict[str, str]:
                        is_premium, time_zone, country, {locale}, {group}, email_subscribe, {event}, {newsletter}, {frequency}
                 FROM user_changes WHERE loaded_at > TIMESTAMP '2024-01-10')
             WHERE NOT (email IS NULL AND external_id IS NULL)),
-        valid AS (SELECT * FROM deltas WHERE email IS NOT NULL OR NOT coalesce(has_email, FALSE))"""
+        valid AS (SELECT * FROM deltas)"""
 
     def compact(text: str) -> str:
         return f"CAST(json_merge_patch('{{}}'::JSON, {text}) AS VARCHAR)"
@@ -642,7 +642,9 @@ def _user_sync() -> dict[str, str]:
     items = f"{deltas}, items AS ({item})"
     names = ["alias", "identify"]
     result = {
-        "user_deltas": f"{deltas} SELECT * EXCLUDE (happened_at, loaded_at), {_stamp('loaded_at')} AS loaded_at FROM deltas",
+        "user_deltas": f"""{deltas}
+            SELECT * EXCLUDE (happened_at, loaded_at), {_stamp('loaded_at')} AS loaded_at, {_stamp('happened_at')} AS happened_at
+            FROM deltas""",
         "user_deltas_masked": with_views("user_changes") + f"""
             SELECT event_id, external_id, email, has_email FROM (
                 SELECT event_id, loaded_at, nullif(external_id, '') AS external_id,
@@ -680,7 +682,7 @@ def _user_sync() -> dict[str, str]:
                 SELECT event_id, loaded_at, happened_at, user_event_trigger, nullif(external_id, '') AS external_id,
                        nullif(email, '') AS email, CASE WHEN email = '' AND {flag} THEN FALSE ELSE {flag} END AS has_email,
                        is_premium, time_zone, country, {locale}, {group}, email_subscribe, {event}, {newsletter}, {frequency}
-                FROM user_changes WHERE email <> '' OR NOT coalesce({flag}, FALSE))
+                FROM user_changes)
             WHERE NOT (email IS NULL AND external_id IS NULL)), items AS ({item})
         SELECT step, endpoint, subscription_group_id, CAST(chunk_no AS BIGINT) AS chunk_no, count(*) AS row_count FROM (
             SELECT *, (row_number() OVER (PARTITION BY step, subscription_group_id ORDER BY loaded_at, event_id) - 1)
