@@ -57,3 +57,25 @@ def test_few_rows(spark):
     one = spark.createDataFrame([(0, [1.0, 0.0])], schema)
     assert neighbours.nearest_neighbours(one, F.col("vec_id") == 0).collect() == []
     assert neighbours.nearest_neighbours(one.limit(0), F.col("vec_id") == 0).collect() == []
+
+
+@pytest.mark.parametrize("shape", ["outlier", "lengths", "clusters"])
+def test_recall_where_one_scale_fails(spark, shape):
+    """One vector of norm 100 among unit ones, log-normal norms, and clusters of 1,000 near copies."""
+    draw = np.random.default_rng(5)
+    x = draw.standard_normal((6000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if shape == "outlier":
+        x[7] *= 100
+    elif shape == "lengths":
+        x *= np.exp(draw.standard_normal(len(x)))[:, None]
+    else:
+        x = np.repeat(x[:6], 1000, axis=0) + 0.001 * draw.standard_normal(x.shape)
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    found = found_of(neighbours.nearest_neighbours(vectors, F.col("vec_id") % 100 == 0))
+    recall = []
+    for q in range(0, len(x), 100):
+        score = x @ x[q]
+        score[q] = -np.inf
+        recall.append(len({*found[q]} & {*np.argsort(-score)[:20].tolist()}) / 20)
+    assert np.mean(recall) >= 0.95

@@ -3,8 +3,10 @@
 The graph starts from blocks of vectors that random hyperplanes do not part. Each round of
 NN-descent joins every vector with its neighbours and those it is a neighbour of: they are
 neighbours of neighbours, and pairs of them that beat what they have replace it. A query
-walks the graph from its entries: it opens the best vectors it knows, scores their
-neighbours, keeps the best, and so on. Equal vectors are one node of the graph.
+walks the graph from its entries and from the longest vectors: it opens the best vectors it
+knows, scores their neighbours, keeps the best, and so on. Links are the largest inner
+products, as the answers are; leaves of the trees go by direction alone, so that no vector's
+length moves the others. Equal vectors are one node of the graph.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ FIRST_LINKS = 24
 SAMPLE = 20_000
 #: Vectors a query remembers, those it opens in a round, and the rounds.
 BEAM, OPENED, STEPS = 128, 32, 5
+#: The longest vectors, which every query is scored against, as they have the largest products with most.
+LONGEST = 512
 NODES_PER_BLOCK = 512
 QUERIES_PER_BLOCK = 64
 _EDGE = "src bigint, dst bigint, score float, new boolean"
@@ -47,17 +51,31 @@ def usable(vectors: DataFrame) -> DataFrame:
     return rows if size is None else rows.filter(F.size("vec") == size["size"])
 
 
-def _matrix(column: pa.ChunkedArray, kind=np.int8) -> np.ndarray:
-    """Rows of a column of equally long byte strings as a matrix."""
-    parts = column.to_pylist()
-    return np.frombuffer(b"".join(parts), kind).reshape(len(parts), -1) if parts else np.zeros((0, 0), kind)
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    """Rows of a column of equally long byte strings, none null, as a matrix of floats."""
+    parts = [c for c in column.chunks if len(c)]
+    if not parts:
+        return np.zeros((0, 0), np.float32)
+    rows = []
+    for part in parts:
+        ends = np.frombuffer(part.buffers()[1], np.int32)[part.offset : part.offset + len(part) + 1]
+        rows.append(np.frombuffer(part.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(np.float32).reshape(len(part), -1))
+    return rows[0] if len(rows) == 1 else np.concatenate(rows)
 
 
-def _codes(vec: np.ndarray, longest: float, scale: float, query: bool) -> np.ndarray:
-    """Vectors in one byte per component, lengthened to equal norms (queries by zero), so that the largest inner product is the least distance."""
-    norms = (vec * vec).sum(axis=1)
-    more = np.zeros(len(vec)) if query else np.sqrt(np.maximum(longest * longest - norms, 0))
-    return np.rint(np.concatenate([vec, more[:, None]], axis=1) * (127 / scale)).astype(np.int8)
+def _codes(vec: np.ndarray, longest: float) -> np.ndarray:
+    """Vectors as floats, the longest of length 1; a float keeps its precision however short a vector is beside it."""
+    return (vec / longest).astype(np.float32)
+
+
+def _directions(vec: np.ndarray) -> np.ndarray:
+    """Vectors of length 1; through their largest component first, so that no square is lost."""
+    vec = vec / np.abs(vec).max(axis=1, keepdims=True)
+    return (vec / np.sqrt((vec * vec).sum(axis=1, keepdims=True))).astype(np.float32)
+
+
+def _square(vec: str) -> Column:
+    return F.aggregate(vec, F.lit(0.0), lambda s, x: s + x * x)
 
 
 def _block(ids: Column | str, n: int, per: int) -> Column:
@@ -88,9 +106,9 @@ def _leaf(vec: np.ndarray, tree: tuple[np.ndarray, np.ndarray], depth: int) -> n
 class Index:
     """A graph over the vectors; see :func:`build`."""
 
-    def __init__(self, nodes: DataFrame, members: DataFrame, edges: DataFrame, n: int, longest: float, scale: float, leaf: Callable):
-        self.nodes, self.members, self.edges, self.n = nodes, members, edges, n
-        self.longest, self.scale, self.leaf = longest, scale, leaf
+    def __init__(self, vectors: DataFrame, nodes: DataFrame, members: DataFrame, edges: DataFrame, n: int, longest: float, leaf: Callable):
+        self.vectors, self.nodes, self.members, self.edges, self.n = vectors, nodes, members, edges, n
+        self.longest, self.leaf = longest, leaf
 
 
 def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 1) -> Index | None:
@@ -104,19 +122,14 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     named = rows.groupBy("vec").agg(F.min("vec_id").alias("id"))
     nodes = written(named, "nn-nodes")
     members = rows.join(nodes, "vec").select("vec_id", "id")
-    square = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
-    row = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(square).alias("square"), F.max(F.array_max(F.transform("vec", F.abs))).alias("top")).first()
+    row = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(_square("vec")).alias("square")).first()
     n = row["n"]
     if not n:
         return None
     longest = math.sqrt(row["square"])
-    # The added component is at most the longest norm less the shortest.
-    least = nodes.agg(F.min(square).alias("least")).first()["least"]
-    scale = max(row["top"], math.sqrt(max(row["square"] - least, 0.0)))
     share = min(1.0, SAMPLE / n)
     drawn = nodes.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).select("vec").limit(2 * SAMPLE)
-    sample = np.array([r["vec"] for r in drawn.collect()], np.float32)
-    sample = _codes(sample, longest, scale, False).astype(np.float32)
+    sample = _directions(np.array([r["vec"] for r in drawn.collect()], float))
     depth = max(0, min(math.ceil(math.log2(max(n / LEAF, 1))), int(math.log2(len(sample)))))
     trees = [_planes(sample, depth, seed + t) for t in range(TREES)]
     shared = vectors.sparkSession.sparkContext.broadcast(trees)
@@ -127,8 +140,8 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
             vec = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, -1)
             if not len(vec):
                 continue
-            code = _codes(vec, longest, scale, False)
-            leaves = np.stack([_leaf(code.astype(np.float32), tree, depth) for tree in shared.value], axis=1)
+            code, toward = _codes(vec, longest), _directions(vec)
+            leaves = np.stack([_leaf(toward, tree, depth) for tree in shared.value], axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(list(leaves), pa.list_(pa.int64()))],
                 ["id", "code", "leaves"],
@@ -137,7 +150,7 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     coded = written(nodes.select("id", "vec").mapInArrow(encode, "id bigint, code binary, leaves array<bigint>"), "nn-codes")
 
     def link(table: pa.Table) -> pa.Table:
-        ids, code = table.column("id").to_numpy(), _matrix(table.column("code")).astype(np.float32)
+        ids, code = table.column("id").to_numpy(), _matrix(table.column("code"))
         src, dst, score = [], [], []
         k = min(FIRST_LINKS, len(ids) - 1)
         for at in range(0, len(ids) if k else 0, 512):
@@ -154,7 +167,7 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     edges = _merged(exploded.groupBy("tree", "leaf", "deal").applyInArrow(link, _EDGE), n, degree)
     for turn in range(rounds):
         edges = _descend(edges, coded, n, degree, turn)
-    return Index(coded, members, edges, n, longest, scale, lambda code: _leaf(code.astype(np.float32), trees[0], depth))
+    return Index(nodes, coded, members, edges, n, longest, lambda vec: _leaf(_directions(vec), trees[0], depth))
 
 
 def _edges(src: list, dst: list, score: list) -> pa.Table:
@@ -213,7 +226,7 @@ def _descend(edges: DataFrame, coded: DataFrame, n: int, degree: int, turn: int)
             # A neighbour in both directions stands twice.
             fresh = np.logical_or.reduceat(fresh, np.flatnonzero(once))
             at = at[once]
-            near = code[at].astype(np.float32)
+            near = code[at]
             similar = near @ near.T
             pair = np.triu(fresh[:, None] | fresh[None, :], 1)
             for pairs, who in ((pair & (similar > least[at][:, None]), 0), (pair & (similar > least[at][None, :]), 1)):
@@ -233,20 +246,20 @@ def _descend(edges: DataFrame, coded: DataFrame, n: int, degree: int, turn: int)
     return _merged(old.union(found), n, degree)
 
 
-def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, opened: int = OPENED, steps: int = STEPS) -> DataFrame:
+def search(index: Index, queries: DataFrame, beam: int = BEAM, opened: int = OPENED, steps: int = STEPS) -> DataFrame:
     """Nearest nodes of every query (``query_id``, ``vec``, ``entry``: a node's id): ``query_id``, ``id``, ``score`` (approximate).
 
     Queries are walked in blocks of about :data:`QUERIES_PER_BLOCK` that enter near each
     other: the vectors their walks meet are fetched once for the block and scored for all of it.
     """
-    longest, scale, leaf = index.longest, index.scale, index.leaf
+    longest, leaf = index.longest, index.leaf
 
     def encode(batches):
         for batch in batches:
             vec = np.array(batch.column(1).to_pylist(), float).reshape(batch.num_rows, -1)
             if len(vec):
-                code = _codes(vec, longest, scale, True)
-                home = leaf(code)
+                code = _codes(vec, longest)
+                home = leaf(vec)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([c.tobytes() for c in code], pa.binary()), batch.column(2), pa.array(home)],
                     ["query_id", "code", "entry", "home"],
@@ -271,13 +284,13 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, open
         asking = known.filter(pa.array(is_query))
         names = asking.column("query_id").to_numpy()
         place = np.argsort(names)
-        codes = _matrix(asking.column("code")).astype(np.float32)
+        codes = _matrix(asking.column("code"))
         before = known.filter(pa.array(~is_query))
         who = place[np.searchsorted(names[place], before.column("query_id").to_numpy())] if before.num_rows else np.empty(0, np.int64)
         ids, old_score = before.column("id").to_numpy(), before.column("score").to_numpy()
         old_opened = before.column("opened").to_numpy()
         new_ids = met.column("id").to_numpy()
-        new_codes = _matrix(met.column("code")).astype(np.float32)
+        new_codes = _matrix(met.column("code"))
         out = []
         for q in range(len(names)):
             own = np.flatnonzero(who == q)
@@ -300,6 +313,8 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, open
     walked = None
     entered = coded.select(F.col("block").alias("of"), F.col("entry").alias("src"))
     met = entered.union(entered.join(links, "src").select("of", "dst")).toDF("of", "id")
+    longest_ones = index.vectors.select("id", _square("vec").alias("square")).orderBy(F.desc("square"), "id").limit(LONGEST).select("id")
+    met = met.union(coded.select("block").distinct().crossJoin(longest_ones))
     for _ in range(steps):
         vectors = met.distinct().join(index.nodes.select("id", "code"), "id").select("of", "id", "code")
         known = asking
@@ -308,8 +323,7 @@ def search(index: Index, queries: DataFrame, k: int = 20, beam: int = BEAM, open
         walked = written(known.groupBy("block").cogroup(vectors.groupBy("of")).applyInArrow(walk, state), "nn-walk")
         going = walked.filter("next").select(F.col("block").alias("of"), F.col("id").alias("src")).distinct()
         met = going.join(links, "src").select("of", F.col("dst").alias("id"))
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return walked.withColumn("place", best).filter(F.col("place") <= k).select("query_id", "id", "score")
+    return walked.select("query_id", "id", "score")
 
 
 def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
@@ -326,18 +340,20 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20) -> Data
     schema = "query_id bigint, rank int, vec_id bigint, score double"
     if index is None:
         return spark.createDataFrame([], schema)
-    rows = usable(vectors)
-    entry = rows.filter(queries).join(index.members, "vec_id").select(F.col("vec_id").alias("query_id"), "vec", F.col("id").alias("entry")).distinct()
+    entry = usable(vectors).filter(queries).join(index.members, "vec_id").select(F.col("vec_id").alias("query_id"), "vec", F.col("id").alias("entry")).distinct()
     entry = written(entry, "nn-asked")
+    # All that a walk remembers are scored exactly, by node, as equal vectors score alike.
+    found = search(index, entry, max(BEAM, 2 * k)).select("query_id", "id")
+    pairs = found.join(index.vectors.select("id", F.col("vec").alias("b")), "id")
+    pairs = pairs.join(entry.select("query_id", F.col("vec").alias("a")), "query_id")
+    product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+    exact = pairs.select("query_id", "id", product.alias("score"))
     # A node more than asked for: the query's own may hold no other row.
-    found = search(index, entry, 2 * k)
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    exact = exact.withColumn("place", best).filter(F.col("place") <= k + 1).drop("place")
     # A node gives its smallest ids: k and the query's own are enough.
     place = F.row_number().over(Window.partitionBy("id").orderBy("vec_id"))
     copies = index.members.distinct().withColumn("place", place).filter(F.col("place") <= k + 1).drop("place")
-    pairs = found.select("query_id", "id").join(copies, "id").filter("query_id <> vec_id").select("query_id", "vec_id")
-    exact = pairs.join(entry.select("query_id", F.col("vec").alias("a")), "query_id")
-    exact = exact.join(rows.dropDuplicates(["vec_id"]).select("vec_id", F.col("vec").alias("b")), "vec_id")
-    product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    scored = exact.select("query_id", "vec_id", product.alias("score"))
+    scored = exact.join(copies, "id").filter("query_id <> vec_id").select("query_id", "vec_id", "score")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
