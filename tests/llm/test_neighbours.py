@@ -79,3 +79,28 @@ def test_recall_where_one_scale_fails(spark, shape):
         score[q] = -np.inf
         recall.append(len({*found[q]} & {*np.argsort(-score)[:20].tolist()}) / 20)
     assert np.mean(recall) >= 0.95
+
+
+def test_no_part_of_a_leaf_is_large(spark, monkeypatch):
+    """Near copies fall on the same side of every plane: their leaf is dealt by its own size, others stay whole."""
+    monkeypatch.setattr(neighbours, "LEAF", 100)
+    draw = np.random.default_rng(3)
+    x = np.concatenate([np.ones((3000, 16)) + 1e-12 * draw.standard_normal((3000, 16)), draw.standard_normal((1000, 16))])
+    vectors = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id bigint, embedding array<double>")
+    parts = []
+    whole = neighbours._dealt
+
+    def dealt(exploded):
+        found = whole(exploded)
+        parts.extend(found.groupBy("tree", "leaf", "deal").count().collect())
+        return found
+
+    monkeypatch.setattr(neighbours, "_dealt", dealt)
+    assert neighbours.build(vectors).n == 4000
+    leaves = {}
+    for r in parts:
+        leaves[r["tree"], r["leaf"]] = leaves.get((r["tree"], r["leaf"]), 0) + r["count"]
+    assert sum(leaves.values()) == 4 * 4000 and max(leaves.values()) >= 1000
+    # Twice LEAF on average over the parts of a leaf, with room for the hash.
+    assert max(r["count"] for r in parts) <= 300
+    assert {r["leaf"] for r in parts if r["deal"]} != {r["leaf"] for r in parts}

@@ -114,8 +114,9 @@ class Index:
 def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed: int = 1) -> Index | None:
     """Indexes every usable row of ``vectors`` (``vec_id``, ``embedding``); None if there is none.
 
-    Hyperplanes are laid through a bounded sample; leaves that come out larger than twice
-    :data:`LEAF` are dealt to several by a hash, so no task's leaf grows with the data.
+    Hyperplanes are laid through a bounded sample. The leaves are counted, and each that came
+    out larger than twice :data:`LEAF` is dealt to as many parts as it needs by a hash, so no
+    task's leaf grows with the data, also where no plane parts near copies.
     """
     rows = usable(vectors)
     # Equal vectors are one node, named by the smallest id.
@@ -133,7 +134,6 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     depth = max(0, min(math.ceil(math.log2(max(n / LEAF, 1))), int(math.log2(len(sample)))))
     trees = [_planes(sample, depth, seed + t) for t in range(TREES)]
     shared = vectors.sparkSession.sparkContext.broadcast(trees)
-    dealt = max(1, math.ceil(n / (1 << depth) / (2 * LEAF)))
 
     def encode(batches):
         for batch in batches:
@@ -163,13 +163,19 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
         return _edges(src, dst, score)
 
     exploded = coded.select("id", "code", F.posexplode("leaves").alias("tree", "leaf"))
-    exploded = exploded.withColumn("deal", F.pmod(F.xxhash64("id", "tree"), F.lit(dealt)))
+    exploded = _dealt(exploded)
     edges = _merged(exploded.groupBy("tree", "leaf", "deal").applyInArrow(link, _EDGE), n, degree)
     for turn in range(rounds):
         edges = _descend(edges, coded, n, degree, turn)
     return Index(nodes, coded, members, edges, n, longest, lambda vec: _leaf(_directions(vec), trees[0], depth))
 
 
+def _dealt(exploded: DataFrame) -> DataFrame:
+    """Adds ``deal``: the part of its leaf that a row (``id``, ``tree``, ``leaf``) goes to, each leaf in as many as it needs."""
+    sizes = exploded.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2 * LEAF)).alias("parts"))
+    return exploded.join(sizes, ["tree", "leaf"]).withColumn("deal", F.pmod(F.xxhash64("id", "tree"), "parts")).drop("parts")
+
+
 def _edges(src: list, dst: list, score: list) -> pa.Table:
     if not src:
         return _EDGE_ARROW.empty_table()
