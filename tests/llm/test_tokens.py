@@ -43,6 +43,17 @@ def test_every_safe_character_alone():
                 assert [i for p in pieces for i in splitter.piece_ids(p)] == whole(text), hex(c)
 
 
+def test_every_safe_character_before_others():
+    for name in (BYTE_BPE, WORD_BPE):
+        splitter, whole = tokens.Splitter(tokenizer_path(name)), library(name)
+        for c in range(0x2100):
+            for after in ("'s", "'ll go", " 't", "  x", "x"):
+                for text in (f"it{chr(c)}{after}", f"x {chr(c)}{after}", f"{chr(c)}{chr(c)}{after}"):
+                    pieces = splitter.split(text)
+                    if pieces is not None:
+                        assert [i for p in pieces for i in splitter.piece_ids(p)] == whole(text), (hex(c), after)
+
+
 def test_counts(edge, empty, small):
     whole = library(BYTE_BPE)
     for docs in (edge, small):

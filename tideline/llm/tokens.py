@@ -44,7 +44,8 @@ def _byte_level() -> tuple[re.Pattern, re.Pattern]:
     letter, number = _class("L", 0x530), _class("N", 0x530)
     # Letters stand first: no other alternative can begin where they do.
     piece = rf" ?[{letter}]+| ?[{number}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s{letter}{number}]+|\s+(?!\S)|\s+"
-    return re.compile(piece), re.compile(r"[^\u0000-\u052f\u2010-\u205e]")
+    # The separators 28 to 31 are no white space in the library.
+    return re.compile(piece), re.compile(r"[^\u0000-\u001b\u0020-\u052f\u2010-\u205e]")
 
 
 @cache
