@@ -2,6 +2,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from tideline.plans.runner import Job, run_incremental, stored_offset
 from tideline.session import shared_dir
 from tideline.sources.tables import VersionedTable
@@ -80,6 +81,34 @@ def test_trailing_stream_matches_a_batch_window(spark):
     assert found == rows_of(expected.selectExpr("window.start AS window_start", "i", "o"))
 
 
+def test_trailing_query_has_every_window(spark):
+    """Also the windows that reach past the last event, against a batch window over the whole table."""
+    folder = "/root/testdata/sf0.001"
+    found = queries()["stream_trailing_engagement"](spark, folder)
+    day = F.window(F.col("ts").cast("timestamp"), "1 day", "6 hours")
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    wanted = events.groupBy(day.alias("w"), "event_type").agg(F.max(F.col("ts").cast("timestamp")).alias("u"))
+    assert rows_of(found, "window_start", "window_end", "kind", "updated_at") == rows_of(
+        wanted.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(c[-1]) for c in ("w.start", "w.end", "u")], "event_type"),
+        "t", "d", "event_type", "u",
+    )
+
+
+def test_newest_rows_over_batches(spark):
+    """A window changed by several micro-batches stands once, with the counts of them all."""
+    schema = "t timestamp, k string, n string, d string"
+    folder, out = shared_dir(spark, "several"), shared_dir(spark, "several-out")
+    for i, rows in enumerate([[("10:00", "a")], [("11:00", "b"), ("11:30", "a")], [("12:00", "c")]]):
+        batch = spark.createDataFrame([(f"2024-01-01 {t}:00", "r", "click", d) for t, d in rows], "t string, k string, n string, d string")
+        batch.selectExpr("CAST(t AS TIMESTAMP) AS t", "k", "n", "d").coalesce(1).write.mode("append").parquet(folder)
+    stream = streams.file_stream(spark, folder, schema, files_per_trigger=1)
+    windows = streams.trailing_engagement_stream(stream, "t", "k", "n", "d", slide="1 day", late="1 day")
+    streams.write_batches(windows, out, shared_dir(spark, "several-checkpoint"), mode="update").awaitTermination()
+    assert spark.read.parquet(out).count() == 3
+    newest = streams.newest_rows(spark, out, ["window_start", "window_end", "k"])
+    assert rows_of(newest, "k", "trailing_1_day_impressions", "trailing_1_day_opens") == [("r", 0, 3)]
+
+
 # --- incremental runs ------------------------------------------------------------------------
 def _job(spark, events, **kwargs):
     def extract(start, end):

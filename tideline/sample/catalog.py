@@ -815,7 +815,7 @@ def stream_second_clicks(v):
 
 @_query
 def stream_trailing_engagement(v):
-    """Sliding windows of a day every six hours over the pings' events."""
+    """Sliding windows of a day every six hours over the pings' events, also those still open at the end."""
     events = _event_stream(v).select(
         "ts", F.col("event_type").alias("kind"),
         F.when(F.col("event_type") == "click", "click").otherwise("impression").alias("event_name"),
@@ -824,7 +824,9 @@ def stream_trailing_engagement(v):
     windows = streams.trailing_engagement_stream(
         events, "ts", "kind", "event_name", "document_id", slide="6 hours", late="0 seconds"
     )
-    return _run(windows, v, "trailing")
+    out, checkpoint = shared_dir(v.spark, "trailing"), shared_dir(v.spark, "trailing-checkpoint")
+    streams.write_batches(windows, out, checkpoint, mode="update").awaitTermination()
+    return streams.newest_rows(v.spark, out, ["window_start", "window_end", "kind"])
 
 
 @_query

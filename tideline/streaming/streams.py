@@ -43,9 +43,17 @@ def _batch_folder(path: str, batch_id: int) -> str:
 
 
 def write_batches(
-    stream: DataFrame, path: str, checkpoint: str, transform: Callable[[DataFrame, int], DataFrame] | None = None
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame, int], DataFrame] | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
-    """Write each micro-batch, transformed, to its own folder below ``path``."""
+    """Write each micro-batch, transformed, to its own folder below ``path``.
+
+    In ``update`` mode a window is written by each batch that changes it, open or closed;
+    :func:`newest_rows` reads what stands at the end.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         rows = transform(batch, batch_id) if transform else batch
@@ -53,12 +61,21 @@ def write_batches(
 
     return (
         stream.writeStream.foreachBatch(sink)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def newest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """The row that the last batch wrote of each key, of batches written in ``update`` mode."""
+    rows = spark.read.parquet(path)
+    values = F.struct(*[c for c in rows.columns if c not in (*keys, "batch")])
+    newest = rows.groupBy(*keys).agg(F.max_by(values, "batch").alias("newest"))
+    return newest.select(*keys, "newest.*").select(*[c for c in rows.columns if c != "batch"])
+
+
 def article_stream(
     spark: SparkSession,
     drop_folder: str,
@@ -113,7 +130,11 @@ def trailing_engagement_stream(
     events: DataFrame, ts_col: str, key_col: str, name_col: str, document_col: str,
     length: str = "1 day", slide: str = "15 minutes", late: str = "1 hour",
 ) -> DataFrame:
-    """Approximate viewing and opening documents per key over a sliding window."""
+    """Approximate viewing and opening documents per key over a sliding window.
+
+    Append mode leaves out the windows still open when the input ends; write it in
+    ``update`` mode for all of them.
+    """
     viewed, clicked = F.col(name_col) == "impression", F.col(name_col) == "click"
     return (
         events.withWatermark(ts_col, late)
