@@ -7,8 +7,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from tideline.session import local_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -26,12 +24,3 @@ def frame(spark):
         return spark.createDataFrame(list(rows), schema)
 
     return make
-
-
-def rows_of(df, *columns):
-    names = columns or df.columns
-    return sorted((tuple(row[c] for c in names) for row in df.collect()), key=repr)
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

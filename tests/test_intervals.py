@@ -1,5 +1,5 @@
 import pytest
-from conftest import plan_of, rows_of
+from cases import plan_of, rows_of
 
 from tideline.operators import intervals
 

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from conftest import SF_DIR, plan_of
+from cases import SF_DIR, plan_of
 
 from tideline.sample import catalog, oracle
 

@@ -5,7 +5,7 @@ import json
 
 import numpy as np
 import pytest
-from conftest import rows_of
+from cases import rows_of
 from pyspark.sql import functions as F
 
 from tideline.functions import expr

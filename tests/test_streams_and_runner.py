@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows_of
+from cases import rows_of
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
