@@ -7,11 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, curriculum, language, neighbours, packing, repetition, resampling, suffixes, token_counts, token_files
+from . import (
+    alignment,
+    bagminhash,
+    curriculum,
+    fill_in_middle,
+    language,
+    line_runs,
+    neighbours,
+    packing,
+    repetition,
+    resampling,
+    suffixes,
+    token_counts,
+    token_files,
+)
 from .common import table
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str) -> str:
@@ -65,6 +80,24 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_runs.drop_frequent_lines(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return rows.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(text, 256).alias("restored_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_nearest_neighbours": op1_nearest_neighbours,
@@ -77,6 +110,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": op8_mixing,
         "op9_quality_rules": op9_quality_rules,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_line_dedup": op11_line_dedup,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_alignment": op13_alignment,
     }
 
 
@@ -154,6 +190,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM measured
 """
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+_OP11 = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), lines AS (
+  SELECT r, unnest(range(1, len(lines) + 1)) AS p, unnest(lines) AS line FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_UPPER.lower()}') AS key
+  FROM lines
+), frequent AS (
+  SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT r) >= 10
+), marked AS (
+  SELECT k.*, f.key IS NOT NULL AS dropped FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+), joined AS (
+  SELECT r, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT dropped), '') AS kept
+  FROM marked GROUP BY r
+)
+SELECT doc_id, n_lines::BIGINT AS n_lines, n_dropped::BIGINT AS n_dropped, sha256(kept) AS kept_sha256
+FROM docs JOIN joined USING (r)
+"""
+
+_TOKEN = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+
+_OP12 = f"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_TOKEN}') AS tokens,
+         sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(tokens) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM hashed
+), cuts AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, array_to_string(tokens[1:a], '') AS prefix, array_to_string(tokens[a + 1:b], '') AS middle,
+         array_to_string(tokens[b + 1:n], '') AS suffix
+  FROM cuts
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": _OP8, "op9_quality_rules": _OP9}
+    return {"op8_mixing": _OP8, "op9_quality_rules": _OP9, "op11_line_dedup": _OP11, "op12_fill_in_middle": _OP12}
