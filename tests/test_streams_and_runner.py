@@ -3,6 +3,7 @@ from cases import rows_of
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from tideline.operators import sketches
 from tideline.plans.runner import Job, run_incremental, stored_offset
 from tideline.session import shared_dir
 from tideline.sources.tables import VersionedTable
@@ -71,7 +72,8 @@ def test_trailing_stream_matches_a_batch_window(spark):
     rows = [(f"2024-01-01 {h:02d}:00:00", "r", "impression" if h % 3 else "click", f"d{h % 7}") for h in range(24)]
     rows.append(("2024-01-09 00:00:00", "z", "click", "d"))
     stream, batch = _stream(spark, rows, "t string, k string, n string, d string")
-    windows = _finish(spark, streams.trailing_engagement_stream(stream, "t", "k", "n", "d", slide="6 hours"))
+    panes = _finish(spark, streams.engagement_pane_stream(stream, "t", "k", "n", "d"))
+    windows = streams.trailing_engagement(panes, "k", slide=6 * 3600)
     expected = (
         batch.filter("k = 'r'").groupBy(F.window("t", "1 day", "6 hours"))
         .agg(F.count_distinct(F.when(F.col("n") == "impression", F.col("d"))).alias("i"),
@@ -102,13 +104,75 @@ def test_newest_rows_over_batches(spark):
         batch = spark.createDataFrame([(f"2024-01-01 {t}:00", "r", "click", d) for t, d in rows], "t string, k string, n string, d string")
         batch.selectExpr("CAST(t AS TIMESTAMP) AS t", "k", "n", "d").coalesce(1).write.mode("append").parquet(folder)
     stream = streams.file_stream(spark, folder, schema, files_per_trigger=1)
-    windows = streams.trailing_engagement_stream(stream, "t", "k", "n", "d", slide="1 day", late="1 day")
-    streams.write_batches(windows, out, shared_dir(spark, "several-checkpoint"), mode="update").awaitTermination()
+    panes = streams.engagement_pane_stream(stream, "t", "k", "n", "d", pane="1 day", late="1 day")
+    streams.write_batches(panes, out, shared_dir(spark, "several-checkpoint"), mode="update").awaitTermination()
     assert spark.read.parquet(out).count() == 3
-    newest = streams.newest_rows(spark, out, ["window_start", "window_end", "k"])
+    newest = streams.trailing_engagement(streams.newest_rows(spark, out, ["pane", "k"]), "k", slide=86400)
     assert rows_of(newest, "k", "trailing_1_day_impressions", "trailing_1_day_opens") == [("r", 0, 3)]
 
 
+def test_sliding_windows_copy_no_sketch_and_agree_with_the_batch(spark):
+    """A quarter of an hour as slide: 96 windows a pane; the same panes by stream and batch give the same windows."""
+    rows = [(f"2024-01-0{1 + h % 3} {h % 24:02d}:{h % 60:02d}:00", "ab"[h % 2], "click", f"d{h % 50}") for h in range(300)]
+    stream, batch = _stream(spark, rows, "t string, k string, n string, d string")
+    out = shared_dir(spark, "panes")
+    panes = streams.engagement_pane_stream(stream, "t", "k", "n", "d", late="9 days")
+    streams.write_batches(panes, out, shared_dir(spark, "panes-checkpoint"), mode="update").awaitTermination()
+    found = streams.trailing_engagement(streams.newest_rows(spark, out, ["pane", "k"]), "k")
+    counted = {"trailing_1_day_impressions": F.when(F.col("n") == "impression", F.col("d")), "trailing_1_day_opens": F.col("d")}
+    held = sketches.pane_sketches(batch, "t", ["k"], counted)
+    wanted = batch.groupBy(F.window("t", "1 day", "15 minutes").alias("w"), "k").agg(F.count_distinct("d").alias("o"), F.max("t").alias("u"))
+    rows = rows_of(found, "window_start", "window_end", "k", "trailing_1_day_opens", "updated_at")
+    assert rows == rows_of(wanted.select("w.start", "w.end", "k", "o", "u"))
+    assert rows == rows_of(sketches.trailing_windows(held, ["k"], list(counted), 86400, 900), "window_start", "window_end", "k", "trailing_1_day_opens", "updated_at")
+    with pytest.raises(ValueError, match="multiple"):
+        sketches.trailing_windows(held, ["k"], list(counted), 1000, 900)
+
+
+def test_estimates_stay_within_three_errors(spark):
+    many = spark.range(200_000).selectExpr("CAST('2024-01-01' AS TIMESTAMP) + make_interval(0,0,0,0,0,0,id % 80000) AS t", "id % 3 AS k", "id % 60000 AS d")
+    panes = sketches.pane_sketches(many, "t", ["k"], {"n": F.col("d")})
+    exact = many.groupBy("k").agg(F.count_distinct("d").alias("exact"))
+    both = sketches.united(panes, ["k"], ["n"]).join(exact, "k")
+    assert both.filter(sketches.within_error(F.col("n"), F.col("exact"))).count() == 3
+    assert both.filter(sketches.within_error(F.col("n") * 1.06, F.col("exact"))).count() == 0
+
+
+@pytest.mark.parametrize("mode", ["append", "update"])
+def test_latest_stream_over_restarts(spark, mode):
+    """Late, repeated and tied rows over two runs; append mode gives the days that the watermark has closed."""
+    schema = "t timestamp, k string, v int"
+    drop, out, checkpoint = (shared_dir(spark, n) for n in ("latest-drop", "latest", "latest-checkpoint"))
+    files = [
+        [("2024-01-01 10:00:00", "a", 1), ("2024-01-01 09:00:00", "a", 2), ("2024-01-02 01:00:00", None, 3)],
+        [("2024-01-01 10:00:00", "a", 4), ("2024-01-01 10:00:00", "a", 1), ("2024-01-01 08:00:00", "b", 5)],
+        [("2024-01-05 00:00:00", "z", 6)], [("2024-01-09 00:00:00", "z", 7)],
+    ]
+    for at, rows in enumerate(files):
+        frame = spark.createDataFrame(rows, "t string, k string, v int").selectExpr("CAST(t AS TIMESTAMP) AS t", "k", "v")
+        frame.coalesce(1).write.mode("append").parquet(drop)
+        if at % 2:
+            arriving = streams.file_stream(spark, drop, schema, files_per_trigger=1)
+            latest = streams.latest_stream(arriving, "t", ["k"], ["v"], late="2 days")
+            streams.write_batches(latest, out, checkpoint, mode=mode).awaitTermination()
+    rows = streams.newest_rows(spark, out, ["period_start", "k"])
+    closed = [("a", 4), ("b", 5), (None, 3), ("z", 6)]
+    assert rows_of(rows, "k", "v") == sorted(closed if mode == "append" else [*closed, ("z", 7)], key=repr)
+
+
+def test_update_mode_keeps_no_second_that_turns_out_spam(spark):
+    folder, out = shared_dir(spark, "spam"), shared_dir(spark, "spam-out")
+    for _ in range(2):
+        rows = spark.createDataFrame([("2024-01-01 00:00:01", "a")] * 2 + [("2024-01-01 00:00:01", "b")], "t string, user string")
+        rows.selectExpr("CAST(t AS TIMESTAMP) AS t", "user").coalesce(1).write.mode("append").parquet(folder)
+    stream = streams.file_stream(spark, folder, "t timestamp, user string", files_per_trigger=1)
+    counts = streams.second_count_stream(stream, "t", ["user"], F.lit(True))
+    streams.write_batches(counts, out, shared_dir(spark, "spam-checkpoint"), mode="update").awaitTermination()
+    newest = streams.newest_rows(spark, out, ["second", "user"])
+    assert rows_of(newest, "user", "clicks") == [("a", 4), ("b", 2)]
+    assert rows_of(streams.without_click_spam(newest), "user", "clicks") == [("b", 2)]
+
+
 # --- incremental runs ------------------------------------------------------------------------
 def _job(spark, events, **kwargs):
     def extract(start, end):

@@ -14,6 +14,7 @@ from ..functions.expr import as_timestamp, feed_name, major_version, map_get, sa
 from ..operators.counting import distinct_flag_counts, sum_when
 from ..operators.intervals import in_interval, rolling_days
 from ..operators.latest import latest_per_key
+from ..operators.sketches import pane_sketches, united
 from ..operators.tables import newer_than_target
 from ..operators.unnest import explode_matching, explode_structs, slim_events
 from .telemetry_legacy import TS, fill_rate
@@ -196,34 +197,46 @@ def new_user_events(pings: DataFrame, collected: DataFrame, as_of) -> DataFrame:
     return rows.withColumn("_loaded_at", moment)
 
 
+def engagement_panes(user_events: DataFrame, pane: str = "15 minutes") -> DataFrame:
+    """Sketches of the viewing and the opening documents per pane and recommendation.
+
+    Panes can be stored and united later; :func:`trailing_from_panes` needs no event again.
+    """
+    named = user_events.withColumnRenamed("recommendation_id", "corpus_recommendation_id")
+    viewed, clicked = F.col("event_name") == "impression", F.col("event_name") == "click"
+    counted = {
+        "trailing_1_day_impressions": F.when(viewed, F.col("document_id")),
+        "trailing_1_day_opens": F.when(clicked, F.col("document_id")),
+    }
+    return pane_sketches(named, TS, ["corpus_recommendation_id"], counted, pane)
+
+
+def trailing_from_panes(panes: DataFrame, as_of) -> DataFrame:
+    """Approximate counts per recommendation over the panes of the last day."""
+    recent = panes.filter(F.col("pane") >= as_timestamp(as_of) - F.expr("INTERVAL 1 DAY"))
+    counts = united(recent, ["corpus_recommendation_id"], ["trailing_1_day_impressions", "trailing_1_day_opens"])
+    return counts.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
 def trailing_engagement_nested(user_events: DataFrame, as_of, exact: bool = False) -> DataFrame:
     """Recommendations of the last day with the most viewing documents.
 
     ``exact`` replaces the approximate by an exact distinct count.
     """
     recent = user_events.filter(F.col(TS) > as_timestamp(as_of) - F.expr("INTERVAL 1 DAY"))
+    if not exact:
+        return trailing_from_panes(engagement_panes(recent), as_of)
     viewed, clicked = F.col("event_name") == "impression", F.col("event_name") == "click"
-    if exact:
-        flagged = recent.withColumnRenamed("recommendation_id", "corpus_recommendation_id")
-        # the latest time rides along as one more value per (recommendation, document)
-        per_document = flagged.groupBy("corpus_recommendation_id", "document_id").agg(
-            F.max(TS).alias("latest"),
-            F.max(F.when(viewed, 1).otherwise(0)).alias("viewed"),
-            F.max(F.when(clicked, 1).otherwise(0)).alias("clicked"),
-        )
-        known = F.col("document_id").isNotNull()
-        impressions = F.sum(F.when(known, F.col("viewed")).otherwise(0))
-        opens = F.sum(F.when(known, F.col("clicked")).otherwise(0))
-        latest = F.max("latest")
-        grouped = per_document.groupBy("corpus_recommendation_id")
-    else:
-        grouped = recent.groupBy(F.col("recommendation_id").alias("corpus_recommendation_id"))
-        impressions = F.approx_count_distinct(F.when(viewed, F.col("document_id")))
-        opens = F.approx_count_distinct(F.when(clicked, F.col("document_id")))
-        latest = F.max(TS)
-    counts = grouped.agg(
-        F.date_format(latest, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
-        impressions.alias("trailing_1_day_impressions"),
-        opens.alias("trailing_1_day_opens"),
+    flagged = recent.withColumnRenamed("recommendation_id", "corpus_recommendation_id")
+    # the latest time rides along as one more value per (recommendation, document)
+    per_document = flagged.groupBy("corpus_recommendation_id", "document_id").agg(
+        F.max(TS).alias("latest"),
+        F.max(F.when(viewed, 1).otherwise(0)).alias("viewed"),
+        F.max(F.when(clicked, 1).otherwise(0)).alias("clicked"),
+    )
+    known = F.col("document_id").isNotNull()
+    return per_document.groupBy("corpus_recommendation_id").agg(
+        F.date_format(F.max("latest"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+        F.sum(F.when(known, F.col("viewed")).otherwise(0)).alias("trailing_1_day_impressions"),
+        F.sum(F.when(known, F.col("clicked")).otherwise(0)).alias("trailing_1_day_opens"),
     )
-    return counts

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import fixed_values as fv
 from ..functions.expr import as_timestamp, iso8601, parse_iso8601
-from ..operators import chunks, counting, intervals, latest, setops, tables, unnest
+from ..operators import chunks, counting, intervals, latest, setops, sketches, tables, unnest
 from ..plans import articles, backend_events, candidates, engagement, feeds, legacy_candidates, publisher
 from ..plans import retention, revenue, score, telemetry_legacy, telemetry_nested, user_sync
 from ..session import shared_dir
@@ -156,6 +156,18 @@ def trailing_engagement_nested_approx(v):
     return telemetry_nested.trailing_engagement_nested(_user_events(v), TRAILING_AS_OF)
 
 
+@_query
+def trailing_engagement_nested_error(v):
+    """Exact counts, and whether those from the sketches lie within three standard errors."""
+    events = _user_events(v)
+    exact = telemetry_nested.trailing_engagement_nested(events, TRAILING_AS_OF, exact=True)
+    names = ["trailing_1_day_impressions", "trailing_1_day_opens"]
+    estimates = telemetry_nested.trailing_engagement_nested(events, TRAILING_AS_OF)
+    estimates = estimates.select("corpus_recommendation_id", *[F.col(n).alias(f"_{n}") for n in names])
+    close = [sketches.within_error(F.col(f"_{n}"), F.col(n)).alias(f"{n}_close") for n in names]
+    return exact.join(estimates, "corpus_recommendation_id", "full").select("corpus_recommendation_id", "updated_at", *names, *close)
+
+
 @_query
 def aggregate_engagement(v):
     nested = telemetry_nested.trailing_engagement_nested(_user_events(v), TRAILING_AS_OF, exact=True)
@@ -807,26 +819,72 @@ def stream_deduplicated(v):
 
 @_query
 def stream_second_clicks(v):
-    """Counts per second, user and value of windows the watermark has closed."""
+    """Counts per second and user over all seconds, also the last one."""
     events = _event_stream(v)
-    counted = streams.second_click_stream(events, "ts", ["user_id"], F.col("event_type") == "click", late="0 seconds")
-    return _run(counted, v, "seconds")
+    counted = streams.second_count_stream(events, "ts", ["user_id"], F.col("event_type") == "click", late="0 seconds")
+    out, checkpoint = shared_dir(v.spark, "seconds"), shared_dir(v.spark, "seconds-checkpoint")
+    streams.write_batches(counted, out, checkpoint, mode="update").awaitTermination()
+    return streams.without_click_spam(streams.newest_rows(v.spark, out, ["second", "user_id"]))
+
+
+_SLIDE = 6 * 3600
+
+
+def _trailing_stream(v: Views) -> DataFrame:
+    """Days sliding by six hours over the pings' events, from the panes of a stream."""
+    events = _event_stream(v).select("ts", *_as_engagement())
+    panes = streams.engagement_pane_stream(events, "ts", "kind", "event_name", "document_id", "6 hours", late="0 seconds")
+    out, checkpoint = shared_dir(v.spark, "trailing"), shared_dir(v.spark, "trailing-checkpoint")
+    streams.write_batches(panes, out, checkpoint, mode="update").awaitTermination()
+    newest = streams.newest_rows(v.spark, out, ["pane", "kind"])
+    return streams.trailing_engagement(newest, "kind", slide=_SLIDE)
+
+
+def _as_engagement() -> list:
+    return [
+        F.col("event_type").alias("kind"),
+        F.when(F.col("event_type") == "click", "click").otherwise("impression").alias("event_name"),
+        F.col("user_id").cast("string").alias("document_id"),
+    ]
 
 
 @_query
 def stream_trailing_engagement(v):
     """Sliding windows of a day every six hours over the pings' events, also those still open at the end."""
-    events = _event_stream(v).select(
-        "ts", F.col("event_type").alias("kind"),
-        F.when(F.col("event_type") == "click", "click").otherwise("impression").alias("event_name"),
-        F.col("user_id").cast("string").alias("document_id"),
-    )
-    windows = streams.trailing_engagement_stream(
-        events, "ts", "kind", "event_name", "document_id", slide="6 hours", late="0 seconds"
+    return _trailing_stream(v)
+
+
+@_query
+def stream_trailing_error(v):
+    """Exact counts of the stream's windows, and whether its estimates lie within three standard errors."""
+    events = v.table("events").select(F.col("ts").cast("timestamp").alias("ts"), *_as_engagement())
+    viewed, clicked = F.col("event_name") == "impression", F.col("event_name") == "click"
+    exact = events.groupBy(F.window("ts", "1 day", "6 hours").alias("w"), "kind").agg(
+        F.count_distinct(F.when(viewed, F.col("document_id"))).alias("impressions"),
+        F.count_distinct(F.when(clicked, F.col("document_id"))).alias("opens"),
     )
-    out, checkpoint = shared_dir(v.spark, "trailing"), shared_dir(v.spark, "trailing-checkpoint")
-    streams.write_batches(windows, out, checkpoint, mode="update").awaitTermination()
-    return streams.newest_rows(v.spark, out, ["window_start", "window_end", "kind"])
+    exact = exact.select(F.col("w.start").alias("window_start"), "kind", "impressions", "opens")
+    both = exact.join(_trailing_stream(v), ["window_start", "kind"], "full")
+    return both.select(
+        "window_start", "window_end", "kind", "updated_at", "impressions", "opens",
+        sketches.within_error(F.col("trailing_1_day_impressions"), F.col("impressions")).alias("impressions_close"),
+        sketches.within_error(F.col("trailing_1_day_opens"), F.col("opens")).alias("opens_close"),
+    )
+
+
+@_query
+def stream_latest(v):
+    """Latest event per day and user from a drop folder with re-deliveries, read by two runs of one checkpoint."""
+    events = v.table("events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    drop, out, checkpoint = (shared_dir(v.spark, n) for n in ("latest-drop", "latest", "latest-checkpoint"))
+    streams.keep_state_on_disk(v.spark)
+    for parts in ((0, 1), (1, 2)):
+        events.filter(part.isin(*parts)).write.mode("append").parquet(drop)
+        arriving = streams.file_stream(v.spark, drop, events.schema, files_per_trigger=2)
+        latest = streams.latest_stream(arriving, "ts", ["user_id"], ["event_id"], late="60 days")
+        streams.write_batches(latest, out, checkpoint, mode="update").awaitTermination()
+    return streams.newest_rows(v.spark, out, ["period_start", "user_id"])
 
 
 @_query

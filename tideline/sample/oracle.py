@@ -194,6 +194,9 @@ def _telemetry() -> dict[str, str]:
             FROM ({_USER_EVENTS})""",
         "trailing_engagement_nested_exact": with_views("nested_pings")
         + f", user_events AS ({_USER_EVENTS}) {_TRAILING_NESTED}",
+        "trailing_engagement_nested_error": with_views("nested_pings")
+        + f""", user_events AS ({_USER_EVENTS})
+            SELECT *, TRUE AS trailing_1_day_impressions_close, TRUE AS trailing_1_day_opens_close FROM ({_TRAILING_NESTED})""",
         "aggregate_engagement": with_views("nested_pings", "legacy_pings", "recommendations") + f""",
             user_events AS ({_USER_EVENTS}), nested AS ({_TRAILING_NESTED}), legacy AS ({_TRAILING_LEGACY}),
             item_keys AS (
@@ -878,7 +881,19 @@ def _operators() -> dict[str, str]:
                 SELECT date_trunc('second', ts) AS second, user_id, count(*) AS rows,
                        CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS BIGINT) AS clicks
                 FROM events GROUP BY 1, 2)
-            WHERE clicks < 3 AND second + INTERVAL 1 SECOND <= (SELECT max(ts) FROM events)""",
+            WHERE clicks < 3""",
+        "stream_trailing_error": f"""
+            SELECT {_stamp("s")} AS window_start, {_stamp("s + INTERVAL 1 DAY")} AS window_end, kind, {_stamp("u")} AS updated_at,
+                   impressions, opens, TRUE AS impressions_close, TRUE AS opens_close
+            FROM (
+                SELECT time_bucket(INTERVAL 6 HOURS, CAST(ts AS TIMESTAMP)) - back * INTERVAL 6 HOURS AS s, event_type AS kind,
+                       max(CAST(ts AS TIMESTAMP)) AS u, count(DISTINCT user_id) FILTER (event_type <> 'click') AS impressions,
+                       count(DISTINCT user_id) FILTER (event_type = 'click') AS opens
+                FROM events, range(4) AS b(back) GROUP BY 1, 2)""",
+        "stream_latest": f"""
+            SELECT {_stamp("date_trunc('day', t)")} AS period_start, event_id, {_stamp("t")} AS ts, user_id, event_type
+            FROM (SELECT *, CAST(ts AS TIMESTAMP) AS t FROM events)
+            QUALIFY row_number() OVER (PARTITION BY CAST(t AS DATE), user_id ORDER BY t DESC, event_id DESC) = 1""",
         "stream_articles": f"""
             SELECT page_id AS resolved_id, md5(html) AS html_md5, TRUE AS has_text, '{AS_OF}.000000' AS loaded_at FROM pages""",
         "stream_deduplicated": "SELECT DISTINCT user_id, event_type FROM events",

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import fixed_values as fv
 from ..operators.counting import sum_when
+from ..operators.sketches import pane_sketches, trailing_windows
 from ..plans.articles import content_rows, extract_article_text, failure_rows
 from ..plans.user_sync import clean_deltas, user_delta_payloads
 from ..sources.files import ARTICLE_SCHEMA
@@ -126,33 +127,28 @@ def change_feed_stream(changes: DataFrame, path: str, checkpoint: str, environme
     return write_batches(changes, path, checkpoint, payloads)
 
 
-def trailing_engagement_stream(
+TRAILING = ["trailing_1_day_impressions", "trailing_1_day_opens"]
+
+
+def engagement_pane_stream(
     events: DataFrame, ts_col: str, key_col: str, name_col: str, document_col: str,
-    length: str = "1 day", slide: str = "15 minutes", late: str = "1 hour",
+    pane: str = "15 minutes", late: str = "1 hour",
 ) -> DataFrame:
-    """Approximate viewing and opening documents per key over a sliding window.
+    """Sketches of the viewing and the opening documents per pane and key; :func:`trailing_engagement` unites them.
 
-    Append mode leaves out the windows still open when the input ends; write it in
-    ``update`` mode for all of them.
+    Each event changes the one sketch of its pane. Append mode leaves out the panes still
+    open when the input ends; write it in ``update`` mode for all of them.
     """
-    viewed, clicked = F.col(name_col) == "impression", F.col(name_col) == "click"
-    return (
-        events.withWatermark(ts_col, late)
-        .groupBy(F.window(ts_col, length, slide).alias("window"), F.col(key_col))
-        .agg(
-            F.max(ts_col).alias("updated_at"),
-            F.approx_count_distinct(F.when(viewed, F.col(document_col))).alias("trailing_1_day_impressions"),
-            F.approx_count_distinct(F.when(clicked, F.col(document_col))).alias("trailing_1_day_opens"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"),
-            F.col("window.end").alias("window_end"),
-            key_col,
-            "updated_at",
-            "trailing_1_day_impressions",
-            "trailing_1_day_opens",
-        )
-    )
+    documents = {
+        name: F.when(F.col(name_col) == event, F.col(document_col))
+        for name, event in zip(TRAILING, ("impression", "click"), strict=True)
+    }
+    return pane_sketches(events.withWatermark(ts_col, late), ts_col, [key_col], documents, pane)
+
+
+def trailing_engagement(panes: DataFrame, key_col: str, length: int = 86400, slide: int = 900) -> DataFrame:
+    """Approximate viewing and opening documents per key over a sliding window, from the panes of a stream or a batch."""
+    return trailing_windows(panes, [key_col], TRAILING, length, slide)
 
 
 def deduplicated_stream(events: DataFrame, ts_col: str, keys: list[str], late: str = "1 day") -> DataFrame:
@@ -163,14 +159,54 @@ def deduplicated_stream(events: DataFrame, ts_col: str, keys: list[str], late: s
     return events.withWatermark(ts_col, late).dropDuplicatesWithinWatermark(keys)
 
 
-def second_click_stream(
+def latest_stream(
+    events: DataFrame, ts_col: str, keys: list[str], tie_break: list[str] = (), period: str = "1 day", late: str = "1 day"
+) -> DataFrame:
+    """Latest row per period and key, whatever the order of arrival: the batch job's rule as a stream.
+
+    The state holds one row per open period and key; a re-delivered row changes nothing.
+    In append mode a row appears once the watermark has passed its period; in ``update``
+    mode :func:`newest_rows` gives also those of the periods still open.
+    """
+    row, order = F.struct(*events.columns), F.struct(ts_col, *tie_break)
+    # The grouping's names must not meet those of the row.
+    named = events.withColumns({f"_key_{i}": F.col(k) for i, k in enumerate(keys)})
+    latest = (
+        named.withWatermark(ts_col, late)
+        .groupBy(F.window(ts_col, period).alias("_period"), *[f"_key_{i}" for i in range(len(keys))])
+        .agg(F.max_by(row, order).alias("_row"))
+    )
+    return latest.select(F.col("_period.start").alias("period_start"), "_row.*")
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Streams started from now on keep their state in RocksDB instead of the executors' heap."""
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+
+
+def second_count_stream(
     events: DataFrame, ts_col: str, keys: list[str], is_click, late: str = "1 hour"
 ) -> DataFrame:
-    """Counts per second and key without click spam, for windows the watermark has closed."""
+    """Rows and clicks per second and key, click spam included."""
     return (
         events.withWatermark(ts_col, late)
         .groupBy(F.window(ts_col, "1 second").alias("window"), *keys)
         .agg(F.count(F.lit(1)).alias("rows"), sum_when(is_click).alias("clicks"))
-        .filter(F.col("clicks") < fv.MAX_CLICKS_PER_SECOND)
         .select(F.col("window.start").alias("second"), *keys, "rows", "clicks")
     )
+
+
+def without_click_spam(counts: DataFrame) -> DataFrame:
+    return counts.filter(F.col("clicks") < fv.MAX_CLICKS_PER_SECOND)
+
+
+def second_click_stream(
+    events: DataFrame, ts_col: str, keys: list[str], is_click, late: str = "1 hour"
+) -> DataFrame:
+    """Counts per second and key without click spam, for windows the watermark has closed.
+
+    For all windows, write :func:`second_count_stream` in ``update`` mode and filter the
+    newest rows: an open window may still turn out to be spam.
+    """
+    return without_click_spam(second_count_stream(events, ts_col, keys, is_click, late))
