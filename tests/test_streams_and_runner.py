@@ -1,12 +1,14 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from cases import rows_of
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
 from tideline.operators import sketches
-from tideline.plans.runner import Job, run_incremental, stored_offset
+from tideline.plans.runner import Job, job_table, offset_log, run_incremental, stored_offset
 from tideline.session import shared_dir
-from tideline.sources.tables import VersionedTable
+from tideline.sources.logs import OffsetLog
 from tideline.streaming import streams
 
 
@@ -197,7 +199,7 @@ def test_incremental_run(spark, events):
     job = _job(spark, events, initial_offset="2023-12-31 23:59:59.999999")
     outcomes = run_incremental(spark, job, root, "2024-01-05 06:00:00")
     assert [o for _, o in outcomes] == ["loaded", "loaded", "no rows", "loaded"]
-    table = VersionedTable(spark, f"{root}/tables/daily")
+    table = job_table(spark, root, job)
     assert [n for _, n in rows_of(table.read().selectExpr("CAST(day AS STRING)", "n"))] == [2, 1, 1]
     assert stored_offset(spark, root, "daily").startswith("2024-01-04 08:00:00")
     lineage = table.read().select("_gs_file_date", "_gs_file_time").distinct()
@@ -214,16 +216,82 @@ def test_backfill_replaces(spark, events):
     run_incremental(spark, job, root, "2024-01-05 06:00:00")
     again = _job(spark, events, override_offset="2024-01-01 23:59:59.999999", override_end="2024-01-05 00:00:00")
     run_incremental(spark, again, root, "2024-01-05 06:00:00")
-    table = VersionedTable(spark, f"{root}/tables/daily")
+    table = job_table(spark, root, job)
     assert rows_of(table.read().selectExpr("CAST(day AS STRING)", "n")) == [("2024-01-01", 2), ("2024-01-02", 1), ("2024-01-04", 1)]
 
 
+def test_catching_up_writes_each_day_once(spark, events):
+    root = shared_dir(spark, "files")
+    job = _job(spark, events, initial_offset="2023-12-31 23:59:59.999999")
+    run_incremental(spark, job, root, "2024-01-05 06:00:00")
+    table = job_table(spark, root, job)
+    before = {r["day"]: r["f"] for r in table.read().select("day", F.input_file_name().alias("f")).collect()}
+    assert [row["days"] for row in table.loads()] == [["2024-01-01"], ["2024-01-02"], ["2024-01-04"]]
+    again = _job(spark, events, override_offset="2024-01-03 23:59:59.999999", override_end="2024-01-05 00:00:00")
+    run_incremental(spark, again, root, "2024-01-06 06:00:00")
+    after = {r["day"]: r["f"] for r in table.read().select("day", F.input_file_name().alias("f")).collect()}
+    assert {str(d) for d in before if before[d] == after[d]} == {"2024-01-01", "2024-01-02"} and len(after) == 3
+
+
+def test_interval_that_dies_before_its_offset_comes_again(spark, events, monkeypatch):
+    root = shared_dir(spark, "killed")
+    job = _job(spark, events, initial_offset="2023-12-31 23:59:59.999999")
+    record, calls = OffsetLog.record, []
+
+    def dying(self, *arguments):
+        calls.append(arguments)
+        if len(calls) == 2:
+            raise RuntimeError("killed")
+        record(self, *arguments)
+
+    monkeypatch.setattr(OffsetLog, "record", dying)
+    with pytest.raises(RuntimeError, match="killed"):
+        run_incremental(spark, job, root, "2024-01-05 06:00:00")
+    assert stored_offset(spark, root, "daily").startswith("2024-01-01 12")
+    run_incremental(spark, job, root, "2024-01-05 06:00:00")
+    rows = job_table(spark, root, job).read().selectExpr("CAST(day AS STRING)", "n")
+    assert rows_of(rows) == [("2024-01-01", 2), ("2024-01-02", 1), ("2024-01-04", 1)]
+    assert stored_offset(spark, root, "daily").startswith("2024-01-04 08")
+
+
+def test_two_writers_of_the_offset_log_lose_nothing(spark):
+    path = shared_dir(spark, "two-writers")
+    logs = [OffsetLog(spark, path) for _ in range(2)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda k: logs[k % 2].record(f"job{k}", "b", k, "2024-01-01 00:00:00"), range(6)))
+    assert rows_of(logs[0].state(), "sql_folder_name", "last_offset") == [(f"job{k}", str(k)) for k in range(6)]
+    logs[0].record("job1", "b", 7, "2024-01-02 00:00:00")
+    logs[1].record("job1", "c", 8, "2024-01-03 00:00:00")
+    logs[1].record("job1", "c", 8, "2024-01-03 00:00:00")
+    assert logs[0].last("job1") == "8" and logs[0].last("none", "x") == "x"
+    state = logs[0].state().filter("sql_folder_name = 'job1'").selectExpr("CAST(created_at AS STRING)", "CAST(updated_at AS STRING)")
+    assert rows_of(state) == [("2024-01-02 00:00:00", "2024-01-03 00:00:00")]
+
+
+def test_batches_already_logged_are_skipped(spark):
+    log, written = OffsetLog(spark, shared_dir(spark, "batches")), []
+
+    def sink(batch, batch_id):
+        written.append((batch_id, batch.count()))
+        if len(written) == 2:
+            raise RuntimeError("killed")
+        return batch.agg(F.max("id")).first()[0]
+
+    guarded = log.once("stream", sink, "2024-01-01 00:00:00")
+    guarded(spark.range(3), 0)
+    with pytest.raises(RuntimeError):
+        guarded(spark.range(5), 1)
+    for batch_id in (0, 1, 1):
+        guarded(spark.range(5), batch_id)
+    assert written == [(0, 3), (1, 5), (1, 5)] and log.last("stream") == "4"
+
+
 def test_job_without_offset(spark, events):
     root = shared_dir(spark, "single")
     job = _job(spark, events, incremental=False)
     outcomes = run_incremental(spark, job, root, "2024-01-02 00:00:00")
     assert len(outcomes) == 1
-    assert VersionedTable(spark, f"{root}/tables/daily").read().count() == 3
+    assert job_table(spark, root, job).read().count() == 3
     with pytest.raises(ValueError, match="offset"):
         run_incremental(spark, _job(spark, events), shared_dir(spark, "none"), "2024-01-02 00:00:00")
 

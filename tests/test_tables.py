@@ -147,28 +147,48 @@ def test_times_that_are_none_fail(frame):
             frame("t string", (wrong,)).select(parse_iso8601("t")).collect()
 
 
-def test_versioned_table(spark, frame):
-    table = table_io.VersionedTable(spark, shared_dir(spark, "versioned"))
-    with pytest.raises(FileNotFoundError):
-        table.read()
-    assert table.ensure("k int").count() == 0
-    table.write(frame("k int", (1,), (2,)))
-    table.write(table.read().filter("k = 2"))
-    assert rows_of(table.read()) == [(2,)]
-    table.drop_old(1)
-    assert table.versions() == [3]
+def _day_rows(frame, *rows):
+    return frame("day string, v int", *rows).selectExpr("CAST(day AS DATE) AS day", "v")
 
 
-def test_unfinished_version_is_ignored(spark, frame):
+def test_day_table(spark, frame):
+    table = table_io.DayTable(spark, shared_dir(spark, "day-table"), "day")
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    first = _day_rows(frame, ("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3), (None, 9))
+    table.replace(first)
+    files = {r["v"]: r["f"] for r in table.read().select("v", F.input_file_name().alias("f")).collect()}
+    table.replace(_day_rows(frame, ("2024-01-02", 20)))
+    assert rows_of(table.read(), "v") == [(1,), (20,), (3,), (9,)]
+    table.replace(_day_rows(frame, ("2024-01-02", 21), ("2024-01-05", 5)), "from")
+    assert rows_of(table.read(), "v") == [(1,), (21,), (5,), (9,)]
+    table.replace(first.limit(0), "from")
+    table.replace(first.limit(0))
+    assert rows_of(table.read(), "v") == [(1,), (21,), (5,), (9,)]
+    now = {r["v"]: r["f"] for r in table.read().select("v", F.input_file_name().alias("f")).collect()}
+    assert now[1] == files[1] and now[9] == files[9]
+    assert table.vacuum() == 3 and rows_of(table.read(), "v") == [(1,), (21,), (5,), (9,)]
+    table.replace(table.read().filter("v = 5"), "all")
+    assert rows_of(table.read(), "v") == [(5,)]
+    table.replace(first.limit(0), "all")
+    assert table.read().columns == ["day", "v"] and table.read().count() == 0
+
+
+def test_load_that_dies_is_ignored(spark, frame, monkeypatch):
     folder = shared_dir(spark, "unfinished")
-    table = table_io.VersionedTable(spark, folder)
-    table.write(frame("k int", (1,)))
-    frame("k int", (9,)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{folder}/v=00000002"
-    )
-    assert rows_of(table.read()) == [(1,)]
-    table.write(frame("k int", (3,)))
-    assert rows_of(table.read()) == [(3,)]
+    table = table_io.DayTable(spark, folder, "day")
+    table.replace(_day_rows(frame, ("2024-01-01", 1)))
+
+    def dying(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError, match="killed"):
+        patched.setattr(table.log, "add", dying)
+        table.replace(_day_rows(frame, ("2024-01-01", 8), ("2024-01-02", 9)))
+    assert rows_of(table.read(), "v") == [(1,)]
+    table.replace(_day_rows(frame, ("2024-01-01", 3)))
+    assert rows_of(table_io.DayTable(spark, folder, "day").read(), "v") == [(3,)]
+    assert table.vacuum() == 3
 
 
 def test_replace_days_twice_is_the_same(spark, frame):

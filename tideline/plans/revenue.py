@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import fixed_values as fv
 from ..operators.checks import require_none
@@ -13,7 +14,7 @@ from ..operators.intervals import missing_days
 from ..operators.tables import key_replace
 from ..session import materialized
 from ..sources.files import landed_pages, page_records
-from ..sources.tables import VersionedTable
+from ..sources.tables import DayTable
 
 _NAMES = [name for name, _ in fv.REVENUE_COLUMNS]
 
@@ -41,9 +42,15 @@ def revenue_key_replace(revenue: DataFrame, batch: DataFrame) -> DataFrame:
     return key_replace(revenue, batch, "record_date")
 
 
+def revenue_table(spark: SparkSession, path: str) -> DayTable:
+    """The revenue table in day folders, empty where nothing is loaded yet."""
+    schema = StructType.fromDDL(", ".join(f"{name} {data_type}" for name, data_type in fv.REVENUE_COLUMNS))
+    return DayTable(spark, path, "record_date", schema)
+
+
 def load_missing_days(
     spark: SparkSession,
-    table: VersionedTable,
+    table: DayTable,
     pages_of: Callable[[str], str],
     as_of,
     first=None,
@@ -54,14 +61,14 @@ def load_missing_days(
     """Load the days the table lacks from their landed pages and return the new table.
 
     ``pages_of`` gives the folder of a day's pages. All days are read in one job; a day
-    without rows fails the load before the table changes.
+    without rows fails the load before the table changes; only the loaded days are written.
     """
-    schema = ", ".join(f"{name} {data_type}" for name, data_type in fv.REVENUE_COLUMNS)
-    revenue = table.ensure(schema)
+    revenue = table.read()
     days = days_to_load(revenue, as_of, first, last, overwrite)
     folders = [pages_of(str(row["day"])) for row in days.collect()]  # a window of days
     if not folders:
         return revenue
     batch = materialized(revenue_rows(landed_pages(spark, folders), archived), "revenue-batch")
     require_none(days_without_rows(days, batch), "days without any record (archived data?)")
-    return table.write(revenue_key_replace(revenue, batch))
+    table.replace(batch, "days")
+    return table.read()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -10,16 +9,15 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import fixed_values as fv
 from ..functions.expr import as_timestamp
 from ..operators.intervals import folder_names, interval_plan, stale_partitions
-from ..operators.tables import last_offset, range_replace, upsert_offset
+from ..operators.checks import not_null
 from ..sources.files import typed_load
-from ..sources.tables import VersionedTable, remove_folder, staged_export, subfolders
+from ..sources.logs import OffsetLog
+from ..sources.paths import remove_folder, subfolders
+from ..sources.tables import DayTable, staged_export
 
 CONCURRENT_SUB_JOBS = 10
-# jobs of one run share the offset table, which is read, changed and written as a whole
-_STATE_LOCK = threading.Lock()
 
 
 @dataclass
@@ -47,15 +45,17 @@ class Job:
     sub_jobs: Sequence["Job"] = field(default_factory=tuple)
 
 
-def _offset_state(spark: SparkSession, root: str) -> VersionedTable:
-    state = VersionedTable(spark, f"{root}/sql_offset_state")
-    state.ensure(", ".join(f"{name} {data_type}" for name, data_type in fv.OFFSET_COLUMNS))
-    return state
+def offset_log(spark: SparkSession, root: str) -> OffsetLog:
+    return OffsetLog(spark, f"{root}/sql_offset_state")
 
 
 def stored_offset(spark: SparkSession, root: str, name: str, default=None) -> str | None:
-    with _STATE_LOCK:
-        return last_offset(_offset_state(spark, root).read(), name, default).first()["last_offset"]
+    return offset_log(spark, root).last(name, default)
+
+
+def job_table(spark: SparkSession, root: str, job: Job) -> DayTable:
+    """The table a job with a merge key loads; the key is a date."""
+    return DayTable(spark, f"{root}/tables/{job.name}", job.merge_key)
 
 
 def _staged_paths(spark: SparkSession, stage: str, day: str) -> list[tuple[str]]:
@@ -91,14 +91,11 @@ def _run_interval(spark: SparkSession, job: Job, root: str, interval: Row, as_of
     if job.merge_key:
         folder = f"{stage}/date={interval['date']}/time={interval['time']}"
         batch = typed_load(spark, folder, job.columns, loaded_at=as_of)
-        table = VersionedTable(spark, f"{root}/tables/{job.name}")
-        current = table.ensure(batch.schema)
-        table.write(range_replace(current, batch, job.merge_key, job.required))
+        # The days from the batch's first one on; the files of earlier days stay as they are.
+        job_table(spark, root, job).replace(not_null(batch, job.required) if job.required else batch, "from")
     if job.incremental and job.external_state:
         # written last: a run that dies before this repeats the interval
-        with _STATE_LOCK:
-            state = _offset_state(spark, root)
-            state.write(upsert_offset(state.read(), job.name, str(offset), as_of))
+        offset_log(spark, root).record(job.name, f"{start} as of {as_of}", offset, as_of)
     return "loaded"
 
 

@@ -17,7 +17,7 @@ from ..functions import fixed_values as fv
 from ..functions.expr import as_timestamp, iso8601, parse_iso8601
 from ..operators import chunks, counting, intervals, latest, setops, sketches, tables, unnest
 from ..plans import articles, backend_events, candidates, engagement, feeds, legacy_candidates, publisher
-from ..plans import retention, revenue, score, telemetry_legacy, telemetry_nested, user_sync
+from ..plans import retention, revenue, runner, score, telemetry_legacy, telemetry_nested, user_sync
 from ..session import shared_dir
 from ..sources import files, records
 from ..sources import tables as table_io
@@ -603,12 +603,71 @@ def compact_latest(v):
 @_query
 def versioned_table_swap(v):
     """Write, replace and read a table through its versions."""
-    table = table_io.VersionedTable(v.spark, shared_dir(v.spark, "versions"))
-    table.write(_article_rows(v))
-    table.write(tables.compact_latest(table.read(), "resolved_id", "loaded_at", AS_OF, ["text_md5"]))
+    table = table_io.DayTable(v.spark, shared_dir(v.spark, "versions"), "loaded_at")
+    table.replace(_article_rows(v))
+    table.replace(tables.compact_latest(table.read(), "resolved_id", "loaded_at", AS_OF, ["text_md5"]), "all")
     return table.read().drop("last_ordered")
 
 
+def _daily_counts(v: Views, state: str, **options) -> runner.Job:
+    """Events per day and type; ``state`` tells runs apart."""
+    events = v.table("events").select(F.col("ts").cast("timestamp").alias("t"), "event_type")
+
+    def extract(start, end):
+        rows = events.filter(intervals.in_interval("t", start, end))
+        return rows.groupBy(F.to_date("t").alias("day"), "event_type").agg(F.count("*").alias("n"), F.lit(state).alias("state"))
+
+    def new_offset(start, end):
+        return events.filter(intervals.in_interval("t", start, end)).agg(F.date_format(F.max("t"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+
+    columns = [("day", "date"), ("event_type", "string"), ("n", "bigint"), ("state", "string")]
+    return runner.Job("daily_counts", extract, new_offset, columns, ["day", "n"], "day", **options)
+
+
+# Where the first load ends and the daily run begins, where the backfill begins, and when it runs.
+DAILY_FROM, SECOND_START, LATER = "2024-01-25 23:59:59.999999", "2024-01-27 23:59:59.999999", "2024-02-01 00:00:00"
+
+
+def _incremental(v: Views, backfill: bool) -> DataFrame:
+    """One load of everything up to some day, and a run that catches up day by day; then a backfill of the last days."""
+    root = shared_dir(v.spark, "incremental")
+    daily = _daily_counts(v, "first", initial_offset=DAILY_FROM)
+    start = _daily_counts(v, "start", incremental=False)
+    start.extract = lambda _, __, extract=daily.extract: extract("1970-01-01 00:00:00", "2024-01-26 00:00:00").withColumn("state", F.lit("start"))
+    runner.run_incremental(v.spark, start, root, AS_OF)
+    runner.run_incremental(v.spark, daily, root, AS_OF)
+    if backfill:
+        again = _daily_counts(v, "again", override_offset=SECOND_START, override_end=AS_OF)
+        runner.run_incremental(v.spark, again, root, LATER)
+    return runner.job_table(v.spark, root, daily).read().select("day", "event_type", "n", "state", "_gs_file_date")
+
+
+@_query
+def incremental_run(v):
+    """Events counted day by day: one load of the first weeks, then a run that catches up on the days since."""
+    return _incremental(v, backfill=False)
+
+
+@_query
+def incremental_backfill(v):
+    """The same, and the last days once more by a backfill, which replaces them."""
+    return _incremental(v, backfill=True)
+
+
+@_query
+def offset_state(v):
+    """Offsets after a run over two jobs side by side, a run with nothing to do, and a backfill of one of them."""
+    root = shared_dir(v.spark, "offsets")
+    one, two = (_daily_counts(v, "first", initial_offset=SECOND_START) for _ in range(2))
+    one.name, two.name = "counts_one", "counts_two"
+    parent = runner.Job("parent", lambda start, end: v.table("region").limit(0), incremental=False, sub_jobs=[one, two])
+    for as_of in (AS_OF, AS_OF):
+        runner.run_incremental(v.spark, parent, root, as_of)
+    two.override_offset, two.override_end = SECOND_START, "2024-01-30 00:00:00"
+    runner.run_incremental(v.spark, two, root, LATER)
+    return runner.offset_log(v.spark, root).state()
+
+
 @_query
 def replace_days(v):
     """Day folders replaced in place, later days dropped."""

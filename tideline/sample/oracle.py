@@ -802,6 +802,23 @@ def _maintenance() -> dict[str, str]:
             SELECT resolved_id, size, text_md5, {_stamp("loaded_at")} AS loaded_at, '{AS_OF}.000000' AS last_ordered FROM ({latest})""",
         "versioned_table_swap": f"""
             SELECT resolved_id, size, text_md5, {_stamp("loaded_at")} AS loaded_at FROM ({latest})""",
+        **{
+            name: f"""
+            SELECT day, event_type, n, state, CASE WHEN state = 'start' THEN 'date=2024-01-31' ELSE 'date=' || day END AS _gs_file_date
+            FROM (
+                SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(*) AS n,
+                       CASE WHEN CAST(ts AS DATE) < DATE '2024-01-26' THEN 'start'
+                            WHEN CAST(ts AS DATE) >= DATE '{again}' THEN 'again' ELSE 'first' END AS state
+                FROM events WHERE ts < date_trunc('day', TIMESTAMP '{AS_OF}') GROUP BY 1, 2, 4)"""
+            for name, again in (("incremental_run", "2025-01-01"), ("incremental_backfill", "2024-01-28"))
+        },
+        "offset_state": f"""
+            SELECT 'counts_one' AS sql_folder_name, '{AS_OF}.000000' AS created_at, '{AS_OF}.000000' AS updated_at,
+                   strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_offset
+            FROM events WHERE ts < date_trunc('day', TIMESTAMP '{AS_OF}')
+            UNION ALL
+            SELECT 'counts_two', '{AS_OF}.000000', '2024-02-01 00:00:00.000000', strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f')
+            FROM events WHERE ts < TIMESTAMP '2024-01-30'""",
         "replace_days": """
             SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
                    CASE WHEN CAST(ts AS DATE) >= DATE '2024-01-20' THEN 'new' ELSE 'old' END AS state

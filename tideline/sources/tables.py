@@ -1,15 +1,22 @@
-"""Writers of tables: staged exports, text exports, versioned tables, day replacement."""
+"""Writers of tables: staged exports, text exports, tables of day folders, day replacement."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import fixed_values as fv
 from ..operators.checks import require_rows
 from ..operators.intervals import folder_names
+from .logs import AppendLog
+from .paths import remove_folder, subfolders
+
+#: Folders of a day table, and the name Spark gives to the folder of rows without a day.
+_LOAD, _DAY, _NO_DAY = "load_id", "load_day", "__HIVE_DEFAULT_PARTITION__"
 
 
 def staged_export(df: DataFrame, path: str, batch_start, max_records_per_file: int = 1_000_000) -> None:
@@ -54,76 +61,74 @@ def chunked_csv(df: DataFrame, path: str, rows_per_file: int = fv.ROWS_PER_FILE)
     )
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return jvm, hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders right below ``path``; none where it does not exist."""
-    _, hadoop_path, fs = _file_system(spark, path)
-    if not fs.exists(hadoop_path):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
-
-
-def remove_folder(spark: SparkSession, path: str) -> bool:
-    _, hadoop_path, fs = _file_system(spark, path)
-    return fs.delete(hadoop_path, True)
-
+class DayTable:
+    """A table in day folders, changed by loads that count once they are logged.
 
-def folder_complete(spark: SparkSession, path: str) -> bool:
-    _, marker, fs = _file_system(spark, f"{path}/_SUCCESS")
-    return fs.exists(marker)
-
-
-class VersionedTable:
-    """A Parquet table whose states are folders ``v=00000001``, ``v=00000002``, …
-
-    A state counts once its write has left the success marker, so a reader never
-    sees half a state and a writer that dies changes nothing. A new state may read
-    the current one.
+    A load writes its batch to folders of its own and then adds one entry to the table's
+    log: which days it holds and which it replaces. A reader takes each day from the last
+    load that covers it, so it never sees a part of a load, untouched days keep their
+    files, and a load that dies changes nothing. Days in a load are those of ``key``, a
+    date; rows without a day are only added, unless a load replaces all.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path.rstrip("/")
-
-    def versions(self) -> list[int]:
-        names = [n for n in subfolders(self.spark, self.path) if n.startswith("v=")]
-        return [int(n[2:]) for n in names if folder_complete(self.spark, f"{self.path}/{n}")]
-
-    def _folder(self, version: int) -> str:
-        return f"{self.path}/v={version:08d}"
-
-    def exists(self) -> bool:
-        return bool(self.versions())
+    LOG = "number bigint, days array<string>, replaces string, columns string"
+
+    def __init__(self, spark: SparkSession, path: str, key: str, schema=None):
+        self.spark, self.path, self.key, self.schema = spark, path.rstrip("/"), key, schema
+        self.log = AppendLog(spark, f"{self.path}/log", self.LOG)
+
+    def replace(self, batch: DataFrame, replaces: str = "days") -> None:
+        """Adds the batch and drops the rows it replaces: those of its ``days``, all ``from`` its first day on, or ``all``.
+
+        A batch without days changes nothing unless it replaces all.
+        """
+        load = uuid.uuid4().hex
+        days = batch.withColumn(_DAY, F.col(self.key).cast("date").cast("string"))
+        days.write.partitionBy(_DAY).parquet(f"{self.path}/rows/{_LOAD}={load}")
+        held = [name.partition("=")[2] for name in subfolders(self.spark, f"{self.path}/rows/{_LOAD}={load}")]
+        number = self.log.read().agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
+        row = (number, held, replaces, batch.schema.json())
+        self.log.add(load, self.spark.createDataFrame([row], self.LOG))
+
+    def loads(self) -> list:
+        """The log, a row per load."""
+        return self.log.read().orderBy("number", "entry").collect()
+
+    def _live(self) -> list[tuple[str, str]]:
+        """(load, day) of the folders that count."""
+        live: list[tuple[str, str]] = []
+        for row in self.loads():
+            days = [d for d in row["days"] if d != _NO_DAY]
+            if row["replaces"] == "all":
+                live = []
+            elif row["replaces"] == "from" and days:
+                live = [x for x in live if x[1] == _NO_DAY or x[1] < min(days)]
+            else:
+                live = [x for x in live if x[1] == _NO_DAY or x[1] not in days]
+            live += [(row["entry"], day) for day in row["days"]]
+        return live
 
     def read(self) -> DataFrame:
-        versions = self.versions()
-        if not versions:
-            raise FileNotFoundError(f"no complete version below {self.path}")
-        return self.spark.read.parquet(self._folder(versions[-1]))
-
-    def ensure(self, schema) -> DataFrame:
-        """The current state; an empty one with ``schema`` where there is none."""
-        if not self.exists():
-            self.write(self.spark.createDataFrame([], schema))
-        return self.read()
-
-    def write(self, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-        versions = self.versions()
-        folder = self._folder((versions[-1] if versions else 0) + 1)
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.option("partitionOverwriteMode", "static").parquet(folder)
-        return self.read()
-
-    def drop_old(self, keep: int = 2) -> None:
-        for version in self.versions()[:-keep]:
-            remove_folder(self.spark, self._folder(version))
+        """The table's rows; only folders that count are listed and read."""
+        loads = self.loads()
+        if not loads and self.schema is None:
+            raise FileNotFoundError(f"no load below {self.path}")
+        schema = StructType.fromJson(json.loads(loads[-1]["columns"])) if loads else self.schema
+        live = self._live()
+        if not live:
+            return self.spark.createDataFrame([], schema)
+        folders = [f"{self.path}/rows/{_LOAD}={load}/{_DAY}={day}" for load, day in live]
+        return self.spark.read.schema(schema).parquet(*folders)
+
+    def vacuum(self) -> int:
+        """Removes the folders that do not count, also those of loads that died. No load or reader may run meanwhile."""
+        live, removed = set(self._live()), 0
+        for load in subfolders(self.spark, f"{self.path}/rows"):
+            for day in subfolders(self.spark, f"{self.path}/rows/{load}"):
+                if (load.partition("=")[2], day.partition("=")[2]) not in live:
+                    remove_folder(self.spark, f"{self.path}/rows/{load}/{day}")
+                    removed += 1
+        return removed
 
 
 def replace_days(spark: SparkSession, batch: DataFrame, path: str, key: str, open_ended: bool) -> None:
