@@ -2,17 +2,19 @@
 
 import datetime
 import json
+import math
 
 import numpy as np
 import pytest
-from cases import rows_of
+from cases import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tideline.functions import expr
 from tideline.functions import fixed_values as fv
-from tideline.functions.beta import beta_quantile, regularised_beta
+from tideline.functions import beta
+from tideline.functions.beta import beta_quantile_column, log_gamma, regularised_beta
 from tideline.operators.checks import corpus_item_violations, exactly_one_id, legacy_item_violations, require_none
-from tideline.plans import articles, candidates, engagement, feeds, revenue, score, telemetry_legacy, user_sync
+from tideline.plans import articles, candidates, engagement, feeds, retention, revenue, score, telemetry_legacy, user_sync
 from tideline.plans.publisher import finish_features
 from tideline.session import shared_dir
 from tideline.sources import files, records
@@ -87,12 +89,48 @@ def test_queue_move(frame):
     assert rows_of(moved) == [(1, 1), (2, 2)] and emptied.isEmpty()
 
 
-def test_quantiles_invert_the_distribution():
-    a, b = np.array([0.2, 1e6, 5e7, 2.2]), np.array([9.8, 2e6, 1e3, 3.0])
-    assert regularised_beta(a, b, beta_quantile(a, b, 0.1)) == pytest.approx([0.1] * 4, abs=1e-7)
-    assert beta_quantile([1.0, 2.0, 1.0], [1.0, 1.0, 3.0], 0.1) == pytest.approx(
-        [0.1, 0.1**0.5, 1 - 0.9 ** (1 / 3)], abs=1e-14
-    )
+def test_quantiles_invert_the_distribution(frame):
+    rows = [(0.2, 9.8), (1e6, 2e6), (5e7, 1e3), (2.2, 3.0), (0.5, 0.5), (30.0, 0.7), (0.2, 1e5), (1.0, 1.0), (2.0, 1.0), (1.0, 3.0)]
+    solved = frame("a double, b double", *rows, (None, 1.0), (1.0, None)).withColumn("q", beta_quantile_column("a", "b", 0.1))
+    assert "Python" not in plan_of(solved)
+    back = solved.filter("q IS NOT NULL").withColumn("i", regularised_beta(F.col("a"), F.col("b"), F.col("q"))).collect()
+    assert len(back) == 10 and [r["i"] for r in back] == pytest.approx([0.1] * 10, abs=1e-7)
+    assert [r["q"] for r in back[-3:]] == pytest.approx([0.1, 0.1**0.5, 1 - 0.9 ** (1 / 3)], abs=1e-13)
+    # Against a sum over the density.
+    for r in (back[0], back[3], back[4]):
+        t = (np.arange(2_000_000) + 0.5) / 2_000_000
+        # With t ** (1 / a) the density has no pole at zero.
+        weight = (1 - t ** (1 / r["a"])) ** (r["b"] - 1)
+        assert weight[t <= r["q"] ** r["a"]].sum() / weight.sum() == pytest.approx(0.1, abs=1e-3)
+
+
+def test_log_gamma(frame):
+    values = [1e-6, 0.2, 0.5, 1.0, 2.0, 3.7, 10.0, 171.5, 1e5, 1e8]
+    found = [r[0] for r in frame("x double", *[(v,) for v in values]).select(log_gamma(F.col("x"))).collect()]
+    assert found == pytest.approx([math.lgamma(v) for v in values], rel=1e-12, abs=1e-13)
+
+
+def test_quantile_that_does_not_converge_fails(frame, monkeypatch):
+    monkeypatch.setattr(beta, "_STEPS", 2)
+    with pytest.raises(Exception, match="does not converge"):
+        frame("a double, b double", (0.2, 1e5)).select(beta_quantile_column("a", "b", 0.1)).collect()
+
+
+def test_score_tables(spark, frame):
+    """Scores go to their table, replace what it holds, and leave the queue."""
+    counts = "publisher_id bigint, content_id bigint, save_cnt bigint, open_cnt bigint, favorite_cnt bigint, share_cnt bigint"
+    big = fv.SCORE_MAX_SMALL_ID + 1
+    queue = frame("publisher_id bigint, content_id bigint", (1, 1), (1, big), (2, 2), (3, 3))
+    lifetime = frame(counts, (1, 1, 10, 5, 1, 1), (1, big, 0, 3, 0, 0), (2, 2, 0, 0, 0, 0), (4, 4, 1, 1, 1, 1))
+    scores = score.content_score(score.content_score_inputs(queue, lifetime))
+    empty = scores.limit(0)
+    small, large, left = score.load_scores(empty, empty, queue, scores)
+    assert rows_of(small, "publisher_id", "content_id") == [(1, 1)] and rows_of(large, "content_id") == [(big,)]
+    assert rows_of(left, "publisher_id", "content_id") == [(2, 2), (3, 3)]
+    row = small.first()
+    assert row["open_score"] == round(row["open_score"], 4) and 0 < row["total_score"] < 1
+    again = scores.withColumn("total_score", F.lit(0.123456))
+    assert rows_of(score.load_scores(small, large, left, again)[0], "total_score") == [(0.1235,)]
 
 
 # --- articles --------------------------------------------------------------------------
@@ -302,6 +340,39 @@ def test_messages_check_their_sets(frame):
         records.candidate_messages(frame(schema, ("x", 1, 5, "p", 1)), *arguments).collect()
     with pytest.raises(ValueError, match="expiry"):
         records.candidate_messages(good, *arguments, expires_in_s=0)
+    set_id = "00000000-0000-4000-8000-000000000016"
+    for publisher in (None, ""):
+        with pytest.raises(Exception, match="no publisher of item 7"):
+            records.candidate_messages(frame(schema, (set_id, 1, 7, publisher, 1)), *arguments).collect()
+    with pytest.raises(Exception, match="has no id"):
+        records.candidate_messages(frame(schema, (set_id, 1, None, "p", 1)), *arguments).collect()
+    assert records.candidate_messages(good, *arguments, sets=[set_id]).count() == 1
+    with pytest.raises(Exception, match="no items in set 00000000-0000-4000-8000-000000000017"):
+        records.candidate_messages(good, *arguments, sets=[set_id, set_id[:-1] + "7"]).collect()
+
+
+def test_purge_rules(spark, frame):
+    users = frame("hashed_user_id string, user_id bigint", ("h1", 1), (None, 2), ("h3", None))
+    keys = retention.account_keys(users, frame("email string", ("a@x",), (None,)))
+    assert rows_of(keys) == [("email", "a@x"), ("hashed_user_id", "h1"), ("hashed_user_id", "h3"), ("user_id", "1"), ("user_id", "2")]
+    rows = frame(
+        "n int, user_id string, email string, event string, context string",
+        (1, "1", None, '{"u":1,"t":1}', None), (2, "5", "a@x", '{"u":2,"t":2}', '[{"h":"h3"},{"h":"no"}]'),
+        (3, None, "b@x", None, '[{"h":"no"},{"h":"h3"}]'), (4, "2", "a@x", "{broken", "[]"), (5, "h1", "1", '{"u":null}', '{"h":"h3"}'),
+    )
+
+    def left(*arguments, **options):
+        return [r[0] for r in rows_of(retention.purge_table(rows, retention.Rule(*arguments, **options), keys), "n")]
+
+    assert left((("user_id", "user_id"),)) == [2, 3, 5]
+    assert left((("user_id", "user_id"), ("email", "email"))) == [3, 5]
+    assert left((("$.u", "user_id"),)) == [3, 4, 5]
+    assert left((("$.u", "user_id"),), only_if=("$.t", 1)) == [2, 3, 4, 5]
+    assert left((("$[0].h", "hashed_user_id"),), payload="context") == [1, 3, 4, 5]
+    purged = retention.purge_table(rows, retention.Rule((("user_id", "user_id"),)), keys)
+    assert purged.columns == rows.columns and "Exchange hashpartitioning" not in plan_of(purged)
+    with pytest.raises(KeyError, match="'t'"):
+        retention.purge_deleted_accounts({}, {"t": retention.Rule(())}, {}, users, frame("user_id bigint, email string"), users, frame("email string"))
 
 
 # --- candidates ------------------------------------------------------------------------------

@@ -1,114 +1,147 @@
-"""Lower quantile of beta distributions, vectorised over numpy arrays."""
+"""Lower quantile of beta distributions as Spark expressions.
+
+The quantile is found by Newton steps inside a shrinking bracket; each step evaluates the
+incomplete beta function by its continued fraction. Both iterations are folds over a
+sequence whose state says when it is done, so later elements cost next to nothing.
+"""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _STIRLING = [1 / 12, -1 / 360, 1 / 1260, -1 / 1680, 1 / 1188, -691 / 360360]
+_TINY = 1e-300
+#: Steps of the outer fold: halving the bracket alone would need about sixty for ordinary quantiles.
+_STEPS = 200
+_FRACTION_END, _QUANTILE_END = 1e-15, 1e-14
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _away_from_zero(value: Column) -> Column:
+    return _let(value, lambda v: F.when(F.abs(v) < _TINY, F.lit(_TINY)).otherwise(v))
+
+
+def log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function of a positive number: Stirling's series ten places up."""
+    up = x + 10.0
+    product = x
+    for i in range(1, 10):
+        product = product * (x + float(i))
+    series = F.lit(0.0)
+    for coefficient in reversed(_STIRLING):
+        series = series / (up * up) + F.lit(coefficient)
+    return (up - 0.5) * F.log(up) - up + 0.5 * math.log(2 * math.pi) + series / up - F.log(product)
+
+
+def _fraction(a: Column, b: Column, x: Column) -> Column:
+    """The continued fraction by the modified Lentz rule; the job fails if it does not converge."""
+
+    def state(c: Column, d: Column, value: Column, going: Column) -> Column:
+        return F.struct(c.alias("c"), d.alias("d"), value.alias("value"), going.alias("going"))
+
+    def half(c: Column, d: Column, numerator: Column) -> Column:
+        return _let(
+            numerator,
+            lambda n: F.struct(_away_from_zero(1.0 + n / c).alias("c"), (1.0 / _away_from_zero(1.0 + n * d)).alias("d")),
+        )
+
+    def step(s: Column, place: Column) -> Column:
+        return F.when(s["going"], _let(place.cast("double"), lambda m: both_halves(s, m))).otherwise(s)
+
+    def both_halves(s: Column, m: Column) -> Column:
+        even = m * (b - m) * x / ((a + 2.0 * m - 1.0) * (a + 2.0 * m))
+        odd = -(a + m) * (a + b + m) * x / ((a + 2.0 * m) * (a + 2.0 * m + 1.0))
+        return _let(
+            half(s["c"], s["d"], even),
+            lambda e: _let(
+                half(e["c"], e["d"], odd),
+                lambda o: state(
+                    o["c"], o["d"], s["value"] * e["c"] * e["d"] * o["c"] * o["d"], F.abs(o["c"] * o["d"] - 1.0) > _FRACTION_END * 4
+                ),
+            ),
+        )
+
+    def finish(s: Column) -> Column:
+        open_ended = F.raise_error(F.lit("continued fraction of a beta quantile does not converge")).cast("double")
+        return F.when(s["going"], open_ended).otherwise(s["value"])
+
+    first = 1.0 / _away_from_zero(1.0 - (a + b) * x / (a + 1.0))
+    # Below the mean some multiple of the root of the counts is enough.
+    terms = F.sequence(F.lit(1), (F.lit(60.0) + 6.0 * F.sqrt(a + b)).cast("int"))
+    start = _let(first, lambda d: state(F.lit(1.0), d, d, F.lit(True)))
+    return F.aggregate(terms, start, step, finish)
+
+
+def regularised_beta(a: Column, b: Column, x: Column, log_norm: Column | None = None) -> Column:
+    """I_x(a, b) for 0 < x < 1; ``log_norm``, if known, is the logarithm of 1 / B(a, b)."""
+    norm = log_gamma(a + b) - log_gamma(a) - log_gamma(b) if log_norm is None else log_norm
+    # The fraction converges fast below the mean, so above it the other tail is taken.
+    mirrored = x >= (a + 1.0) / (a + b + 2.0)
+    sides = F.when(mirrored, F.struct(b.alias("a"), a.alias("b"), (1.0 - x).alias("x"))).otherwise(
+        F.struct(a.alias("a"), b.alias("b"), x.alias("x"))
+    )
+    front = F.exp(a * F.log(x) + b * F.log1p(-x) + norm)
+    value = _let(sides, lambda s: front * _fraction(s["a"], s["b"], s["x"]) / s["a"])
+    return F.when(mirrored, 1.0 - value).otherwise(value)
+
+
+def beta_quantile_column(a: Column | str, b: Column | str, p: float) -> Column:
+    """x with I_x(a, b) = p, for positive ``a`` and ``b``; null for null. The job fails if it does not converge."""
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (a, b))
+
+    def solve(s: Column) -> Column:
+        a, b, norm = s["a"], s["b"], s["norm"]
+
+        def state(low: Column, high: Column, x: Column, going: Column) -> Column:
+            return F.struct(low.alias("low"), high.alias("high"), x.alias("x"), going.alias("going"))
+
+        def newton(t: Column, error: Column) -> Column:
+            x = t["x"]
+            density = F.exp(norm + (a - 1.0) * F.log(x) + (b - 1.0) * F.log1p(-x))
+            low, high = F.when(error < 0, x).otherwise(t["low"]), F.when(error < 0, t["high"]).otherwise(x)
+            moved = F.struct(low.alias("low"), high.alias("high"), (x - error / _away_from_zero(density)).alias("to"))
+
+            def choose(m: Column) -> Column:
+                inside = (m["to"] > m["low"]) & (m["to"] < m["high"])
+                chosen = F.when(inside, m["to"]).otherwise((m["low"] + m["high"]) / 2.0)
+                narrow = m["high"] - m["low"] <= _QUANTILE_END * m["high"]
+                return _let(
+                    chosen, lambda c: state(m["low"], m["high"], c, ~(narrow | (inside & (F.abs(c - x) <= _QUANTILE_END * c))))
+                )
+
+            return _let(moved, choose)
 
-
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """Stirling series after shifting small arguments above 10."""
-    shift = np.zeros_like(x)
-    shifted = x.copy()
-    for _ in range(10):
-        small = shifted < 10
-        shift = np.where(small, shift + np.log(np.where(small, shifted, 1.0)), shift)
-        shifted = np.where(small, shifted + 1, shifted)
-    series = np.zeros_like(x)
-    power = 1 / shifted
-    for coefficient in _STIRLING:
-        series += coefficient * power
-        power /= shifted * shifted
-    return (shifted - 0.5) * np.log(shifted) - shifted + 0.5 * np.log(2 * np.pi) + series - shift
-
-
-def _continued_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Modified Lentz evaluation for the incomplete beta function.
-
-    Elements leave the iteration as they converge.
+        def step(t: Column, _: Column) -> Column:
+            moved = _let(regularised_beta(a, b, t["x"], norm) - p, lambda error: newton(t, error))
+            return F.when(t["going"], moved).otherwise(t)
+
+        def finish(t: Column) -> Column:
+            open_ended = F.raise_error(F.lit("beta quantile does not converge")).cast("double")
+            return F.when(t["going"], open_ended).otherwise(t["x"])
+
+        start = state(F.lit(0.0), F.lit(1.0), a / (a + b), F.lit(True))
+        return F.aggregate(F.sequence(F.lit(1), F.lit(_STEPS)), start, step, finish)
+
+    given = F.struct(
+        a.cast("double").alias("a"), b.cast("double").alias("b"), (log_gamma(a + b) - log_gamma(a) - log_gamma(b)).alias("norm")
+    )
+    return F.when(a.isNotNull() & b.isNotNull(), _let(given, solve))
+
+
+def beta_quantiles(pairs: DataFrame, p: float) -> DataFrame:
+    """(``a``, ``b``, ``quantile``) of each distinct pair of columns ``a`` and ``b``.
+
+    Solving costs milliseconds a pair while the pairs are small, so that by size they would
+    end in one task: they are dealt to as many tasks as shuffles have.
     """
-    tiny = 1e-300
-
-    def away_from_zero(v: np.ndarray) -> np.ndarray:
-        return np.where(np.abs(v) < tiny, tiny, v)
-
-    final = np.empty_like(x)
-    index = np.arange(len(x))
-    c = np.ones_like(x)
-    d = 1 / away_from_zero(1 - (a + b) * x / (a + 1))
-    result = d.copy()
-    limit = int(200 + 20 * np.sqrt(np.max(a + b, initial=0)))
-    for m in range(1, limit):
-        for numerator in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1 / away_from_zero(1 + numerator * d)
-            c = away_from_zero(1 + numerator / c)
-            step = c * d
-            result = result * step
-        open_ = np.abs(step - 1) > 4e-16
-        if not open_.all():
-            final[index[~open_]] = result[~open_]
-            a, b, x, c, d, result, index = (v[open_] for v in (a, b, x, c, d, result, index))
-            if not len(index):
-                return final
-    final[index] = np.nan  # not converged
-    return final
-
-
-def regularised_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    log_front = a * np.log(x) + b * np.log1p(-x) + _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b)
-    front = np.exp(log_front)
-    mirrored = x >= (a + 1) / (a + b + 2)
-    first = np.where(mirrored, b, a)
-    second = np.where(mirrored, a, b)
-    point = np.where(mirrored, 1 - x, x)
-    value = front * _continued_fraction(first, second, point) / first
-    return np.where(mirrored, 1 - value, value)
-
-
-def beta_quantile(a, b, p: float) -> np.ndarray:
-    """x with I_x(a, b) = p: Newton steps kept inside a shrinking bracket."""
-    a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
-    final = np.empty_like(a)
-    index = np.arange(len(a))
-    low, high = np.zeros_like(a), np.ones_like(a)
-    x = a / (a + b)
-    log_norm = _log_gamma(a + b) - _log_gamma(a) - _log_gamma(b)
-    for _ in range(200):
-        error = regularised_beta(a, b, x) - p
-        low, high = np.where(error < 0, x, low), np.where(error < 0, high, x)
-        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
-            density = np.exp(log_norm + (a - 1) * np.log(x) + (b - 1) * np.log1p(-x))
-            newton = x - error / density
-        inside = np.isfinite(newton) & (newton > low) & (newton < high)
-        following = np.where(inside, newton, (low + high) / 2)
-        open_ = (np.abs(following - x) > 4e-16 * x) & (high - low > 4e-16 * high)
-        # a Newton step this small gains nothing more than rounding noise
-        open_ &= ~(inside & (np.abs(following - x) < 1e-14 * x))
-        x = following
-        if not open_.all():
-            final[index[~open_]] = x[~open_]
-            a, b, x, low, high, log_norm, index = (v[open_] for v in (a, b, x, low, high, log_norm, index))
-            if not len(index):
-                return final
-    final[index] = np.nan  # not converged
-    return final
-
-
-def beta_quantile_column(a, b, p: float):
-    """Column of quantiles. Each distinct pair of a batch is solved once."""
-
-    @F.pandas_udf("double")
-    def quantile(up: pd.Series, down: pd.Series) -> pd.Series:
-        pairs = np.column_stack([up.to_numpy(dtype=float), down.to_numpy(dtype=float)])
-        if not len(pairs):
-            return pd.Series([], dtype=float)
-        unique, inverse = np.unique(pairs, axis=0, return_inverse=True)
-        return pd.Series(beta_quantile(unique[:, 0], unique[:, 1], p)[inverse.reshape(-1)])
-
-    return quantile(a, b)
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = pairs.select("a", "b").distinct().repartition(tasks, "a", "b")
+    return distinct.withColumn("quantile", beta_quantile_column("a", "b", p))

@@ -70,7 +70,6 @@ PUBLISHER_WINDOW_DAYS = 7
 PUBLISHER_MIN_WORDS = 900
 PUBLISHER_APPROVED_DAYS = 360
 PUBLISHER_LANGUAGE = "en"
-EXCLUDED_DOMAIN_ID = 5863470
 EXCLUDED_TOPIC = "CORONAVIRUS"
 # (topic, name of its counter column after the prefix "num_approved_")
 APPROVED_TOPICS = [
@@ -266,49 +265,3 @@ OFFSET_COLUMNS = [
     ("updated_at", "timestamp"), ("last_offset", "string"),
 ]
 FOLDER_TIME_FORMAT = "HH-mm-ss-SSS"
-
-# --- account purge ------------------------------------------------------------------
-# (table, [(column or JSON path, key column of the deleted list)], extra predicate or None)
-PURGE_EVENTS = [
-    ("tracker.atomic.events", [("hashed_user_id", "hashed_user_id"), ("user_id", "user_id")], None),
-]
-PURGE_STREAM_TABLES = [
-    ("ab_test_track", [("$.data.user_key", "user_id")], ("$.data.user_key_type_id", 1)),
-    ("item_session", [("$.data.user_id", "user_id")], None),
-    ("push_events", [("$.endpoint.User.UserId", "user_id")], None),  # in raw only
-    ("premium_subscription_created", [("$.data.user_id", "user_id")], None),
-    ("premium_subscription_ended", [("$.data.user_id", "user_id")], None),
-    ("premium_subscription_renewed", [("$.data.user_id", "user_id")], None),
-    ("mailer_events", [("$.email", "email")], None),
-    ("user_action", [("$.data.user_id", "user_id")], None),
-    ("user_item_tags_added", [("$.data.user_id", "user_id")], None),
-    ("user_list_item_created", [("$.data.user_id", "user_id")], None),
-    ("user_track_adv", [("$.data.user_id", "user_id")], None),
-    ("web_track", [("$.data.user_id", "user_id")], None),
-]
-PURGE_TABLES = [
-    ("analytics.lists", [("user_id", "user_id")]),
-    ("analytics.dev.android_inlist", [("user_id", "user_id")]),
-    ("analytics.dev.personalization_users", [("user_id", "user_id")]),
-    ("analytics.dev.personalization_users_v2", [("user_id", "user_id")]),
-    ("analytics.community.list_item_engagements", [("user_id", "user_id")]),
-    ("analytics.community.list_item_tags", [("user_id", "user_id")]),
-    ("analytics.community.user_saves", [("user_id", "user_id"), ("hashed_user_id", "hashed_user_id")]),
-    ("analytics.community.user_saves_export", [("hashed_user_id", "hashed_user_id")]),
-    ("analytics.community.user_saves_export_parquet", [("hashed_user_id", "hashed_user_id")]),
-    ("snapshot.main.hashed_user_id_mapping", [("user_id", "user_id"), ("hashed_user_id", "hashed_user_id")]),
-    ("snapshot.main.payment_subscriptions", [("user_id", "user_id")]),
-    ("snapshot.main.ph_email_v2_20220418_migration_announcement", [("user_id", "user_id"), ("email", "email")]),
-    ("snapshot.main.mailer_suppression_blocks", [("email", "email")]),
-    ("snapshot.main.mailer_suppression_bounces", [("email", "email")]),
-    ("snapshot.main.mailer_suppression_invalid_emails", [("email", "email")]),
-    ("snapshot.main.mailer_suppression_spam_reports", [("email", "email")]),
-    ("snapshot.main.stats_guids", [("user_id", "user_id")]),
-    ("snapshot.main.users", [("user_id", "user_id")]),
-    ("snapshot.main.users_meta_actions", [("user_id", "user_id")]),
-    ("snapshot.main.user_email_map", [("user_id", "user_id"), ("email", "email")]),
-    ("snapshot.main.user_locale", [("user_id", "user_id")]),
-    ("snapshot.main.user_subscription", [("user_id", "user_id")]),
-    ("snapshot.main.user_subscription_history", [("user_id", "user_id")]),
-]
-PURGE_FLAGGED_TABLES = ["billing.main.customer", "billing.main.card"]

@@ -52,14 +52,14 @@ def full_refresh(batch: DataFrame, columns: Sequence[str], loaded_at, loaded_at_
     return batch.select(*texts, as_timestamp(loaded_at).alias(loaded_at_col))
 
 
-def _joinable(key: Column, side: str = "target") -> Column:
+def joinable(key: Column, side: str = "target") -> Column:
     """The key as text; null keys get texts the other side does not hold, one per input
     partition, so that a large share of null keys is no hot partition."""
     return F.coalesce(key.cast("string"), F.concat(F.lit(f"\u0000{side}-"), F.spark_partition_id().cast("string")))
 
 
 def _with_join_keys(df: DataFrame, keys: Sequence[str], side: str) -> DataFrame:
-    return df.withColumns({f"_key_{i}": _joinable(F.col(key), side) for i, key in enumerate(keys)})
+    return df.withColumns({f"_key_{i}": joinable(F.col(key), side) for i, key in enumerate(keys)})
 
 
 def _single(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -126,7 +126,7 @@ def purge(
         own = F.col(expression) if isinstance(expression, str) else expression
         if only_if is not None:
             own = F.when(only_if, own)
-        left = target.withColumn("_purge_key", _joinable(own))
+        left = target.withColumn("_purge_key", joinable(own))
         right = keys.filter(F.col(key_col).isNotNull()).select(F.col(key_col).cast("string").alias("_purge_key"))
         target = left.join(right, "_purge_key", "left_anti").select(*names)
     return target

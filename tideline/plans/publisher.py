@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,10 @@ from ..operators.counting import sum_when
 _APPROVED = [f"num_approved_{name}" for _, name in fv.APPROVED_TOPICS] + ["num_approved"]
 
 
-def recent_saves(content: DataFrame, engagement: DataFrame, scheduled: DataFrame, as_of) -> DataFrame:
-    """Domains with the most saves of fresh, unscheduled English long texts.
+def recent_saves(
+    content: DataFrame, engagement: DataFrame, scheduled: DataFrame, as_of, own_domains: Sequence[int] = ()
+) -> DataFrame:
+    """Domains with the most saves of fresh, unscheduled English long texts, without the publisher's ``own_domains``.
 
     The daily engagement is folded per content id before it is joined: the sum of
     saves times age is (sum of saves times day number) minus (saves times the day
@@ -37,7 +41,7 @@ def recent_saves(content: DataFrame, engagement: DataFrame, scheduled: DataFrame
         F.col("first_parsed_at").between(start, today)
         & (F.col("language") == fv.PUBLISHER_LANGUAGE)
         & (F.col("word_count") >= fv.PUBLISHER_MIN_WORDS)
-        & (F.col("domain_id") != fv.EXCLUDED_DOMAIN_ID)
+        & ~F.col("domain_id").isin(list(own_domains))
     ).select("content_id", "top_domain_name", "resolved_url", F.unix_date(F.to_date("first_parsed_at")).alias("parsed"))
     unscheduled = fresh.join(scheduled.select("content_id"), "content_id", "left_anti")
     per_content = unscheduled.join(saves, "content_id", "inner").withColumn(
@@ -86,9 +90,9 @@ def finish_features(rows: DataFrame) -> DataFrame:
 
 
 def publisher_features(
-    content: DataFrame, engagement: DataFrame, approved: DataFrame, scheduled: DataFrame, as_of
-) -> DataFrame:
-    saves = recent_saves(content, engagement, scheduled, as_of)
+    content: DataFrame, engagement: DataFrame, approved: DataFrame, scheduled: DataFrame, as_of, own_domains: Sequence[int] = ()
+) -> DataFrame:
+    saves = recent_saves(content, engagement, scheduled, as_of, own_domains)
     topics = approved_by_topic(content, approved, as_of)
     joined = saves.join(topics, saves["top_domain_name"] == topics["approved_source"], "left")
     rows = joined.select(

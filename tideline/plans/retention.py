@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import fixed_values as fv
-from ..operators.tables import new_keys, purge, purge_flagged
+from ..operators.tables import joinable, new_keys, purge_flagged
+from ..session import materialized
 
 PAYLOAD = "event"
 
@@ -25,41 +27,75 @@ def new_deleted_emails(email_map: DataFrame, deleted_users: DataFrame, known_ema
     return new_keys(of_deleted, known_emails, ["email"])
 
 
-def _own_key(path: str) -> Column | str:
-    return F.get_json_object(F.col(PAYLOAD), path) if path.startswith("$") else path
+@dataclass(frozen=True)
+class Rule:
+    """How rows of one kind of table name an account.
 
+    ``keys`` lists (where, kind): a column, or a JSON path that starts with ``$`` inside
+    the column ``payload``; an array's first object is ``$[0]``. A row goes if one of its
+    keys is a deleted one of that kind: a key list's name, as ``user_id`` or ``email``.
+    With ``only_if``, a (path, value) pair, other rows stay.
+    """
 
-def _rules() -> list[tuple[str, list, tuple | None]]:
-    """(table, key pairs, extra predicate) of every keyed deletion."""
-    user_context = fv.BACKEND_CONTEXTS["user"]
-    events = [
-        (table, [(F.get_json_object(user_context, f"$[0].{own}"), key) for own, key in pairs], None)
-        for table, pairs, _ in fv.PURGE_EVENTS
-    ]
-    streams = [
-        (f"{area}.firehose.{table}", pairs, extra)
-        for area in ("raw", "snapshot")
-        for table, pairs, extra in fv.PURGE_STREAM_TABLES
-        if not (area == "snapshot" and table == "push_events")
+    keys: tuple[tuple[str, str], ...]
+    payload: str = PAYLOAD
+    only_if: tuple[str, object] | None = None
+
+    def _value(self, where: str) -> Column:
+        return F.get_json_object(F.col(self.payload), where) if where.startswith("$") else F.col(where).cast("string")
+
+    def columns(self) -> list[tuple[str, Column]]:
+        """(kind, key as text) of each key; null where the rule does not hold for the row."""
+        found = []
+        for where, kind in self.keys:
+            key = self._value(where)
+            if self.only_if is not None:
+                path, value = self.only_if
+                key = F.when(self._value(path) == F.lit(str(value)), key)
+            found.append((kind, key))
+        return found
+
+
+def account_keys(deleted_users: DataFrame, deleted_emails: DataFrame) -> DataFrame:
+    """All deleted keys as rows (``kind``, ``key``), each once."""
+    kinds = {"user_id": deleted_users, "hashed_user_id": deleted_users, "email": deleted_emails}
+    lists = [
+        held.filter(F.col(kind).isNotNull()).select(F.lit(kind).alias("kind"), F.col(kind).cast("string").alias("key"))
+        for kind, held in kinds.items()
     ]
-    return events + streams + [(table, pairs, None) for table, pairs in fv.PURGE_TABLES]
-
-
-def purge_table(table: DataFrame, pairs, deleted_users: DataFrame, deleted_emails: DataFrame, extra=None) -> DataFrame:
-    """A table without the rows of deleted users or of their addresses."""
-    only_if = None
-    if extra is not None:
-        path, value = extra
-        only_if = F.get_json_object(F.col(PAYLOAD), path) == F.lit(str(value))
-    for path, key in pairs:
-        keys = deleted_emails if key == "email" else deleted_users
-        own = _own_key(path) if isinstance(path, str) else path
-        table = purge(table, keys, [(own, key)], only_if)
+    return reduce(DataFrame.unionByName, lists).distinct()
+
+
+def present_keys(table: DataFrame, rule: Rule, keys: DataFrame) -> DataFrame:
+    """The deleted keys that rows of the table name.
+
+    Only the columns of the keys are read, and each key leaves a map task once, so the
+    rows stay where they are however many keys have been deleted over the years.
+    """
+    named = [F.struct(F.lit(kind).alias("kind"), key.alias("key")) for kind, key in rule.columns()]
+    found = table.select(F.inline(F.array(*named))).filter("key IS NOT NULL").distinct()
+    return keys.join(found, ["kind", "key"], "left_semi")
+
+
+def purge_table(table: DataFrame, rule: Rule, keys: DataFrame) -> DataFrame:
+    """A table without the rows that name a deleted account; ``keys`` as from :func:`account_keys`.
+
+    The table meets only the keys it names: few, so that Spark broadcasts them and the
+    rows are filtered in one pass without a shuffle; where they are many, each key of the
+    rule is one anti-join. Null keys match nothing.
+    """
+    found = materialized(present_keys(table, rule, keys), "purge-keys")
+    names = [F.col(f"`{c}`") for c in table.columns]
+    for kind, key in rule.columns():
+        doomed = found.filter(F.col("kind") == kind).select(F.col("key").alias("_purge_key"))
+        table = table.withColumn("_purge_key", joinable(key)).join(doomed, "_purge_key", "left_anti").select(*names)
     return table
 
 
 def purge_deleted_accounts(
     tables: Mapping[str, DataFrame],
+    rules: Mapping[str, Rule],
+    flagged: Mapping[str, str],
     account_deletions: DataFrame,
     email_map: DataFrame,
     known_users: DataFrame,
@@ -67,18 +103,22 @@ def purge_deleted_accounts(
 ) -> dict[str, DataFrame]:
     """New states of the given tables and of the two key lists.
 
-    First the lists of deleted users and addresses grow, then every table with a
-    rule is purged, then rows flagged as deleted are dropped. Tables without a rule
-    are not in the result.
+    First the lists of deleted users and addresses grow, then every table with a rule is
+    purged, then tables in ``flagged`` lose the rows whose named column is true. Tables
+    without a rule are not in the result; a rule without its table fails.
     """
+    missing = sorted((set(rules) | set(flagged)) - set(tables))
+    if missing:
+        raise KeyError(f"no table for the rules of {missing}")
     columns = ["hashed_user_id", "user_id"]
     users = known_users.select(*columns).unionByName(new_deleted_users(account_deletions, known_users))
     emails = known_emails.select("email").unionByName(new_deleted_emails(email_map, users, known_emails))
+    # The lists are read by every rule: computed once.
+    users, emails = materialized(users, "deleted-users"), materialized(emails, "deleted-emails")
+    keys = materialized(account_keys(users, emails), "account-keys")
     result = {"deleted_users": users, "deleted_emails": emails}
-    for name, pairs, extra in _rules():
-        if name in tables:
-            result[name] = purge_table(tables[name], pairs, users, emails, extra)
-    for name in fv.PURGE_FLAGGED_TABLES:
-        if name in tables:
-            result[name] = purge_flagged(tables[name], "is_deleted")
+    for name, rule in rules.items():
+        result[name] = purge_table(tables[name], rule, keys)
+    for name, flag in flagged.items():
+        result[name] = purge_flagged(tables[name], flag)
     return result

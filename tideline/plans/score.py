@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
-from ..functions.beta import beta_quantile_column
+from ..functions.beta import beta_quantiles
 from ..operators.setops import without_match
 from ..operators.tables import new_keys, upsert
+from ..session import materialized
 
 KEYS = ["publisher_id", "content_id"]
 _COUNTS = ["save_cnt", "open_cnt", "favorite_cnt", "share_cnt"]
@@ -65,15 +68,18 @@ def content_score_inputs(queue: DataFrame, lifetime: DataFrame, limit: int | Non
 
 
 def content_score(inputs: DataFrame) -> DataFrame:
-    """Scores: the 10 % quantile of each rate and their weighted mean."""
+    """Scores: the 10 % quantile of each rate and their weighted mean.
+
+    Counts are small numbers that many contents share: the inputs are written once, each
+    distinct pair of pseudo-counts is solved once and joined back.
+    """
     p = 1.0 / (1 + fv.SCORE_LOSS_MULTIPLE)
-    scored = inputs.withColumns(
-        {
-            "open_score": beta_quantile_column("open_uv", "open_dv", p),
-            "favorite_score": beta_quantile_column("fav_uv", "fav_dv", p),
-            "share_score": beta_quantile_column("share_uv", "share_dv", p),
-        }
-    )
+    scored = materialized(inputs, "score-inputs")
+    rates = {"open_score": ("open_uv", "open_dv"), "favorite_score": ("fav_uv", "fav_dv"), "share_score": ("share_uv", "share_dv")}
+    pairs = reduce(DataFrame.unionByName, [scored.select(F.col(up).alias("a"), F.col(down).alias("b")) for up, down in rates.values()])
+    solved = materialized(beta_quantiles(pairs, p), "score-quantiles")
+    for name, (up, down) in rates.items():
+        scored = scored.join(solved.select(F.col("a").alias(up), F.col("b").alias(down), F.col("quantile").alias(name)), [up, down])
     weights = fv.SCORE_WEIGHTS
     weighted = sum((F.col(f"{name}_score") * weight for name, weight in weights.items()), F.lit(0.0))
     return scored.withColumn("total_score", weighted / sum(weights.values())).select(*RESULT)

@@ -15,14 +15,14 @@ from pyspark.sql import types as T
 
 from ..functions import fixed_values as fv
 from ..functions.expr import as_timestamp, iso8601, parse_iso8601
-from ..operators import chunks, counting, intervals, latest, setops, sketches, tables, unnest
+from ..operators import checks, chunks, counting, intervals, latest, setops, sketches, tables, unnest
 from ..plans import articles, backend_events, candidates, engagement, feeds, legacy_candidates, publisher
 from ..plans import retention, revenue, runner, score, telemetry_legacy, telemetry_nested, user_sync
 from ..session import shared_dir
 from ..sources import files, records
 from ..sources import tables as table_io
 from ..streaming import streams
-from .rules import AS_OF, SPARK, view_columns
+from .rules import AS_OF, OWN_DOMAIN, SPARK, view_columns
 from .spark_views import Views
 
 START, END = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
@@ -215,7 +215,7 @@ def tile_source_refresh(v):
 @_query
 def publisher_features(v):
     result = publisher.publisher_features(
-        v.plain("content"), v.plain("engagement_by_day"), v.approved(), v.plain("scheduled_content"), AS_OF
+        v.plain("content"), v.plain("engagement_by_day"), v.approved(), v.plain("scheduled_content"), AS_OF, [OWN_DOMAIN]
     )
     return result.withColumns({c: F.round(c, 6) for c in ("avg_save_age", "avg_save_count", "log_total_saves")})
 
@@ -376,12 +376,22 @@ def legacy_topics(v):
 
 @_query
 def legacy_candidate_messages(v):
-    items = legacy_candidates.shortreads(v.approved(), v.plain("content"), AS_OF).na.drop(subset=["publisher"])
+    """Messages of all items; those whose domain has no name get one, as the messages must name a publisher."""
+    items = legacy_candidates.shortreads(v.approved(), v.plain("content"), AS_OF).na.fill("unknown", ["publisher"])
     order = [F.desc("recency"), F.asc("id"), F.asc("publisher")]
     messages = records.candidate_messages(items, order, ["id"], "shortreads", "run-1", 1706659200, curated=True)
     return messages.select("candidate_set_id", "row_count", "message")
 
 
+@_query
+def legacy_item_violations(v):
+    """Sets with an item that names no publisher, and one that has no items at all."""
+    items = legacy_candidates.shortreads(v.approved(), v.plain("content"), AS_OF)
+    empty = v.spark.createDataFrame([("no-such-set",)], "candidate_set_id string")
+    sets = items.select("candidate_set_id").distinct().unionByName(empty)
+    return checks.legacy_item_violations(items, sets, "candidate_set_id")
+
+
 # --- user sync ---------------------------------------------------------------------
 def _deltas(v: Views, production: bool = True) -> DataFrame:
     return user_sync.clean_deltas(v.plain("user_changes"), "2024-01-10 00:00:00", production)
@@ -472,8 +482,8 @@ def purge_two_keys(v):
 
 @_query
 def purge_extra_predicate(v):
-    pairs, extra = [("$.data.user_key", "user_id")], ("$.data.user_key_type_id", 1)
-    purged = retention.purge_table(v.plain("event_payloads"), pairs, v.deleted_users(), v.known_emails(), extra)
+    rule = retention.Rule((("$.data.user_key", "user_id"),), only_if=("$.data.user_key_type_id", 1))
+    purged = retention.purge_table(v.plain("event_payloads"), rule, retention.account_keys(v.deleted_users(), v.known_emails()))
     return purged.drop("event")
 
 
@@ -484,20 +494,32 @@ def purge_flag(v):
 
 @_query
 def purge_deleted_accounts(v):
-    """All steps over three tables; the result lists what is left of each."""
+    """All steps, with a table for every kind of rule; the result lists what is left of each."""
+    orders, payloads = v.plain("user_orders"), v.plain("event_payloads")
+    user, hashed, email = (("user_id",) * 2, ("hashed_user_id",) * 2, ("email",) * 2)
+    rules = {
+        "orders_by_user": (orders, retention.Rule((user,))),
+        "orders_by_hash_or_user": (orders, retention.Rule((hashed, user))),
+        "orders_by_email": (orders, retention.Rule((email,))),
+        "orders_by_user_or_email": (orders, retention.Rule((user, email))),
+        "payloads_by_user": (payloads, retention.Rule((("$.data.user_id", "user_id"),))),
+        "payloads_of_one_type": (
+            payloads, retention.Rule((("$.data.user_key", "user_id"),), only_if=("$.data.user_key_type_id", 1))),
+        "events_by_context": (
+            v.plain("context_events"),
+            retention.Rule((("$[0].hashed_user_id", "hashed_user_id"), ("$[0].user_id", "user_id")), payload="context")),
+    }
     result = retention.purge_deleted_accounts(
-        {
-            "snapshot.main.users": v.plain("user_orders"),
-            "snapshot.main.user_email_map": v.plain("user_orders"),
-            "raw.firehose.item_session": v.plain("event_payloads"),
-            "billing.main.card": v.plain("user_orders"),
-        },
+        {name: table for name, (table, _) in rules.items()} | {"orders_flagged": orders},
+        {name: rule for name, (_, rule) in rules.items()},
+        {"orders_flagged": "is_deleted"},
         v.deleted_users(),
         v.plain("email_map"),
         v.known_users(),
         v.known_emails(),
     )
-    key = {"deleted_users": "hashed_user_id", "deleted_emails": "email", "raw.firehose.item_session": "event_id"}
+    key = {"deleted_users": "hashed_user_id", "deleted_emails": "email"}
+    key |= {name: "event_id" for name in ("payloads_by_user", "payloads_of_one_type", "events_by_context")}
     parts = [
         table.select(F.lit(name).alias("table_name"), F.col(key.get(name, "o_orderkey")).cast("string").alias("row_key"))
         for name, table in result.items()

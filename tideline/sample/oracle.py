@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from ..functions import fixed_values as fv
 from .duck_views import with_views
-from .rules import AS_OF
+from .rules import AS_OF, OWN_DOMAIN
 
 _WHOLE = "submission_timestamp >= TIMESTAMP '2024-01-01' AND submission_timestamp < TIMESTAMP '2024-01-31'"
 _MONTH = "submission_timestamp >= TIMESTAMP '2023-12-30' AND submission_timestamp < TIMESTAMP '2024-01-31'"
@@ -303,7 +303,7 @@ def _features() -> dict[str, str]:
                 WHERE d.happened_at BETWEEN TIMESTAMP '2024-01-24' AND TIMESTAMP '2024-01-31'
                   AND c.first_parsed_at BETWEEN TIMESTAMP '2024-01-24' AND TIMESTAMP '2024-01-31'
                   AND c.language = 'en' AND c.word_count >= 900 AND d.save_count > 0
-                  AND c.domain_id <> {fv.EXCLUDED_DOMAIN_ID} AND s.content_id IS NULL
+                  AND c.domain_id <> {OWN_DOMAIN} AND s.content_id IS NULL
                 GROUP BY 1),
             topics AS (
                 SELECT c.top_domain_name AS approved_source, {approved},
@@ -393,6 +393,7 @@ def _scores() -> dict[str, str]:
             SELECT publisher_id, content_id, save_cnt, open_cnt, favorite_cnt, share_cnt,
                    {", ".join(f"round({value}, 6) AS {name}" for name, value in values.items())}
             FROM ({joined})""",
+        "content_score": _content_score(joined, values),
         "content_score_queue_left": with_views("lifetime") + f""",
             scored AS ({joined})
             SELECT publisher_id, content_id, CASE WHEN content_id <= {fv.SCORE_MAX_SMALL_ID} THEN 'small' ELSE 'large' END AS target
@@ -403,6 +404,46 @@ def _scores() -> dict[str, str]:
     }
 
 
+def _content_score(joined: str, values: dict[str, str]) -> str:
+    """Quantiles by halving an interval; the incomplete beta function by its continued fraction from the far end."""
+    p = 1 / (1 + fv.SCORE_LOSS_MULTIPLE)
+    rates = {"open_score": "open", "favorite_score": "fav", "share_score": "share"}
+    pairs = " UNION ".join(f"SELECT {name}_uv AS a, {name}_dv AS b FROM inputs" for name in rates.values())
+
+    def term(k: str, a: str, b: str, x: str) -> str:
+        even = f"({k} / 2) * ({b} - {k} / 2) * {x} / (({a} + {k} - 1) * ({a} + {k}))"
+        odd = f"-({a} + ({k} - 1) / 2) * ({a} + {b} + ({k} - 1) / 2) * {x} / (({a} + {k} - 1) * ({a} + {k}))"
+        return f"CASE WHEN {k} % 2 = 0 THEN {even} ELSE {odd} END"
+
+    def tail(a: str, b: str, x: str) -> str:
+        deep = f"list_reduce(places, lambda acc, k: 1 + ({term('k', a, b, x)}) / acc, 1::DOUBLE)"
+        return f"exp({a} * ln({x}) + {b} * ln(1 - {x}) + lgamma({a} + {b}) - lgamma({a}) - lgamma({b})) / ({a} * {deep})"
+
+    total = fv.SCORE_WEIGHTS
+    weighted = " + ".join(f"{name}_score * {weight}::DOUBLE" for name, weight in total.items())
+    selected = ", ".join(f"(SELECT x FROM solved WHERE a = {rate}_uv AND b = {rate}_dv) AS {name}" for name, rate in rates.items())
+    return with_views("lifetime") + f""",
+        inputs AS (SELECT publisher_id, content_id, save_cnt, {", ".join(f"{v} AS {n}" for n, v in values.items())} FROM ({joined})),
+        pairs AS ({pairs}),
+        far AS (SELECT list_reverse(list_transform(range(1, 301), lambda i: i::DOUBLE)) AS places),
+        halved AS (
+            WITH RECURSIVE steps AS (
+                SELECT a, b, 0::DOUBLE AS low, 1::DOUBLE AS high, 0 AS n FROM pairs
+                UNION ALL
+                SELECT a, b, CASE WHEN below < {p!r}::DOUBLE THEN x ELSE low END, CASE WHEN below < {p!r}::DOUBLE THEN high ELSE x END, n + 1
+                FROM (
+                    SELECT *, CASE WHEN x < (a + 1) / (a + b + 2) THEN {tail("a", "b", "x")}
+                                   ELSE 1 - {tail("b", "a", "(1 - x)")} END AS below
+                    FROM (SELECT *, (low + high) / 2 AS x FROM steps, far WHERE n < 48)))
+            SELECT * FROM steps),
+        solved AS (SELECT a, b, (low + high) / 2 AS x FROM halved WHERE n = 48),
+        scored AS (SELECT *, {selected} FROM inputs)
+        SELECT publisher_id, content_id, save_cnt, open_uv, open_dv, fav_uv, fav_dv, share_uv, share_dv,
+               {", ".join(f"round({name}, 4) AS {name}" for name in rates)},
+               round(({weighted}) / {sum(total.values())!r}::DOUBLE, 4) AS total_score
+        FROM scored"""
+
+
 _RECENCY = "strftime(recency, '%Y-%m-%d %H:%M:%S') AS recency"
 _NOW = f"TIMESTAMP '{AS_OF}'"
 _SETS = {set_id: (kind, params) for set_id, _, kind, params in fv.STATIC_CANDIDATE_SETS}
@@ -586,13 +627,18 @@ def _candidates() -> dict[str, str]:
                 WHERE a.reviewed_corpus_item_updated_at >= {_NOW} - INTERVAL 90 DAYS AND a.language = 'EN'
                   AND a.corpus_review_status = 'recommendation')
             QUALIFY row_number() OVER (PARTITION BY candidate_set_id ORDER BY recency DESC, id, publisher) <= 45""",
-        "legacy_candidate_messages": f"""{with_content}, items AS (SELECT * FROM ({shortreads}) WHERE publisher IS NOT NULL)
+        "legacy_candidate_messages": f"""{with_content}, items AS (SELECT * REPLACE (coalesce(publisher, 'unknown') AS publisher) FROM ({shortreads}))
             SELECT candidate_set_id, count(*) AS row_count,
                    '{{"id":"' || candidate_set_id || '","version":3,"candidates":['
                    || string_agg({candidate_json}, ',' ORDER BY recency DESC, id, publisher)
                    || '],"type":"recommendation","flow":"shortreads","run":"run-1","expires_at":'
                    || {1706659200 + fv.MESSAGE_EXPIRY_SECONDS} || '}}' AS message
             FROM items GROUP BY 1""",
+        "legacy_item_violations": f"""{with_content}, items AS ({shortreads}),
+            sets AS (SELECT DISTINCT candidate_set_id FROM items UNION ALL SELECT 'no-such-set')
+            SELECT candidate_set_id, count(i.candidate_set_id) AS item_count,
+                   CAST(count(*) FILTER (i.candidate_set_id IS NOT NULL AND (id IS NULL OR coalesce(publisher, '') = '')) AS BIGINT) AS bad_items
+            FROM sets LEFT JOIN items i USING (candidate_set_id) GROUP BY 1 HAVING item_count < 1 OR bad_items > 0""",
     }
     return result
 
@@ -715,6 +761,7 @@ def _retention() -> dict[str, str]:
     key_type = "json_extract_string(event, '$.data.user_key_type_id') = '1'"
     columns = "event_id, user_id, user_key_type_id"
     all_users = f"SELECT hashed_user_id, user_id FROM known UNION ALL ({new_users})"
+    by_user, by_email = "user_id IN (SELECT user_id FROM ids)", "email IN (SELECT email FROM addresses)"
     return {
         "new_deleted_users": with_views("deleted_users", "known") + new_users,
         "new_deleted_emails": with_views("deleted_users", "known_emails") + new_emails("deleted_users"),
@@ -726,20 +773,28 @@ def _retention() -> dict[str, str]:
         "purge_extra_predicate": with_views("event_payloads", "deleted_users")
         + kept("event_payloads", f"{payload_key} IN (SELECT CAST(user_id AS VARCHAR) FROM deleted_users) AND {key_type}", columns),
         "purge_flag": with_views("user_orders") + kept("user_orders", "is_deleted"),
-        "purge_deleted_accounts": with_views("user_orders", "event_payloads", "deleted_users", "known", "known_emails") + f""",
+        "purge_deleted_accounts": with_views("user_orders", "event_payloads", "context_events", "deleted_users", "known", "known_emails") + f""",
             users AS ({all_users}), emails AS (SELECT email FROM known_emails UNION ALL ({new_emails("users")})),
             ids AS (SELECT user_id FROM users WHERE user_id IS NOT NULL),
             addresses AS (SELECT email FROM emails WHERE email IS NOT NULL)
             SELECT 'deleted_users' AS table_name, hashed_user_id AS row_key FROM users
             UNION ALL SELECT 'deleted_emails', email FROM emails
-            UNION ALL SELECT 'raw.firehose.item_session', CAST(event_id AS VARCHAR) FROM event_payloads
+            UNION ALL SELECT 'orders_by_user', CAST(o_orderkey AS VARCHAR) FROM user_orders WHERE NOT coalesce({by_user}, FALSE)
+            UNION ALL SELECT 'orders_by_hash_or_user', CAST(o_orderkey AS VARCHAR) FROM user_orders
+                      WHERE NOT coalesce({by_user}, FALSE)
+                        AND NOT coalesce(hashed_user_id IN (SELECT hashed_user_id FROM users WHERE hashed_user_id IS NOT NULL), FALSE)
+            UNION ALL SELECT 'orders_by_email', CAST(o_orderkey AS VARCHAR) FROM user_orders WHERE NOT coalesce({by_email}, FALSE)
+            UNION ALL SELECT 'orders_by_user_or_email', CAST(o_orderkey AS VARCHAR) FROM user_orders
+                      WHERE NOT coalesce({by_user}, FALSE) AND NOT coalesce({by_email}, FALSE)
+            UNION ALL SELECT 'payloads_by_user', CAST(event_id AS VARCHAR) FROM event_payloads
                       WHERE NOT coalesce({payload_user} IN (SELECT user_id FROM ids), FALSE)
-            UNION ALL SELECT 'snapshot.main.users', CAST(o_orderkey AS VARCHAR) FROM user_orders
-                      WHERE NOT coalesce(user_id IN (SELECT user_id FROM ids), FALSE)
-            UNION ALL SELECT 'snapshot.main.user_email_map', CAST(o_orderkey AS VARCHAR) FROM user_orders
-                      WHERE NOT coalesce(user_id IN (SELECT user_id FROM ids), FALSE)
-                        AND NOT coalesce(email IN (SELECT email FROM addresses), FALSE)
-            UNION ALL SELECT 'billing.main.card', CAST(o_orderkey AS VARCHAR) FROM user_orders
+            UNION ALL SELECT 'payloads_of_one_type', CAST(event_id AS VARCHAR) FROM event_payloads
+                      WHERE NOT coalesce({payload_key} IN (SELECT CAST(user_id AS VARCHAR) FROM ids) AND {key_type}, FALSE)
+            UNION ALL SELECT 'events_by_context', CAST(event_id AS VARCHAR) FROM context_events
+                      WHERE NOT coalesce(json_extract_string(context, '$[0].user_id') IN (SELECT CAST(user_id AS VARCHAR) FROM ids), FALSE)
+                        AND NOT coalesce(json_extract_string(context, '$[0].hashed_user_id')
+                                         IN (SELECT hashed_user_id FROM users WHERE hashed_user_id IS NOT NULL), FALSE)
+            UNION ALL SELECT 'orders_flagged', CAST(o_orderkey AS VARCHAR) FROM user_orders
                       WHERE NOT coalesce(is_deleted, FALSE)""",
     }
 

@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from ..functions import fixed_values as fv
 
 AS_OF = "2024-01-31 00:00:00"
+# the domain that publisher features leave out
+OWN_DOMAIN = 50
 AS_OF_EPOCH = 1706659200
 TILES = 997
 _TOPIC_NAMES = [topic for topic, _ in fv.APPROVED_TOPICS] + [fv.EXCLUDED_TOPIC]
@@ -162,7 +164,7 @@ def view_columns(d: Dialect) -> dict[str, tuple[str, dict[str, str]]]:
         "first_parsed_at": d.ago("doc_id % 10 * 86400 + doc_id * 43 % 86400"),
         "language": "lang",
         "word_count": "n_chars",
-        "domain_id": f"CASE WHEN doc_id % 50 = 0 THEN {fv.EXCLUDED_DOMAIN_ID} ELSE doc_id % 50 END",
+        "domain_id": f"CASE WHEN doc_id % 50 = 0 THEN {OWN_DOMAIN} ELSE doc_id % 50 END",
     })
     views["scheduled_content"] = ("labels", {"content_id": "CASE WHEN toxic = 1 THEN doc_id END"})
     views["engagement_by_day"] = ("events", {
@@ -293,6 +295,13 @@ def view_columns(d: Dialect) -> dict[str, tuple[str, dict[str, str]]]:
         "event": f"CASE WHEN event_id % 19 = 0 THEN NULL ELSE {payload} END",
     })
 
+    views["context_events"] = ("events", {
+        "event_id": "event_id",
+        "context": "CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 2 = 0 THEN "
+        "concat('[{\"hashed_user_id\":\"h', CAST(user_id AS STRING), '\"},{\"user_id\":3}]') "
+        "ELSE concat('[{\"user_id\":', CAST(user_id AS STRING), '}]') END",
+    })
+
     views["user_changes"] = ("events", {
         "event_id": text("event_id"),
         "loaded_at": d.time("ts"),

@@ -84,12 +84,13 @@ def item_messages(
 def candidate_messages(
     items: DataFrame, order: Sequence[Column], spread_by: Sequence[str], flow: str, run: str, now_epoch: int,
     expires_in_s: int = fv.MESSAGE_EXPIRY_SECONDS, kind: str = "recommendation", curated: bool = False,
-    max_items: int | None = None,
+    max_items: int | None = None, sets: Sequence[str] | None = None,
 ) -> DataFrame:
     """One message per candidate set: (candidate_set_id, message).
 
-    The set id must be a UUID and curated items need a feed id; the job fails
-    otherwise.
+    The set id must be a UUID, every item needs an id and a publisher that is not empty,
+    and curated items need a feed id; the job fails otherwise, in the pass that builds
+    the messages. A set of ``sets``, if given, without items fails it too.
     """
     if expires_in_s <= 0:
         raise ValueError(f"invalid expiry: {expires_in_s}")
@@ -102,12 +103,19 @@ def candidate_messages(
         feed_id = F.when(
             feed_id.isNull(), F.raise_error(F.lit("a curated item has no feed_id"))
         ).otherwise(feed_id)
-    item = F.struct(
-        F.col("id").alias("item_id"), F.col("publisher"), feed_id.cast("bigint").alias("feed_id")
-    )
+    item_id = F.when(F.col("id").isNull(), F.raise_error(F.lit("an item has no id"))).otherwise(F.col("id"))
+    publisher = F.col("publisher")
+    unnamed = F.raise_error(F.concat(F.lit("no publisher of item "), F.coalesce(F.col("id").cast("string"), F.lit("without id"))))
+    publisher = F.when(publisher.isNull() | (publisher == ""), unnamed).otherwise(publisher)
+    item = F.struct(item_id.alias("item_id"), publisher.alias("publisher"), feed_id.cast("bigint").alias("feed_id"))
     rows = items.withColumn("candidate_set_id", checked)
     chunked = chunk_rows(rows, ONE_LIST, ["candidate_set_id"], order, spread_by)
     collected = at_most(collect_chunks(chunked, ["candidate_set_id"], {"candidates": item}), max_items)
+    if sets is not None:
+        wanted = items.sparkSession.createDataFrame([(s,) for s in sets], "candidate_set_id string")
+        collected = wanted.join(collected, "candidate_set_id", "left")
+        none = F.raise_error(F.concat(F.lit("no items in set "), set_id))
+        collected = collected.withColumn("row_count", F.when(F.col("row_count").isNull(), none.cast("bigint")).otherwise(F.col("row_count")))
     message = F.to_json(
         F.struct(
             F.col("candidate_set_id").alias("id"),
