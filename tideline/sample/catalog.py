@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import fixed_values as fv
 from ..functions.expr import as_timestamp, iso8601, parse_iso8601
+from ..functions.text import html_to_text
 from ..operators import checks, chunks, counting, intervals, latest, setops, sketches, tables, unnest
 from ..plans import articles, backend_events, candidates, engagement, feeds, legacy_candidates, publisher
 from ..plans import retention, revenue, runner, score, telemetry_legacy, telemetry_nested, user_sync
@@ -995,3 +996,26 @@ def stream_articles(v):
     query.awaitTermination()
     rows = v.spark.read.parquet(f"{out}/rows")
     return rows.select("resolved_id", F.md5("html").alias("html_md5"), F.col("text").isNotNull().alias("has_text"), "loaded_at")
+
+
+@_query
+def stream_article_outcomes(v):
+    """Texts and dead letters that the article stream has written, where pages that are cut off fail to convert."""
+
+    def convert(html: str) -> str:
+        if "</body>" not in html:
+            raise ValueError("cut off")
+        return html_to_text(html)
+
+    drop, out, failures, checkpoint = (shared_dir(v.spark, n) for n in ("drop", "content", "failures", "articles"))
+    pages = v.table("pages").select(F.col("page_id").cast("string").alias("resolved_id"), F.col("html").alias("article"))
+    pages.repartition(8, "resolved_id").write.option("compression", "gzip").json(drop)
+    query = streams.article_stream(
+        v.spark, drop, out, failures, checkpoint, "run-1", AS_OF, convert, files_per_trigger=4, clean_source=False
+    )
+    query.awaitTermination()
+    rows = v.spark.read.parquet(f"{out}/rows").select("resolved_id", F.md5("html").alias("html_md5"), "text_md5")
+    letters = v.spark.read.schema("resolved_id bigint, html string, error string").json(failures)
+    letters = letters.select("resolved_id", F.md5("html").alias("_html_md5"), "error")
+    both = rows.join(letters, "resolved_id", "full")
+    return both.select(F.col("resolved_id").cast("bigint").alias("resolved_id"), F.coalesce("html_md5", "_html_md5").alias("html_md5"), "text_md5", "error")

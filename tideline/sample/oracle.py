@@ -892,8 +892,36 @@ def _maintenance() -> dict[str, str]:
     }
 
 
+def _page_texts() -> str:
+    """(page_id, text) of the pages by patterns: they hold no tables, no preformatted text and no markup in texts."""
+    one_break = "li"
+    blocks = "address|article|aside|blockquote|body|div|footer|h[1-6]|header|main|nav|ol|p|section|ul"
+    steps = [
+        (r"\s+", " "), (r"^.*?<body[^>]*>", ""), (r"<!--.*?-->", ""), (r"<(script|style)[^>]*>.*?</(script|style)>", ""),
+        (r"<br[^>]*>", "\n"), (rf"</?({one_break})(\s[^>]*)?>", "\n"), (rf"</?({blocks})(\s[^>]*)?>", "\n\n"), (r"<[^>]*>", ""),
+    ]
+    text = "html"
+    for pattern, to in steps:
+        text = f"regexp_replace({text}, '{pattern}', '{to}', 'gs')"
+    for name, to in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{to}', 'g')"
+    for pattern, to in [*fv.TEXT_RULES, (r"^\s+|\s+$", "")]:
+        replacement = to.replace("$1", "\\1")
+        text = f"regexp_replace({text}, '{pattern}', '{replacement}', 'g')"
+    return f"SELECT page_id, html, {text} AS text FROM pages".replace("'\n'", "chr(10)").replace("'\n\n'", "chr(10) || chr(10)")
+
+
 def _operators() -> dict[str, str]:
     return {
+        "article_text": f"""
+            SELECT page_id AS resolved_id, text, CASE WHEN length(text) > 0 THEN md5(text) END AS text_md5,
+                   CAST(NULL AS VARCHAR) AS error
+            FROM ({_page_texts()})""",
+        "stream_article_outcomes": f"""
+            SELECT CAST(page_id AS BIGINT) AS resolved_id, md5(html) AS html_md5,
+                   CASE WHEN contains(html, '</body>') THEN md5(text) END AS text_md5,
+                   CASE WHEN NOT contains(html, '</body>') THEN 'ValueError: cut off' END AS error
+            FROM ({_page_texts()})""",
         "latest_per_key": f"""
             SELECT o_custkey, o_orderkey, {_stamp("o_orderdate")} AS o_orderdate FROM orders
             QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""",
