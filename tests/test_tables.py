@@ -174,6 +174,17 @@ def test_day_table(spark, frame):
     assert table.read().columns == ["day", "v"] and table.read().count() == 0
 
 
+def test_load_with_forbidden_rows_does_not_count(spark, frame):
+    table = table_io.DayTable(spark, shared_dir(spark, "checked"), "day")
+    wrong = {"negative v": F.col("v") < 0, "no day": F.col("day").isNull()}
+    table.replace(_day_rows(frame, ("2024-01-01", 1)), "days", wrong)
+    with pytest.raises(ValueError, match="of 4: {'negative v': 2, 'no day': 1}"):
+        table.replace(_day_rows(frame, ("2024-01-01", -1), ("2024-01-02", -2), (None, 5), ("2024-01-03", None)), "days", wrong)
+    assert rows_of(table.read(), "v") == [(1,)] and len(table.loads()) == 1
+    table.replace(_day_rows(frame, ("2024-01-01", 1)).limit(0), "days", wrong)
+    assert rows_of(table.read(), "v") == [(1,)]
+
+
 def test_load_that_dies_is_ignored(spark, frame, monkeypatch):
     folder = shared_dir(spark, "unfinished")
     table = table_io.DayTable(spark, folder, "day")

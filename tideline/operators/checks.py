@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,25 @@ def not_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns(checked)
 
 
+def write_checked(df: DataFrame, write: Callable[[DataFrame], None], forbidden: Mapping[str, Column]) -> dict[str, int]:
+    """Writes ``df`` and raises if rows hold what is ``forbidden``: (what is wrong, condition) pairs.
+
+    The rows are counted while they are written, in no pass of their own, and all kinds
+    are told at once. What ``write`` leaves must not count yet when this raises.
+    """
+    if not forbidden:
+        write(df)
+        return {}
+    seen = Observation()
+    counts = {f"n{i}": F.count_if(F.coalesce(condition, F.lit(False))).alias(f"n{i}") for i, condition in enumerate(forbidden.values())}
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts.values()))
+    got = seen.get
+    wrong = {name: got.get(f"n{i}", 0) for i, name in enumerate(forbidden) if got.get(f"n{i}", 0)}
+    if wrong:
+        raise ValueError(f"rows that must not be there, of {got['rows']}: {wrong}")
+    return got
+
+
 def corpus_item_violations(items: DataFrame, sets: DataFrame, set_col: str) -> DataFrame:
     """Sets whose items break a rule: too few, or an empty id or topic.
 

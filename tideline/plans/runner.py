@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import as_timestamp
 from ..operators.intervals import folder_names, interval_plan, stale_partitions
-from ..operators.checks import not_null
 from ..sources.files import typed_load
 from ..sources.logs import OffsetLog
 from ..sources.paths import remove_folder, subfolders
@@ -92,7 +91,8 @@ def _run_interval(spark: SparkSession, job: Job, root: str, interval: Row, as_of
         folder = f"{stage}/date={interval['date']}/time={interval['time']}"
         batch = typed_load(spark, folder, job.columns, loaded_at=as_of)
         # The days from the batch's first one on; the files of earlier days stay as they are.
-        job_table(spark, root, job).replace(not_null(batch, job.required) if job.required else batch, "from")
+        nulls = {f"null in required column {name}": F.col(name).isNull() for name in job.required}
+        job_table(spark, root, job).replace(batch, "from", nulls)
     if job.incremental and job.external_state:
         # written last: a run that dies before this repeats the interval
         offset_log(spark, root).record(job.name, f"{start} as of {as_of}", offset, as_of)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.expr import as_timestamp, empty_to_null, iso8601, mask_email, valid_email
+from ..operators.checks import exactly_one_id
 from ..operators.chunks import chunk_rows, collect_chunks
 
 _STEPS = {
@@ -66,10 +67,17 @@ def _alias_only() -> Column:
     return F.when(F.col("external_id").isNull(), alias)
 
 
+def _one_id() -> Column:
+    """The external id; a user object without id and alias, or with both, fails the job."""
+    alias = _alias_only()
+    wrong = F.raise_error(F.concat(F.lit("not exactly one identifier: "), "event_id")).cast("string")
+    return F.when(exactly_one_id(F.col("external_id"), alias["alias_name"]), F.col("external_id")).otherwise(wrong)
+
+
 def attributes_json() -> Column:
     return F.to_json(
         F.struct(
-            F.col("external_id"),
+            _one_id().alias("external_id"),
             _alias_only().alias("user_alias"),
             F.lit(True).alias("_update_existing_only"),
             F.col("email"),
@@ -94,7 +102,7 @@ def event_json() -> Column:
     nothing = F.map_filter(given, lambda key, value: F.lit(False))
     event = F.to_json(
         F.struct(
-            F.col("external_id"),
+            _one_id().alias("external_id"),
             _alias_only().alias("user_alias"),
             name.alias("name"),
             iso8601("happened_at").alias("time"),

@@ -21,6 +21,7 @@ from ..plans import articles, backend_events, candidates, engagement, feeds, leg
 from ..plans import retention, revenue, runner, score, telemetry_legacy, telemetry_nested, user_sync
 from ..session import shared_dir
 from ..sources import files, records
+from ..sources.logs import OffsetLog
 from ..sources import tables as table_io
 from ..streaming import streams
 from .rules import AS_OF, OWN_DOMAIN, SPARK, view_columns
@@ -1019,3 +1020,43 @@ def stream_article_outcomes(v):
     letters = letters.select("resolved_id", F.md5("html").alias("_html_md5"), "error")
     both = rows.join(letters, "resolved_id", "full")
     return both.select(F.col("resolved_id").cast("bigint").alias("resolved_id"), F.coalesce("html_md5", "_html_md5").alias("html_md5"), "text_md5", "error")
+
+
+@_query
+def stream_archived_sources(v):
+    """Where the pages of a drop folder are after two runs of one stream that archives what it has read.
+
+    The last file stays: it is moved when a later batch begins.
+    """
+    pages = v.table("pages").select("page_id", F.md5("html").alias("html_md5"))
+    drop, archive, out, checkpoint = (shared_dir(v.spark, n) for n in ("sources", "archive", "archived", "archived-checkpoint"))
+    # The files are moved by the stream itself, not by a thread beside it.
+    v.spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
+    for parts in ((0, 1), (2, 3)):
+        for part in parts:
+            pages.filter(F.col("page_id") % 4 == part).coalesce(1).write.mode("append").parquet(drop)
+        arriving = streams.file_stream(v.spark, drop, pages.schema, files_per_trigger=1, archive=archive)
+        streams.write_batches(arriving, out, checkpoint).awaitTermination()
+    places = {"archive": archive, "drop": drop, "read": out}
+    found = [
+        v.spark.read.schema(pages.schema).option("recursiveFileLookup", "true").parquet(folder).withColumn("place", F.lit(place))
+        for place, folder in places.items()
+    ]
+    return setops.concat_frames(*found)
+
+
+@_query
+def stream_offset_state(v):
+    """Offsets that the change feed logs batch by batch, read twice from the start: the second time nothing is added."""
+    schema = v.table("events").schema
+    columns = v.plain("user_changes").columns
+    expressions = view_columns(SPARK)["user_changes"][1]
+    log = OffsetLog(v.spark, shared_dir(v.spark, "feed-offsets"))
+    out = shared_dir(v.spark, "feed")
+    for as_of in (AS_OF, LATER):
+        raw = streams.file_stream(v.spark, v.sf_dir, schema, glob="events.parquet")
+        changes = raw.selectExpr(*[f"{expressions[c]} AS `{c}`" for c in columns])
+        checkpoint = shared_dir(v.spark, "feed-checkpoint")
+        streams.change_feed_stream(changes, out, checkpoint, "production", log, "user_changes", as_of).awaitTermination()
+    payloads = v.spark.read.parquet(out).agg(F.sum("row_count").alias("items"))
+    return log.state().withColumn("items", payloads.scalar())

@@ -737,6 +737,13 @@ def _user_sync() -> dict[str, str]:
             SELECT *, (row_number() OVER (PARTITION BY step, subscription_group_id ORDER BY loaded_at, event_id) - 1)
                       // CASE WHEN step = 4 THEN 75 ELSE 50 END AS chunk_no FROM items)
         GROUP BY 1, 2, 3, 4"""
+    result["stream_offset_state"] = (
+        result["stream_change_feed"].replace("SELECT step, endpoint, subscription_group_id, CAST(chunk_no AS BIGINT)", ", feed AS (SELECT step, endpoint, subscription_group_id, CAST(chunk_no AS BIGINT)", 1)
+        + f""")
+        SELECT 'user_changes' AS sql_folder_name, '{AS_OF}.000000' AS created_at, '{AS_OF}.000000' AS updated_at,
+               (SELECT rtrim(rtrim(strftime(max(loaded_at), '%Y-%m-%d %H:%M:%S.%f'), '0'), '.') FROM user_changes) AS last_offset,
+               CAST((SELECT sum(row_count) FROM feed) AS BIGINT) AS items"""
+    )
     return result
 
 
@@ -917,6 +924,9 @@ def _operators() -> dict[str, str]:
             SELECT page_id AS resolved_id, text, CASE WHEN length(text) > 0 THEN md5(text) END AS text_md5,
                    CAST(NULL AS VARCHAR) AS error
             FROM ({_page_texts()})""",
+        "stream_archived_sources": """
+            SELECT page_id, md5(html) AS html_md5, CASE WHEN page_id % 4 = 3 THEN 'drop' ELSE 'archive' END AS place FROM pages
+            UNION ALL SELECT page_id, md5(html), 'read' FROM pages""",
         "stream_article_outcomes": f"""
             SELECT CAST(page_id AS BIGINT) AS resolved_id, md5(html) AS html_md5,
                    CASE WHEN contains(html, '</body>') THEN md5(text) END AS text_md5,

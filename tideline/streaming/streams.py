@@ -18,6 +18,7 @@ from ..operators.sketches import pane_sketches, trailing_windows
 from ..plans.articles import content_rows, extract_article_text, failure_rows
 from ..plans.user_sync import clean_deltas, user_delta_payloads
 from ..sources.files import ARTICLE_SCHEMA
+from ..sources.logs import OffsetLog
 
 
 def file_stream(
@@ -28,13 +29,20 @@ def file_stream(
     files_per_trigger: int = fv.FILES_PER_TRIGGER,
     glob: str | None = None,
     clean_source: bool = False,
+    archive: str | None = None,
     **options,
 ) -> DataFrame:
-    """Files of a drop folder in micro-batches of a bounded number of files."""
+    """Files of a drop folder in micro-batches of a bounded number of files.
+
+    Files of a finished batch are deleted (``clean_source``) or moved below ``archive``
+    when a later batch begins; those of the last batch stay until the next run.
+    """
     reader = spark.readStream.format(file_format).schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    if clean_source:
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    elif clean_source:
         reader = reader.option("cleanSource", "delete")
     return reader.options(**options).load(path)
 
@@ -117,14 +125,33 @@ def article_stream(
     )
 
 
-def change_feed_stream(changes: DataFrame, path: str, checkpoint: str, environment: str) -> StreamingQuery:
-    """User changes to request payloads; the checkpoint takes the place of the offset."""
+def change_feed_stream(
+    changes: DataFrame, path: str, checkpoint: str, environment: str, log: OffsetLog | None = None, name: str = "user_deltas", now=None
+) -> StreamingQuery:
+    """User changes to request payloads; the checkpoint takes the place of the offset.
+
+    With ``log``, the latest load time of each batch is added to it as the offset of
+    ``name``, and a batch that it holds already is not written again: so the job can also
+    go on without its checkpoint, from the logged offset.
+    """
 
     def payloads(batch: DataFrame, _: int) -> DataFrame:
         deltas = clean_deltas(batch, "1970-01-01 00:00:00", production=environment == "production")
         return user_delta_payloads(deltas, environment)
 
-    return write_batches(changes, path, checkpoint, payloads)
+    if log is None:
+        return write_batches(changes, path, checkpoint, payloads)
+
+    def sink(batch: DataFrame, batch_id: int) -> str | None:
+        payloads(batch, batch_id).write.mode("overwrite").parquet(_batch_folder(path, batch_id))
+        return batch.agg(F.max("loaded_at").cast("string")).first()[0]
+
+    return (
+        changes.writeStream.foreachBatch(log.once(name, sink, now))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 TRAILING = ["trailing_1_day_impressions", "trailing_1_day_opens"]
