@@ -100,7 +100,36 @@ def test_no_part_of_a_leaf_is_large(spark, monkeypatch):
     leaves = {}
     for r in parts:
         leaves[r["tree"], r["leaf"]] = leaves.get((r["tree"], r["leaf"]), 0) + r["count"]
-    assert sum(leaves.values()) == 4 * 4000 and max(leaves.values()) >= 1000
+    assert sum(leaves.values()) == (neighbours.TREES + neighbours.DEALS) * 4000 and max(leaves.values()) >= 1000
     # Twice LEAF on average over the parts of a leaf, with room for the hash.
     assert max(r["count"] for r in parts) <= 300
     assert {r["leaf"] for r in parts if r["deal"]} != {r["leaf"] for r in parts}
+
+
+@pytest.mark.parametrize("scale, first, size", [(1.0, 1e160, 16), (1e-150, 1.0, 16), (1e150, 1.0, 16), (1.0, 1.0, 1024)])
+def test_extreme_components_and_long_vectors(spark, scale, first, size):
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1200, size))
+    x[0, 0] *= first
+    docs = spark.createDataFrame([(i, (v * scale).tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = found_of(neighbours.nearest_neighbours(docs, F.col("vec_id") % 40 == 0))
+    recall = []
+    for q in range(40, 1200, 40):
+        score = x @ x[q]
+        score[q] = -np.inf
+        recall.append(len({*found[q]} & {*np.argsort(-score)[:20].tolist()}) / 20)
+    assert np.mean(recall) >= 0.95 and len(found[0]) == 20
+
+
+def test_walks_do_not_stay_in_patches(spark, monkeypatch):
+    """Many small leaves, few links: deals at random and rounds until still lead out of them."""
+    monkeypatch.setattr(neighbours, "LEAF", 100)
+    x = np.random.default_rng(6).standard_normal((12_000, 32))
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = found_of(neighbours.nearest_neighbours(docs, F.col("vec_id") % 200 == 0))
+    recall = []
+    for q in range(0, 12_000, 200):
+        score = x @ x[q]
+        score[q] = -np.inf
+        recall.append(len({*found[q]} & {*np.argsort(-score)[:20].tolist()}) / 20)
+    assert np.mean(recall) >= 0.95

@@ -1,9 +1,13 @@
+import collections
 import hashlib
+import math
 import random
+import struct
 
 import duckdb
 import numpy as np
 import pytest
+import xxhash
 from llm_cases import SMALL, bag_of, near_classes, removed_bytes, repeats_of, texts_of
 from pyspark.sql import functions as F
 
@@ -210,6 +214,70 @@ def test_texts_far_from_training_are_rejected(spark):
     assert far[0] and not far[1] and score[0] < score[1]
 
 
+def test_languages_by_plain_comparison(spark, small):
+    """Every prediction is the language of the centroid with the largest cosine, computed gram by gram."""
+    model = language.train(small, F.lit(True))
+    rows = {r["doc_id"]: r for r in language.identify(small, model).collect()}
+    for r in small.limit(40).collect():
+        weight = collections.Counter()
+        raw = r["text"].encode().lower()
+        for at, count in enumerate(language.gram_counts([r["text"]])[0].tolist()):
+            if count:
+                weight[at] = math.log1p(count) * model.idf[at]
+        assert sum(language.gram_counts([r["text"]])[0]) == sum(max(0, len(raw) - n + 1) for n in (1, 2, 3))
+        norm = math.sqrt(sum(w * w for w in weight.values()))
+        cosine = [sum(w * c[at] for at, w in weight.items()) / norm for c in model.centres]
+        best = max(range(len(cosine)), key=cosine.__getitem__)
+        assert rows[r["doc_id"]]["lang_pred"] == model.languages[best]
+        assert rows[r["doc_id"]]["score"] == pytest.approx(cosine[best], abs=1e-4)
+
+
+def test_no_language_is_lost(spark, monkeypatch):
+    """Three thousand labels, and one language with nearly all rows."""
+    many = spark.range(3000).selectExpr("id AS doc_id", "concat('lang', id) AS lang", "concat('text of language ', id) AS text")
+    assert len(set(language.train(many, F.lit(True)).languages)) == 3000
+    monkeypatch.setattr(language, "SAMPLE_TEXTS", 6)
+    skewed = spark.range(20_000).selectExpr("id AS doc_id", "IF(id = 7, 'rare', 'frequent') AS lang", "concat('words ', id) AS text")
+    assert set(language.train(skewed, F.lit(True)).languages) == {"rare", "frequent"}
+    silent = skewed.union(spark.createDataFrame([(-i, "late", None if i == 1 else "." * i) for i in range(1, 9)] + [(-9, "late", "abc")], "doc_id bigint, lang string, text string"))
+    assert "late" in language.train(silent, F.lit(True)).languages
+
+
+def test_resampling_by_plain_counts(spark):
+    """Models, weights, Gumbel keys and the kept set, plainly; a bounded sample would not reach these tables."""
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    texts = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
+    given = labels.collect()
+    good = {r["doc_id"] for r in given if r["quality"] == 1}
+    raw, target = np.zeros(resampling.BUCKETS), np.zeros(resampling.BUCKETS)
+    for i, text in texts:
+        for gram in resampling.hashed_grams(text):
+            raw[gram] += 1
+            target[gram] += i in good
+    ratio = np.log((target + 1) / (target.sum() + resampling.BUCKETS)) - np.log((raw + 1) / (raw.sum() + resampling.BUCKETS))
+    keys = {}
+    for i, text in texts:
+        digest = xxhash.xxh64_intdigest(struct.pack("<q", i), 42)
+        digest = xxhash.xxh64_intdigest(struct.pack("<i", 0), digest)
+        uniform = ((digest >> 11) + 0.5) / 2**53
+        keys[i] = (sum(ratio[g] for g in resampling.hashed_grams(text)) - math.log(-math.log(uniform)), i)
+    share = np.mean([r["quality"] for r in given if r["quality"] is not None])
+    wanted = {i for _, i in sorted(keys.values(), reverse=True)[: round(share * len(texts))]}
+    rows = resampling.importance_resample(docs, labels).collect()
+    assert {r["doc_id"] for r in rows if r["kept"]} == wanted and len(rows) == len(texts)
+
+
+def test_resampling_with_its_own_names_and_tied_keys(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b", 1, 2), (2, None, 3, 4)], "doc_id bigint, text string, _good int, good int")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, quality int")
+    assert resampling.importance_resample(docs, labels).count() == 2
+    monkeypatch.setattr(resampling, "BAND", 10)
+    values = [1.0] * 500 + [2.0] * 500 + [1.5]
+    keys = spark.createDataFrame([(v,) for v in values], "key double")
+    for k in (1, 500, 501, 502, 1001):
+        assert resampling.kth_key(keys, k) == sorted(values, reverse=True)[k - 1]
+
+
 def test_resampling(spark, edge, empty, small, monkeypatch):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     rows = resampling.importance_resample(docs, labels).join(labels, "doc_id").collect()

@@ -13,14 +13,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import text_batches
 
 DIMENSIONS = 4096
 CENTROIDS = 4
-#: Training texts, over all languages, from which the centroids are fitted (the bound of the sample).
+#: Training texts, over all languages, from which the centroids are fitted (the bound of the sample; one of each language at least).
 SAMPLE_TEXTS = 4000
 ROUNDS = 12
 #: A text is rejected if it is farther than this many times its centroid's 99th percentile of training distances.
@@ -124,12 +124,10 @@ def train(docs: DataFrame, training: Column, label: str = "lang", text: str = "t
         seen[row["gram"]] = row["n"]
     idf = np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1
 
-    labels = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = max(1, SAMPLE_TEXTS // max(1, len(labels)))
-    # The languages are a short list; each row is drawn by its own language's rate.
-    rate = F.lit(0)
-    for name, n in labels.items():
-        rate = F.when(F.col("label") == name, F.lit(int(min(1.0, share / n) * (1 << 20)))).otherwise(rate)
+    # Every language gives as many texts, drawn by a hash: ranked within the language, so that none is lost however
+    # many rows it has, and cut before anything is moved.
+    share = max(1, SAMPLE_TEXTS // max(1, rows.select("label").distinct().count()))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("spread", "text"))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches):
@@ -139,7 +137,7 @@ def train(docs: DataFrame, training: Column, label: str = "lang", text: str = "t
                     vector = vectors(gram_counts([value]), idf)[0]
                     yield pa.RecordBatch.from_pydict({"label": [name], "vector": [vector.astype("<f4").tobytes()]})
 
-    drawn = rows.filter(F.pmod("spread", F.lit(1 << 20)) < rate).select("label", "text")
+    drawn = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("rank", rank).filter(F.col("rank") <= share).select("label", "text")
     points: dict[str, list[bytes]] = {}
     for row in drawn.mapInArrow(sample, "label string, vector binary").collect():
         points.setdefault(row["label"], []).append(bytes(row["vector"]))
@@ -180,7 +178,13 @@ def identify(docs: DataFrame, model: Centroids, text: str = "text", keep: tuple[
 
 
 def identify_held_out(docs: DataFrame) -> DataFrame:
-    """Trains on two of three folds by crc32 of the id and predicts every row; ``held_out`` marks the third."""
+    """Trains on two of three folds by crc32 of the id and predicts every row; ``held_out`` marks the third.
+
+    A null text or one without a letter is ``und`` with score 0, and so is every row if no
+    language is learned; a null id is not held out; rows that repeat get equal predictions;
+    of equally near centroids the first by language counts; an empty table gives an empty
+    result; other columns are ignored.
+    """
     held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1, F.lit(False))
     marked = docs.select("doc_id", "text", "lang", held_out.alias("held_out"))
     model = train(marked, ~F.col("held_out"))

@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product: NN-descent builds the graph, greedy search queries it.
 
-The graph starts from blocks of vectors that random hyperplanes do not part. Each round of
-NN-descent joins every vector with its neighbours and those it is a neighbour of: they are
+The graph starts from blocks of vectors that random hyperplanes do not part, and from blocks
+dealt at random, whose links lead from one patch to another. Each round of NN-descent joins every vector with its neighbours and those it is a neighbour of: they are
 neighbours of neighbours, and pairs of them that beat what they have replace it. A query
 walks the graph from its entries and from the longest vectors: it opens the best vectors it
 knows, scores their neighbours, keeps the best, and so on. Links are the largest inner
@@ -23,20 +23,23 @@ from .common import written
 
 DEGREE = 40
 #: Neighbours in either direction that meet at a node in one round.
-MEETING = 48
-ROUNDS = 3
-TREES = 4
+MEETING = 64
+#: Rounds end when fewer links than this share are new, and after the last at the latest.
+STILL, ROUNDS = 0.01, 12
+#: Trees whose leaves give the first links, and as many deals of all vectors at random: leaves alone leave patches.
+TREES, DEALS = 3, 3
 LEAF = 2048
 #: Links a leaf's vectors start with.
 FIRST_LINKS = 24
 #: Vectors the hyperplanes are laid through (the bound of the sample, drawn by a hash of the id).
 SAMPLE = 20_000
-#: Vectors a query remembers, those it opens in a round, and the rounds.
-BEAM, OPENED, STEPS = 128, 32, 5
+#: Vectors a query remembers and those it opens in a round; rounds go on while there are any, up to the last.
+BEAM, OPENED, STEPS = 400, 64, 24
 #: The longest vectors, which every query is scored against, as they have the largest products with most.
 LONGEST = 512
 NODES_PER_BLOCK = 512
-QUERIES_PER_BLOCK = 64
+#: Vectors fetched for a block of queries in one step, in bytes at most; one query is a block at least.
+BLOCK_BYTES = 64 << 20
 _EDGE = "src bigint, dst bigint, score float, new boolean"
 _EDGE_ARROW = pa.schema([("src", pa.int64()), ("dst", pa.int64()), ("score", pa.float32()), ("new", pa.bool_())])
 
@@ -64,8 +67,13 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def _codes(vec: np.ndarray, longest: float) -> np.ndarray:
-    """Vectors as floats, the longest of length 1; a float keeps its precision however short a vector is beside it."""
-    return (vec / longest).astype(np.float32)
+    """Vectors as floats, those of norm ``longest`` of length 1; a few far longer ones, which all queries meet, are cut to 1e18."""
+    size = np.abs(vec).max(axis=1, keepdims=True)
+    toward = vec / size
+    norm = np.sqrt((toward * toward).sum(axis=1, keepdims=True))
+    with np.errstate(over="ignore"):
+        times = np.minimum(size / longest * norm, 1e18)
+    return (toward / norm * times).astype(np.float32)
 
 
 def _directions(vec: np.ndarray) -> np.ndarray:
@@ -74,8 +82,12 @@ def _directions(vec: np.ndarray) -> np.ndarray:
     return (vec / np.sqrt((vec * vec).sum(axis=1, keepdims=True))).astype(np.float32)
 
 
-def _square(vec: str) -> Column:
-    return F.aggregate(vec, F.lit(0.0), lambda s, x: s + x * x)
+def _norm(vec: str) -> Column:
+    """Euclidean length; through the largest component, so that no square is lost or infinite."""
+    largest = F.array_max(F.transform(vec, F.abs))
+    return F.get(
+        F.transform(F.array(largest), lambda m: m * F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, x: s + (x / m) * (x / m)))), 0
+    )
 
 
 def _block(ids: Column | str, n: int, per: int) -> Column:
@@ -106,7 +118,8 @@ def _leaf(vec: np.ndarray, tree: tuple[np.ndarray, np.ndarray], depth: int) -> n
 class Index:
     """A graph over the vectors; see :func:`build`."""
 
-    def __init__(self, vectors: DataFrame, nodes: DataFrame, members: DataFrame, edges: DataFrame, n: int, longest: float, leaf: Callable):
+    def __init__(self, vectors: DataFrame, nodes: DataFrame, members: DataFrame, edges: DataFrame, n: int, longest: float, leaf: Callable, entries: tuple):
+        self.entries = entries
         self.vectors, self.nodes, self.members, self.edges, self.n = vectors, nodes, members, edges, n
         self.longest, self.leaf = longest, leaf
 
@@ -123,11 +136,12 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     named = rows.groupBy("vec").agg(F.min("vec_id").alias("id"))
     nodes = written(named, "nn-nodes")
     members = rows.join(nodes, "vec").select("vec_id", "id")
-    row = nodes.agg(F.count(F.lit(1)).alias("n"), F.max(_square("vec")).alias("square")).first()
-    n = row["n"]
+    n = nodes.count()
     if not n:
         return None
-    longest = math.sqrt(row["square"])
+    # The scale is that of the longest vector but LONGEST, so that a few of any length do not wipe out the others.
+    norms = nodes.select("id", _norm("vec").alias("norm")).orderBy(F.desc("norm"), "id")
+    longest = (norms.offset(LONGEST).first() or norms.first())["norm"]
     share = min(1.0, SAMPLE / n)
     drawn = nodes.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).select("vec").limit(2 * SAMPLE)
     sample = _directions(np.array([r["vec"] for r in drawn.collect()], float))
@@ -141,7 +155,7 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
             if not len(vec):
                 continue
             code, toward = _codes(vec, longest), _directions(vec)
-            leaves = np.stack([_leaf(toward, tree, depth) for tree in shared.value], axis=1)
+            leaves = np.stack([_leaf(toward, tree, depth) for tree in shared.value] + [np.zeros(len(vec), np.int64)] * DEALS, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(list(leaves), pa.list_(pa.int64()))],
                 ["id", "code", "leaves"],
@@ -167,7 +181,12 @@ def build(vectors: DataFrame, degree: int = DEGREE, rounds: int = ROUNDS, seed:
     edges = _merged(exploded.groupBy("tree", "leaf", "deal").applyInArrow(link, _EDGE), n, degree)
     for turn in range(rounds):
         edges = _descend(edges, coded, n, degree, turn)
-    return Index(nodes, coded, members, edges, n, longest, lambda vec: _leaf(_directions(vec), trees[0], depth))
+        if edges.filter("new").count() <= STILL * n * min(degree, n - 1):
+            break
+    # The longest vectors, a bounded number, are known to every task.
+    known = coded.join(F.broadcast(norms.limit(LONGEST).select("id")), "id").select("id", "code").toArrow()
+    entries = (known["id"].to_numpy(), _matrix(known["code"]))
+    return Index(nodes, coded, members, edges, n, longest, lambda vec: _leaf(_directions(vec), trees[0], depth), entries)
 
 
 def _dealt(exploded: DataFrame) -> DataFrame:
@@ -255,10 +274,13 @@ def _descend(edges: DataFrame, coded: DataFrame, n: int, degree: int, turn: int)
 def search(index: Index, queries: DataFrame, beam: int = BEAM, opened: int = OPENED, steps: int = STEPS) -> DataFrame:
     """Nearest nodes of every query (``query_id``, ``vec``, ``entry``: a node's id): ``query_id``, ``id``, ``score`` (approximate).
 
-    Queries are walked in blocks of about :data:`QUERIES_PER_BLOCK` that enter near each
-    other: the vectors their walks meet are fetched once for the block and scored for all of it.
+    Queries are walked in blocks that enter near each other: the vectors their walks meet
+    are fetched once for the block and scored for all of it. A block has as many queries
+    as keep what a step can fetch below :data:`BLOCK_BYTES`.
     """
+    per_block = max(1, BLOCK_BYTES // (opened * 2 * DEGREE * 4 * max(1, index.entries[1].shape[1])))
     longest, leaf = index.longest, index.leaf
+    entries = index.edges.sparkSession.sparkContext.broadcast(index.entries)
 
     def encode(batches):
         for batch in batches:
@@ -273,7 +295,7 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, opened: int = OPE
 
     asked_rows = queries.select("query_id", "vec", "entry").mapInArrow(encode, "query_id bigint, code binary, entry bigint, home bigint")
     # Queries of one leaf share blocks: its blocks are as many as its queries need.
-    sizes = asked_rows.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / QUERIES_PER_BLOCK).alias("deals"))
+    sizes = asked_rows.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / per_block).alias("deals"))
     deal = F.pmod(F.xxhash64("query_id"), F.col("deals"))
     coded = asked_rows.join(sizes, "home").withColumn("block", F.xxhash64("home", deal)).drop("home", "deals")
     coded = written(coded, "nn-queries")
@@ -297,6 +319,12 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, opened: int = OPE
         old_opened = before.column("opened").to_numpy()
         new_ids = met.column("id").to_numpy()
         new_codes = _matrix(met.column("code"))
+        if not before.num_rows:
+            # The first step of the block: all its queries also meet the longest vectors.
+            first_ids, first_codes = entries.value
+            other = ~np.isin(first_ids, new_ids)
+            new_ids = np.concatenate([new_ids, first_ids[other]])
+            new_codes = np.concatenate([new_codes.reshape(-1, first_codes.shape[1]), first_codes[other]])
         out = []
         for q in range(len(names)):
             own = np.flatnonzero(who == q)
@@ -319,8 +347,6 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, opened: int = OPE
     walked = None
     entered = coded.select(F.col("block").alias("of"), F.col("entry").alias("src"))
     met = entered.union(entered.join(links, "src").select("of", "dst")).toDF("of", "id")
-    longest_ones = index.vectors.select("id", _square("vec").alias("square")).orderBy(F.desc("square"), "id").limit(LONGEST).select("id")
-    met = met.union(coded.select("block").distinct().crossJoin(longest_ones))
     for _ in range(steps):
         vectors = met.distinct().join(index.nodes.select("id", "code"), "id").select("of", "id", "code")
         known = asking
@@ -328,6 +354,8 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, opened: int = OPE
             known = known.unionByName(walked.select("block", "query_id", "id", "score", "opened", F.lit(None).cast("binary").alias("code")))
         walked = written(known.groupBy("block").cogroup(vectors.groupBy("of")).applyInArrow(walk, state), "nn-walk")
         going = walked.filter("next").select(F.col("block").alias("of"), F.col("id").alias("src")).distinct()
+        if going.isEmpty():
+            break
         met = going.join(links, "src").select("of", F.col("dst").alias("id"))
     return walked.select("query_id", "id", "score")
 
@@ -339,7 +367,9 @@ def nearest_neighbours(vectors: DataFrame, queries: Column, k: int = 20) -> Data
     in double precision on the original vectors; ties go to the smaller ``vec_id``. All
     candidates if there are fewer than ``k``. Rows that :func:`usable` leaves out are
     neither query nor candidate; equal vectors are all found, by ascending id; rows that
-    share an id are expected to be equal. Without usable rows the result is empty.
+    share an id are expected to be equal. Products too small for a double are 0 and tie;
+    of those that tie, the ones found count. Other columns are ignored. Without usable
+    rows the result is empty.
     """
     index = build(vectors)
     spark = vectors.sparkSession

@@ -57,7 +57,9 @@ def log_ratio(docs: DataFrame, labels: DataFrame, text: str = "text") -> np.ndar
                     counts[1] += found
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BUCKETS)), *map(pa.array, counts)], ["bucket", "raw", "target"])
 
-    marked = docs.join(chosen, F.col("doc_id") == F.col("_good"), "left").select(F.col("_good").isNotNull().alias("good"), F.col(text).alias("text"))
+    # Only the two columns, under names of their own, meet the labels.
+    texts = docs.select(F.col("doc_id").alias("_id"), F.col(text).alias("_text"))
+    marked = texts.join(chosen, F.col("_id") == F.col("_good"), "left").select(F.col("_good").isNotNull().alias("good"), F.col("_text").alias("text"))
     sums = marked.mapInArrow(count, "bucket bigint, raw bigint, target bigint").groupBy("bucket").agg(F.sum("raw"), F.sum("target"))
     counts = np.zeros((2, BUCKETS))
     for bucket, raw, target in sums.collect():
@@ -91,20 +93,29 @@ def weighted(docs: DataFrame, ratio: np.ndarray, seed: int = 0, text: str = "tex
 
 
 def kth_key(rows: DataFrame, k: int) -> float | None:
-    """The ``k``-th largest ``key`` of ``rows``, exactly: quantiles close in on it until few rows are left."""
-    low = high = None
+    """The ``k``-th largest ``key`` of ``rows``, exactly: two quantiles part the rows, and the part that holds it goes on.
+
+    A key that many rows share is a quantile itself and is left behind, so each turn leaves fewer rows.
+    """
+    key = F.col("key")
     while True:
-        band = rows if low is None else rows.filter((F.col("key") >= low) & (F.col("key") <= high))
-        above = 0 if high is None else rows.filter(F.col("key") > high).count()
-        n = band.count()
+        n = rows.count()
         if n <= BAND:
-            found = band.select("key").orderBy(F.desc("key")).offset(k - above - 1).limit(1).collect()
+            found = rows.select("key").orderBy(F.desc("key")).offset(k - 1).limit(1).collect()
             return found[0]["key"] if found else None
-        wanted = 1 - (k - above) / n
-        bounds = band.approxQuantile("key", [max(0.0, wanted - 0.01), min(1.0, wanted + 0.01)], 0.002)
-        if (low, high) == tuple(bounds) or bounds[0] == bounds[1]:
-            return bounds[0]  # all rows left have this key
-        low, high = bounds
+        wanted = 1 - k / n
+        low, high = rows.approxQuantile("key", [max(0.0, wanted - 0.01), min(1.0, wanted + 0.01)], 0.002)
+        parts = [key > high, key == high, (key > low) & (key < high), (key == low) & (key < high), key < low]
+        counts = rows.agg(*[F.count_if(part).alias(f"n{i}") for i, part in enumerate(parts)]).first()
+        for i, part in enumerate(parts):
+            if k <= counts[i]:
+                break
+            k -= counts[i]
+        else:
+            return None
+        if i in (1, 3):
+            return high if i == 1 else low
+        rows = rows.filter(part)
 
 
 def importance_resample(docs: DataFrame, labels: DataFrame, fraction: float | None = None, seed: int = 0) -> DataFrame:
@@ -115,7 +126,8 @@ def importance_resample(docs: DataFrame, labels: DataFrame, fraction: float | No
     says nothing). Without labels all weights are equal and every row is kept. A null text
     counts as empty; a text without a word has weight 0. Rows that share an id and a text
     are kept or dropped together, so are rows with equal keys at the border. An empty
-    table gives an empty result; other columns are ignored.
+    table gives an empty result; other columns are ignored. Labels of other than 1 are
+    not good ones; the default fraction is the mean of ``quality``.
     """
     ratio = log_ratio(docs, labels)
     rows = written(weighted(docs, ratio, seed), "importance")
