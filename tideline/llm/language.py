@@ -124,10 +124,12 @@ def train(docs: DataFrame, training: Column, label: str = "lang", text: str = "t
         seen[row["gram"]] = row["n"]
     idf = np.log((1 + seen[-1]) / (1 + seen[:-1])) + 1
 
-    # Every language gives as many texts, drawn by a hash: ranked within the language, so that none is lost however
-    # many rows it has, and cut before anything is moved.
+    # Every language gives as many texts, the first by a hash. Those that can be among them are picked where they are, by
+    # a rate that leaves some four times as many; so what meets in a language's task is bounded, and no language is lost.
     share = max(1, SAMPLE_TEXTS // max(1, rows.select("label").distinct().count()))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("spread", "text"))
+    rate = (4.0 * share + 64.0) / F.col("n")
+    place = F.shiftrightunsigned("spread", 11).cast("double") / F.lit(float(1 << 53))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy("place", "text"))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_batches(batches):
@@ -137,7 +139,11 @@ def train(docs: DataFrame, training: Column, label: str = "lang", text: str = "t
                     vector = vectors(gram_counts([value]), idf)[0]
                     yield pa.RecordBatch.from_pydict({"label": [name], "vector": [vector.astype("<f4").tobytes()]})
 
-    drawn = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("rank", rank).filter(F.col("rank") <= share).select("label", "text")
+    usable = rows.filter(F.col("text").rlike(r"\p{L}"))
+    sizes = usable.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    # A row per language: far less than the model, which every task gets as well.
+    picked = usable.withColumn("place", place).join(F.broadcast(sizes), "label").filter(F.col("place") < rate)
+    drawn = picked.withColumn("rank", rank).filter(F.col("rank") <= share).select("label", "text")
     points: dict[str, list[bytes]] = {}
     for row in drawn.mapInArrow(sample, "label string, vector binary").collect():
         points.setdefault(row["label"], []).append(bytes(row["vector"]))
