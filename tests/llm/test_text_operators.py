@@ -63,6 +63,20 @@ def test_near_duplicates(spark, edge, empty, small):
     assert sorted(r["doc_id"] or -1 for r in kept.select("doc_id").collect()) == [-1, 1, 2, 3, 4, 5, 7, 8, 9, 10]
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+@pytest.mark.parametrize("rounds", [1, 2])
+def test_every_text_of_an_id_links_it(spark, monkeypatch, turn, rounds):
+    """Ids that stand on two texts each, and a chain that only all of them together close."""
+    monkeypatch.setattr(bagminhash, "STAR_ROUNDS", rounds)
+    texts = [" ".join(f"t{k}w{i}" for i in range(100)) for k in range(5)]
+    near = [t.replace("w50", "v50") for t in texts]
+    rows = [(6, texts[0]), (6, texts[1]), (9, near[0]), (8, near[1]), (8, texts[2]), (12, near[2]), (13, texts[3]), (13, texts[3]), (14, texts[4])]
+    docs = spark.createDataFrame(rows[::turn], "doc_id bigint, text string").repartition(2)
+    found = bagminhash.near_duplicates(docs).collect()
+    assert len(found) == len(rows)
+    assert {r["doc_id"]: r["class_id"] for r in found} == near_classes(rows) == {6: 6, 9: 6, 8: 6, 12: 6, 13: 13, 14: 14}
+
+
 @pytest.mark.parametrize("rounds", [1, 2, 3])
 def test_large_groups_of_near_copies(spark, monkeypatch, rounds):
     """Chains of copies that are near to some of the group only, in buckets of several blocks."""
@@ -180,6 +194,26 @@ def test_mixing(spark, edge, empty, small):
     assert "Python" not in curriculum.mixed_rows(small)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
 
 
+def test_rows_that_share_an_id_are_mixed_by_their_own_positions(spark):
+    """The heavy source is taken twice, the light one in part; ids do not tell their rows apart."""
+    words = " ".join(["w"] * 10)
+    rows = [(1, "a", words), (1, "z", words), (1, "z", words + " x")] + [(k, "z", words) for k in range(2, 40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    key = lambda r: (r["doc_id"], r["source"], len(r["text"].split()))
+    mixed = collections.Counter(map(key, curriculum.mixed_rows(docs, weights=(1,), share=0.5).collect()))
+    wanted = {}
+    for r in curriculum.curriculum(docs, weights=(1,), share=0.5).collect():
+        assert r["taken"] == r["size"] * len(r["positions"]) and r["position"] == next(iter(r["positions"]), None)
+        wanted[r["doc_id"], r["source"], r["size"]] = r["passes"]
+    assert wanted[1, "a", 10] == 2 and 0 in wanted.values() and 1 in wanted.values()
+    assert mixed == {k: n for k, n in wanted.items() if n}
+
+
+def test_the_query_sorts_by_position_without_python(spark):
+    plan = queries.op8_mixing(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "rangepartitioning(position" in plan and "SQRT" in plan.upper() and "Python" not in plan
+
+
 def test_mixed_documents_follow_their_schedules(small):
     rows = curriculum.mixed_documents(small).collect()
     assert [r["position"] for r in rows] == sorted(r["position"] for r in rows)

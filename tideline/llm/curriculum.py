@@ -4,7 +4,8 @@ How much of a source is taken follows from its weight: the shares fill up by wei
 above a number of passes over its source, and what that leaves is shared out again. When it
 is taken follows from its schedule: a source's density over training time t in [0, 1] is
 ``1 + slope * (2 t - 1)``; its integral, times the target, is the source's cumulative
-demand, and a document stands where the demand reaches the words that go before it.
+demand, and a document stands where the demand reaches its middle word. Documents that
+the demand does not reach are not taken.
 """
 
 from __future__ import annotations
@@ -55,42 +56,60 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SH
 
 
 def _position(words, target, slope):
-    """Training time in [0, 1] at which a source's demand reaches ``words``: the inverse of t + slope * (t * t - t)."""
-    part = F.when(target > 0, F.least(words / target, F.lit(1.0))).otherwise(F.lit(0.0))
+    """Training time in [0, 1] at which a source's demand reaches ``words``; null where it never does.
+
+    The inverse of the schedule's integral, t + slope * (t * t - t), as a part of the target.
+    """
+    part = words / target
     bent = (slope - 1 + F.sqrt((1 - slope) * (1 - slope) + 4 * slope * part)) / (2 * slope)
-    return F.when(slope == 0, part).otherwise(F.greatest(F.lit(0.0), F.least(bent, F.lit(1.0))))
+    time = F.when(slope == 0, part).otherwise(F.greatest(F.lit(0.0), F.least(bent, F.lit(1.0))))
+    return F.when((target > 0) & (words <= target), time)
 
 
 def curriculum(
     docs: DataFrame, weights: tuple = WEIGHTS, slopes: tuple = SLOPES, share: float = SHARE, passes: int = PASSES
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``source``, ``position``.
-
-    ``size`` is the number of words of ``text`` (null: 0). ``taken`` is ``size`` times the
-    passes over the document: as many as fit whole into the source's target, and one more
-    for the first documents, in an order spread by a hash of the id, until the rest of the
-    target is nearest. ``position`` is the place of its first pass in training time; a
-    further pass follows when the source's documents have all gone by. A null source is a
-    source of its own and the last; rows that repeat are documents of their own, ordered
-    alike each time; empty texts take no words; an empty table gives an empty result.
-    Every step is a DataFrame operation; a hot source is summed bucket by bucket.
+    """One row per row of ``docs``: ``doc_id``, ``source``, ``size``, ``source_size``, ``target``, ``taken``,
+    ``passes``, ``position`` and ``positions``.
+
+    ``size`` is the number of words of ``text`` (null: 0). A source's documents stand in an
+    order spread by a hash of the id, one pass behind the other, and the cumulative demand
+    is inverted at the middle of each: ``positions`` holds the training time of every pass
+    that the demand reaches, so that the words taken end nearest to the target; ``passes``
+    is their number, ``taken`` the words they take, ``position`` the first (null: none). A
+    null source is a source of its own and the last; rows that repeat are documents of
+    their own, ordered alike each time; empty texts have positions but take no words; a
+    source without words has none; an empty table gives an empty result; columns other
+    than ``doc_id``, ``source`` and ``text`` are ignored. Every step is a DataFrame
+    operation; a hot source is summed bucket by bucket.
     """
+    return _placed(docs, weights, slopes, share, passes).drop("_text_hash")
+
+
+def _placed(docs: DataFrame, weights=WEIGHTS, slopes=SLOPES, share=SHARE, passes=PASSES) -> DataFrame:
+    """:func:`curriculum` with a hash of the text, which tells rows of one id apart."""
     size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD_PATTERN)), F.lit(0)).cast("bigint")
-    sized = docs.select("doc_id", "source", size.alias("size"), spread_key("doc_id").alias("key"))
+    sized = docs.select(
+        "doc_id", "source", size.alias("size"), spread_key("doc_id").alias("key"), F.xxhash64("text").alias("_text_hash")
+    )
     sized = written(sized, "curriculum-sizes")
     targets = source_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, passes)
-    ordered = running_totals(sized, ["source"], "key", ["doc_id", "size"], "size", sized.count())
+    ordered = running_totals(sized, ["source"], "key", ["doc_id", "size", "_text_hash"], "size", sized.count())
     t = targets.select(F.col("source").alias("_source"), "source_size", "place", "target")
     rows = ordered.join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    rows = rows.withColumn("whole", whole.cast("bigint"))
-    rest = F.col("target") - F.col("whole") * F.col("source_size")
-    # Half of the document must lie below the rest: then the sum ends nearest to it.
-    more = (2 * F.col("before") + F.col("size")).cast("double") <= 2 * rest
-    rows = rows.withColumn("passes", F.col("whole") + F.when(more & (F.col("size") > 0), 1).otherwise(0))
-    rows = rows.withColumn("taken", (F.col("passes") * F.col("size")).cast("bigint"))
-    place = _position(F.col("before").cast("double"), F.col("target"), _cycle(F.col("place"), slopes))
-    return rows.withColumn("position", F.when(F.col("passes") > 0, place)).withColumn("slope", _cycle(F.col("place"), slopes))
+    rows = rows.withColumn("slope", _cycle(F.col("place"), slopes))
+
+    def time(number):
+        middle = (2 * (F.col("before") + number * F.col("source_size")) + F.col("size")).cast("double") / 2
+        return _position(middle, F.col("target"), F.col("slope"))
+
+    times = F.array(*[time(F.lit(k).cast("bigint")) for k in range(passes)])
+    rows = rows.withColumn("positions", F.filter(times, lambda t: t.isNotNull()))
+    number = F.size("positions")
+    return rows.select(
+        "doc_id", "source", "size", "source_size", "target", (number * F.col("size")).cast("bigint").alias("taken"),
+        number.alias("passes"), F.get("positions", F.lit(0)).alias("position"), "positions", "_text_hash",
+    )
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
@@ -98,26 +117,24 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Columns: ``doc_id``, ``source``, ``size``, ``pass`` (from 0) and ``position``.
     """
-    rows = curriculum(docs, **options).filter("passes > 0")
-    rows = rows.withColumn("pass", F.explode(F.sequence(F.lit(0), (F.col("passes") - 1).cast("int"))))
-    words = (F.col("before") + F.col("pass") * F.col("source_size")).cast("double")
-    rows = rows.withColumn("position", _position(words, F.col("target"), F.col("slope")))
-    return rows.select("doc_id", "source", "size", "pass", "position").orderBy("position", "doc_id", "pass")
+    rows = curriculum(docs, **options).select("doc_id", "source", "size", F.posexplode("positions").alias("pass", "position"))
+    return rows.orderBy("position", "doc_id", "pass")
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns, as the mix takes them: as often as it passes over them, sorted by position.
 
-    Rows that share an id are taken as often as one of them; a null id is an id.
+    Rows alike in id, source and text are taken as often as the first of them, at its
+    positions; a null id is an id.
     """
-    taken = curriculum(docs, **options).filter("passes > 0").dropDuplicates(["doc_id"])
+    taken = _placed(docs, **options).filter("passes > 0").groupBy("doc_id", "source", "_text_hash").agg(
+        F.min("positions").alias("_positions")
+    )
     taken = taken.select(
-        F.col("doc_id").alias("_id"), F.col("passes").cast("int").alias("_passes"), F.col("before").alias("_before"),
-        F.col("source_size").alias("_size"), F.col("target").alias("_target"), F.col("slope").alias("_slope"),
-    )
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_text_hash").alias("_hash"), "_positions"
+    )
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    rows = whole.join(taken, F.col("_row.doc_id").eqNullSafe(F.col("_id")))
-    rows = rows.withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("_passes") - 1)))
-    words = (F.col("_before") + F.col("_pass") * F.col("_size")).cast("double")
-    rows = rows.withColumn("_position", _position(words, F.col("_target"), F.col("_slope")))
+    same = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & F.col("_row.source").eqNullSafe(F.col("_source"))
+    rows = whole.join(taken, same & (F.xxhash64("_row.text") == F.col("_hash")))
+    rows = rows.select("_row", "_id", F.posexplode("_positions").alias("_pass", "_position"))
     return rows.orderBy("_position", "_id", "_pass").select("_row.*")

@@ -65,8 +65,8 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = curriculum.curriculum(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "size", "source_size", "target", "taken")
+    rows = curriculum.curriculum(table(spark, sf_dir, "documents")).orderBy(F.asc_nulls_last("position"), "doc_id")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,20 +139,27 @@ WITH sized AS (
 ), free AS (
   SELECT n, level FROM levels WHERE level * weight <= cap ORDER BY n LIMIT 1
 ), targets AS (
-  SELECT l.source, l.source_size,
+  SELECT l.source, l.source_size, [-0.5::DOUBLE, 0.0::DOUBLE, 0.5::DOUBLE][((l.place - 1) % 3)::INT + 1] AS slope,
          CASE WHEN f.n IS NULL OR l.n < f.n THEN l.cap ELSE f.level * l.weight END AS target
   FROM levels l LEFT JOIN free f ON true
 ), ordered AS (
-  SELECT s.*, t.source_size, t.target,
+  SELECT s.*, t.source_size, t.target, t.slope,
          coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.doc_id, s.size
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
-         CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size)::BIGINT ELSE 0 END AS whole
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), middles AS (
+  SELECT *, (2 * before + size)::DOUBLE / 2 AS first, (2 * (before + source_size) + size)::DOUBLE / 2 AS second
+  FROM ordered
+), reached AS (
+  SELECT *, target > 0 AND first <= target AS once, target > 0 AND second <= target AS twice,
+         first / nullif(target, 0) AS part
+  FROM middles
 )
-SELECT doc_id, size, source_size, target,
-       (size * (whole + CASE WHEN size > 0 AND (2 * before + size)::DOUBLE <= 2 * (target - whole * source_size)
-                             THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM ordered
+SELECT doc_id, size, source_size, target, (size * (once::INT + twice::INT))::BIGINT AS taken,
+       CASE WHEN once AND slope = 0 THEN part
+            WHEN once THEN greatest(0.0::DOUBLE, least(1.0::DOUBLE,
+              (slope - 1 + sqrt((1 - slope) * (1 - slope) + 4 * slope * part)) / (2 * slope))) END AS position
+FROM reached
 """
 
 _OP9 = f"""
