@@ -158,8 +158,30 @@ def signed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _tagged(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``tag`` (:func:`_tag`) of rows whose ids may repeat; equal ones once, rows without a word not at all."""
+
+    def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
+        for batch, texts in text_batches(batches, "text"):
+            bags = [np.sort(shingles(t)) for t in texts]
+            hashes = [xxhash.xxh3_128_digest(b.tobytes()) if len(b) else None for b in bags]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hashes, pa.binary())], ["doc_id", "text", "bag_hash"])
+
+    rows = docs.mapInArrow(tag, "doc_id bigint, text string, bag_hash binary").filter("bag_hash is not null")
+    return rows.select("doc_id", "text", _tag(True).alias("tag")).dropDuplicates(["doc_id", "tag"])
+
+
+def _tag(repeats: bool):
+    """What tells the bags of one id apart; nothing has to where ids do not repeat."""
+    return F.xxhash64("bag_hash") if repeats else F.lit(0).cast("bigint")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (``a``, ``b``) whose bags are similar; their texts are joined, never gathered."""
+    """The pairs (``a``, ``a_tag``, ``b``, ``b_tag``) whose bags are similar, as (``a``, ``b``).
+
+    Their texts are joined, never gathered.
+    """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens.forget()
@@ -168,31 +190,33 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             near = []
             known: tuple = (None, None)
             for i, b in enumerate(rows["b"]):
-                if known[0] != b:
-                    known = (b, bag(rows["text_b"][i] or ""))
+                if known[0] != (b, rows["b_tag"][i]):
+                    known = ((b, rows["b_tag"][i]), bag(rows["text_b"][i] or ""))
                 near.append(overlap(bag(rows["text_a"][i] or ""), known[1]))
             yield pa.RecordBatch.from_pydict({c: [x for x, n in zip(rows[c], near, strict=True) if n] for c in ("a", "b")}, ends)
 
     ends = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    with_a = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = with_a.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
+    both = pairs
+    for end in ("a", "b"):
+        side = texts.select(F.col("id").alias(end), F.col("tag").alias(f"{end}_tag"), F.col("text").alias(f"text_{end}"))
+        both = both.join(side, [end, f"{end}_tag"])
+    return both.select("a", "b", "b_tag", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
 def _blocks(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Similar pairs of different classes within the buckets of ``members`` (``bucket``, ``id``, ``class``).
+    """Similar pairs of different classes within the buckets of ``members`` (``bucket``, ``id``, ``tag``, ``class``).
 
     A bucket's members are dealt to blocks of about :data:`BLOCK` by a hash, and each two
     blocks of it meet in a group of their own, so no group grows with the bucket. A pair
     is compared in the first bucket it shares only.
     """
     sizes = members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
-    dealt = members.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id", "bucket"), F.col("parts")).cast("int"))
+    dealt = members.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id", "tag", "bucket"), F.col("parts")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     dealt = dealt.withColumn("other", other).select(
-        "bucket", "id", "class", "part", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q")
+        "bucket", "id", "tag", "class", "part", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q")
     )
-    full = dealt.join(texts.withColumnRenamed("doc_id", "id"), "id")
+    full = dealt.join(texts, ["id", "tag"])
 
     def compare(key: tuple, table: pa.Table) -> pa.Table:
         bucket, p, q = (k.as_py() for k in key)
@@ -228,7 +252,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     Documents whose bags of five-word shingles have a weighted Jaccard similarity of 0.8
     or more are linked, and linked documents make a class; ``kept`` marks the one row of
-    the class that carries the class's id (the same for all rows that share that id).
+    the class that carries the class's id (the same for all rows that share that id). Rows
+    that share an id are one class, and each of their texts links it.
     Texts of one to four words have one shingle; a null text or a text without a word is
     near to nothing and its own class; a null id has class null and is kept. An empty
     table gives an empty result; other columns are ignored.
@@ -242,35 +267,46 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     firsts = some.groupBy("bag_hash").agg(F.min("doc_id").alias("id"))
     reps = some.join(firsts.select("bag_hash", F.col("id").alias("doc_id")), ["bag_hash", "doc_id"], "left_semi")
     reps = reps.dropDuplicates(["doc_id", "bag_hash"])
-    spread = reps.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    # An id that stands on different texts has several bags; all of them are compared, and make one class.
+    repeats = _repeats(marked)
+    reps = reps.select(F.col("doc_id").alias("id"), _tag(repeats).alias("tag"), "bands")
+    spread = reps.select("id", "tag", F.explode("bands").alias("bucket"))
     hubs = spread.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top")
     members = written(spread.join(hubs.select("bucket", "hub"), "bucket"), "members")
     near = members.select(F.col("id").alias("doc_id")).distinct()
-    # Ids may repeat: the row with the representative's bag is one of them, and any will do.
     wanted = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(near, "doc_id", "left_semi")
-    wanted = wanted.dropDuplicates(["doc_id"]) if _repeats(marked) else wanted
-    bands = reps.select("doc_id", "bands").dropDuplicates(["doc_id"])
-    texts = written(wanted.join(bands, "doc_id"), "near-texts")
-    pairs = members.filter("id > hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    wanted = _tagged(wanted) if repeats else wanted.withColumn("tag", _tag(False))
+    texts = written(wanted.withColumnRenamed("doc_id", "id").join(reps, ["id", "tag"]), "near-texts")
+    first = members.filter("id = hub").groupBy("bucket").agg(F.min("tag").alias("hub_tag")) if repeats else None
+    meet = members.filter("id > hub")
+    meet = meet.join(first, "bucket") if repeats else meet.withColumn("hub_tag", _tag(False))
+    pairs = meet.select(
+        F.col("id").alias("a"), F.col("tag").alias("a_tag"), F.col("hub").alias("b"), F.col("hub_tag").alias("b_tag")
+    ).distinct()
     labels = components(_verified(pairs, texts))
-    members = members.select("bucket", "id")
+    members = members.select("bucket", "id", "tag")
     for turn in range(STAR_ROUNDS):
         open_members = _still_open(members, labels)
         if open_members.isEmpty():
             break
         if turn < STAR_ROUNDS - 1:
             # Another member of each bucket by turns; only members of other classes are compared with it.
-            draw = F.xxhash64("id", "bucket", F.lit(turn))
-            hub = F.min(F.struct(draw.alias("draw"), F.col("id").alias("hub"), F.col("class").alias("hub_class")))
-            hubs = open_members.groupBy("bucket").agg(hub.alias("h")).select("bucket", "h.hub", "h.hub_class")
-            meet = open_members.join(hubs, "bucket").filter("class <> hub_class")
-            pairs = meet.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
+            draw = F.xxhash64("id", "tag", "bucket", F.lit(turn))
+            hub = F.min(F.struct(draw.alias("draw"), "id", "tag", "class"))
+            hubs = open_members.groupBy("bucket").agg(hub.alias("hub"))
+            meet = open_members.join(hubs, "bucket").filter("class <> hub.class")
+            # The larger id first; of one id, there is one class.
+            late = F.col("id") > F.col("hub.id")
+            ends = [("a", late, "id"), ("a_tag", late, "tag"), ("b", ~late, "id"), ("b_tag", ~late, "tag")]
+            pairs = meet.select(
+                *[F.when(own, F.col(c)).otherwise(F.col(f"hub.{c}")).alias(name) for name, own, c in ends]
+            ).distinct()
             links = written(_verified(pairs, texts), "found")
         else:
             links = written(_blocks(open_members, texts), "found")
         if not links.isEmpty():
             labels = _joined(labels, links)
-        members = open_members.select("bucket", "id")
+        members = open_members.select("bucket", "id", "tag")
     label = labels.select(F.col("id").alias("_id"), "label")
     named = firsts.join(label, F.col("id") == F.col("_id"), "left").select("bag_hash", F.coalesce("label", "id").alias("class_id"))
     grouped = some.select("doc_id", "bag_hash").join(named, "bag_hash").select("doc_id", "class_id")
@@ -301,7 +337,7 @@ def _still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their class, of the buckets that hold more than one class."""
     label = labels.select(F.col("id").alias("_id"), "label")
     classed = members.join(label, F.col("id") == F.col("_id"), "left")
-    classed = classed.select("bucket", "id", F.coalesce("label", "id").alias("class"))
+    classed = classed.select("bucket", "id", "tag", F.coalesce("label", "id").alias("class"))
     mixed = classed.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
     return written(classed.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
 
