@@ -8,7 +8,6 @@ how fast a length is found, never which length.
 
 from __future__ import annotations
 
-import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -25,6 +24,8 @@ from .common import text_batches
 #: Entries of a partition's sketch and of the broadcast table.
 SKETCH_PIECES = 1 << 14
 FREQUENT_PIECES = 1 << 15
+#: Sketches that one task merges at once.
+FAN_IN = 16
 
 
 def _pruned(counts: Counter, size: int) -> Counter:
@@ -35,7 +36,7 @@ def frequent_pieces(docs: DataFrame, path: str, text: str = "text") -> list[str]
     """The most frequent pre-tokens of all texts, about :data:`FREQUENT_PIECES` at most.
 
     Each partition counts its pre-tokens in a bounded counter and hands on one row; the
-    rows are merged by two levels of about the square root of their number.
+    rows are merged :data:`FAN_IN` at a time, in as many rounds as it takes.
     """
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,13 +61,15 @@ def frequent_pieces(docs: DataFrame, path: str, text: str = "text") -> list[str]
             for p, n in zip(pieces, numbers, strict=True):
                 counts[p] += int(n)
         top = counts.most_common(FREQUENT_PIECES)
-        return pd.DataFrame({"part": [0], "piece": [[p for p, _ in top]], "n": [[n for _, n in top]]})
+        return pd.DataFrame({"part": [key[0]], "piece": [[p for p, _ in top]], "n": [[n for _, n in top]]})
 
     schema = "part int, piece array<string>, n array<bigint>"
-    sketches = docs.select(text).mapInArrow(sketch, schema)
-    fan = max(1, math.isqrt(docs.rdd.getNumPartitions()))
-    level = sketches.groupBy((F.col("part") % fan).alias("part_of")).applyInPandas(merge, schema)
-    rows = level.groupBy("part").applyInPandas(merge, schema).collect()
+    level = docs.select(text).mapInArrow(sketch, schema)
+    left = max(2, docs.rdd.getNumPartitions())
+    while left > 1:
+        left = -(-left // FAN_IN)
+        level = level.groupBy(F.floor(F.col("part") / FAN_IN).cast("int").alias("part_of")).applyInPandas(merge, schema)
+    rows = level.collect()
     return list(rows[0]["piece"]) if rows else []
 
 
