@@ -65,6 +65,35 @@ def test_counts(edge, empty, small):
     assert token_counts.count_tokens(empty, tokenizer_path(BYTE_BPE)).collect() == []
 
 
+def test_sketches_merge_in_rounds(small, monkeypatch):
+    """Five partitions, two at a time: three rounds give the counts that one would."""
+    monkeypatch.setattr(token_counts, "FAN_IN", 2)
+    path = tokenizer_path(BYTE_BPE)
+    docs = small.repartition(5)
+    pieces = token_counts.frequent_pieces(docs, path)
+    monkeypatch.setattr(token_counts, "FAN_IN", 16)
+    assert sorted(pieces) == sorted(token_counts.frequent_pieces(docs, path)) and len(pieces) == len(set(pieces)) > 100
+
+
+def test_rows_that_share_an_id_have_one_order(spark, monkeypatch):
+    """Whatever order they come in; and the dictionary takes no more documents than it says."""
+    monkeypatch.setattr(token_files, "SAMPLE_DOCUMENTS", 30)
+    rows = [(k % 7, f"text {k} of some words " * (k % 5 + 1)) for k in range(200)]
+    found = []
+    for turn in (1, -1):
+        docs = spark.createDataFrame(rows[::turn], "doc_id bigint, text string").repartition(3)
+        found.append(sorted(map(tuple, token_files.token_file_round_trip(docs, tokenizer_path(BYTE_BPE)).collect())))
+    assert found[0] == found[1] and len(found[0]) == 200
+    taken = []
+    monkeypatch.setattr(token_files.zstandard, "train_dictionary", lambda size, samples, **_: taken.append(len(samples)) or _fail())
+    token_files.train_dictionary(docs, tokenizer_path(BYTE_BPE))
+    assert 0 < taken[0] <= 30
+
+
+def _fail():
+    raise token_files.zstandard.ZstdError("nothing to learn")
+
+
 def test_token_files(spark, edge, empty, small, monkeypatch):
     monkeypatch.setattr(token_files, "SHARD_BYTES", 4000)
     whole = library(BYTE_BPE)

@@ -26,7 +26,7 @@ from .common import text_batches
 #: Compressed bytes after which a shard is closed. A longer document makes a shard of its own.
 SHARD_BYTES = 2 << 20
 DICTIONARY_BYTES = 1 << 16
-#: The dictionary is trained on about this many documents, chosen by a hash of their ids over the whole table, ...
+#: The dictionary is trained on at most this many documents, chosen by a hash over the whole table, ...
 SAMPLE_DOCUMENTS = 1000
 #: ... and on at most this much of each.
 SAMPLE_BYTES = 1 << 15
@@ -47,15 +47,18 @@ _SHARD_ARROW = pa.schema([
 def train_dictionary(docs: DataFrame, path: str, end_id: int = 0, id_col: str = "doc_id", text: str = "text") -> bytes:
     """A dictionary for the ids of ``docs``; empty where there is too little to learn from."""
     rows = docs.count()
-    wanted = min(1.0, SAMPLE_DOCUMENTS / max(rows, 1))
-    spread = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < F.lit(int(wanted * (1 << 20)) + 1)
+    # About twice as many pass the filter, so that the ordered cut has little to order.
+    rate = min(1.0, 2 * SAMPLE_DOCUMENTS / max(rows, 1))
+    draw = F.xxhash64(F.col(id_col), F.col(text))
+    few = F.pmod("_draw", F.lit(1 << 53)) <= F.lit(int(rate * (1 << 53)))
     end = tokens.id_bytes([end_id])
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_batches(batches, text):
             yield pa.RecordBatch.from_pydict({"ids": [(tokens.encoded(path, t) + end)[:SAMPLE_BYTES] for t in texts]})
 
-    found = docs.filter(spread).select(text).mapInArrow(sample, "ids binary").collect()
+    drawn = docs.select(draw.alias("_draw"), F.col(text).alias(text)).filter(few).orderBy("_draw").limit(SAMPLE_DOCUMENTS)
+    found = drawn.select(text).mapInArrow(sample, "ids binary").collect()
     samples = sorted(bytes(r["ids"]) for r in found)
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples, d=8, k=256, level=LEVEL).as_bytes()
@@ -73,7 +76,7 @@ def write_token_files(
     """Encodes every text, appends ``end_id`` and writes the dataset to ``folder`` in ascending order of the ids.
 
     A null text is empty: its document has the end id alone. Null ids come first; rows
-    that share an id follow each other in any order. An empty table gives a dataset
+    that share an id follow each other in the order of a hash of their texts. An empty table gives a dataset
     without shards. Other columns are ignored.
     """
     spark = docs.sparkSession
@@ -117,8 +120,8 @@ def write_token_files(
         if ids:
             yield closed()
 
-    ordered = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"))
-    ordered = ordered.repartitionByRange("id").sortWithinPartitions("id")
+    ordered = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("tie"))
+    ordered = ordered.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie")
     # The frames are compressed already.
     ordered.mapInArrow(pack, SHARD_SCHEMA).write.option("compression", "none").parquet(f"{folder}/shards")
     return folder
