@@ -39,6 +39,15 @@ def test_key_replace(frame, old, new):
     assert rows_of(tables.key_replace(replaced, batch, "k")) == expected
 
 
+def test_key_replace_refuses_many_keys(frame, monkeypatch):
+    monkeypatch.setattr(tables, "MAX_KEYS", 2)
+    target = frame("k int, v string", (1, "a"), (4, "a"))
+    two = frame("k int, v string", (1, "b"), (2, "b"), (2, "c"))
+    assert rows_of(tables.key_replace(target, two, "k")) == [(1, "b"), (2, "b"), (2, "c"), (4, "a")]
+    with pytest.raises(Exception, match="more than 2 values of k"):
+        tables.key_replace(target, frame("k int, v string", (1, "b"), (2, "b"), (3, "b")), "k").collect()
+
+
 def test_upsert_keeps_creation_and_other_columns(frame):
     target = frame("k int, created string, v string, note string", (1, "t0", "a", "n1"), (2, "t0", "a", "n2"), (None, "t0", "a", "n"))
     batch = frame("k int, created string, v string", (2, "t1", "b"), (3, "t1", "b"), (None, "t1", "b"))

@@ -35,14 +35,21 @@ def range_replace(target: DataFrame, batch: DataFrame, key: str, required: Seque
     return target.filter(~replaced).unionByName(batch, allowMissingColumns=True)
 
 
+#: Most values that the key of :func:`key_replace` may have in a batch.
+MAX_KEYS = 100_000
+
+
 def key_replace(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Drop the target's rows whose key occurs in the batch, then add the batch.
 
     ``key`` has few values, as days have: those of the batch are one array, so the
-    target's rows are filtered where they are and a hot key moves nothing.
+    target's rows are filtered where they are and a hot key moves nothing. A batch with
+    more than :data:`MAX_KEYS` values fails the job.
     """
-    held = batch.select(F.collect_set(key)).scalar()
-    replaced = F.coalesce(F.array_contains(held, F.col(key)), F.lit(False))
+    few = batch.select(key).distinct().limit(MAX_KEYS + 1)
+    held = few.select(F.collect_set(key)).scalar()
+    many = F.raise_error(F.lit(f"more than {MAX_KEYS} values of {key} in the batch")).cast("boolean")
+    replaced = F.coalesce(F.when(F.size(held) > MAX_KEYS, many).otherwise(F.array_contains(held, F.col(key))), F.lit(False))
     return target.filter(~replaced).unionByName(batch, allowMissingColumns=True)
 
 

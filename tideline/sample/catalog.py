@@ -233,12 +233,12 @@ def corpus_item_engagement(v):
 
 
 # --- revenue -----------------------------------------------------------------------
-def _revenue_pages(v: Views) -> DataFrame:
-    """Landed pages of 500 records: each order line as a map of prefixed texts."""
+def _revenue_records(v: Views, day, prefix: str, lacking: tuple = ()) -> DataFrame:
+    """Each order line as a map of prefixed texts, some of them lacking."""
     orders, lines = v.table("orders"), v.table("lineitem")
-    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "inner")
+    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "inner").withColumn("day", day)
     values = {
-        "record_date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "record_date": F.date_format("day", "yyyy-MM-dd"),
         "network": F.col("l_returnflag"),
         "url": F.concat(F.lit("https://"), "l_linestatus", F.lit(".example")),
         "ad_unit": F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
@@ -247,16 +247,60 @@ def _revenue_pages(v: Views) -> DataFrame:
         "net_revenue": F.col("l_orderkey").cast("string"),
         "net_cpm": F.format_string("%.2f", "l_discount"),
     }
-    pairs = [part for name, value in values.items() for part in (F.lit(f"{fv.REVENUE_PREFIX}.{name}"), value)]
-    numbered = joined.select(
-        F.create_map(*pairs).alias("record"), F.floor(F.col("l_orderkey") / 100).alias("page_key")
-    )
-    return numbered.groupBy("page_key").agg(F.collect_list("record").alias("data")).select("data")
+    pairs = [part for name, value in values.items() if name not in lacking for part in (F.lit(f"{prefix}.{name}"), value)]
+    return joined.select(F.create_map(*pairs).alias("record"), "day", "l_orderkey", "l_linenumber")
+
+
+def _revenue_pages(v: Views) -> DataFrame:
+    """Landed pages of the order lines, by ranges of the orders."""
+    numbered = _revenue_records(v, F.col("o_orderdate"), fv.REVENUE_PREFIX)
+    pages = numbered.groupBy(F.floor(F.col("l_orderkey") / 100).alias("page_key"))
+    return pages.agg(F.collect_list("record").alias("data")).select("data")
 
 
 @_query
 def revenue_page_rows(v):
-    return revenue.revenue_rows(_revenue_pages(v)).drop("utm_campaign", "utm_content", "utm_medium", "utm_source")
+    return revenue.revenue_rows(_revenue_pages(v))
+
+
+#: The days the order lines are dealt to; the first half lands as archived pages.
+_LANDED_FIRST, _LANDED_DAYS = "1998-02-20", 28
+
+
+@_query
+def revenue_load(v):
+    """All order lines, landed as pages of 5,000 records in a folder per day, a file per page; the table had every third day.
+
+    The days the table lacks are loaded, the archived ones (without two dimensions) by a
+    load of their own; the days it had stay as they were.
+    """
+    root = shared_dir(v.spark, "revenue-load")
+    offset = (F.col("l_orderkey") % _LANDED_DAYS).cast("int")
+    day = F.date_add(F.lit(_LANDED_FIRST).cast("date"), offset)
+    half = F.date_add(F.lit(_LANDED_FIRST).cast("date"), _LANDED_DAYS // 2)
+    held = F.date_diff("day", F.lit(_LANDED_FIRST)) % 3 == 0
+    table = revenue.revenue_table(v.spark, f"{root}/table")
+    had = _revenue_records(v, day, fv.REVENUE_PREFIX).filter(held).select(F.array("record").alias("data"))
+    table.replace(revenue.revenue_rows(had).withColumn("impressions", -F.col("impressions")))
+    for name, prefix, lacking, part in (
+        ("archived", fv.REVENUE_PREFIX_ARCHIVED, ("url", "size"), F.col("day") < half),
+        ("current", fv.REVENUE_PREFIX, (), F.col("day") >= half),
+    ):
+        records = _revenue_records(v, day, prefix, lacking).filter(part)
+        numbered = chunks.chunk_rows(records, 5000, ["day"], [F.asc("l_orderkey")], ["l_linenumber"])
+        pages = numbered.groupBy("day", "chunk_no").agg(F.collect_list("record").alias("data")).drop("chunk_no")
+        pages.write.option("maxRecordsPerFile", 1).partitionBy("day").json(f"{root}/{name}")
+    window = ("1998-02-20 00:00:00", "1998-03-05 00:00:00")
+    now = "1998-03-20 00:00:00"
+    revenue.load_missing_days(v.spark, table, lambda d: f"{root}/archived/day={d}", now, *window, archived=True)
+    return revenue.load_missing_days(v.spark, table, lambda d: f"{root}/current/day={d}", now)
+
+
+@_query
+def revenue_days_without_rows(v):
+    """Days on which a load would have to fail: every fifth day of a month lands nothing."""
+    rows = revenue.revenue_rows(_revenue_pages(v)).filter(F.dayofmonth("record_date") % 5 != 0)
+    return revenue.days_without_rows(intervals.day_spine(v.spark, "1995-01-01", "1998-08-02"), rows)
 
 
 @_query

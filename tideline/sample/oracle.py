@@ -344,11 +344,22 @@ def _revenue() -> dict[str, str]:
                CAST(l_quantity AS BIGINT) AS impressions, l_orderkey AS net_revenue,
                CAST(printf('%.2f', l_discount) AS DOUBLE) AS net_cpm
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
-    nothing = ["utm_term", "site_domain", "country_code", "device_type", "device_os", "browser", "integration_partner"]
+    nothing = ["utm_campaign", "utm_content", "utm_medium", "utm_source", "utm_term", "site_domain", "country_code", "device_type", "device_os", "browser", "integration_partner"]
+    nulls = ", ".join(f"CAST(NULL AS VARCHAR) AS {n}" for n in nothing)
     return {
+        "revenue_load": f"""
+            WITH dealt AS (SELECT *, net_revenue % 28 AS n FROM ({rows}))
+            SELECT CAST(DATE '1998-02-20' + CAST(n AS INTEGER) AS VARCHAR) AS record_date, network, ad_unit,
+                   CASE WHEN n % 3 = 0 OR n >= 14 THEN url END AS url, CASE WHEN n % 3 = 0 OR n >= 14 THEN size END AS size,
+                   CASE WHEN n % 3 = 0 THEN -impressions ELSE impressions END AS impressions, net_revenue, net_cpm, {nulls}
+            FROM dealt""",
+        "revenue_days_without_rows": """
+            SELECT CAST(d AS VARCHAR) AS day FROM (
+                SELECT CAST(d AS DATE) AS d FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '1998-08-03', INTERVAL 1 DAY) t(d))
+            WHERE day(d) % 5 = 0 OR d NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders JOIN lineitem ON l_orderkey = o_orderkey)""",
         "revenue_page_rows": f"""
             SELECT CAST(record_date AS VARCHAR) AS record_date, network, url, ad_unit, size, impressions, net_revenue,
-                   net_cpm, {", ".join(f"CAST(NULL AS VARCHAR) AS {n}" for n in nothing)} FROM ({rows})""",
+                   net_cpm, {nulls} FROM ({rows})""",
         "revenue_key_replace": f"""
             WITH rows AS ({rows}), batch AS (SELECT * FROM rows WHERE record_date >= DATE '1998-06-01')
             SELECT CAST(record_date AS VARCHAR) AS record_date, network, ad_unit, impressions FROM batch
