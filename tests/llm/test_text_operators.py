@@ -134,19 +134,44 @@ def test_components(spark):
     assert {r["id"]: r["label"] for r in found} == {i: p for i, p in parent.items() if i != p}
 
 
+def check_repeats(docs, **options):
+    wanted = []
+    for i, data, mask in removed_bytes(texts_of(docs)):
+        rest = np.frombuffer(data, np.uint8)[~mask].tobytes()
+        spans = int((np.diff(mask.astype(int), prepend=0) == 1).sum())
+        wanted.append((i if i is not None else -1, len(data), int(mask.sum()), spans, hashlib.sha256(rest).hexdigest()))
+    found = suffixes.remove_repeats(docs, **options).collect()
+    assert sorted((r[0] if r[0] is not None else -1, *r[1:]) for r in found) == sorted(wanted)
+    return sum(w[2] for w in wanted)
+
+
 @pytest.mark.parametrize("block_bytes", [3000, 40_000, 6 << 20])
 def test_repeated_strings(spark, edge, small, block_bytes, monkeypatch):
-    monkeypatch.setattr(suffixes, "STRIDE", 1 << 12)
     monkeypatch.setattr(suffixes, "PART_BYTES", 50_000)
     extra = edge.select("doc_id", "text").union(edge.select((F.col("doc_id") + 1000).alias("doc_id"), F.concat(F.lit("é"), "text").alias("text")))
     for docs in (small, extra):
-        wanted = []
-        for i, data, mask in removed_bytes(texts_of(docs)):
-            rest = np.frombuffer(data, np.uint8)[~mask].tobytes()
-            spans = int((np.diff(mask.astype(int), prepend=0) == 1).sum())
-            wanted.append((i if i is not None else -1, len(data), int(mask.sum()), spans, hashlib.sha256(rest).hexdigest()))
-        found = suffixes.remove_repeats(docs, block_bytes=block_bytes).collect()
-        assert sorted((r[0] if r[0] is not None else -1, *r[1:]) for r in found) == sorted(wanted)
+        check_repeats(docs, block_bytes=block_bytes)
+
+
+@pytest.mark.parametrize("name_bits", [8, 20, 64])
+@pytest.mark.parametrize("block_bytes", [2000, 1 << 20])
+def test_bytes_decide_on_repeats(spark, name_bits, block_bytes, monkeypatch):
+    """Names of a few bits, a hot string of 25 bytes in many contexts, passages cut at both ends, ids that repeat."""
+    monkeypatch.setattr(suffixes, "PART_BYTES", 4000)
+    draw = random.Random(50)
+    letters = "abcdefgh "
+    hot = "a hot string of 25 bytes."
+    passages = ["".join(draw.choices(letters, k=200)) for _ in range(4)]
+    rows = []
+    for i in range(120):
+        text = "".join(draw.choices(letters, k=draw.randrange(120))) + hot + "".join(draw.choices(letters, k=30)) + hot
+        for _ in range(draw.randrange(3)):
+            passage, start = draw.choice(passages), draw.randrange(150)
+            text += passage[start : start + draw.randrange(30, 120)] + "".join(draw.choices(letters, k=draw.randrange(9)))
+        rows.append((i // 2 if i < 20 else i, text))
+    draw.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert check_repeats(docs, block_bytes=block_bytes, name_bits=name_bits) > 0
 
 
 def test_texts_without_repeats(edge, empty):

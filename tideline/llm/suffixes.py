@@ -10,12 +10,17 @@ two rounds:
 1. 25-byte name and name of the stretch of windows the suffix stands for (50 to 75 bytes).
    A stretch that an earlier block holds as a whole is settled, and so is one whose 25-byte
    name is followed and preceded by the same bytes everywhere.
-2. What is left, the edges of repeats, is named window by window with 50 bytes and sorted
-   again: past the threshold, the earliest document of each name is all that counts.
+2. What is left, the edges of repeats, is sent window by window with its 50 bytes and sorted
+   again: past the threshold, the earliest document of each window is all that counts.
 
-Blocks are ranges of the ids, so "in an earlier document" is "in an earlier block, or
-before in the same one", and a name needs no id with it. A block's names are sent without
-repeats: a passage in a third of all documents is one name per block.
+Names only find what may be equal; bytes decide. A stretch whose name occurs more than once
+is sent with its bytes along with round 2, and where different bytes meet under one name,
+round 2 is run again with all windows of that name.
+
+Blocks are ranges of the ids, cut from rows that Spark has range-sorted, so "in an earlier
+document" is "in an earlier block, or before in the same one", and a name needs no id with
+it. A block's names are sent without repeats: a passage in a third of all documents is one
+name per block.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +45,15 @@ BLOCK_BYTES = 3 << 19
 STRIDE = 1 << 17
 #: Bytes of text whose names make a part of the sort.
 PART_BYTES = 8 << 20
-#: Ids drawn per block to place the borders of the blocks.
-DRAWN = 24
+#: Bytes a document counts in its block beside its text.
+ROW_BYTES = 16
+#: Round 2 sends windows with their bytes, so its parts are smaller by this factor.
+FINER = 4
+#: Longest stretch, and the 64-bit words that hold a window, or a stretch with its number of windows and its name.
+WIDEST = LENGTH + HALF
+_WINDOW_WORDS, _STRETCH_WORDS = 7, 11
+#: Rows whose bytes are compared at once.
+_COMPARED = 1 << 15
 _U = np.uint64
 # Odd multipliers of the steps, and random values of the bytes.
 _STEPS = ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (4, 0x165667B19E3779F9), (8, 0x27D4EB2F165667C5))
@@ -48,8 +61,8 @@ _TO_HALF, _TO_FULL = 0xD6E8FEB86659FD93, 0x9FB21C651E98DF25
 _BYTE = np.random.default_rng(50).integers(1, 1 << 63, 256).astype(np.uint64) * _U(2) + _U(1)
 #: Bits of a sent name: of the 25-byte name within its part, and of the stretch.
 _STRETCH_BITS = 36
-_EMIT = "part int, block int, names binary"
-_REPLY = "block int, round int, part int, status binary"
+_EMIT = "round int, part int, block bigint, names binary"
+_REPLY = "block bigint, round int, part int, status binary, clash boolean"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -89,11 +102,40 @@ def _firsts(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.cumsum(new)
 
 
+def _words(data: np.ndarray, low: np.ndarray, high: np.ndarray | None = None) -> np.ndarray:
+    """Bytes of the windows at ``low``, or of the stretches from ``low`` to ``high`` with their extent, as rows of 64-bit words."""
+    width = LENGTH if high is None else WIDEST
+    room = 8 * (_WINDOW_WORDS if high is None else _STRETCH_WORDS - 1)
+    out = np.zeros((len(low), room), np.uint8)
+    if len(low):
+        # Windows end inside the data, stretches may be shorter than the widest.
+        if high is not None:
+            data = np.concatenate([data, np.zeros(HALF, np.uint8)])
+        out[:, :width] = np.lib.stride_tricks.sliding_window_view(data, width)[low]
+        if high is not None:
+            extent = high - low
+            out[:, :width][np.arange(width) >= (extent + LENGTH)[:, None]] = 0
+            out[:, width] = extent
+    return out.view("<u8")
+
+
+def _exact_firsts(words, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`_firsts` by the keys, and by the bytes as well if rows of equal keys differ in them; ``words`` gives the rows' bytes."""
+    order, number = _firsts(*keys)
+    first = order[np.flatnonzero(np.diff(number, prepend=-1))]
+    for at in range(0, len(order), _COMPARED):
+        some = slice(at, at + _COMPARED)
+        if (words(order[some]) != words(first[number[some]])).any():
+            return _firsts(*keys, *words(np.arange(len(order))).T)
+    return order, number
+
+
 class Block:
     """The documents of a range of ids: which of their windows occur earlier, as far as replies tell."""
 
-    def __init__(self, rows: list[tuple[int, bytes]], parts: int):
+    def __init__(self, rows: list[tuple[int, bytes]], parts: int, name_bits: int = 64):
         self.parts = parts
+        self.mask = _U((1 << 64) - (1 << (64 - name_bits)))
         self.data = np.frombuffer(b"".join(text for _, text in rows), np.uint8)
         sizes = np.array([len(text) for _, text in rows], np.int64)
         self.ends = np.cumsum(sizes)
@@ -115,7 +157,9 @@ class Block:
         self.half = np.concatenate(half or [np.empty(0, np.uint64)])
         self.stretch = np.concatenate(stretch or [np.empty(0, np.uint64)])
         self.full = np.concatenate(full or [np.empty(0, np.uint64)])
-        self.order, self.number = _firsts(self.half, self.stretch)
+        self.order, self.number = _exact_firsts(
+            lambda i: _words(self.data, self.low[i], self.high[i]), self.half, self.stretch
+        )
         self.first = np.flatnonzero(np.diff(self.number, prepend=-1))
 
     def _stretches(self, at: int) -> tuple[np.ndarray, ...]:
@@ -140,16 +184,31 @@ class Block:
         before = (chosen + at - low).astype(np.uint64)
         extent = (high - low).astype(np.uint64)
         mixed = _mix(full[low - at] + before * _U(_TO_HALF)) * _U(_TO_FULL) + full[high - at] + extent
-        return low, high, document[turns], _mix(half[chosen]), _mix(mixed) >> _U(64 - _STRETCH_BITS), _mix(full)
+        names = [_mix(n) & self.mask for n in (half[chosen], mixed, full)]
+        return low, high, document[turns], names[0], names[1] >> _U(64 - _STRETCH_BITS), names[2]
+
+    def _sent(self, rows: np.ndarray) -> np.ndarray:
+        gram = self.half[rows] & ((_U(1) << _U(64 - _STRETCH_BITS)) - _U(1))
+        return (gram << _U(_STRETCH_BITS)) | self.stretch[rows]
 
     def stretch_names(self) -> tuple[np.ndarray, np.ndarray]:
         """Parts and names of the distinct stretches, in the order replies come in."""
         rows = self.order[self.first]
-        gram = self.half[rows] & ((_U(1) << _U(64 - _STRETCH_BITS)) - _U(1))
-        return _parts(self.half[rows], self.parts), (gram << _U(_STRETCH_BITS)) | self.stretch[rows]
-
-    def settle_stretches(self, status: np.ndarray) -> None:
-        """Takes the reply of round 1; finds the windows that go into round 2."""
+        return _parts(self.half[rows], self.parts), self._sent(rows)
+
+    def stretch_bytes(self, status: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parts, and names with bytes, of the distinct stretches whose name occurs more than once by the reply of round 1."""
+        rows = self.order[self.first[(status & 4) > 0]]
+        words = np.column_stack([self._sent(rows), _words(self.data, self.low[rows], self.high[rows])])
+        return _parts(self.half[rows], self.parts), words
+
+    def settle_stretches(self, status: np.ndarray, checked: np.ndarray | None = None) -> None:
+        """Takes the replies of rounds 1 and, once there, 3; finds the windows that go into round 2."""
+        if checked is not None:
+            # Bytes decide what is earlier, and a name of different bytes is as good as none.
+            sure = np.zeros_like(status)
+            sure[(status & 4) > 0] = checked
+            status = (sure & 1) | (status & 2) | (sure & 2)
         status = status[self.number]
         later = self.rank[self.order] > self.rank[self.order[self.first]][self.number]
         settled = ((status & 1) > 0) | later
@@ -161,17 +220,20 @@ class Block:
         keep = np.argsort(window, kind="stable")
         self.window, self.window_rank = window[keep], rank[keep]
         self.window_name = self.full[self.window]
-        self.window_order, self.window_number = _firsts(self.window_name)
+        self.window_order, self.window_number = _exact_firsts(
+            lambda i: _words(self.data, self.window[i]), self.window_name
+        )
         self.window_first = np.flatnonzero(np.diff(self.window_number, prepend=-1))
 
-    def window_names(self) -> tuple[np.ndarray, np.ndarray]:
-        names = self.window_name[self.window_order[self.window_first]]
-        return _parts(names, self.parts), names
+    def window_bytes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Parts and bytes of the distinct windows, in the order replies come in."""
+        rows = self.window_order[self.window_first]
+        return _parts(self.window_name[rows], FINER * self.parts), _words(self.data, self.window[rows])
 
     def removed(self, status: np.ndarray) -> np.ndarray:
         """Takes the reply of round 2; the mask of the bytes to remove."""
         later = self.window_rank[self.window_order] > self.window_rank[self.window_order[self.window_first]][self.window_number]
-        hit = self.window[self.window_order[(status[self.window_number] > 0) | later]]
+        hit = self.window[self.window_order[((status & 1)[self.window_number] > 0) | later]]
         steps = np.zeros(len(self.data) + 1, np.int32)
         np.add.at(steps, self.low[self.settled], 1)
         np.add.at(steps, self.high[self.settled] + LENGTH, -1)
@@ -180,62 +242,69 @@ class Block:
         return np.cumsum(steps[:-1]) > 0
 
 
-def _emission(block: int, parts: np.ndarray, names: np.ndarray) -> pa.Table:
+def _emission(turn: int, block: int, parts: np.ndarray, names: np.ndarray) -> pa.Table:
     cuts = np.flatnonzero(np.diff(parts, prepend=-1))
     pieces = np.split(names, cuts[1:]) if len(cuts) else []
     return pa.table(
-        {"part": pa.array(parts[cuts], pa.int32()), "block": pa.array([block] * len(cuts), pa.int32()),
-         "names": pa.array([p.tobytes() for p in pieces], pa.binary())}
+        {"round": pa.array([turn] * len(cuts), pa.int32()), "part": pa.array(parts[cuts], pa.int32()),
+         "block": pa.array([block] * len(cuts), pa.int64()), "names": pa.array([p.tobytes() for p in pieces], pa.binary())}
     )
 
 
-def _gathered(table: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
-    """A part's rows by ascending block: blocks, sizes, names, and the block of each name."""
+def _gathered(table: pa.Table, words: int) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """A part's rows by ascending block: blocks, sizes, names (rows of ``words``), and the block of each name."""
     rows = sorted(zip(table.column("block").to_pylist(), table.column("names").to_pylist(), strict=True))
-    names = [np.frombuffer(n, np.uint64) for _, n in rows]
-    sizes = np.array([len(n) for n in names], np.int64)
-    return [b for b, _ in rows], sizes, np.concatenate(names), np.repeat(np.arange(len(rows)), sizes)
+    sizes = np.array([len(n) // (8 * words) for _, n in rows], np.int64)
+    names = np.frombuffer(b"".join(n for _, n in rows), "<u8").reshape(-1, words)
+    return [b for b, _ in rows], sizes, names, np.repeat(np.arange(len(rows)), sizes)
 
 
 def _sort_stretches(names: np.ndarray, block: np.ndarray) -> np.ndarray:
-    order = np.argsort(names, kind="stable")
-    sorted_names, sorted_block = names[order], block[order]
-    new = np.diff(sorted_names, prepend=~sorted_names[:1]) != 0
-    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    gram = sorted_names >> _U(_STRETCH_BITS)
-    several = np.zeros(len(order), bool)
-    runs = np.flatnonzero(np.diff(gram, prepend=~gram[:1]) != 0)
-    kinds = np.add.reduceat(new.astype(np.int64), runs) if len(runs) else runs
-    several = np.repeat(kinds > 1, np.diff(np.append(runs, len(order))))
+    """Status of each name: 1 if an earlier block has it, 2 if its 25-byte name has others beside it, 4 if it occurs again."""
+    names = names[:, 0]
+    order, number = _firsts(names)
+    first = np.flatnonzero(np.diff(number, prepend=-1))
+    gram = names[order[first]] >> _U(_STRETCH_BITS)
+    runs = np.cumsum(np.diff(gram, prepend=~gram[:1]) != 0) - 1
+    several = np.bincount(runs)[runs] > 1
+    again = np.diff(np.append(first, len(order))) > 1
     status = np.empty(len(order), np.uint8)
-    status[order] = (sorted_block > sorted_block[first]) | (several.astype(np.uint8) << 1)
+    earlier = block[order] > block[order[first]][number]
+    status[order] = earlier | (several.astype(np.uint8) << 1)[number] | (again.astype(np.uint8) << 2)[number]
     return status
 
 
-def _sort_windows(names: np.ndarray, block: np.ndarray) -> np.ndarray:
-    order = np.argsort(names, kind="stable")
-    sorted_names, sorted_block = names[order], block[order]
-    new = np.diff(sorted_names, prepend=~sorted_names[:1]) != 0
-    first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+def _sort_bytes(rows: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Status of each row of words: 1 if an earlier block has the same, 2 if other rows share its first word only."""
+    name = np.zeros(len(rows), np.uint64)
+    for column in rows.T:
+        name = _mix(name * _U(_TO_FULL) + column)
+    order, number = _exact_firsts(lambda i: rows[i], name)
+    first = order[np.flatnonzero(np.diff(number, prepend=-1))]
+    _, kind, kinds = np.unique(rows[first, 0], return_inverse=True, return_counts=True)
     status = np.empty(len(order), np.uint8)
-    status[order] = sorted_block > sorted_block[first]
+    earlier = block[order] > block[first][number]
+    status[order] = earlier | ((kinds[kind] > 1).astype(np.uint8) << 1)[number]
     return status
 
 
-def _replies(emitted: DataFrame, turn: int) -> DataFrame:
+def _replies(emitted: DataFrame) -> DataFrame:
     """Sorts the names of each part and answers every block that sent some."""
-    sort = _sort_stretches if turn == 1 else _sort_windows
 
     def answer(table: pa.Table) -> pa.Table:
-        blocks, sizes, names, block = _gathered(table)
-        status = np.split(sort(names, block), np.cumsum(sizes)[:-1])
-        part = table.column("part")[0].as_py()
+        turn, part = table.column("round")[0].as_py(), table.column("part")[0].as_py()
+        blocks, sizes, names, block = _gathered(table, {1: 1, 2: _WINDOW_WORDS, 3: _STRETCH_WORDS}[turn])
+        status = _sort_stretches(names, block) if turn == 1 else _sort_bytes(names, block)
+        clash = turn == 3 and bool((status & 2).any())
+        pieces = np.split(status, np.cumsum(sizes)[:-1])
+        n = len(blocks)
         return pa.table(
-            {"block": pa.array(blocks, pa.int32()), "round": pa.array([turn] * len(blocks), pa.int32()),
-             "part": pa.array([part] * len(blocks), pa.int32()), "status": pa.array([s.tobytes() for s in status], pa.binary())}
+            {"block": pa.array(blocks, pa.int64()), "round": pa.array([turn] * n, pa.int32()),
+             "part": pa.array([part] * n, pa.int32()), "status": pa.array([s.tobytes() for s in pieces], pa.binary()),
+             "clash": pa.array([clash] * n, pa.bool_())}
         )
 
-    return emitted.groupBy("part").applyInArrow(answer, _REPLY)
+    return emitted.groupBy("round", "part").applyInArrow(answer, _REPLY)
 
 
 def _status(replies: pa.Table, turn: int) -> np.ndarray:
@@ -244,7 +313,7 @@ def _status(replies: pa.Table, turn: int) -> np.ndarray:
     return np.frombuffer(b"".join(s for _, _, s in sorted(r for r in rows if r[0] == turn)), np.uint8)
 
 
-def _opened(table: pa.Table, parts: int) -> tuple[Block, list[tuple[int, bytes]], np.ndarray]:
+def _opened(table: pa.Table, parts: int, name_bits: int) -> tuple[Block, list[tuple[int, bytes]], np.ndarray]:
     """The block of a group of packed rows, its documents, and the order that sorts the rows."""
     tokens.forget()
     reader = zstandard.ZstdDecompressor()
@@ -254,7 +323,7 @@ def _opened(table: pa.Table, parts: int) -> tuple[Block, list[tuple[int, bytes]]
     ]
     order = sorted(range(len(rows)), key=rows.__getitem__)
     rows = [rows[i] for i in order]
-    return Block(rows, parts), rows, np.array(order, np.int64)
+    return Block(rows, parts, name_bits), rows, np.array(order, np.int64)
 
 
 def remove_repeats(
@@ -264,6 +333,7 @@ def remove_repeats(
     keep: Sequence[str] = (),
     with_text: bool = False,
     block_bytes: int = BLOCK_BYTES,
+    name_bits: int = 64,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``.
 
@@ -273,7 +343,7 @@ def remove_repeats(
     has no place in the order, loses nothing and takes nothing from others. An empty
     table gives an empty result. ``keep`` names columns to carry along, ``with_text`` adds
     ``kept_text``, the remaining bytes as text, without characters that were cut into
-    (null for a null text).
+    (null for a null text). Fewer ``name_bits`` give the same result in more time.
     """
     carried = [c for c in keep if c not in (id_col, text)]
     # Names of their own inside, whatever they are called outside.
@@ -281,40 +351,55 @@ def remove_repeats(
     others = [F.col(f"`{c}`").alias(k) for c, k in zip(carried, kept, strict=True)]
     base = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text"), *others)
     placed = base.filter("_id is not null")
-    total = placed.agg(F.sum(F.octet_length("_text")).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-total // block_bytes))
-    parts = max(1, -(-total // PART_BYTES))
-    rows = placed.count()
-    share = min(1.0, DRAWN * blocks / max(rows, 1))
-    drawn = placed.filter(F.pmod(F.xxhash64("_id"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20)) + 1)).select("_id")
-    ids = np.sort(np.array([r["_id"] for r in drawn.collect()], np.int64))
-    borders = np.unique(ids[np.arange(1, blocks) * len(ids) // blocks]) if len(ids) else ids
-    shared = docs.sparkSession.sparkContext.broadcast(borders)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch, texts in text_batches(batches, "_text"):
-            block = np.searchsorted(shared.value, batch.column(0).to_numpy(), side="right")
-            packed = [packer.compress(t.encode()) for t in texts]
-            columns = [batch.column(0), pa.array(packed, pa.binary()), pa.array(block, pa.int32())]
+            data = [t.encode() for t in texts]
+            columns = [pa.array([packer.compress(d) for d in data], pa.binary()), pa.array([len(d) for d in data], pa.int64())]
             missing = batch.column(1).is_null()
-            yield pa.RecordBatch.from_arrays([*columns, missing, *batch.columns[2:]], ["_id", "_packed", "_block", "_null", *kept])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *columns, missing, *batch.columns[2:]], ["_id", "_packed", "_size", "_null", *kept]
+            )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Numbers of blocks that ascend with the id, within a range and from range to range; equal ids share one."""
+        block, held, last = TaskContext.get().partitionId() << 32, 0, None
+        for batch in batches:
+            numbers = []
+            for doc_id, size in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if doc_id != last and held and held + size > block_bytes:
+                    block, held = block + 1, 0
+                held, last = held + size + ROW_BYTES, doc_id
+                numbers.append(block)
+            yield batch.append_column("_block", pa.array(numbers, pa.int64()))
 
     kept_schema = "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for c, k in zip(carried, kept, strict=True))
-    packed = placed.mapInArrow(pack, "_id bigint, _packed binary, _block int, _null boolean" + kept_schema)
+    schema = "_id bigint, _packed binary, _size bigint, _null boolean" + kept_schema
+    ranged = placed.mapInArrow(pack, schema).repartitionByRange("_id").sortWithinPartitions("_id")
+    packed = written(ranged.mapInArrow(cut, schema + ", _block bigint"), "suffix-blocks")
+    total = packed.agg(F.sum("_size").alias("n")).first()["n"] or 0
+    parts = max(1, -(-total // PART_BYTES))
 
     def send_stretches(key: tuple, table: pa.Table) -> pa.Table:
-        block, _, _ = _opened(table, parts)
-        return _emission(key[0].as_py(), *block.stretch_names())
+        block, _, _ = _opened(table, parts, name_bits)
+        return _emission(1, key[0].as_py(), *block.stretch_names())
+
+    def send_bytes(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
+        block, _, _ = _opened(table, parts, name_bits)
+        status = _status(replies, 1)
+        block.settle_stretches(status)
+        sent = [_emission(2, key[0].as_py(), *block.window_bytes()), _emission(3, key[0].as_py(), *block.stretch_bytes(status))]
+        return pa.concat_tables(sent)
 
     def send_windows(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        block, _, _ = _opened(table, parts)
-        block.settle_stretches(_status(replies, 1))
-        return _emission(key[0].as_py(), *block.window_names())
+        block, _, _ = _opened(table, parts, name_bits)
+        block.settle_stretches(_status(replies, 1), _status(replies, 3))
+        return _emission(2, key[0].as_py(), *block.window_bytes())
 
     def finish(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        block, rows, order = _opened(table, parts)
-        block.settle_stretches(_status(replies, 1))
+        block, rows, order = _opened(table, parts, name_bits)
+        block.settle_stretches(_status(replies, 1), _status(replies, 3))
         mask = block.removed(_status(replies, 2))
         out: dict = {"_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
         texts = []
@@ -337,10 +422,14 @@ def remove_repeats(
 
     result = "_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     result += (", kept_text string" if with_text else "") + kept_schema
-    first = written(_replies(packed.groupBy("_block").applyInArrow(send_stretches, _EMIT), 1), "stretch-replies")
     grouped = packed.groupBy("_block")
-    second = _replies(grouped.cogroup(first.groupBy("block")).applyInArrow(send_windows, _EMIT), 2)
+    first = written(_replies(grouped.applyInArrow(send_stretches, _EMIT)), "stretch-replies")
+    second = written(_replies(grouped.cogroup(first.groupBy("block")).applyInArrow(send_bytes, _EMIT)), "byte-replies")
     both = first.union(second)
+    if not second.filter("clash").isEmpty():
+        checked = first.union(second.filter("round = 3"))
+        again = _replies(grouped.cogroup(checked.groupBy("block")).applyInArrow(send_windows, _EMIT))
+        both = checked.union(written(again, "window-replies"))
     found = grouped.cogroup(both.groupBy("block")).applyInArrow(finish, result)
     # Rows without an id lose nothing.
     alone = base.filter("_id is null").withColumn("_bytes", F.coalesce(F.col("_text").cast("binary"), F.lit(b"")))
