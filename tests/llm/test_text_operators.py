@@ -153,9 +153,9 @@ def test_repeated_strings(spark, edge, small, block_bytes, monkeypatch):
         check_repeats(docs, block_bytes=block_bytes)
 
 
-@pytest.mark.parametrize("name_bits", [8, 20, 64])
+@pytest.mark.parametrize("name_bits, whole_bytes", [(8, False), (8, True), (20, True), (64, False)])
 @pytest.mark.parametrize("block_bytes", [2000, 1 << 20])
-def test_bytes_decide_on_repeats(spark, name_bits, block_bytes, monkeypatch):
+def test_bytes_decide_on_repeats(spark, name_bits, whole_bytes, block_bytes, monkeypatch):
     """Names of a few bits, a hot string of 25 bytes in many contexts, passages cut at both ends, ids that repeat."""
     monkeypatch.setattr(suffixes, "PART_BYTES", 4000)
     draw = random.Random(50)
@@ -171,7 +171,7 @@ def test_bytes_decide_on_repeats(spark, name_bits, block_bytes, monkeypatch):
         rows.append((i // 2 if i < 20 else i, text))
     draw.shuffle(rows)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
-    assert check_repeats(docs, block_bytes=block_bytes, name_bits=name_bits) > 0
+    assert check_repeats(docs, block_bytes=block_bytes, name_bits=name_bits, whole_bytes=whole_bytes) > 0
 
 
 def test_texts_without_repeats(edge, empty):

@@ -10,12 +10,13 @@ two rounds:
 1. 25-byte name and name of the stretch of windows the suffix stands for (50 to 75 bytes).
    A stretch that an earlier block holds as a whole is settled, and so is one whose 25-byte
    name is followed and preceded by the same bytes everywhere.
-2. What is left, the edges of repeats, is sent window by window with its 50 bytes and sorted
+2. What is left, the edges of repeats, is sent window by window, named by its 50 bytes, and sorted
    again: past the threshold, the earliest document of each window is all that counts.
 
-Names only find what may be equal; bytes decide. A stretch whose name occurs more than once
-is sent with its bytes along with round 2, and where different bytes meet under one name,
-round 2 is run again with all windows of that name.
+Names only find what may be equal; bytes decide, within a block as they are and between
+blocks as digests of 128 bits, or as they are if asked for. A stretch whose name occurs more
+than once is sent with its digest along with round 2, and where different ones meet under one
+name, round 2 is run again with all windows of that name.
 
 Blocks are ranges of the ids, cut from rows that Spark has range-sorted, so "in an earlier
 document" is "in an earlier block, or before in the same one", and a name needs no id with
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import tokens
-from .common import text_batches, written
+from .common import written
 
 LENGTH = 50
 HALF = LENGTH // 2
@@ -52,6 +53,8 @@ FINER = 4
 #: Longest stretch, and the 64-bit words that hold a window, or a stretch with its number of windows and its name.
 WIDEST = LENGTH + HALF
 _WINDOW_WORDS, _STRETCH_WORDS = 7, 11
+#: Odd multipliers of the two halves of a digest.
+_DIGEST = (0xA24BAED4963EE407, 0x9FB21C651E98DF25)
 #: Rows whose bytes are compared at once.
 _COMPARED = 1 << 15
 _U = np.uint64
@@ -119,6 +122,17 @@ def _words(data: np.ndarray, low: np.ndarray, high: np.ndarray | None = None) ->
     return out.view("<u8")
 
 
+def _digest(words: np.ndarray) -> np.ndarray:
+    """Rows of words as 128 bits: two chains of their own over the bytes, neither related to the names."""
+    out = np.empty((len(words), 2), np.uint64)
+    for i, factor in enumerate(_DIGEST):
+        chain = np.full(len(words), factor, np.uint64)
+        for column in words.T:
+            chain = _mix((chain ^ column) * _U(factor) + (column >> _U(32 * i + 1)))
+        out[:, i] = chain
+    return out
+
+
 def _exact_firsts(words, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """:func:`_firsts` by the keys, and by the bytes as well if rows of equal keys differ in them; ``words`` gives the rows' bytes."""
     order, number = _firsts(*keys)
@@ -133,8 +147,8 @@ def _exact_firsts(words, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Block:
     """The documents of a range of ids: which of their windows occur earlier, as far as replies tell."""
 
-    def __init__(self, rows: list[tuple[int, bytes]], parts: int, name_bits: int = 64):
-        self.parts = parts
+    def __init__(self, rows: list[tuple[int, bytes]], parts: int, name_bits: int, whole: bool):
+        self.parts, self.whole = parts, whole
         self.mask = _U((1 << 64) - (1 << (64 - name_bits)))
         self.data = np.frombuffer(b"".join(text for _, text in rows), np.uint8)
         sizes = np.array([len(text) for _, text in rows], np.int64)
@@ -199,7 +213,8 @@ class Block:
     def stretch_bytes(self, status: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Parts, and names with bytes, of the distinct stretches whose name occurs more than once by the reply of round 1."""
         rows = self.order[self.first[(status & 4) > 0]]
-        words = np.column_stack([self._sent(rows), _words(self.data, self.low[rows], self.high[rows])])
+        words = _words(self.data, self.low[rows], self.high[rows])
+        words = np.column_stack([self._sent(rows), words if self.whole else _digest(words)])
         return _parts(self.half[rows], self.parts), words
 
     def settle_stretches(self, status: np.ndarray, checked: np.ndarray | None = None) -> None:
@@ -228,7 +243,8 @@ class Block:
     def window_bytes(self) -> tuple[np.ndarray, np.ndarray]:
         """Parts and bytes of the distinct windows, in the order replies come in."""
         rows = self.window_order[self.window_first]
-        return _parts(self.window_name[rows], FINER * self.parts), _words(self.data, self.window[rows])
+        words = _words(self.data, self.window[rows])
+        return _parts(self.window_name[rows], FINER * self.parts), words if self.whole else _digest(words)
 
     def removed(self, status: np.ndarray) -> np.ndarray:
         """Takes the reply of round 2; the mask of the bytes to remove."""
@@ -288,12 +304,13 @@ def _sort_bytes(rows: np.ndarray, block: np.ndarray) -> np.ndarray:
     return status
 
 
-def _replies(emitted: DataFrame) -> DataFrame:
+def _replies(emitted: DataFrame, whole: bool) -> DataFrame:
     """Sorts the names of each part and answers every block that sent some."""
+    words = {1: 1, 2: _WINDOW_WORDS, 3: _STRETCH_WORDS} if whole else {1: 1, 2: 2, 3: 3}
 
     def answer(table: pa.Table) -> pa.Table:
         turn, part = table.column("round")[0].as_py(), table.column("part")[0].as_py()
-        blocks, sizes, names, block = _gathered(table, {1: 1, 2: _WINDOW_WORDS, 3: _STRETCH_WORDS}[turn])
+        blocks, sizes, names, block = _gathered(table, words[turn])
         status = _sort_stretches(names, block) if turn == 1 else _sort_bytes(names, block)
         clash = turn == 3 and bool((status & 2).any())
         pieces = np.split(status, np.cumsum(sizes)[:-1])
@@ -313,17 +330,29 @@ def _status(replies: pa.Table, turn: int) -> np.ndarray:
     return np.frombuffer(b"".join(s for _, _, s in sorted(r for r in rows if r[0] == turn)), np.uint8)
 
 
-def _opened(table: pa.Table, parts: int, name_bits: int) -> tuple[Block, list[tuple[int, bytes]], np.ndarray]:
-    """The block of a group of packed rows, its documents, and the order that sorts the rows."""
+def _closed(block: int, rows: list[pa.RecordBatch], columns: Sequence[str]) -> pa.RecordBatch:
+    """The documents of a block as one row: their texts packed in one, the rest as lists."""
+    table = pa.Table.from_batches(rows)
+    data = [(t or "").encode() for t in table.column("_text").to_pylist()]
+    lists = {c: table.column(c).combine_chunks() for c in columns}
+    lists |= {"_size": pa.array([len(d) for d in data], pa.int64()), "_null": table.column("_text").combine_chunks().is_null()}
+    packed = zstandard.ZstdCompressor(level=3).compress(b"".join(data))
+    ends = pa.array([0, len(data)], pa.int32())
+    lists = {c: pa.ListArray.from_arrays(ends, values) for c, values in lists.items()}
+    own = {"_block": pa.array([block], pa.int64()), "_bytes": pa.array([sum(map(len, data))], pa.int64())}
+    return pa.RecordBatch.from_pydict(own | {"_packed": pa.array([packed], pa.binary())} | lists)
+
+
+def _opened(table: pa.Table) -> tuple[pa.Table, list[tuple[int, bytes]], np.ndarray]:
+    """The rows of a packed block, its documents in order, and the order that sorts the rows."""
     tokens.forget()
-    reader = zstandard.ZstdDecompressor()
-    rows = [
-        (doc_id, reader.decompress(packed))
-        for doc_id, packed in zip(table.column("_id").to_pylist(), table.column("_packed").to_pylist(), strict=True)
-    ]
+    data = zstandard.ZstdDecompressor().decompress(table.column("_packed")[0].as_py())
+    own = pa.table({c: table.column(c).combine_chunks().flatten() for c in table.column_names if pa.types.is_list(table.schema.field(c).type)})
+    ends = np.cumsum(own.column("_size").to_numpy())
+    starts = np.append(0, ends[:-1])
+    rows = [(i, data[a:b]) for i, a, b in zip(own.column("_id").to_pylist(), starts, ends, strict=True)]
     order = sorted(range(len(rows)), key=rows.__getitem__)
-    rows = [rows[i] for i in order]
-    return Block(rows, parts, name_bits), rows, np.array(order, np.int64)
+    return own, [rows[i] for i in order], np.array(order, np.int64)
 
 
 def remove_repeats(
@@ -334,6 +363,7 @@ def remove_repeats(
     with_text: bool = False,
     block_bytes: int = BLOCK_BYTES,
     name_bits: int = 64,
+    whole_bytes: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256``.
 
@@ -344,6 +374,8 @@ def remove_repeats(
     table gives an empty result. ``keep`` names columns to carry along, ``with_text`` adds
     ``kept_text``, the remaining bytes as text, without characters that were cut into
     (null for a null text). Fewer ``name_bits`` give the same result in more time.
+    Between blocks, digests of 128 bits stand for bytes (two of 10^13 different stretches
+    share one with a probability below 10^-12); ``whole_bytes`` sends the bytes themselves.
     """
     carried = [c for c in keep if c not in (id_col, text)]
     # Names of their own inside, whatever they are called outside.
@@ -352,83 +384,83 @@ def remove_repeats(
     base = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text).alias("_text"), *others)
     placed = base.filter("_id is not null")
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=3)
-        for batch, texts in text_batches(batches, "_text"):
-            data = [t.encode() for t in texts]
-            columns = [pa.array([packer.compress(d) for d in data], pa.binary()), pa.array([len(d) for d in data], pa.int64())]
-            missing = batch.column(1).is_null()
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *columns, missing, *batch.columns[2:]], ["_id", "_packed", "_size", "_null", *kept]
-            )
-
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Numbers of blocks that ascend with the id, within a range and from range to range; equal ids share one."""
-        block, held, last = TaskContext.get().partitionId() << 32, 0, None
+        """Blocks whose numbers ascend with the id, within a range and from range to range; equal ids share one."""
+        block, held, rows, last = TaskContext.get().partitionId() << 32, 0, [], None
         for batch in batches:
-            numbers = []
-            for doc_id, size in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            at = 0
+            sizes = batch.column(1).to_pylist()
+            for i, (doc_id, size) in enumerate(zip(batch.column(0).to_pylist(), sizes, strict=True)):
                 if doc_id != last and held and held + size > block_bytes:
-                    block, held = block + 1, 0
+                    if i > at:
+                        rows.append(batch.slice(at, i - at))
+                    yield _closed(block, rows, ["_id", *kept])
+                    block, held, rows, at = block + 1, 0, [], i
                 held, last = held + size + ROW_BYTES, doc_id
-                numbers.append(block)
-            yield batch.append_column("_block", pa.array(numbers, pa.int64()))
-
-    kept_schema = "".join(f", {k} {docs.schema[c].dataType.simpleString()}" for c, k in zip(carried, kept, strict=True))
-    schema = "_id bigint, _packed binary, _size bigint, _null boolean" + kept_schema
-    ranged = placed.mapInArrow(pack, schema).repartitionByRange("_id").sortWithinPartitions("_id")
-    packed = written(ranged.mapInArrow(cut, schema + ", _block bigint"), "suffix-blocks")
-    total = packed.agg(F.sum("_size").alias("n")).first()["n"] or 0
+            if batch.num_rows > at:
+                rows.append(batch.slice(at))
+        if rows:
+            yield _closed(block, rows, ["_id", *kept])
+
+    types = {"_id": "bigint"} | {k: docs.schema[c].dataType.simpleString() for c, k in zip(carried, kept, strict=True)}
+    types |= {"_size": "bigint", "_null": "boolean"}
+    schema = "_block bigint, _bytes bigint, _packed binary" + "".join(f", {c} array<{t}>" for c, t in types.items())
+    sized = placed.select("_id", F.coalesce(F.octet_length("_text"), F.lit(0)).alias("_length"), "_text", *kept)
+    ranged = sized.repartitionByRange("_id").sortWithinPartitions("_id")
+    packed = written(ranged.mapInArrow(cut, schema), "suffix-blocks")
+    total = packed.agg(F.sum("_bytes").alias("n")).first()["n"] or 0
     parts = max(1, -(-total // PART_BYTES))
 
     def send_stretches(key: tuple, table: pa.Table) -> pa.Table:
-        block, _, _ = _opened(table, parts, name_bits)
+        block = Block(_opened(table)[1], parts, name_bits, whole_bytes)
         return _emission(1, key[0].as_py(), *block.stretch_names())
 
     def send_bytes(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        block, _, _ = _opened(table, parts, name_bits)
+        block = Block(_opened(table)[1], parts, name_bits, whole_bytes)
         status = _status(replies, 1)
         block.settle_stretches(status)
         sent = [_emission(2, key[0].as_py(), *block.window_bytes()), _emission(3, key[0].as_py(), *block.stretch_bytes(status))]
         return pa.concat_tables(sent)
 
     def send_windows(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        block, _, _ = _opened(table, parts, name_bits)
+        block = Block(_opened(table)[1], parts, name_bits, whole_bytes)
         block.settle_stretches(_status(replies, 1), _status(replies, 3))
         return _emission(2, key[0].as_py(), *block.window_bytes())
 
     def finish(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        block, rows, order = _opened(table, parts, name_bits)
+        own, rows, order = _opened(table)
+        block = Block(rows, parts, name_bits, whole_bytes)
         block.settle_stretches(_status(replies, 1), _status(replies, 3))
         mask = block.removed(_status(replies, 2))
         out: dict = {"_id": [], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
         texts = []
-        missing = table.column("_null").to_pylist()
+        missing = own.column("_null").to_pylist()
         start = 0
         for i, (doc_id, value) in zip(order, rows, strict=True):
-            own = mask[start : start + len(value)]
+            cover = mask[start : start + len(value)]
             start += len(value)
-            left = np.frombuffer(value, np.uint8)[~own].tobytes() if own.any() else value
+            left = np.frombuffer(value, np.uint8)[~cover].tobytes() if cover.any() else value
             out["_id"].append(doc_id)
             out["n_bytes"].append(len(value))
             out["n_removed"].append(len(value) - len(left))
-            out["n_spans"].append(int(np.count_nonzero(np.diff(own.astype(np.int8), prepend=0) == 1)))
+            out["n_spans"].append(int(np.count_nonzero(np.diff(cover.astype(np.int8), prepend=0) == 1)))
             out["kept_sha256"].append(hashlib.sha256(left).hexdigest())
             texts.append(None if missing[i] else left.decode(errors="ignore"))
         if with_text:
             out["kept_text"] = pa.array(texts, pa.string())
-        ordered = table.take(pa.array(order))
+        ordered = own.take(pa.array(order))
         return pa.table(out | {c: ordered.column(c) for c in kept})
 
     result = "_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    result += (", kept_text string" if with_text else "") + kept_schema
+    result += ", kept_text string" if with_text else ""
+    result += "".join(f", {k} {types[k]}" for k in kept)
     grouped = packed.groupBy("_block")
-    first = written(_replies(grouped.applyInArrow(send_stretches, _EMIT)), "stretch-replies")
-    second = written(_replies(grouped.cogroup(first.groupBy("block")).applyInArrow(send_bytes, _EMIT)), "byte-replies")
+    first = written(_replies(grouped.applyInArrow(send_stretches, _EMIT), whole_bytes), "stretch-replies")
+    second = written(_replies(grouped.cogroup(first.groupBy("block")).applyInArrow(send_bytes, _EMIT), whole_bytes), "byte-replies")
     both = first.union(second)
     if not second.filter("clash").isEmpty():
         checked = first.union(second.filter("round = 3"))
-        again = _replies(grouped.cogroup(checked.groupBy("block")).applyInArrow(send_windows, _EMIT))
+        again = _replies(grouped.cogroup(checked.groupBy("block")).applyInArrow(send_windows, _EMIT), whole_bytes)
         both = checked.union(written(again, "window-replies"))
     found = grouped.cogroup(both.groupBy("block")).applyInArrow(finish, result)
     # Rows without an id lose nothing.
