@@ -9,6 +9,7 @@ import pytest
 from cases import plan_of, rows_of
 from pyspark.sql import functions as F
 
+from tideline import session
 from tideline.functions import expr
 from tideline.functions import fixed_values as fv
 from tideline.functions import beta
@@ -18,6 +19,7 @@ from tideline.plans import articles, candidates, engagement, feeds, retention, r
 from tideline.plans.publisher import finish_features
 from tideline.session import shared_dir
 from tideline.sources import files, records
+from tideline.sources.paths import subfolders
 from tideline.sources.tables import chunked_csv
 
 ENGAGEMENT = (
@@ -437,6 +439,16 @@ def test_revenue_load_of_missing_days(spark, frame):
     assert table.read().count() == 6
 
 
+def test_revenue_load_writes_its_batch_once(spark, frame, monkeypatch):
+    base = shared_dir(spark, "revenue-once")
+    monkeypatch.setattr(session, "shared_dir", lambda _, name: f"{base}/kept/{name}")
+    frame("data array<map<string,string>>", ([{"Current.record_date": "2024-01-02", "Current.impressions": "5"}],)).write.json(f"{base}/pages")
+    table = revenue.revenue_table(spark, f"{base}/table")
+    bounds = ("2024-01-02 00:00:00", "2024-01-02 00:00:00")
+    loaded = revenue.load_missing_days(spark, table, lambda day: f"{base}/pages", "2024-01-04 00:00:00", *bounds)
+    assert rows_of(loaded, "impressions") == [(5,)] and subfolders(spark, f"{base}/kept") == []
+
+
 def test_feed_round_trip(spark, frame):
     rows = frame("tile_id int, source_id int, type string, created_at timestamp, updated_at timestamp", (1, 2, 'a|"b"\nc', None, None))
     folder = shared_dir(spark, "feed")

@@ -194,6 +194,21 @@ def test_load_with_forbidden_rows_does_not_count(spark, frame):
     assert rows_of(table.read(), "v") == [(1,)]
 
 
+def test_a_load_that_is_not_accepted_does_not_count(spark, frame):
+    table, seen = table_io.DayTable(spark, shared_dir(spark, "accepted"), "day"), []
+
+    def accept(days):
+        seen.append(days)
+        if "2024-01-02" not in days:
+            raise ValueError("a day is missing")
+
+    table.replace(_day_rows(frame, ("2024-01-01", 1), ("2024-01-02", 2), (None, 3)), "days", accept=accept)
+    with pytest.raises(ValueError, match="a day is missing"):
+        table.replace(_day_rows(frame, ("2024-01-01", 9)), "days", accept=accept)
+    assert seen == [["2024-01-01", "2024-01-02"], ["2024-01-01"]]
+    assert sorted(r["v"] for r in table.read().collect()) == [1, 2, 3] and len(table.loads()) == 1
+
+
 def test_load_that_dies_is_ignored(spark, frame, monkeypatch):
     folder = shared_dir(spark, "unfinished")
     table = table_io.DayTable(spark, folder, "day")

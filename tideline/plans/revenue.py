@@ -12,7 +12,6 @@ from ..functions import fixed_values as fv
 from ..operators.checks import require_none
 from ..operators.intervals import missing_days
 from ..operators.tables import key_replace
-from ..session import materialized
 from ..sources.files import landed_pages, page_records
 from ..sources.tables import DayTable
 
@@ -60,15 +59,19 @@ def load_missing_days(
 ) -> DataFrame:
     """Load the days the table lacks from their landed pages and return the new table.
 
-    ``pages_of`` gives the folder of a day's pages. All days are read in one job; a day
-    without rows fails the load before the table changes; only the loaded days are written.
+    ``pages_of`` gives the folder of a day's pages. All days are read and written in one
+    job; a day without rows fails the load before it counts; only the loaded days are written.
     """
     revenue = table.read()
     days = days_to_load(revenue, as_of, first, last, overwrite)
     folders = [pages_of(str(row["day"])) for row in days.collect()]  # a window of days
     if not folders:
         return revenue
-    batch = materialized(revenue_rows(landed_pages(spark, folders), archived), "revenue-batch")
-    require_none(days_without_rows(days, batch), "days without any record (archived data?)")
-    table.replace(batch, "days")
+
+    def complete(written: list[str]) -> None:
+        held = spark.createDataFrame([(day,) for day in written], "day string")
+        rows = held.select(F.col("day").cast("date").alias("record_date"))
+        require_none(days_without_rows(days, rows), "days without any record (archived data?)")
+
+    table.replace(revenue_rows(landed_pages(spark, folders), archived), "days", accept=complete)
     return table.read()

@@ -19,7 +19,7 @@ from ..functions.text import html_to_text
 from ..operators import checks, chunks, counting, intervals, latest, setops, sketches, tables, unnest
 from ..plans import articles, backend_events, candidates, engagement, feeds, legacy_candidates, publisher
 from ..plans import retention, revenue, runner, score, telemetry_legacy, telemetry_nested, user_sync
-from ..session import shared_dir
+from ..session import materialized, shared_dir
 from ..sources import files, records
 from ..sources.logs import OffsetLog
 from ..sources import tables as table_io
@@ -233,10 +233,16 @@ def corpus_item_engagement(v):
 
 
 # --- revenue -----------------------------------------------------------------------
-def _revenue_records(v: Views, day, prefix: str, lacking: tuple = ()) -> DataFrame:
-    """Each order line as a map of prefixed texts, some of them lacking."""
+def _order_lines(v: Views) -> DataFrame:
+    """Order lines, one row per matching order, with the columns that revenue records are made of."""
     orders, lines = v.table("orders"), v.table("lineitem")
-    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "inner").withColumn("day", day)
+    return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"], "inner").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity", "l_discount", "o_orderdate"
+    )
+
+
+def _revenue_texts(prefix: str, lacking: tuple = ()) -> dict:
+    """The prefixed texts of a line with its ``day``, some of them lacking."""
     values = {
         "record_date": F.date_format("day", "yyyy-MM-dd"),
         "network": F.col("l_returnflag"),
@@ -247,13 +253,18 @@ def _revenue_records(v: Views, day, prefix: str, lacking: tuple = ()) -> DataFra
         "net_revenue": F.col("l_orderkey").cast("string"),
         "net_cpm": F.format_string("%.2f", "l_discount"),
     }
-    pairs = [part for name, value in values.items() if name not in lacking for part in (F.lit(f"{prefix}.{name}"), value)]
-    return joined.select(F.create_map(*pairs).alias("record"), "day", "l_orderkey", "l_linenumber")
+    return {f"{prefix}.{name}": value for name, value in values.items() if name not in lacking}
+
+
+def _revenue_records(lines: DataFrame) -> DataFrame:
+    """Each line as a map of prefixed texts."""
+    pairs = [part for name, value in _revenue_texts(fv.REVENUE_PREFIX).items() for part in (F.lit(name), value)]
+    return lines.select(F.create_map(*pairs).alias("record"), "l_orderkey")
 
 
 def _revenue_pages(v: Views) -> DataFrame:
     """Landed pages of the order lines, by ranges of the orders."""
-    numbered = _revenue_records(v, F.col("o_orderdate"), fv.REVENUE_PREFIX)
+    numbered = _revenue_records(_order_lines(v).withColumnRenamed("o_orderdate", "day"))
     pages = numbered.groupBy(F.floor(F.col("l_orderkey") / 100).alias("page_key"))
     return pages.agg(F.collect_list("record").alias("data")).select("data")
 
@@ -272,23 +283,26 @@ def revenue_load(v):
     """All order lines, landed as pages of 5,000 records in a folder per day, a file per page; the table had every third day.
 
     The days the table lacks are loaded, the archived ones (without two dimensions) by a
-    load of their own; the days it had stay as they were.
+    load of their own; the days it had stay as they were. The joined lines are written
+    once, and a line's texts are made only after it has its place in a page: no shuffle
+    before that moves a text, and none moves a key.
     """
     root = shared_dir(v.spark, "revenue-load")
     offset = (F.col("l_orderkey") % _LANDED_DAYS).cast("int")
     day = F.date_add(F.lit(_LANDED_FIRST).cast("date"), offset)
     half = F.date_add(F.lit(_LANDED_FIRST).cast("date"), _LANDED_DAYS // 2)
     held = F.date_diff("day", F.lit(_LANDED_FIRST)) % 3 == 0
+    lines = materialized(_order_lines(v).drop("o_orderdate").withColumn("day", day), "order-lines")
     table = revenue.revenue_table(v.spark, f"{root}/table")
-    had = _revenue_records(v, day, fv.REVENUE_PREFIX).filter(held).select(F.array("record").alias("data"))
+    had = _revenue_records(lines.filter(held)).select(F.array("record").alias("data"))
     table.replace(revenue.revenue_rows(had).withColumn("impressions", -F.col("impressions")))
     for name, prefix, lacking, part in (
         ("archived", fv.REVENUE_PREFIX_ARCHIVED, ("url", "size"), F.col("day") < half),
         ("current", fv.REVENUE_PREFIX, (), F.col("day") >= half),
     ):
-        records = _revenue_records(v, day, prefix, lacking).filter(part)
-        numbered = chunks.chunk_rows(records, 5000, ["day"], [F.asc("l_orderkey")], ["l_linenumber"])
-        pages = numbered.groupBy("day", "chunk_no").agg(F.collect_list("record").alias("data")).drop("chunk_no")
+        numbered = chunks.chunk_rows(lines.filter(part), 5000, ["day"], [F.asc("l_orderkey")], ["l_linenumber"])
+        record = F.struct(*[value.alias(name) for name, value in _revenue_texts(prefix, lacking).items()])
+        pages = numbered.groupBy("day", "chunk_no").agg(F.collect_list(record).alias("data")).drop("chunk_no")
         pages.write.option("maxRecordsPerFile", 1).partitionBy("day").json(f"{root}/{name}")
     window = ("1998-02-20 00:00:00", "1998-03-05 00:00:00")
     now = "1998-03-20 00:00:00"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,18 +78,27 @@ class DayTable:
         self.spark, self.path, self.key, self.schema = spark, path.rstrip("/"), key, schema
         self.log = AppendLog(spark, f"{self.path}/log", self.LOG)
 
-    def replace(self, batch: DataFrame, replaces: str = "days", forbidden: Mapping[str, Column] | None = None) -> None:
+    def replace(
+        self,
+        batch: DataFrame,
+        replaces: str = "days",
+        forbidden: Mapping[str, Column] | None = None,
+        accept: Callable[[list[str]], None] | None = None,
+    ) -> None:
         """Adds the batch and drops the rows it replaces: those of its ``days``, all ``from`` its first day on, or ``all``.
 
         A batch without days changes nothing unless it replaces all. Rows that are
         ``forbidden``, as in :func:`write_checked`, are counted while the batch is written,
-        and a batch with any fails and does not count.
+        and a batch with any fails and does not count. ``accept`` is given the days that
+        were written; where it raises, the load does not count either.
         """
         load = uuid.uuid4().hex
         days = batch.withColumn(_DAY, F.col(self.key).cast("date").cast("string"))
         folder = f"{self.path}/rows/{_LOAD}={load}"
         write_checked(days, lambda rows: rows.write.partitionBy(_DAY).parquet(folder), forbidden or {})
         held = [name.partition("=")[2] for name in subfolders(self.spark, f"{self.path}/rows/{_LOAD}={load}")]
+        if accept is not None:
+            accept([day for day in held if day != _NO_DAY])
         number = self.log.read().agg(F.coalesce(F.max("number") + 1, F.lit(0))).first()[0]
         row = (number, held, replaces, batch.schema.json())
         self.log.add(load, self.spark.createDataFrame([row], self.LOG))
