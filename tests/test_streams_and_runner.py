@@ -1,10 +1,12 @@
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 import pytest
 from cases import rows_of
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from tideline.functions.text import html_text_mapper
 from tideline.operators import sketches
 from tideline.plans.runner import Job, job_table, offset_log, run_incremental, stored_offset
 from tideline.session import shared_dir
@@ -315,3 +317,12 @@ def test_sub_jobs_share_the_offset_table(spark, events):
     outcomes = run_incremental(spark, job, root, "2024-01-05 06:00:00")
     assert [o for _, o in outcomes] == ["loaded"] * 4
     assert all(stored_offset(spark, root, f"sub{i}").startswith("2024-01-04 08") for i in range(3))
+
+
+def test_the_html_parser_holds_few_rows_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"resolved_id": [str(i) for i in range(250)], "html": [None, "<p>a  b</p>"] * 125})
+    pieces = list(html_text_mapper()(iter([batch])))
+    assert [piece.num_rows for piece in pieces] == [100, 100, 50]
+    rows = [row for piece in pieces for row in piece.to_pylist()]
+    assert [row["resolved_id"] for row in rows] == [str(i) for i in range(250)]
+    assert [row["raw_text"].strip() for row in rows[:2]] == ["None", "a b"] and all(row["error"] is None for row in rows)

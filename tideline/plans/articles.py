@@ -23,7 +23,7 @@ def extract_article_text(articles: DataFrame, convert: Callable[[str], str] = ht
     """
     rows = articles.withColumnRenamed("article", "html")
     fields = [*rows.schema.fields, T.StructField("raw_text", T.StringType()), T.StructField("error", T.StringType())]
-    parsed = rows.mapInPandas(html_text_mapper(convert), T.StructType(fields))
+    parsed = rows.mapInArrow(html_text_mapper(convert), T.StructType(fields))
     texts = parsed.withColumn("text", clean_text("raw_text")).drop("raw_text")
     return texts.withColumn("text_md5", text_md5("text"))
 
