@@ -251,3 +251,21 @@ def test_shuffle_partitions_follow_the_input(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_merged_shuffle_partitions_stay_small(spark):
+    """Groupings give a task no more than some 8 MB of shuffled rows, few tasks or not."""
+    changed = ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionNum", "coalescePartitions.initialPartitionNum")
+    before = {k: spark.conf.get(k, None) for k in (f"spark.sql.adaptive.{name}" for name in changed)}
+    least, start = list(before)[1:]
+    try:
+        spark.conf.unset(list(before)[0])
+        configure(spark)
+        spark.conf.set(least, "1")
+        spark.conf.set(start, "64")
+        rows = spark.range(3_000_000).selectExpr("xxhash64(id) AS k", "xxhash64(id, 1) AS v")
+        tasks = rows.groupBy("k").agg(F.sum("v").alias("v")).rdd.getNumPartitions()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert tasks >= 5
