@@ -9,6 +9,7 @@ from __spark_entry__ import queries
 from tideline.functions.text import html_text_mapper
 from tideline.operators import sketches
 from tideline.plans.runner import Job, job_table, offset_log, run_incremental, stored_offset
+from tideline.sample import catalog
 from tideline.session import shared_dir
 from tideline.sources.logs import OffsetLog
 from tideline.streaming import streams
@@ -326,3 +327,16 @@ def test_the_html_parser_holds_few_rows_at_a_time():
     rows = [row for piece in pieces for row in piece.to_pylist()]
     assert [row["resolved_id"] for row in rows] == [str(i) for i in range(250)]
     assert [row["raw_text"].strip() for row in rows[:2]] == ["None", "a b"] and all(row["error"] is None for row in rows)
+
+
+def test_landed_files_follow_the_rows_not_the_splits(spark, monkeypatch):
+    folders = {}
+    monkeypatch.setattr(catalog, "shared_dir", lambda s, name: folders.setdefault(name, shared_dir(s, name)))
+    monkeypatch.setattr(catalog, "_ROWS_PER_LANDED_FILE", 200)
+    events = spark.read.parquet("/root/testdata/sf0.01/events.parquet").limit(900)
+    small = shared_dir(spark, "few-events")
+    events.write.parquet(f"{small}/events.parquet")
+    rows = queries()["stream_latest"](spark, small).select("event_id").collect()
+    newest = events.groupBy(F.to_date("ts"), "user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+    assert sorted(r[0] for r in rows) == sorted(r["event_id"] for r in newest.collect())
+    assert len(spark.read.parquet(folders["latest-drop"]).inputFiles()) == 6

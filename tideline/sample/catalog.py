@@ -7,6 +7,7 @@ have the names, and whose dates and times the text form, of the SQL in
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1013,6 +1014,10 @@ def stream_trailing_error(v):
     )
 
 
+#: Rows of a file that lands in a drop folder: enough that a micro-batch is worth what each one costs.
+_ROWS_PER_LANDED_FILE = 2_000_000
+
+
 @_query
 def stream_latest(v):
     """Latest event per day and user from a drop folder with re-deliveries, read by two runs of one checkpoint."""
@@ -1020,8 +1025,9 @@ def stream_latest(v):
     part = F.pmod(F.xxhash64("event_id"), F.lit(3))
     drop, out, checkpoint = (shared_dir(v.spark, n) for n in ("latest-drop", "latest", "latest-checkpoint"))
     streams.keep_state_on_disk(v.spark)
+    files = max(2, math.ceil(v.table("events").count() * 2 / 3 / _ROWS_PER_LANDED_FILE))
     for parts in ((0, 1), (1, 2)):
-        events.filter(part.isin(*parts)).write.mode("append").parquet(drop)
+        events.filter(part.isin(*parts)).repartition(files).write.mode("append").parquet(drop)
         arriving = streams.file_stream(v.spark, drop, events.schema, files_per_trigger=2)
         latest = streams.latest_stream(arriving, "ts", ["user_id"], ["event_id"], late="60 days")
         streams.write_batches(latest, out, checkpoint, mode="update").awaitTermination()
