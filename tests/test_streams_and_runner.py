@@ -340,3 +340,15 @@ def test_landed_files_follow_the_rows_not_the_splits(spark, monkeypatch):
     newest = events.groupBy(F.to_date("ts"), "user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
     assert sorted(r[0] for r in rows) == sorted(r["event_id"] for r in newest.collect())
     assert len(spark.read.parquet(folders["latest-drop"]).inputFiles()) == 6
+
+
+def test_archived_sources_of_several_files(spark, monkeypatch):
+    folders = {}
+    monkeypatch.setattr(catalog, "shared_dir", lambda s, name: folders.setdefault(name, shared_dir(s, name)))
+    monkeypatch.setattr(catalog, "_ROWS_PER_LANDED_FILE", 10)
+    small = shared_dir(spark, "few-pages")
+    spark.range(100).selectExpr("id AS page_id", "concat('<p>', id) AS html").write.parquet(f"{small}/pages.parquet")
+    found = queries()["stream_archived_sources"](spark, small)
+    wanted = [(i, "drop" if i % 4 == 3 else "archive") for i in range(100)] + [(i, "read") for i in range(100)]
+    assert rows_of(found, "page_id", "place") == sorted(wanted, key=repr)
+    assert len(spark.read.parquet(folders["sources"]).inputFiles()) == 3

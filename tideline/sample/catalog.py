@@ -1090,16 +1090,19 @@ def stream_article_outcomes(v):
 def stream_archived_sources(v):
     """Where the pages of a drop folder are after two runs of one stream that archives what it has read.
 
-    The last file stays: it is moved when a later batch begins.
+    A quarter of the pages is a batch, of as many files as its rows need. The last one
+    stays: it is moved when a later batch begins. Pages are read by all tasks, once, and
+    only their digests are dealt to the files.
     """
-    pages = v.table("pages").select("page_id", F.md5("html").alias("html_md5"))
+    pages = materialized(v.table("pages").select("page_id", F.md5("html").alias("html_md5")), "page-digests")
+    files = max(1, math.ceil(pages.count() / 4 / _ROWS_PER_LANDED_FILE))
     drop, archive, out, checkpoint = (shared_dir(v.spark, n) for n in ("sources", "archive", "archived", "archived-checkpoint"))
     # The files are moved by the stream itself, not by a thread beside it.
     v.spark.conf.set("spark.sql.streaming.fileSource.cleaner.numThreads", "0")
     for parts in ((0, 1), (2, 3)):
         for part in parts:
-            pages.filter(F.col("page_id") % 4 == part).coalesce(1).write.mode("append").parquet(drop)
-        arriving = streams.file_stream(v.spark, drop, pages.schema, files_per_trigger=1, archive=archive)
+            pages.filter(F.col("page_id") % 4 == part).repartition(files).write.mode("append").parquet(drop)
+        arriving = streams.file_stream(v.spark, drop, pages.schema, files_per_trigger=files, archive=archive)
         streams.write_batches(arriving, out, checkpoint).awaitTermination()
     places = {"archive": archive, "drop": drop, "read": out}
     found = [
