@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from cases import plan_of, rows_of
 from hypothesis import HealthCheck, given, settings
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.expr import parse_iso8601
 from tideline.operators import chunks, latest, tables
-from tideline.session import configure, shared_dir
+from tideline.session import SHUFFLE_CLEANUP, configure, materialized, shared_dir
 from tideline.sources import tables as table_io
 
 
@@ -269,3 +271,27 @@ def test_merged_shuffle_partitions_stay_small(spark):
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     assert tasks >= 5
+
+
+def test_written_steps_leave_no_shuffle_files(spark):
+    """Whatever the driver's garbage collector does; else the files of all steps of a job add up."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        files = disk.getAllFiles().mkString("\n").split("\n")
+        return {f for f in files if f.rsplit("/", 1)[-1].startswith("shuffle_")}
+
+    kept = spark.conf.get(SHUFFLE_CLEANUP, None)
+    plain = spark.range(100_000).selectExpr("id % 1000 AS k").groupBy("k").count()
+    plain.write.format("noop").mode("overwrite").save()
+    before = shuffled()
+    assert before
+    written = materialized(spark.range(100_000).selectExpr("id % 1000 AS k", "id").groupBy("k").agg(F.sum("id").alias("n")), "steps")
+    left, until = shuffled() - before, time.monotonic() + 20
+    while left and time.monotonic() < until:
+        time.sleep(0.1)
+        left = shuffled() - before
+    assert not left and written.count() == 1000
+    with pytest.raises(Exception, match="wrong"):
+        materialized(spark.range(1).select(F.raise_error(F.lit("wrong")).alias("x")), "steps")
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == kept

@@ -21,6 +21,8 @@ RUNTIME_CONF = {
 
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+#: While it holds, an action removes its shuffle files when it ends, not when the driver happens to collect its garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
@@ -72,8 +74,18 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     For frames that are expensive and read more than once: later passes read only
-    the columns they need, and a lost executor repeats no earlier work.
+    the columns they need, and a lost executor repeats no earlier work. What was
+    shuffled for it leaves the disks once it is written.
     """
-    folder = shared_dir(df.sparkSession, name)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = shared_dir(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(folder)
