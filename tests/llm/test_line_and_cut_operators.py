@@ -236,6 +236,28 @@ def test_parts_give_the_models_ids():
         assert list(np.frombuffer(model.ids(text), "<u4")) == model.model.encode(text)
 
 
+def test_chunks_give_the_ids_of_both(monkeypatch):
+    """One look-up per chunk gives the ids of both; runs of known chunks are encoded by neither."""
+    monkeypatch.setattr(alignment, "KEPT", 500)
+    both = alignment.Both(tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE))
+    rng = random.Random(6)
+    letters = ["a", "the", " ", " ", "  ", "\n", "\t", "é", "漢", "ing", ".", "<s>", "0", "\r\n", "▁", "\x00", "\x1c", "\u2003", "'s"]
+    for _ in range(60):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(50)]
+        raw = [f" {t}".encode() for t in texts]
+        a = [np.frombuffer(both.a.ids(" " + t) if t else b"", "<u4") for t in texts]
+        b = [np.array(both.b.model.encode(t) if t else [], "<u4") for t in texts]
+        fine = [alignment._joined_equal(both.a.bytes, x, r) and alignment._joined_equal(both.b.bytes, y, r) for x, y, r in zip(a, b, raw, strict=True)]
+        a, b = ([x if ok else x[:0] for x, ok in zip(ids, fine, strict=True)] for ids in (a, b))
+        found = both.ids(texts)
+        for got, want in zip(found, ([*map(len, a)], [*map(len, b)], np.concatenate(a), np.concatenate(b)), strict=True):
+            assert got.tolist() == list(want)
+    known = ["one two,  three\n four", "two,\n\tfive "]
+    first = both.ids(known)
+    monkeypatch.setattr(both, "_encode", lambda chunks: {}[chunks[0]] if chunks else {})
+    assert all((x == y).all() for x, y in zip(both.ids(known), first, strict=True))
+
+
 @pytest.mark.parametrize("steps", [1, 2, 3, 7, 1000])
 def test_pieces_of_any_size_give_the_same_overlaps(steps):
     rng = np.random.default_rng(steps)

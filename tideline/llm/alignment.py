@@ -26,12 +26,16 @@ from .common import text_batches, written
 PIECE_STEPS = 1 << 16
 #: Pairs of ids whose counts are broadcast: the most frequent ones, at most so many.
 FREQUENT_PAIRS = 1 << 18
-#: Pre-tokens each of a worker's two caches keeps per generation.
-KEPT = 300_000
+#: Pieces of text each of a worker's three caches keeps per generation.
+KEPT = 250_000
 #: A pair of ids as one number: A's above B's.
 ID_BITS = 20
 
 _SPACE = "▁"
+#: Stretches of a text that begins with white space; all but the first begin with a blank or newline behind other than white space.
+_CHUNK = re.compile(r"\s+\S*(?:[^\S \n]\s*\S*)*")
+#: Marks ids of B where they stand among those of A, and, alone, a chunk whose tokens do not have its bytes.
+_OF_B, _WRONG = 1 << 31, b"\xff" * 4
 
 
 class _Kept(dict):
@@ -113,19 +117,117 @@ class Pieces:
         return b"".join(map(self.kept.__getitem__, self.part.findall(" " + text)))
 
 
+def _joined_equal(table: list[bytes], ids: np.ndarray, raw: bytes) -> bool:
+    return b"".join(map(table.__getitem__, ids.tolist())) == raw
+
+
+class Both:
+    """Ids of texts by both tokenizers, where the tokens' bytes are those of a space and the text.
+
+    No token and no merge of either reaches over the start of a chunk: neither a pre-token
+    of A nor a part of B goes on there. So chunks are encoded and compared with their bytes
+    on their own and kept, one look-up for both; what one run of texts meets anew is encoded
+    by B at once. Texts that either library has to cut itself go to them whole.
+    """
+
+    def __init__(self, a_path: str, b_path: str):
+        self.a, self.b = a, b = ByteLevel(a_path), Pieces(b_path)
+        if max(len(a.bytes), len(b.bytes)) > 1 << ID_BITS:
+            raise ValueError(f"ids above {ID_BITS} bits")
+        self.a_length, self.b_length = (np.fromiter(map(len, t.bytes), np.int64, len(t.bytes)) for t in (a, b))
+        self.kept: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _chunks(self, text: str) -> list[str] | None:
+        if self.b.part is None or _SPACE in text or self.a.splitter.unsafe_text(text):
+            return None
+        return _CHUNK.findall(" " + text)
+
+    def _alone(self, chunk: str) -> bytes:
+        """A's ids of a chunk, and B's with a mark."""
+        raw = chunk.encode()
+        x, y = (
+            np.frombuffer(b"".join(map(kept.__getitem__, pattern.findall(chunk))), "<u4")
+            for kept, pattern in ((self.a.kept, self.a.splitter.piece), (self.b.kept, self.b.part))
+        )
+        fine = _joined_equal(self.a.bytes, x, raw) and _joined_equal(self.b.bytes, y, raw)
+        return x.tobytes() + (y | np.uint32(_OF_B)).tobytes() if fine else _WRONG
+
+    def _encode(self, chunks: list[str]) -> dict[str, bytes]:
+        """:meth:`_alone` of each chunk; joined in one text, if its tokens have the text's bytes and end where chunks do."""
+        # Behind white space the next chunk would not begin a pre-token and a part.
+        joint = [c for c in chunks if not c[-1].isspace()]
+        out = {}
+        if joint:
+            joined = "".join(joint)
+            raw, ends = joined.encode(), np.cumsum([len(c.encode()) for c in joint])
+            x = np.frombuffer(b"".join(map(self.a.kept.__getitem__, self.a.splitter.piece.findall(joined))), "<u4")
+            # The model's own space stands for the first blank, or before the newline.
+            y = np.array(self.b.model.encode(joined.removeprefix(" "), num_threads=1), "<u4")[int(joined[0] == "\n") :]
+            places, fine = [], True
+            for table, length, ids in ((self.a.bytes, self.a_length, x), (self.b.bytes, self.b_length, y)):
+                stops = np.cumsum(length[ids])
+                at = np.searchsorted(stops, ends)
+                fine = fine and _joined_equal(table, ids, raw) and bool((stops[at] == ends).all())
+                places.append(np.append(0, 4 * (at + 1)).tolist())
+            if fine:
+                x, y = x.tobytes(), (y | np.uint32(_OF_B)).tobytes()
+                (a_cut, b_cut) = places
+                out = {c: x[i:j] + y[k:n] for c, i, j, k, n in zip(joint, a_cut, a_cut[1:], b_cut, b_cut[1:], strict=False)}
+        return out | {c: self._alone(c) for c in chunks if c not in out}
+
+    def _whole(self, text: str) -> bytes:
+        """The ids of a text as a whole; none, if its tokens have other bytes."""
+        raw = f" {text}".encode()
+        x, y = np.frombuffer(self.a.ids(" " + text), "<u4"), np.frombuffer(self.b.ids(text), "<u4")
+        fine = _joined_equal(self.a.bytes, x, raw) and _joined_equal(self.b.bytes, y, raw)
+        return x.tobytes() + (y | np.uint32(_OF_B)).tobytes() if fine else b""
+
+    def ids(self, texts: list[str]) -> tuple[np.ndarray, ...]:
+        """How many ids of A and of B each text has, and the ids of A and of B of all."""
+        cut = [self._chunks(t) if t else [] for t in texts]
+        chunks = [c for each in cut if each for c in each]
+        found = list(map(self.kept.get, chunks))
+        missed = [i for i, ids in enumerate(found) if ids is None]
+        if missed:
+            # In the order they are met, so that reruns agree on what is kept.
+            new = dict.fromkeys([chunks[i] for i in missed])
+            new.update({c: ids for c in new if (ids := self.old.get(c)) is not None})
+            new.update(self._encode([c for c, ids in new.items() if ids is None]))
+            for i in missed:
+                found[i] = new[chunks[i]]
+            if len(self.kept) >= KEPT:
+                self.old, self.kept = self.kept, {}
+            self.kept.update((c, ids) for c, ids in new.items() if len(c) <= tokens.KEPT_LENGTH)
+        rows, at = [], 0
+        for text, each in zip(texts, cut, strict=True):
+            if each is None:
+                rows.append(self._whole(text))
+            else:
+                rows.append(b"".join(found[at : at + len(each)]))
+                at += len(each)
+        marked = np.frombuffer(b"".join(rows), "<u4")
+        if (marked == 0xFFFFFFFF).any():
+            wrong = [(np.frombuffer(row, "<u4") == 0xFFFFFFFF).any() for row in rows]
+            rows = [self._whole(t) if is_wrong else row for t, row, is_wrong in zip(texts, rows, wrong, strict=True)]
+            marked = np.frombuffer(b"".join(rows), "<u4")
+        of_b = marked >= _OF_B
+        ends = np.cumsum([len(row) // 4 for row in rows])
+        n_b = np.diff(np.append(0, np.cumsum(of_b))[ends], prepend=0)
+        n_a = np.diff(ends, prepend=0) - n_b
+        return n_a, n_b, marked[~of_b].astype(np.int64), (marked[of_b] & np.uint32(_OF_B - 1)).astype(np.int64)
+
+
 _WORKER: dict = {}
 
 
-def _pair(a_path: str, b_path: str) -> tuple[ByteLevel, Pieces, np.ndarray, np.ndarray]:
-    """This worker's tokenizers, and the lengths of their tokens."""
+def _pair(a_path: str, b_path: str) -> Both:
+    """This worker's tokenizers."""
     key = (a_path, b_path)
     if key not in _WORKER:
         tokens.forget()
         _WORKER.clear()
-        a, b = ByteLevel(a_path), Pieces(b_path)
-        if max(len(a.bytes), len(b.bytes)) > 1 << ID_BITS:
-            raise ValueError(f"ids above {ID_BITS} bits")
-        _WORKER[key] = (a, b, *(np.fromiter(map(len, t.bytes), np.int64, len(t.bytes)) for t in (a, b)))
+        _WORKER[key] = Both(a_path, b_path)
     return _WORKER[key]
 
 
@@ -155,9 +257,12 @@ def piece_overlaps(a_end: np.ndarray, b_end: np.ndarray, begin: tuple[int, int],
     first B token that end there or later, in the piece or just behind it.
     """
     a, b = a_end[begin[0] : end[0]], b_end[begin[1] : end[1]]
-    ends = np.union1d(a, b)
-    shared, a_at, b_at = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    return begin[0] + np.searchsorted(a, ends), begin[1] + np.searchsorted(b, ends), begin[0] + a_at, begin[1] + b_at
+    # Two sorted runs: a stable sort merges them.
+    ends = np.sort(np.concatenate([a, b]), kind="stable")
+    last = np.append(ends[1:] != ends[:-1], True)[: len(ends)]
+    shared, ends = ends[~last], ends[last]
+    found = (np.searchsorted(x, y) for y in (ends, shared) for x in (a, b))
+    return tuple(at + first for at, first in zip(found, begin * 2, strict=True))
 
 
 def merge_pieces(a_end: np.ndarray, b_end: np.ndarray, steps: int = PIECE_STEPS) -> tuple[np.ndarray, ...]:
@@ -170,12 +275,13 @@ def merge_pieces(a_end: np.ndarray, b_end: np.ndarray, steps: int = PIECE_STEPS)
     return tuple(np.concatenate(part) for part in zip(*found, strict=True))
 
 
-def _digits() -> tuple[np.ndarray, np.ndarray]:
-    """Decimal digits of small numbers, set to the right, and which of them count."""
+def _digits() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Small numbers as eight letters in a word: decimal digits set to the right, then a comma; which letters count, and how many."""
     number = np.arange(1 << 17)[:, None]
-    power = 10 ** np.arange(6)[::-1]
-    shown = (number >= power) | (power == 1)
-    return (number // power % 10 + 48).astype(np.uint8), shown
+    power = 10 ** np.arange(7)[::-1]
+    shown = np.pad((number >= power) | (power == 1), ((0, 0), (0, 1)), constant_values=True)
+    letters = np.pad((number // power % 10 + 48).astype(np.uint8), ((0, 0), (0, 1)), constant_values=ord(","))
+    return letters.view(np.uint64)[:, 0], shown.view(np.uint64)[:, 0], shown.sum(axis=1)
 
 
 def group_texts(a_id: np.ndarray, b_id: np.ndarray, a_last: np.ndarray, b_last: np.ndarray, closes: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -188,24 +294,22 @@ def group_texts(a_id: np.ndarray, b_id: np.ndarray, a_last: np.ndarray, b_last:
         return b"", np.zeros(0, np.int64)
     if "digits" not in _WORKER_TABLES:
         _WORKER_TABLES["digits"] = _digits()
-    digit, shown = _WORKER_TABLES["digits"]
-    width = digit.shape[1]
-    if max(a_id.max(), b_id.max()) >= len(digit):
+    letters, shown, size = _WORKER_TABLES["digits"]
+    if max(a_id.max(), b_id.max()) >= len(letters):
         raise ValueError("ids above the table of digits")
     # Group of each token; a group's A tokens stand before its B tokens.
     a_size, b_size = np.diff(a_last, prepend=-1), np.diff(b_last, prepend=-1)
     a_at = np.arange(len(a_id)) + np.repeat(b_last + 1 - b_size, a_size)
     b_at = np.arange(len(b_id)) + np.repeat(a_last + 1, b_size)
-    total = len(a_id) + len(b_id)
-    cells, keep = np.empty((total, width + 1), np.uint8), np.empty((total, width + 1), bool)
-    for at, ids in ((a_at, a_id), (b_at, b_id)):
-        cells[at, :width], keep[at, :width] = digit[ids], shown[ids]
-    cells[:, width], keep[:, width] = ord(","), True
-    cells[a_at[a_last], width] = ord("|")
-    cells[b_at[b_last], width] = ord(";")
-    keep[b_at[b_last[closes]], width] = False
-    ends = np.cumsum(keep.sum(axis=1))[b_at[b_last]]
-    return cells[keep].tobytes(), ends
+    ids = np.empty(len(a_id) + len(b_id), np.int64)
+    ids[a_at], ids[b_at] = a_id, b_id
+    cells, keep, sizes = letters[ids].view(np.uint8), shown[ids].view(bool), size[ids]
+    cells[8 * a_at[a_last] + 7] = ord("|")
+    cells[8 * b_at[b_last] + 7] = ord(";")
+    closing = b_at[b_last[closes]]
+    keep[8 * closing + 7] = False
+    sizes[closing] -= 1
+    return cells[keep].tobytes(), np.cumsum(sizes)[b_at[b_last]]
 
 
 _WORKER_TABLES: dict = {}
@@ -216,10 +320,6 @@ _ALIGNED = (
 )
 
 
-def _joined_equal(table: list[bytes], ids: np.ndarray, raw: bytes) -> bool:
-    return b"".join(map(table.__getitem__, ids.tolist())) == raw
-
-
 def _lists(values: np.ndarray, sizes: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
@@ -231,20 +331,11 @@ def aligned(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", t
     """
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, a_length, b_length = _pair(a_path, b_path)
+        both = _pair(a_path, b_path)
         for batch, texts in text_batches(batches, "text"):
-            a_ids, b_ids = [], []
-            for value in texts:
-                raw = f" {value}".encode()
-                x, y = (np.frombuffer(t.ids(s), "<u4") if value else np.zeros(0, "<u4") for t, s in ((a, " " + value), (b, value)))
-                if not (_joined_equal(a.bytes, x, raw) and _joined_equal(b.bytes, y, raw)):
-                    x = y = np.zeros(0, "<u4")
-                a_ids.append(x)
-                b_ids.append(y)
-            n_a, n_b = (np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (a_ids, b_ids))
-            a_id, b_id = (np.concatenate(ids).astype(np.int64) for ids in (a_ids, b_ids))
+            n_a, n_b, a_id, b_id = both.ids(texts)
             # Both lists cover the same bytes of every document, so each document's last ends are shared.
-            a_at, b_at, a_last, b_last = merge_pieces(np.cumsum(a_length[a_id]), np.cumsum(b_length[b_id]))
+            a_at, b_at, a_last, b_last = merge_pieces(np.cumsum(both.a_length[a_id]), np.cumsum(both.b_length[b_id]))
             doc = np.repeat(np.arange(len(texts)), n_a)
             group_doc = doc[a_last]
             n_groups = np.bincount(group_doc, minlength=len(texts))

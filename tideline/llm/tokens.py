@@ -89,9 +89,13 @@ class Splitter:
             self.piece, self.unsafe = _word_level()
             self.lower = True
 
+    def unsafe_text(self, text: str) -> bool:
+        """Whether only the library may cut the text."""
+        return self.piece is None or any(s in text for s in self.special) or self.unsafe.search(text) is not None
+
     def split(self, text: str) -> list[str] | None:
         """The pre-tokens, or None where only the library may cut the text."""
-        if self.piece is None or any(s in text for s in self.special) or self.unsafe.search(text):
+        if self.unsafe_text(text):
             return None
         return self.piece.findall(text.lower() if self.lower else text)
 
