@@ -174,6 +174,33 @@ def test_bytes_decide_on_repeats(spark, name_bits, whole_bytes, block_bytes, mon
     assert check_repeats(docs, block_bytes=block_bytes, name_bits=name_bits, whole_bytes=whole_bytes) > 0
 
 
+def test_bytes_are_read_of_names_that_recur():
+    draw = np.random.default_rng(3)
+    for top in (1, 4, 300, 1 << 60):
+        keys = draw.integers(0, top, 500).astype(np.uint64), draw.integers(0, 3, 500).astype(np.uint64)
+        rows = np.stack(keys, axis=1)
+        asked = []
+        order, number = suffixes._exact_firsts(lambda i: (asked.extend(i.tolist()), rows[i])[1], *keys)
+        assert order.tolist() == np.lexsort(keys[::-1]).tolist()
+        names = [tuple(x) for x in rows[order].tolist()]
+        assert number.tolist() == [sorted(set(names)).index(x) for x in names]
+        assert all(names.count(tuple(rows[i].tolist())) > 1 for i in asked)
+    assert [len(x) for x in suffixes._exact_firsts(None, keys[0][:0])] == [0, 0]
+
+
+@pytest.mark.parametrize("stride", [64, 1000])
+def test_stretches_hold_every_window_once(stride, monkeypatch):
+    monkeypatch.setattr(suffixes, "STRIDE", stride)
+    draw = random.Random(7)
+    sizes = [0, 49, 50, 51, 0, 300, 3, 2000, 128, 64, 10, 51, 0]
+    rows = [(i, bytes(draw.choices(b"ab ", k=n))) for i, n in enumerate(sizes)]
+    block = suffixes.Block(rows, 1, 64, False)
+    windows = [p for low, high in zip(block.low.tolist(), block.high.tolist(), strict=True) for p in range(low, high + 1)]
+    starts = np.cumsum([0, *sizes]).tolist()
+    assert windows == [at + p for at, n in zip(starts, sizes, strict=False) for p in range(n - 49)]
+    assert block.rank.tolist() == [next(i for i, n in enumerate(sizes) if starts[i] <= p < starts[i] + n) for p in block.low.tolist()]
+
+
 def test_texts_without_repeats(edge, empty):
     found = suffixes.without_repeats(edge)
     assert found.columns == edge.columns and found.count() == edge.count()

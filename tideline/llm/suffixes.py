@@ -69,15 +69,21 @@ _REPLY = "block bigint, round int, part int, status binary, clash boolean"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    x = x ^ (x >> _U(30))
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def _double(name: np.ndarray, offset: int, factor: int) -> np.ndarray:
     """Names of longer prefixes: each name paired with the one at ``offset``."""
-    left = name[:-offset]
-    return (left ^ (left >> _U(29))) * _U(factor) + name[offset:]
+    left = name[:-offset] >> _U(29)
+    left ^= name[:-offset]
+    left *= _U(factor)
+    left += name[offset:]
+    return left
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -97,7 +103,14 @@ def _parts(names: np.ndarray, parts: int) -> np.ndarray:
 
 def _firsts(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorts by the keys (stable); the order, and the number of its distinct key for each sorted row."""
-    order = np.lexsort(keys[::-1])
+    order = np.argsort(keys[0])
+    # Most names occur once: only the others need the other keys and a stable order.
+    in_order = keys[0][order]
+    same = np.concatenate([[False], in_order[1:] == in_order[:-1], [False]])
+    tied = np.flatnonzero(same[1:] | same[:-1])
+    if len(tied):
+        rows = np.sort(order[tied])
+        order[tied] = rows[np.lexsort([key[rows] for key in keys[::-1]])]
     new = np.zeros(len(order), np.int64)
     for key in keys:
         in_order = key[order]
@@ -136,9 +149,10 @@ def _digest(words: np.ndarray) -> np.ndarray:
 def _exact_firsts(words, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """:func:`_firsts` by the keys, and by the bytes as well if rows of equal keys differ in them; ``words`` gives the rows' bytes."""
     order, number = _firsts(*keys)
-    first = order[np.flatnonzero(np.diff(number, prepend=-1))]
-    for at in range(0, len(order), _COMPARED):
-        some = slice(at, at + _COMPARED)
+    new = np.diff(number, prepend=-1) > 0
+    first, again = order[new], np.flatnonzero(~new)
+    for at in range(0, len(again), _COMPARED):
+        some = again[at : at + _COMPARED]
         if (words(order[some]) != words(first[number[some]])).any():
             return _firsts(*keys, *words(np.arange(len(order))).T)
     return order, number
@@ -156,18 +170,17 @@ class Block:
         ids = np.array([doc_id for doc_id, _ in rows], np.int64)
         rank = np.zeros(len(rows), np.int64)
         rank[1:] = np.cumsum(ids[1:] != ids[:-1])
-        low, high, document, half, stretch, full = [], [], [], [], [], []
+        low, high, half, stretch, full = [], [], [], [], []
         for at in range(0, max(0, len(self.data) - LENGTH + 1), STRIDE):
             part = self._stretches(at)
             low.append(part[0])
             high.append(part[1])
-            document.append(part[2])
-            half.append(part[3])
-            stretch.append(part[4])
-            full.append(part[5])
+            half.append(part[2])
+            stretch.append(part[3])
+            full.append(part[4])
         empty = [np.empty(0, np.int64)]
         self.low, self.high = np.concatenate(low or empty), np.concatenate(high or empty)
-        self.rank = rank[np.concatenate(document or empty)] if document else np.empty(0, np.int64)
+        self.rank = rank[np.searchsorted(self.ends, self.low, side="right")]
         self.half = np.concatenate(half or [np.empty(0, np.uint64)])
         self.stretch = np.concatenate(stretch or [np.empty(0, np.uint64)])
         self.full = np.concatenate(full or [np.empty(0, np.uint64)])
@@ -177,7 +190,7 @@ class Block:
         self.first = np.flatnonzero(np.diff(self.number, prepend=-1))
 
     def _stretches(self, at: int) -> tuple[np.ndarray, ...]:
-        """Stretches of windows from ``at`` on that share their least suffix: ends, document and names."""
+        """Stretches of windows from ``at`` on that share their least suffix: ends and names, and the windows' own names, not yet mixed."""
         piece = self.data[at : at + STRIDE + LENGTH - 1]
         name = _BYTE[piece]
         for offset, factor in _STEPS:
@@ -186,20 +199,27 @@ class Block:
         full = _double(half, LENGTH - HALF, _TO_FULL)
         # The position makes equal names differ, so that the first of them is the least.
         bits = _U(STRIDE.bit_length() + 1)
-        place = np.arange(len(half), dtype=np.uint64)
-        least = _least(((_mix(half) >> bits) << bits) | place, LENGTH - HALF + 1) & ((_U(1) << bits) - _U(1))
-        start = np.arange(at, at + len(least))
-        document = np.searchsorted(self.ends, start, side="right")
-        inside = start + LENGTH <= self.ends[np.minimum(document, len(self.ends) - 1)]
-        p, least, document = start[inside], least[inside].astype(np.int64), document[inside]
-        turns = np.flatnonzero(np.diff(least, prepend=-1))
-        stops = np.append(turns[1:], len(least)) - 1 if len(turns) else turns
-        low, high, chosen = p[turns], p[stops], least[turns]
-        before = (chosen + at - low).astype(np.uint64)
+        key = _mix(half)
+        key >>= bits
+        key <<= bits
+        key |= np.arange(len(half), dtype=np.uint64)
+        least = _least(key, LENGTH - HALF + 1)
+        # The last windows that start in a document leave it; those of different documents share no suffix.
+        inside = np.zeros(len(least) + 2, bool)
+        inside[1:-1] = True
+        ends = self.ends[np.searchsorted(self.ends, at, side="right") : np.searchsorted(self.ends, at + len(piece), side="left") + 1]
+        out = (ends[:, None] - np.arange(1, LENGTH)).ravel() - at
+        inside[out[(out >= 0) & (out < len(least))] + 1] = False
+        turns = np.ones(len(least) + 1, bool)
+        turns[1:-1] = least[1:] != least[:-1]
+        low = np.flatnonzero(inside[1:-1] & (turns[:-1] | ~inside[:-2]))
+        high = np.flatnonzero(inside[1:-1] & (turns[1:] | ~inside[2:]))
+        chosen = (least[low] & ((_U(1) << bits) - _U(1))).astype(np.int64)
+        before = (chosen - low).astype(np.uint64)
         extent = (high - low).astype(np.uint64)
-        mixed = _mix(full[low - at] + before * _U(_TO_HALF)) * _U(_TO_FULL) + full[high - at] + extent
-        names = [_mix(n) & self.mask for n in (half[chosen], mixed, full)]
-        return low, high, document[turns], names[0], names[1] >> _U(64 - _STRETCH_BITS), names[2]
+        mixed = _mix(full[low] + before * _U(_TO_HALF)) * _U(_TO_FULL) + full[high] + extent
+        names = [_mix(n) & self.mask for n in (half[chosen], mixed)]
+        return low + at, high + at, names[0], names[1] >> _U(64 - _STRETCH_BITS), full
 
     def _sent(self, rows: np.ndarray) -> np.ndarray:
         gram = self.half[rows] & ((_U(1) << _U(64 - _STRETCH_BITS)) - _U(1))
@@ -234,7 +254,7 @@ class Block:
         rank = np.repeat(self.rank[left], count)
         keep = np.argsort(window, kind="stable")
         self.window, self.window_rank = window[keep], rank[keep]
-        self.window_name = self.full[self.window]
+        self.window_name = _mix(self.full[self.window]) & self.mask
         self.window_order, self.window_number = _exact_firsts(
             lambda i: _words(self.data, self.window[i]), self.window_name
         )
