@@ -133,3 +133,21 @@ def test_walks_do_not_stay_in_patches(spark, monkeypatch):
         score[q] = -np.inf
         recall.append(len({*found[q]} & {*np.argsort(-score)[:20].tolist()}) / 20)
     assert np.mean(recall) >= 0.95
+
+
+def test_no_row_for_a_link_or_a_vector_met(spark, monkeypatch):
+    """What is moved are arrays from block to block: no step writes more rows than there are vectors."""
+    rows = {}
+    whole = neighbours.written
+
+    def written(df, name):
+        found = whole(df, name)
+        rows[name] = max(rows.get(name, 0), found.count())
+        return found
+
+    monkeypatch.setattr(neighbours, "written", written)
+    x = np.random.default_rng(8).standard_normal((3000, 16))
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = found_of(neighbours.nearest_neighbours(docs, F.col("vec_id") % 100 == 0))
+    assert len(found) == 30 and {"nn-edges", "nn-links", "nn-walk"} <= rows.keys()
+    assert max(rows.values()) <= 3000, rows
