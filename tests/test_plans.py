@@ -3,10 +3,12 @@
 import datetime
 import json
 import math
+import uuid
+from pathlib import Path
 
 import numpy as np
 import pytest
-from cases import plan_of, rows_of
+from cases import SF_DIR, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tideline import session
@@ -17,6 +19,7 @@ from tideline.functions.beta import beta_quantile_column, log_gamma, regularised
 from tideline.operators.checks import corpus_item_violations, exactly_one_id, legacy_item_violations, require_none
 from tideline.plans import articles, candidates, engagement, feeds, retention, revenue, score, telemetry_legacy, user_sync
 from tideline.plans.publisher import finish_features
+from tideline.sample import catalog as catalog_queries
 from tideline.session import shared_dir
 from tideline.sources import files, records
 from tideline.sources.paths import subfolders
@@ -449,6 +452,31 @@ def test_revenue_load_writes_its_batch_once(spark, frame, monkeypatch):
     assert rows_of(loaded, "impressions") == [(5,)] and subfolders(spark, f"{base}/kept") == []
 
 
+def test_revenue_load_keeps_its_pages_small(spark, monkeypatch, tmp_path):
+    """Pages land compressed; what was written on the way to them is gone once they have."""
+    for module in (session, catalog_queries):
+        monkeypatch.setattr(module, "shared_dir", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    loaded = catalog_queries.queries()["revenue_load"](spark, SF_DIR)
+    assert loaded.count() == spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    (kept,) = tmp_path.iterdir()
+    assert kept.name.startswith("revenue-load")
+    read = sum((Path(SF_DIR) / f"{t}.parquet").stat().st_size for t in ("lineitem", "orders"))
+    landed = [f for part in ("archived", "current") for f in (kept / part).rglob("part-*")]
+    assert len(landed) == 28 and sum(f.stat().st_size for f in landed) < 2 * read
+
+
+def test_scratch_takes_only_what_was_written_inside(spark, frame):
+    outside = session.materialized(frame("n int", (1,)), "outside")
+    with pytest.raises(ValueError), session.scratch(spark):
+        inside = session.materialized(frame("n int", (2,)), "inside")
+        with session.scratch(spark):
+            deeper = session.materialized(frame("n int", (3,)), "deeper")
+        assert rows_of(inside) == [(2,)] and not Path(deeper.inputFiles()[0].removeprefix("file:")).exists()
+        raise ValueError
+    assert rows_of(outside) == [(1,)]
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == "false"
+
+
 def test_feed_round_trip(spark, frame):
     rows = frame("tile_id int, source_id int, type string, created_at timestamp, updated_at timestamp", (1, 2, 'a|"b"\nc', None, None))
     folder = shared_dir(spark, "feed")

@@ -20,7 +20,7 @@ from ..functions.text import html_to_text
 from ..operators import checks, chunks, counting, intervals, latest, setops, sketches, tables, unnest
 from ..plans import articles, backend_events, candidates, engagement, feeds, legacy_candidates, publisher
 from ..plans import retention, revenue, runner, score, telemetry_legacy, telemetry_nested, user_sync
-from ..session import materialized, shared_dir
+from ..session import materialized, scratch, shared_dir, shuffles_removed
 from ..sources import files, records
 from ..sources.logs import OffsetLog
 from ..sources import tables as table_io
@@ -281,30 +281,34 @@ _LANDED_FIRST, _LANDED_DAYS = "1998-02-20", 28
 
 @_query
 def revenue_load(v):
-    """All order lines, landed as pages of 5,000 records in a folder per day, a file per page; the table had every third day.
+    """All order lines, landed as gzipped pages of 5,000 records in a folder per day, a file per page; the table had every third day.
 
     The days the table lacks are loaded, the archived ones (without two dimensions) by a
     load of their own; the days it had stay as they were. The joined lines are written
-    once, and a line's texts are made only after it has its place in a page: no shuffle
-    before that moves a text, and none moves a key.
+    once, and a line's texts are made only where its page is written: no shuffle moves a
+    text or a key. What is written or shuffled on the way is removed as soon as the pages
+    made of it have landed.
     """
     root = shared_dir(v.spark, "revenue-load")
     offset = (F.col("l_orderkey") % _LANDED_DAYS).cast("int")
     day = F.date_add(F.lit(_LANDED_FIRST).cast("date"), offset)
     half = F.date_add(F.lit(_LANDED_FIRST).cast("date"), _LANDED_DAYS // 2)
     held = F.date_diff("day", F.lit(_LANDED_FIRST)) % 3 == 0
-    lines = materialized(_order_lines(v).drop("o_orderdate").withColumn("day", day), "order-lines")
     table = revenue.revenue_table(v.spark, f"{root}/table")
-    had = _revenue_records(lines.filter(held)).select(F.array("record").alias("data"))
-    table.replace(revenue.revenue_rows(had).withColumn("impressions", -F.col("impressions")))
-    for name, prefix, lacking, part in (
-        ("archived", fv.REVENUE_PREFIX_ARCHIVED, ("url", "size"), F.col("day") < half),
-        ("current", fv.REVENUE_PREFIX, (), F.col("day") >= half),
-    ):
-        numbered = chunks.chunk_rows(lines.filter(part), 5000, ["day"], [F.asc("l_orderkey")], ["l_linenumber"])
-        record = F.struct(*[value.alias(name) for name, value in _revenue_texts(prefix, lacking).items()])
-        pages = numbered.groupBy("day", "chunk_no").agg(F.collect_list(record).alias("data")).drop("chunk_no")
-        pages.write.option("maxRecordsPerFile", 1).partitionBy("day").json(f"{root}/{name}")
+    with scratch(v.spark):
+        lines = materialized(_order_lines(v).drop("o_orderdate").withColumn("day", day), "order-lines")
+        had = _revenue_records(lines.filter(held)).select(F.array("record").alias("data"))
+        table.replace(revenue.revenue_rows(had).withColumn("impressions", -F.col("impressions")))
+        for name, prefix, lacking, part in (
+            ("archived", fv.REVENUE_PREFIX_ARCHIVED, ("url", "size"), F.col("day") < half),
+            ("current", fv.REVENUE_PREFIX, (), F.col("day") >= half),
+        ):
+            with scratch(v.spark), shuffles_removed(v.spark):
+                numbered = chunks.chunk_rows(lines.filter(part), 5000, ["day"], [F.asc("l_orderkey")], ["l_linenumber"])
+                dealt = numbered.drop("row_no").repartition("day", "chunk_no")
+                record = F.struct(*[value.alias(name) for name, value in _revenue_texts(prefix, lacking).items()])
+                pages = dealt.groupBy("day", "chunk_no").agg(F.collect_list(record).alias("data")).drop("chunk_no")
+                pages.write.option("maxRecordsPerFile", 1).option("compression", "gzip").partitionBy("day").json(f"{root}/{name}")
     window = ("1998-02-20 00:00:00", "1998-03-05 00:00:00")
     now = "1998-03-20 00:00:00"
     revenue.load_missing_days(v.spark, table, lambda d: f"{root}/archived/day={d}", now, *window, archived=True)

@@ -5,9 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .sources.paths import remove_folder
+
 # Runtime settings: safe to set on a session that already exists.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -70,6 +75,36 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What an action inside shuffles leaves the disks when the action ends."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Frames that are :func:`materialized` inside leave the shared folder at the end; none may be read later."""
+    folders: list[str] = []
+    token = _SCRATCH.set(folders)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        for folder in folders:
+            remove_folder(spark, folder)
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
@@ -79,13 +114,9 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = shared_dir(spark, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    folders = _SCRATCH.get()
+    if folders is not None:
+        folders.append(folder)
+    with shuffles_removed(spark):
         df.write.parquet(folder)
-    finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(folder)
