@@ -419,7 +419,7 @@ def _tried(count: np.ndarray, met: np.ndarray, new: np.ndarray, names: np.ndarra
         for column, values in zip(some, (own.ravel()[i], own.ravel()[j], similar.ravel()[hit]), strict=True):
             column.append(values)
         held += len(hit)
-        if held > 1 << 22 or at + per >= len(who):
+        if held > 1 << 21 or at + per >= len(who):
             best = [np.concatenate([x, *y]) for x, y in zip(best, some, strict=True)]
             order, _ = _top(best[0], best[1], best[2], np.ones(len(best[0]), np.uint8), degree, 31)
             best, some, held = [x[order] for x in best], [[], [], []], 0
@@ -589,11 +589,12 @@ def search(index: Index, queries: DataFrame, beam: int = BEAM, opened: int = OPE
         for m in got[_SCORE]:
             code, place, limit = _array(m[1], np.float32).reshape(-1, dim), _array(m[2], np.uint16), _array(m[3], np.float32)
             similar = code @ vectors[place].T
-            if similar.shape[1] > beam + 1:
+            better = similar > limit[:, None]
+            if np.count_nonzero(better, axis=1).max() > beam + 1:
                 # Only what can get into a beam.
                 least = np.partition(similar, similar.shape[1] - beam - 1, axis=1)[:, similar.shape[1] - beam - 1]
-                limit = np.maximum(limit, np.nextafter(least, np.float32(-np.inf)))
-            who, which = np.nonzero(similar > limit[:, None])
+                better &= similar >= least[:, None]
+            who, which = np.nonzero(better)
             out.append((m[0], _SCORED, block, who.astype(np.uint16), place[which], similar[who, which]))
         return out
 
